@@ -32,26 +32,33 @@ def sales_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     customer = table(spark, sf_dir, "customer")
     nation = table(spark, sf_dir, "nation")
 
+    # Customers meet the orders, not the far more numerous lines, and what
+    # belongs to an order is spelled out once per order.
     buyers = customer.join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
-    joined = (
-        lineitem.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-        .join(part, F.col("l_partkey") == F.col("p_partkey"))
-        .join(buyers, F.col("o_custkey") == F.col("c_custkey"))
-    )
     prefix = F.when(F.col("o_orderstatus") == "P", "C").otherwise("")
     customer_id = F.when(F.col("o_custkey") % 10 != 0, F.col("o_custkey"))
-    times = F.when(F.col("l_linenumber") == 1, F.array(F.lit(1), F.lit(2)))
-    return joined.select(
+    headers = orders.join(buyers, F.col("o_custkey") == F.col("c_custkey")).select(
+        "o_orderkey",
         F.concat(prefix, (F.col("o_orderkey") * 7 + 489434).cast("string")).alias(
             "Invoice"
         ),
+        F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss").alias("InvoiceDate"),
+        customer_id.cast("string").alias("Customer_ID"),
+        F.col("n_name").alias("Country"),
+    )
+    joined = lineitem.join(part, F.col("l_partkey") == F.col("p_partkey")).join(
+        headers, F.col("l_orderkey") == F.col("o_orderkey")
+    )
+    times = F.when(F.col("l_linenumber") == 1, F.array(F.lit(1), F.lit(2)))
+    return joined.select(
+        "Invoice",
         F.col("l_partkey").cast("string").alias("StockCode"),
         F.col("p_name").alias("Description"),
         F.col("l_quantity").cast("int").cast("string").alias("Quantity"),
-        F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss").alias("InvoiceDate"),
+        "InvoiceDate",
         F.col("l_extendedprice").cast("decimal(12,2)").cast("string").alias("Price"),
-        customer_id.cast("string").alias("Customer_ID"),
-        F.col("n_name").alias("Country"),
+        "Customer_ID",
+        "Country",
         F.explode(F.coalesce(times, F.array(F.lit(1)))).alias("copy"),
     ).drop("copy")
 

@@ -1,0 +1,243 @@
+"""Reads of hand-made logs, and of random logs against a plain-Python model."""
+
+import random
+
+import pytest
+
+from cellframe.operators import scan
+from conftest import rows
+
+COLS = "id, a, b"
+
+
+def test_newest_put_wins_and_absent_is_blank(log_of):
+    log = log_of(("1", "a", "old", 10), ("1", "a", "new", 20), ("2", "b", "x", 5))
+    assert rows(scan.latest(log, COLS)) == [("1", "new", ""), ("2", "", "x")]
+
+
+def test_column_list_is_trimmed_and_ordered(log_of):
+    log = log_of(("1", "a", "x", 1), ("1", "b", "y", 1))
+    result = scan.latest(log, " id ,b,  a")
+    assert result.columns == ["id", "b", "a"]
+    assert dict(result.dtypes) == {"id": "string", "a": "string", "b": "string"}
+    assert rows(result) == [("1", "y", "x")]
+    with pytest.raises(ValueError):
+        scan.latest(log, "id,,a")
+
+
+def test_first_column_only_names_the_key(log_of):
+    log = log_of(("1", "id", "not looked up", 1), ("1", "a", "x", 1))
+    assert rows(scan.latest(log, "id, a")) == [("1", "x")]
+
+
+def test_same_millisecond_seq_then_value_decides(log_of):
+    log = log_of(
+        ("1", "a", "first", 7, 1), ("1", "a", "second", 7, 2),
+        ("2", "a", "m", 7, 1), ("2", "a", "z", 7, 1),
+    )
+    assert rows(scan.latest(log, "id, a")) == [("1", "second"), ("2", "z")]
+
+
+def test_tombstone_masks_same_and_earlier_time_only(log_of):
+    log = log_of(
+        ("same", "a", "x", 10, 2), ("same", None, None, 10, 1),
+        ("back", "a", "x", 10), ("back", None, None, 11), ("back", "b", "y", 12),
+        ("gone", "a", "x", 10), ("gone", None, None, 11),
+    )
+    assert rows(scan.latest(log, COLS)) == [("back", "", "y")]
+
+
+def test_row_with_no_requested_cell_stays(log_of):
+    log = log_of(
+        ("1", "other", "x", 1), ("2", "a", "y", 1, 0, "second"), ("3", "a", "z", 1)
+    )
+    assert rows(scan.latest(log, "id, a")) == [("1", ""), ("2", ""), ("3", "z")]
+    assert rows(scan.latest(log, "id, a", family="second")) == [
+        ("1", ""), ("2", "y"), ("3", "")
+    ]
+
+
+def test_time_range_ends_and_later_tombstone(log_of):
+    log = log_of(
+        ("in", "a", "lo", 10), ("in", "a", "hi", 20),
+        ("out", "a", "x", 20),
+        ("masked", "a", "x", 15), ("masked", None, None, 99),
+        ("before", "a", "x", 15), ("before", None, None, 5),
+    )
+    assert rows(scan.time_range(log, "id, a", 10, 20)) == [
+        ("before", "x"), ("in", "lo")
+    ]
+    assert rows(scan.time_range(log, "id, a", 10, 10)) == []
+    for bad in [(20, 10), (-1, 5)]:
+        with pytest.raises(ValueError):
+            scan.time_range(log, "id, a", *bad)
+
+
+def test_as_of_sees_neither_later_puts_nor_later_tombstones(log_of):
+    log = log_of(
+        ("1", "a", "x", 10), ("1", "a", "y", 20), ("1", None, None, 30),
+        ("2", "a", "z", 25),
+    )
+    assert rows(scan.as_of(log, "id, a", 10)) == [("1", "x")]
+    assert rows(scan.as_of(log, "id, a", 29)) == [("1", "y"), ("2", "z")]
+    assert rows(scan.as_of(log, "id, a", 30)) == [("2", "z")]
+
+
+def test_versions_newest_first_one_per_millisecond(log_of):
+    log = log_of(
+        ("1", "a", "v1", 1), ("1", "a", "v2", 2), ("1", "a", "v3", 3, 1),
+        ("1", "a", "v3b", 3, 2), ("1", None, None, 1), ("1", "b", "w", 9),
+    )
+    found = rows(scan.versions(log, 5).drop("family"))
+    assert found == [
+        ("1", "a", 1, 3, "v3b"), ("1", "a", 2, 2, "v2"), ("1", "b", 1, 9, "w")
+    ]
+    assert rows(scan.versions(log, 1).drop("family")) == [
+        ("1", "a", 1, 3, "v3b"), ("1", "b", 1, 9, "w")
+    ]
+    with pytest.raises(ValueError):
+        scan.versions(log, 0)
+
+
+def test_get_keeps_repeats_and_blanks_missing_keys(log_of, keys_of):
+    log = log_of(("1", "a", "x", 1), ("2", "a", "y", 1), ("3", "a", "z", 1),
+                 ("3", None, None, 2))
+    keys = keys_of("1", "1", "3", "nope", "nope", "", None)
+    assert rows(scan.get_rows(log, keys, "id, a")) == [
+        ("", ""), ("", ""), ("", ""), ("1", "x"), ("1", "x")
+    ]
+    assert rows(scan.get_rows(log, keys, "id, a", on_missing="keep_key")) == [
+        ("1", "x"), ("1", "x"), ("3", ""), ("nope", ""), ("nope", "")
+    ]
+    assert rows(scan.get_rows(log, keys, "id, a", on_missing="skip")) == [
+        ("1", "x"), ("1", "x")
+    ]
+    assert rows(scan.get_rows(log, keys_of(), "id, a")) == []
+    with pytest.raises(ValueError):
+        scan.get_rows(log, keys, "id, a", on_missing="other")
+
+
+def test_get_of_a_column_named_like_the_key(log_of, keys_of):
+    log = log_of(("1", "row_key", "x", 1), ("1", "copies", "y", 1))
+    found = scan.get_rows(log, keys_of("1", "1"), "row_key, copies, row_key")
+    assert [tuple(r) for r in found.collect()] == [("1", "y", "x")] * 2
+
+
+def test_get_spreads_a_much_asked_key(spark, log_of, keys_of, monkeypatch):
+    monkeypatch.setattr(scan, "COPIES_PER_TASK", 7)
+    log = log_of(("1", "a", "x", 1), ("2", "a", "y", 1))
+    keys = keys_of(*["1"] * 30, *["2"] * 7, "3")
+    found = rows(scan.get_rows(log, keys, "id, a"))
+    assert found == [("", "")] + [("1", "x")] * 30 + [("2", "y")] * 7
+
+
+def test_delete_in_one_shot_is_an_anti_join(log_of, keys_of):
+    scanned = scan.latest(log_of(("1", "a", "x", 1), ("2", "a", "y", 1)), "id, a")
+    assert rows(scan.without_rows(scanned, keys_of("2", "2", "9"), "id")) == [("1", "x")]
+
+
+# --- random logs against a plain model ---------------------------------------
+
+def random_log(seed, n=400):
+    """Few keys and times, so that ties and masks abound; key k0 is hot."""
+    rng = random.Random(seed)
+    out = []
+    for i in range(n):
+        key = "k0" if rng.random() < 0.4 else f"k{rng.randrange(12)}"
+        if rng.random() < 0.06:
+            out.append((key, None, None, rng.randrange(60), i))
+        else:
+            out.append((key, rng.choice("abc"), f"v{rng.randrange(9)}",
+                        rng.randrange(60), rng.randrange(n)))
+    return out
+
+
+def model_live(log, puts=lambda t: True, stones=lambda t: True):
+    gone = {}
+    for key, qualifier, _, ts, _ in log:
+        if qualifier is None and stones(ts):
+            gone[key] = max(ts, gone.get(key, -1))
+    return [
+        r for r in log
+        if r[1] is not None and puts(r[3]) and r[3] > gone.get(r[0], -1)
+    ]
+
+
+def model_rows(live):
+    result = {}
+    for key, qualifier, value, ts, seq in sorted(live, key=lambda r: (r[3], r[4], r[2])):
+        result.setdefault(key, {})[qualifier] = value
+    return sorted(((k, v.get("a", ""), v.get("b", "")) for k, v in result.items()),
+                  key=repr)
+
+
+def model_versions(live, n):
+    cells = {}
+    for key, qualifier, value, ts, seq in sorted(live, key=lambda r: (r[3], r[4], r[2])):
+        cells.setdefault((key, qualifier), {})[ts] = value
+    return sorted(
+        ((k, q, i + 1, ts, by_ts[ts])
+         for (k, q), by_ts in cells.items()
+         for i, ts in enumerate(sorted(by_ts, reverse=True)[:n])),
+        key=repr,
+    )
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_random_logs_match_the_model(log_of, keys_of, seed):
+    data = random_log(seed)
+    log = log_of(*data).cache()
+    assert rows(scan.latest(log, COLS)) == model_rows(model_live(data))
+    lo, hi = 20, 45
+    assert rows(scan.time_range(log, COLS, lo, hi)) == model_rows(
+        model_live(data, puts=lambda t: lo <= t < hi)
+    )
+    assert rows(scan.as_of(log, COLS, 33)) == model_rows(
+        model_live(data, lambda t: t <= 33, lambda t: t <= 33)
+    )
+    for n in (1, 2, 4):
+        assert rows(scan.versions(log, n).drop("family")) == model_versions(
+            model_live(data), n
+        )
+    asked = [f"k{random.Random(seed).randrange(15)}" for _ in range(40)]
+    state = {r[0]: r for r in model_rows(model_live(data))}
+    assert rows(scan.get_rows(log, keys_of(*asked), COLS)) == sorted(
+        (state.get(k, ("", "", "")) for k in asked), key=repr
+    )
+
+
+def test_wide_paths_agree_with_narrow_ones(spark, log_of, keys_of, monkeypatch):
+    """Without any broadcast, and with versions trimmed part by part."""
+    data = random_log(99)
+    log = log_of(*data).cache()
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    monkeypatch.setattr(scan, "TRIMMED_VERSIONS", 1)
+    try:
+        assert rows(scan.versions(log, 3).drop("family")) == model_versions(
+            model_live(data), 3
+        )
+        state = {r[0]: r for r in model_rows(model_live(data))}
+        asked = [f"k{i % 15}" for i in range(45)]
+        assert rows(scan.get_rows(log, keys_of(*asked), COLS)) == sorted(
+            (state.get(k, ("", "", "")) for k in asked), key=repr
+        )
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_limits_of_ranges_are_the_latest_scan(log_of):
+    log = log_of(*random_log(7)).cache()
+    everything = rows(scan.latest(log, COLS))
+    assert rows(scan.as_of(log, COLS, 2**62)) == everything
+    assert rows(scan.time_range(log, COLS, 0, 2**62)) == everything
+
+
+def test_result_does_not_depend_on_shuffle_partitions(spark, log_of):
+    log = log_of(*random_log(8)).cache()
+    found = []
+    for n in ("1", "3", "8"):
+        spark.conf.set("spark.sql.shuffle.partitions", n)
+        found.append((rows(scan.latest(log, COLS)), rows(scan.versions(log, 2))))
+    spark.conf.set("spark.sql.shuffle.partitions", "8")
+    assert found[0] == found[1] == found[2]
