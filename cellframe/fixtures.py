@@ -8,7 +8,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cellframe.functions.sizing import scratch_dir
 from cellframe.model import CELL_SCHEMA, FAMILY, PUT, TOMBSTONE
 from cellframe.operators.nest import nest_orders
 
@@ -115,10 +114,3 @@ def buyers_above(spark: SparkSession, sf_dir: str, value: int) -> DataFrame:
 
 def delete_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return buyers_above(spark, sf_dir, 200)
-
-
-def written(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
-    """Write `df` once to the shared scratch folder and read it from there."""
-    path = scratch_dir(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)

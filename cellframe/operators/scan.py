@@ -46,31 +46,40 @@ def _rows(log: DataFrame, columns: str | Sequence[str], family: str) -> DataFram
     outside the requested columns stay.
     """
     names = column_list(columns)
-    version = F.struct("ts", "seq", "value")
-    newest = [
-        F.max(
-            F.when(
-                _is(PUT) & (F.col("family") == family) & (F.col("qualifier") == name),
-                version,
-            )
-        ).alias(f"cell_{i}")
-        for i, name in enumerate(names[1:])
-    ]
-    state = log.groupBy("row_key").agg(
-        F.max(F.when(_is(PUT), F.col("ts"))).alias("put_ts"),
-        F.max(F.when(_is(TOMBSTONE), F.col("ts"))).alias("deleted_ts"),
-        *newest,
+    wanted = list(dict.fromkeys(names[1:]))
+    slot = F.lit(None).cast("int")
+    for i, name in reversed(list(enumerate(wanted))):
+        slot = F.when(F.col("qualifier") == name, F.lit(i)).otherwise(slot)
+    # Only what is asked for travels on: unrequested values are dropped here.
+    cells = log.select(
+        "row_key",
+        F.when(_is(PUT), F.col("ts")).alias("put_ts"),
+        F.when(_is(TOMBSTONE), F.col("ts")).alias("deleted_ts"),
+        F.when(_is(PUT) & (F.col("family") == family), slot).alias("slot"),
+        "ts", "seq", "value",
+    ).select(
+        "row_key", "put_ts", "deleted_ts", "slot",
+        F.when(
+            F.col("slot").isNotNull(), F.struct("ts", "seq", "value")
+        ).alias("version"),
+    )
+    state = cells.groupBy("row_key").agg(
+        F.max("put_ts").alias("put_ts"),
+        F.max("deleted_ts").alias("deleted_ts"),
+        *[
+            F.expr(f"max(version) FILTER (WHERE slot = {i})").alias(f"cell_{i}")
+            for i in range(len(wanted))
+        ],
     )
     alive = F.col("deleted_ts").isNull() | (F.col("put_ts") > F.col("deleted_ts"))
 
-    def value(i: int) -> Column:
-        cell = F.col(f"cell_{i}")
+    def value(name: str) -> Column:
+        cell = F.col(f"cell_{wanted.index(name)}")
         visible = F.col("deleted_ts").isNull() | (cell["ts"] > F.col("deleted_ts"))
-        return F.coalesce(F.when(visible, cell["value"]), F.lit(""))
+        return F.coalesce(F.when(visible, cell["value"]), F.lit("")).alias(name)
 
     return state.where(F.col("put_ts").isNotNull() & alive).select(
-        F.col("row_key").alias(names[0]),
-        *[value(i).alias(name) for i, name in enumerate(names[1:])],
+        F.col("row_key").alias(names[0]), *[value(name) for name in names[1:]]
     )
 
 

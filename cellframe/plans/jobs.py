@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import SparkSession
 
+from cellframe.functions.sizing import written
 from cellframe.model import INVOICE_COLUMNS
 from cellframe.operators import scan
 from cellframe.operators.nest import nest_orders
@@ -21,9 +22,16 @@ def write_sales(
     ts: int | None = None,
     allow_rejects: bool = False,
 ) -> None:
-    """Sales CSV -> one document per invoice -> table."""
-    invoices = nest_orders(read_sales_csv(spark, source_path))
-    CellTable.open(spark, table_path).put(
+    """Sales CSV -> one document per invoice -> table.
+
+    The documents are written once to the shared scratch folder: text is
+    parsed and grouped a single time, and the two passes of the put read a
+    columnar copy.
+    """
+    table = CellTable.open(spark, table_path)
+    lines = read_sales_csv(spark, source_path)
+    invoices = written(spark, nest_orders(lines), "invoices")
+    table.put(
         invoices, "Invoice", ts=ts, allow_rejects=allow_rejects
     )
 

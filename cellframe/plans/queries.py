@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from cellframe import fixtures as X
 from cellframe.functions.regions import region_of
-from cellframe.functions.sizing import scratch_dir
+from cellframe.functions.sizing import scratch_dir, written
 from cellframe.model import INVOICE_COLUMNS
 from cellframe.operators import scan
 from cellframe.operators.cells import record_to_cells, row_to_cells
@@ -62,7 +62,7 @@ def q_record_to_cells(spark: SparkSession, sf: str) -> DataFrame:
 
 def q_put_upsert(spark: SparkSession, sf: str) -> DataFrame:
     table = CellTable.create(spark, scratch_dir(spark, "put"))
-    documents = X.written(spark, X.invoices(spark, sf), "invoices")
+    documents = written(spark, X.invoices(spark, sf), "invoices")
     table.put(documents, "Invoice", ts=1000, seq=1)
     again = documents.where(F.col("Invoice").startswith("C")).withColumn(
         "orders", F.concat(F.lit("again "), "Invoice")
@@ -139,14 +139,14 @@ def q_region_assign_strict(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_bulk_cells(spark: SparkSession, sf: str) -> DataFrame:
-    rows = X.written(spark, X.sparse_invoices(spark, sf), "bulk-input")
+    rows = written(spark, X.sparse_invoices(spark, sf), "bulk-input")
     return row_to_cells(rows, "Invoice", INVOICE_COLUMNS).withColumn(
         "region", region_of(F.col("row_key"))
     )
 
 
 def _bulk_path(spark: SparkSession, sf: str) -> str:
-    rows = X.written(spark, X.sparse_invoices(spark, sf), "bulk-input")
+    rows = written(spark, X.sparse_invoices(spark, sf), "bulk-input")
     path = scratch_dir(spark, "bulk-files")
     bulk_files(rows, path, "Invoice", INVOICE_COLUMNS, ts=1000, seq=1)
     return path
