@@ -8,19 +8,13 @@ import inspect
 from pyspark.sql import SparkSession
 
 from cellframe.plans import jobs
-from cellframe.sinks.table import CellTable
-
-
-def create_table(spark: SparkSession, table_path: str) -> None:
-    """A new, empty table with the default region bounds."""
-    CellTable.create(spark, table_path)
 
 
 JOBS = [
-    create_table, jobs.write_sales, jobs.read_table, jobs.read_snapshot,
+    jobs.create_table, jobs.write_sales, jobs.read_table, jobs.read_snapshot,
     jobs.bulk_load, jobs.delete_rows,
 ]
-NUMBERS = {"start", "end", "at", "ts"}
+NUMBERS = {"start", "end", "at", "ts", "regions"}
 
 
 def parser() -> argparse.ArgumentParser:

@@ -1,4 +1,4 @@
-"""The jobs a user runs: write, read, snapshot, bulk load, delete."""
+"""The jobs a user runs: create, write, read, snapshot, bulk load, delete."""
 
 from __future__ import annotations
 
@@ -6,8 +6,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import SparkSession
 
+from cellframe.functions.regions import bounds_from
 from cellframe.functions.sizing import written
-from cellframe.model import INVOICE_COLUMNS
+from cellframe.model import INVOICE_COLUMNS, REGION_BOUNDS
 from cellframe.operators import scan
 from cellframe.operators.nest import nest_orders
 from cellframe.sinks.results import save_result
@@ -15,6 +16,24 @@ from cellframe.sinks.table import CellTable, bulk_files
 from cellframe.sources.files import read_keys, read_rows, read_sales_csv
 
 
+def create_table(
+    spark: SparkSession,
+    table_path: str,
+    sample_path: str | None = None,
+    key: str = "Invoice",
+    regions: int = 11,
+) -> None:
+    """A new, empty table.
+
+    Its region bounds are cut from the keys of the rows at `sample_path`, or
+    are the default ones.
+    """
+    bounds = REGION_BOUNDS
+    if sample_path is not None:
+        bounds = bounds_from(read_rows(spark, sample_path), key, regions)
+    CellTable.create(spark, table_path, bounds)
+
+
 def write_sales(
     spark: SparkSession,
     source_path: str,

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cellframe import fixtures as X
-from cellframe.functions.regions import region_of
+from cellframe.functions.regions import bounds_from, region_of
 from cellframe.functions.sizing import scratch_dir, written
 from cellframe.model import INVOICE_COLUMNS
 from cellframe.operators import scan
@@ -19,11 +19,12 @@ from cellframe.sinks.results import save_result
 from cellframe.sinks.table import CellTable, bulk_files
 from cellframe.sources.files import read_keys, read_rows, read_sales_csv
 
-# Requested columns, versions per cell, rows per batch.
+# Requested columns, versions per cell, rows per batch, regions.
 SCAN_COLUMNS = "user_id, click, error, purchase, signup, view"
 SUBSET_COLUMNS = "user_id, click"
 VERSIONS = 3
 BATCH = 500
+REGIONS = 11
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -104,8 +105,11 @@ def q_scan_to_parquet(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _deleted_table(spark: SparkSession, sf: str) -> CellTable:
-    table = CellTable.create(spark, scratch_dir(spark, "delete"))
-    table.append_log(X.cell_log(spark, sf))
+    log = X.cell_log(spark, sf)
+    table = CellTable.create(
+        spark, scratch_dir(spark, "delete"), bounds_from(log, "row_key", REGIONS)
+    )
+    table.append_log(log)
     table.delete(X.delete_keys(spark, sf), ts=X.DELETE_AT)
     return table
 

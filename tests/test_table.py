@@ -134,7 +134,9 @@ def test_the_whole_chain_by_command_line(spark, tmp_path):
     assert scanned == rows(spark.read.parquet(path["range"]))
     assert rows(spark.read.parquet(path["get"])) == [("", "")] + [scanned[2]] * 2
 
-    cli.main(["create-table", "--table-path", path["loaded"]])
+    cli.main(["create-table", "--table-path", path["loaded"],
+              "--sample-path", path["scan"], "--regions", "2"])
+    assert len(CellTable.open(spark, path["loaded"]).bounds) == 1
     cli.main(["bulk-load", "--input-dir", path["scan"], "--files-dir", path["files"],
               "--table-path", path["loaded"], "--ts", "1500"])
     cli.main(["delete-rows", "--table-path", path["loaded"], "--keys-path", keys,
