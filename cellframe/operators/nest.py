@@ -28,7 +28,7 @@ def nest_orders(lines: DataFrame) -> DataFrame:
     invoice is a group of its own.
     """
     documents = order_lines(lines).select(
-        "Invoice", F.to_json("Orders").alias("orders")
+        "Invoice", F.to_json("Orders", {"ignoreNullFields": "true"}).alias("orders")
     )
     return check_invoices(documents)
 

@@ -100,12 +100,14 @@ def time_range(
     """Scan of the puts in ``[start, end)``; every later tombstone still masks.
 
     Tombstones before `start` cannot mask a put at or after it, so the lower
-    end applies to both kinds. The filter reaches the parquet scan.
+    end applies to both kinds. Read kind by kind, both ends reach the parquet
+    scan: files of puts written after the range are skipped.
     """
     if start < 0 or end < start:
         raise ValueError(f"bad time range [{start}, {end})")
-    inside = (F.col("ts") >= start) & (_is(TOMBSTONE) | (F.col("ts") < end))
-    return _rows(log.where(inside), columns, family)
+    since = log.where(F.col("ts") >= start)
+    puts = since.where(_is(PUT) & (F.col("ts") < end))
+    return _rows(puts.unionByName(since.where(_is(TOMBSTONE))), columns, family)
 
 
 def as_of(

@@ -57,7 +57,7 @@ class CellTable:
             *[F.lit(None).cast(f.dataType).alias(f.name) for f in CELL_SCHEMA]
         )
         _append(empty, f"{path}/cells")
-        return cls.open(spark, path)
+        return cls(spark, path, tuple(bounds), family)
 
     @classmethod
     def open(cls, spark: SparkSession, path: str) -> CellTable:

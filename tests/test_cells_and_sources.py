@@ -44,6 +44,16 @@ def test_csv_part_files_with_other_headers_fail(spark, tmp_path):
         read_sales_csv(spark, str(tmp_path)).collect()
 
 
+def test_csv_reads_single_columns_over_several_files(spark, tmp_path):
+    csv(tmp_path, "1,S,D,1,t,1,9,UK", name="a.csv")
+    csv(tmp_path, "2,S,D,1,t,1,,FR", name="b.csv")
+    (tmp_path / "empty.csv").write_text("")
+    lines = read_sales_csv(spark, str(tmp_path))
+    assert rows(lines.select("Country")) == [("FR",), ("UK",)]
+    assert rows(lines.select("Customer_ID", "Invoice")) == [("9", "1"), (None, "2")]
+    assert lines.count() == 2
+
+
 def test_key_list_is_untrimmed_with_blanks_and_repeats(spark, tmp_path):
     (tmp_path / "keys").write_text("1\n 2 \n\n1\n")
     keys = [r["row_key"] for r in read_keys(spark, str(tmp_path / "keys")).collect()]

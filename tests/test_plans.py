@@ -39,11 +39,18 @@ def test_scan_is_one_exchange_with_map_side_combine(log):
 
 
 def test_time_filters_reach_parquet(log):
-    for df in (scan.time_range(log.cells(), "id, a", 3, 9),
-               scan.as_of(log.cells(), "id, a", 9)):
-        pushed = re.search(r"PushedFilters: \[(.*?)\], ReadSchema", plan(df))[1]
-        assert "Than" in pushed and "(ts," in pushed
-        assert plan(df).count("Exchange hashpartitioning") == 1
+    text = plan(scan.as_of(log.cells(), "id, a", 9))
+    pushed = re.findall(r"PushedFilters: \[(.*?)\], ReadSchema", text)
+    assert len(pushed) == 1 and "LessThanOrEqual(ts,9)" in pushed[0]
+    assert text.count("Exchange hashpartitioning") == 1
+
+
+def test_both_ends_of_a_range_reach_the_puts(log):
+    text = plan(scan.time_range(log.cells(), "id, a", 3, 9))
+    puts, stones = re.findall(r"PushedFilters: \[(.*?)\], ReadSchema", text)
+    assert "GreaterThanOrEqual(ts,3)" in puts and "LessThan(ts,9)" in puts
+    assert "GreaterThanOrEqual(ts,3)" in stones and "LessThan(" not in stones
+    assert text.count("Exchange hashpartitioning") == 1
 
 
 def test_tombstones_read_only_their_folder(log):
