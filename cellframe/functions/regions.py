@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cellframe.functions.text import named, quoted
 from cellframe.model import REGION_BOUNDS
 
 Bounds = Sequence[int] | Sequence[str]
@@ -19,9 +20,9 @@ def region_count(bounds: Bounds, overflow: str = "strict") -> int:
 
 
 def region_of(
-    key: Column, bounds: Bounds = REGION_BOUNDS, overflow: str = "strict"
+    key: str, bounds: Bounds = REGION_BOUNDS, overflow: str = "strict"
 ) -> Column:
-    """Region number of a row key.
+    """Region number of the row key in column `key`.
 
     Region i holds ``bounds[i-1] <= key < bounds[i]``. Integer bounds compare
     keys as numbers; text bounds compare them as text, which is also the sort
@@ -34,41 +35,44 @@ def region_of(
     ``overflow="reference"``: keys at or above the last bound go to region 0
     and keys with a non-digit to the last region; a key that does not fit an
     int (or is empty) gets null, for the caller to report.
+
+    One SQL text, so that a table with thousands of regions builds at once.
     """
     if overflow not in ("strict", "reference"):
         raise ValueError(f"unknown overflow mode: {overflow!r}")
     if not bounds or list(bounds) != sorted(set(bounds)):
         raise ValueError("bounds must be given, ascending and distinct")
-    last = len(bounds)
-    usable = key.isNotNull() & (key != "")
+    last, name = len(bounds), named(key)
     if isinstance(bounds[0], str):
-        return F.when(usable, _bounds_passed(key, bounds, 0, last))
+        points = [quoted(b) for b in bounds]
+        return F.expr(f"CASE WHEN {name} <> '' THEN {_passed(name, points, 0)} END")
 
-    non_numeric = key.rlike("[^0-9]")
+    points = [str(b) for b in bounds]
+    non_numeric = f"{name} RLIKE '[^0-9]'"
     if overflow == "reference":
-        number = key.try_cast("int")
-        return (
-            F.when(non_numeric, F.lit(last))
-            .when(number >= bounds[-1], F.lit(0))
-            .when(number.isNotNull(), _bounds_passed(number, bounds, 0, last))
+        number = f"try_cast({name} AS INT)"
+        return F.expr(
+            f"""CASE WHEN {non_numeric} THEN {last}
+                WHEN {number} >= {points[-1]} THEN 0
+                WHEN {number} IS NOT NULL THEN {_passed(number, points, 0)} END"""
         )
-    number = key.try_cast("bigint")
-    return (
-        F.when(~usable, F.lit(None).cast("int"))
-        .when(non_numeric, F.lit(last + 1))
-        .when(number.isNull(), F.lit(last))
-        .otherwise(_bounds_passed(number, bounds, 0, last))
+    number = f"try_cast({name} AS BIGINT)"
+    return F.expr(
+        f"""CASE WHEN {name} IS NULL OR {name} = '' THEN NULL
+            WHEN {non_numeric} THEN {last + 1}
+            WHEN {number} IS NULL THEN {last}
+            ELSE {_passed(number, points, 0)} END"""
     )
 
 
-def _bounds_passed(value: Column, bounds: Bounds, lo: int, hi: int) -> Column:
-    """How many bounds are <= value: a balanced tree, log2(n) tests per row."""
-    if lo == hi:
-        return F.lit(lo)
-    mid = (lo + hi) // 2
-    return F.when(
-        value < F.lit(bounds[mid]), _bounds_passed(value, bounds, lo, mid)
-    ).otherwise(_bounds_passed(value, bounds, mid + 1, hi))
+def _passed(value: str, points: list[str], below: int) -> str:
+    """How many points are <= value: a balanced tree, log2(n) tests per row."""
+    if not points:
+        return str(below)
+    mid = len(points) // 2
+    left = _passed(value, points[:mid], below)
+    right = _passed(value, points[mid + 1:], below + mid + 1)
+    return f"IF({value} < {points[mid]}, {left}, {right})"
 
 
 def bounds_from(

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cellframe.functions.text import named, quoted
 from cellframe.model import CELL_SCHEMA, FAMILY, PUT, TOMBSTONE, column_list
 
 
@@ -17,7 +18,7 @@ def usable_key(key: Column) -> Column:
 
 def split_rejects(rows: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
     """(rows that can be stored, rows whose key is null or empty)."""
-    usable = usable_key(F.col(f"`{key}`").cast("string"))
+    usable = usable_key(F.col(named(key)).cast("string"))
     return rows.where(usable), rows.where(~usable)
 
 
@@ -29,15 +30,13 @@ def row_to_cells(
     The key may be one of the fields. Narrow: each row expands in place.
     """
     names = column_list(fields)
-    pairs = [
-        part
-        for name in names
-        for part in (F.lit(name), F.col(f"`{name}`").cast("string"))
-    ]
-    return rows.select(
-        F.col(f"`{key}`").cast("string").alias("row_key"),
-        F.stack(F.lit(len(names)), *pairs).alias("qualifier", "value"),
-    ).where(F.col("value").isNotNull())
+    pairs = ", ".join(
+        f"{quoted(name)}, CAST({named(name)} AS STRING)" for name in names
+    )
+    return rows.selectExpr(
+        f"CAST({named(key)} AS STRING) AS row_key",
+        f"stack({len(names)}, {pairs}) AS (qualifier, value)",
+    ).where("value IS NOT NULL")
 
 
 def record_to_cells(records: DataFrame, key: str) -> DataFrame:

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from cellframe.functions.regions import Bounds, region_of
 from cellframe.functions.sizing import fits_broadcast
+from cellframe.functions.text import named, quoted
 from cellframe.model import FAMILY, PUT, TOMBSTONE, column_list
 from cellframe.operators.cells import usable_key
 
@@ -47,39 +48,37 @@ def _rows(log: DataFrame, columns: str | Sequence[str], family: str) -> DataFram
     """
     names = column_list(columns)
     wanted = list(dict.fromkeys(names[1:]))
-    slot = F.lit(None).cast("int")
-    for i, name in reversed(list(enumerate(wanted))):
-        slot = F.when(F.col("qualifier") == name, F.lit(i)).otherwise(slot)
+    slots = " ".join(f"WHEN {quoted(name)} THEN {i}" for i, name in enumerate(wanted))
+    slot = f"CASE qualifier {slots} END" if wanted else "CAST(NULL AS INT)"
     # Only what is asked for travels on: unrequested values are dropped here.
-    cells = log.select(
-        "row_key",
-        F.when(_is(PUT), F.col("ts")).alias("put_ts"),
-        F.when(_is(TOMBSTONE), F.col("ts")).alias("deleted_ts"),
-        F.when(_is(PUT) & (F.col("family") == family), slot).alias("slot"),
-        "ts", "seq", "value",
-    ).select(
+    cells = log.selectExpr(
+        "row_key", "ts", "seq", "value",
+        f"IF(kind = '{PUT}', ts, NULL) AS put_ts",
+        f"IF(kind = '{TOMBSTONE}', ts, NULL) AS deleted_ts",
+        f"IF(kind = '{PUT}' AND family = {quoted(family)}, {slot}, NULL) AS slot",
+    ).selectExpr(
         "row_key", "put_ts", "deleted_ts", "slot",
-        F.when(
-            F.col("slot").isNotNull(), F.struct("ts", "seq", "value")
-        ).alias("version"),
+        "IF(slot IS NOT NULL, struct(ts, seq, value), NULL) AS version",
     )
     state = cells.groupBy("row_key").agg(
         F.max("put_ts").alias("put_ts"),
         F.max("deleted_ts").alias("deleted_ts"),
         *[
-            F.expr(f"max(version) FILTER (WHERE slot = {i})").alias(f"cell_{i}")
+            F.expr(f"max(version) FILTER (WHERE slot = {i}) AS cell_{i}")
             for i in range(len(wanted))
         ],
     )
-    alive = F.col("deleted_ts").isNull() | (F.col("put_ts") > F.col("deleted_ts"))
 
-    def value(name: str) -> Column:
-        cell = F.col(f"cell_{wanted.index(name)}")
-        visible = F.col("deleted_ts").isNull() | (cell["ts"] > F.col("deleted_ts"))
-        return F.coalesce(F.when(visible, cell["value"]), F.lit("")).alias(name)
+    def value(name: str) -> str:
+        cell = f"cell_{wanted.index(name)}"
+        visible = f"(deleted_ts IS NULL OR {cell}.ts > deleted_ts)"
+        return f"coalesce(IF({visible}, {cell}.value, NULL), '') AS {named(name)}"
 
-    return state.where(F.col("put_ts").isNotNull() & alive).select(
-        F.col("row_key").alias(names[0]), *[value(name) for name in names[1:]]
+    # A row is there when its newest put is live.
+    return state.where(
+        "put_ts IS NOT NULL AND (deleted_ts IS NULL OR put_ts > deleted_ts)"
+    ).selectExpr(
+        f"row_key AS {named(names[0])}", *[value(name) for name in names[1:]]
     )
 
 
@@ -229,8 +228,7 @@ def get_rows(
         F.max("row_key").alias("last"),
     ]
     if bounds is not None:
-        region = region_of(F.col("row_key"), bounds)
-        measures.append(F.collect_set(region).alias("regions"))
+        measures.append(F.collect_set(region_of("row_key", bounds)).alias("regions"))
     size = wanted.agg(*measures).first()
 
     if size["rows"]:
@@ -245,13 +243,12 @@ def get_rows(
     how = "inner" if on_missing == "skip" else "left"
     answers = wanted.join(found, F.col("row_key") == F.col("found_key"), how)
     answers = _repeat(answers, size["most"] or 0)
-    key = F.col("row_key" if on_missing == "keep_key" else "found_key")
-    return answers.select(
-        F.coalesce(key, F.lit("")).alias(names[0]),
+    key = "row_key" if on_missing == "keep_key" else "found_key"
+    return answers.selectExpr(
         *[
-            F.coalesce(F.col(c), F.lit("")).alias(name)
-            for c, name in zip(cells, names[1:])
-        ],
+            f"coalesce({source}, '') AS {named(name)}"
+            for source, name in zip([key, *cells], names)
+        ]
     )
 
 

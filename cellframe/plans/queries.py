@@ -130,7 +130,7 @@ def q_delete_then_put(spark: SparkSession, sf: str) -> DataFrame:
 
 def _regions(spark: SparkSession, sf: str, overflow: str) -> DataFrame:
     return X.invoices(spark, sf).select(
-        "Invoice", region_of(F.col("Invoice"), overflow=overflow).alias("region")
+        "Invoice", region_of("Invoice", overflow=overflow).alias("region")
     )
 
 
@@ -145,7 +145,7 @@ def q_region_assign_strict(spark: SparkSession, sf: str) -> DataFrame:
 def q_bulk_cells(spark: SparkSession, sf: str) -> DataFrame:
     rows = written(spark, X.sparse_invoices(spark, sf), "bulk-input")
     return row_to_cells(rows, "Invoice", INVOICE_COLUMNS).withColumn(
-        "region", region_of(F.col("row_key"))
+        "region", region_of("row_key")
     )
 
 

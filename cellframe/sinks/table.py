@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cellframe.functions.regions import Bounds, region_of
+from cellframe.functions.text import named
 from cellframe.model import (
     CELL_SCHEMA, FAMILY, PARTITION_COLUMNS, PUT, REGION_BOUNDS, TOMBSTONE,
     column_list,
@@ -48,7 +49,7 @@ class CellTable:
         family: str = FAMILY,
     ) -> CellTable:
         """A new, empty table; an existing one is never replaced."""
-        region_of(F.lit("0"), bounds)
+        region_of("row_key", bounds)  # checks the bounds
         meta = json.dumps({"bounds": list(bounds), "family": family})
         spark.range(1).select(F.lit(meta).alias("value")).write.mode("error").text(
             f"{path}/meta"
@@ -68,8 +69,9 @@ class CellTable:
         """The whole log. The schema is given, so no footer is read for it."""
         return self.spark.read.schema(CELL_SCHEMA).parquet(f"{self.path}/cells")
 
-    def region(self, key: Column) -> Column:
-        return region_of(key, self.bounds)
+    def region(self) -> Column:
+        """Region of the rows of any DataFrame with a `row_key`."""
+        return region_of("row_key", self.bounds)
 
     def put(
         self,
@@ -100,7 +102,7 @@ class CellTable:
         An empty list is an error. Null and empty keys name no row: they are
         left out and their number is returned.
         """
-        region = self.region(F.col("row_key"))
+        region = self.region()
         sizes = region_sizes(keys.select(region.alias("region")))
         if not sizes:
             raise ValueError("no row keys to delete")
@@ -117,7 +119,7 @@ class CellTable:
         Files prepared for other bounds are refused, row by row, in that pass.
         """
         prepared = self.spark.read.schema(CELL_SCHEMA).parquet(prepared_path)
-        fits = F.col("region") == self.region(F.col("row_key"))
+        fits = F.col("region") == self.region()
         checked = prepared.withColumn(
             "region",
             F.when(fits, F.col("region")).otherwise(
@@ -130,7 +132,7 @@ class CellTable:
         self, log: DataFrame, cells_per_file: int = CELLS_PER_FILE
     ) -> None:
         """Append ready log rows (puts and tombstones); regions are set here."""
-        placed = log.withColumn("region", self.region(F.col("row_key"))).to(CELL_SCHEMA)
+        placed = log.withColumn("region", self.region()).to(CELL_SCHEMA)
         sizes = region_sizes(placed)
         if None in sizes:
             raise ValueError(f"{sizes[None]} log rows have a null or empty row key")
@@ -157,8 +159,9 @@ def prepare_cells(
     names = column_list(fields or records.columns)
     if key not in records.columns:
         raise ValueError(f"no key column {key!r} in {records.columns}")
-    row_key = F.col(f"`{key}`").cast("string")
-    sizes = region_sizes(records.select(region_of(row_key, bounds).alias("region")))
+    region = region_of("row_key", bounds)
+    row_keys = records.select(F.col(named(key)).cast("string").alias("row_key"))
+    sizes = region_sizes(row_keys.select(region.alias("region")))
     rejects = sizes.pop(None, 0)
     if rejects and not allow_rejects:
         raise ValueError(f"{rejects} rows have a null or empty row key")
@@ -166,7 +169,7 @@ def prepare_cells(
     cells = C.stamp(
         C.row_to_cells(storable, key, names),
         *_stamp(ts, seq),
-        region_of(F.col("row_key"), bounds),
+        region,
         family,
     )
     sizes = {region: rows * len(names) for region, rows in sizes.items()}

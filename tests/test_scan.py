@@ -5,6 +5,7 @@ import random
 import pytest
 
 from cellframe.operators import scan
+from cellframe.operators.cells import row_to_cells
 from conftest import rows
 
 COLS = "id, a, b"
@@ -30,6 +31,26 @@ def test_first_column_only_names_the_key(log_of):
     assert rows(scan.latest(log, "id, a")) == [("1", "x")]
 
 
+def test_names_with_quotes_and_backticks(spark, log_of, keys_of):
+    odd = ["o'k", "a`b", "c\\d", "e f.g"]
+    log = log_of(*[("1", name, f"v{i}", 1) for i, name in enumerate(odd)])
+    assert scan.latest(log, ["id", *odd]).columns == ["id", *odd]
+    assert rows(scan.latest(log, ["id", *odd])) == [("1", "v0", "v1", "v2", "v3")]
+    assert rows(scan.latest(log, ["id", *odd], family="it's")) == [("1", "", "", "", "")]
+    assert rows(scan.get_rows(log, keys_of("1"), ["k'`y", *odd])) == [
+        ("1", "v0", "v1", "v2", "v3")
+    ]
+    df = spark.createDataFrame([("1", "a", "b")], ["k", "o'k", "a`b"])
+    assert set(rows(row_to_cells(df, "k", ["o'k", "a`b"]))) == {
+        ("1", "a`b", "b"), ("1", "o'k", "a")
+    }
+
+
+def test_only_the_key_column(log_of):
+    log = log_of(("1", "a", "x", 1), ("2", "a", "y", 1), ("2", None, None, 1))
+    assert rows(scan.latest(log, "id")) == [("1",)]
+
+
 def test_same_millisecond_seq_then_value_decides(log_of):
     log = log_of(
         ("1", "a", "first", 7, 1), ("1", "a", "second", 7, 2),
