@@ -1,7 +1,6 @@
 """The stored table: upsert, delete, bulk load, and the whole job chain."""
 
 import pytest
-from pyspark.sql import functions as F
 
 from cellframe import __main__ as cli
 from cellframe.operators import scan
