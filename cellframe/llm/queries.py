@@ -4,13 +4,26 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from cellframe.llm import bpe
 from cellframe.llm.common import table
 from cellframe.llm.mixing import mix_plan
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+BPE_RANKS = "byte_bpe_50k.tiktoken"
+
+
+def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids and decoded bytes of every document, as digests."""
+    return bpe.round_trip(
+        table(spark, sf_dir, "documents"),
+        public_tokenizers.path(BPE_RANKS),
+        public_tokenizers.PATTERN,
+    )
+
 
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words taken of every document by the mix."""
@@ -18,4 +31,4 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op5_mixing,)}
+    return {f.__name__: f for f in (op1_byte_bpe, op5_mixing)}
