@@ -83,3 +83,53 @@ LEFT JOIN t USING (entry, shard)
 
 
 SQL["op5_mixing"] = mixing_sql()
+
+
+def line_rules_sql(documents: str = "documents") -> str:
+    """`judge` with its default limits, on the lines themselves."""
+    return f"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id, source AS host, coalesce(text, '') AS t,
+         regexp_extract_all(coalesce(text, ''), '{WORD}') AS w
+  FROM {documents}),
+win AS (
+  SELECT rid, i, count(*) OVER (PARTITION BY rid, a, b, c) AS n
+  FROM (SELECT rid, i, w[i] AS a, w[i + 1] AS b, w[i + 2] AS c
+        FROM (SELECT rid, w, unnest(range(1, len(w) - 1)) AS i FROM d))),
+rep AS (
+  SELECT rid, count(DISTINCT i + o) AS n_repeat_words
+  FROM win, (SELECT unnest([0, 1, 2]) AS o) WHERE n > 1 GROUP BY rid),
+line AS (
+  SELECT rid, doc_id, host, t, line, len(regexp_extract_all(line, '{WORD}')) AS lw,
+         lower(array_to_string(regexp_extract_all(line, '{WORD}'), ' ')) AS norm
+  FROM (SELECT rid, doc_id, host, t, unnest(string_split(t, chr(10))) AS line FROM d)
+  WHERE regexp_matches(line, '{WORD}')),
+dup AS (
+  SELECT rid, sum(n - 1) AS n_dup_lines
+  FROM (SELECT rid, line, count(*) AS n FROM line GROUP BY rid, line) GROUP BY rid),
+texts AS (SELECT host, count(DISTINCT t) AS texts FROM line GROUP BY host),
+freq AS (
+  SELECT host, norm, first_text
+  FROM (SELECT host, norm, count(DISTINCT t) AS docs, arg_min(t, doc_id) AS first_text
+        FROM line GROUP BY host, norm) f
+  JOIN texts ON texts.host IS NOT DISTINCT FROM f.host
+  WHERE docs > 20 AND docs > texts * 0.01),
+gone AS (
+  SELECT rid, sum(lw) AS removed
+  FROM line JOIN freq f ON f.host IS NOT DISTINCT FROM line.host AND f.norm = line.norm
+  WHERE t <> first_text GROUP BY rid)
+FROM (
+  SELECT doc_id, len(w)::BIGINT AS n_words,
+         (length(t) - length(regexp_replace(t, '{WORD}', '', 'g')))::BIGINT AS word_chars,
+         (length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')))::BIGINT AS n_symbols,
+         coalesce(n_dup_lines, 0)::BIGINT AS n_dup_lines,
+         coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words,
+         len(w) < 50 OR 100 * coalesce(n_repeat_words, 0) > 50 * len(w) AS base_failed,
+         (len(w) - coalesce(removed, 0))::BIGINT AS n_kept_words
+  FROM d LEFT JOIN rep USING (rid) LEFT JOIN dup USING (rid) LEFT JOIN gone USING (rid))
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND n_kept_words >= n_words * 0.5 AS kept, n_kept_words
+"""
+
+
+SQL["op4_line_rules"] = line_rules_sql()

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from cellframe.llm import bpe
 from cellframe.llm.common import table
+from cellframe.llm.line_rules import judge
 from cellframe.llm.mixing import mix_plan
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -25,10 +26,15 @@ def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base counts and verdict of every document."""
+    return judge(table(spark, sf_dir, "documents"))
+
+
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words taken of every document by the mix."""
     return mix_plan(table(spark, sf_dir, "documents"))
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_byte_bpe, op5_mixing)}
+    return {f.__name__: f for f in (op1_byte_bpe, op4_line_rules, op5_mixing)}
