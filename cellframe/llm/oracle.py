@@ -109,7 +109,7 @@ dup AS (
   FROM (SELECT rid, line, count(*) AS n FROM line GROUP BY rid, line) GROUP BY rid),
 texts AS (SELECT host, count(DISTINCT t) AS texts FROM line GROUP BY host),
 freq AS (
-  SELECT host, norm, first_text
+  SELECT f.host, norm, first_text
   FROM (SELECT host, norm, count(DISTINCT t) AS docs, arg_min(t, doc_id) AS first_text
         FROM line GROUP BY host, norm) f
   JOIN texts ON texts.host IS NOT DISTINCT FROM f.host

@@ -6,9 +6,11 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from cellframe.llm import bpe
+from cellframe.llm import bpe, quality, toxicity
 from cellframe.llm.common import table
+from cellframe.llm.features import remainder
 from cellframe.llm.line_rules import judge
 from cellframe.llm.mixing import mix_plan
 
@@ -26,6 +28,23 @@ def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _scored(spark: SparkSession, sf_dir: str, model, modulus: int, held: int) -> DataFrame:
+    """Train on the labels outside the held-out fold, score every document."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    learned = model.train(docs, labels, remainder("doc_id", modulus) != held)
+    return model.score(docs, learned).select(
+        "doc_id",
+        F.coalesce(remainder("doc_id", modulus) == held, F.lit(False)).alias("held_out"),
+        "score",
+        "predicted",
+    )
+
+
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document."""
+    return _scored(spark, sf_dir, quality, 3, 1)
+
+
 def op4_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base counts and verdict of every document."""
     return judge(table(spark, sf_dir, "documents"))
@@ -36,5 +55,12 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_plan(table(spark, sf_dir, "documents"))
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document."""
+    return _scored(spark, sf_dir, toxicity, 4, 2)
+
+
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_byte_bpe, op4_line_rules, op5_mixing)}
+    return {f.__name__: f for f in (
+        op1_byte_bpe, op2_quality, op4_line_rules, op5_mixing, op9_toxicity,
+    )}
