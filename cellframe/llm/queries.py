@@ -13,6 +13,7 @@ from cellframe.llm.common import table
 from cellframe.llm.features import remainder
 from cellframe.llm.line_rules import judge
 from cellframe.llm.mixing import mix_plan
+from cellframe.llm.pii import pseudonymise_documents
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -55,6 +56,11 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_plan(table(spark, sf_dir, "documents"))
 
 
+def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text with pseudonyms in place of personal data."""
+    return pseudonymise_documents(table(spark, sf_dir, "documents"))
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity score of every document."""
     return _scored(spark, sf_dir, toxicity, 4, 2)
@@ -62,5 +68,6 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {f.__name__: f for f in (
-        op1_byte_bpe, op2_quality, op4_line_rules, op5_mixing, op9_toxicity,
+        op1_byte_bpe, op2_quality, op4_line_rules, op5_mixing, op6_pii,
+        op9_toxicity,
     )}
