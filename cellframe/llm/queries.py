@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cellframe.llm import bpe, quality, toxicity
+from cellframe.llm import bpe, html_crf, quality, toxicity
 from cellframe.llm.common import table
 from cellframe.llm.features import remainder
 from cellframe.llm.line_rules import judge
@@ -66,8 +66,16 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _scored(spark, sf_dir, toxicity, 4, 2)
 
 
+def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    pages = table(spark, sf_dir, "pages")
+    return html_crf.extract(pages, html_crf.train(pages)).select(
+        "page_id", "url", "text", "n_chars"
+    )
+
+
 def queries() -> dict[str, Query]:
     return {f.__name__: f for f in (
         op1_byte_bpe, op2_quality, op4_line_rules, op5_mixing, op6_pii,
-        op9_toxicity,
+        op9_toxicity, op10_html_text,
     )}
