@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable, Iterator
+from pathlib import Path
 from urllib.parse import quote
 
 import pyarrow as pa
@@ -32,6 +34,17 @@ def same(left: Column, right: Column) -> Column:
     return left.eqNullSafe(right)
 
 
+def map_arrow(df: DataFrame, function: Callable, schema: StructType | str) -> DataFrame:
+    """`mapInArrow` whose workers find this package where the driver found it,
+    on a machine or file system that they share; elsewhere it comes by --py-files."""
+    home = str(Path(__file__).resolve().parents[2])
+    environment = df.sparkSession.sparkContext.environment
+    paths = environment.get("PYTHONPATH", "").split(os.pathsep)
+    if home not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join([*filter(None, paths), home])
+    return df.mapInArrow(function, schema)
+
+
 def map_columns(
     df: DataFrame, schema: str, function: Callable[..., list[list]]
 ) -> DataFrame:
@@ -48,7 +61,7 @@ def map_columns(
                 [pa.array(c, f.type) for c, f in zip(columns, arrow)], schema=arrow
             )
 
-    return df.mapInArrow(run, struct)
+    return map_arrow(df, run, struct)
 
 
 class Scratch:

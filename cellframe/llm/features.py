@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-import zlib
-
 import numpy as np
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cellframe.llm.common import same
 
+
 def remainder(column: str, modulus: int) -> Column:
     """crc32 of a number's text modulo `modulus`; null for null."""
     return F.pmod(F.crc32(F.col(column).cast("string").cast("binary")), F.lit(modulus))
@@ -35,15 +35,14 @@ def labelled_sample(
 
 
 class WordHash(dict):
-    """Word -> 64 well-mixed bits; starts anew when full."""
+    """Word -> 64-bit hash; starts anew when full."""
 
     MOST = 500_000
 
     def __missing__(self, word: bytes) -> int:
         if len(self) >= self.MOST:
             self.clear()
-        low, high = zlib.crc32(word), zlib.crc32(word, 0x9E3779B9)
-        value = self[word] = (high << 32 | low) * 0x9E3779B97F4A7C15 % (1 << 64)
+        value = self[word] = xxhash.xxh64_intdigest(word)
         return value
 
     def array(self, words) -> np.ndarray:

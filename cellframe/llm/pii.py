@@ -22,10 +22,11 @@ import hashlib
 import re
 from collections.abc import Callable
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cellframe.llm.common import map_columns
+from cellframe.llm.common import map_arrow, map_columns
 
 KEY = b"cellframe-pii-1"
 ROUNDS = 8
@@ -341,8 +342,6 @@ def replace_texts(docs: DataFrame, key: bytes = KEY) -> DataFrame:
     place = docs.columns.index("text")
 
     def run(batches):
-        import pyarrow as pa
-
         for batch in batches:
             texts = [
                 None if t is None else pseudonymise(t, key)[0]
@@ -352,4 +351,4 @@ def replace_texts(docs: DataFrame, key: bytes = KEY) -> DataFrame:
             columns[place] = pa.array(texts, batch.schema.field(place).type)
             yield pa.RecordBatch.from_arrays(columns, schema=batch.schema)
 
-    return docs.mapInArrow(run, docs.schema).withColumn("text", F.col("text").cast(kind))
+    return map_arrow(docs, run, docs.schema).withColumn("text", F.col("text").cast(kind))

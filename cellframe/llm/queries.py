@@ -13,6 +13,7 @@ from cellframe.llm.common import table
 from cellframe.llm.features import remainder
 from cellframe.llm.line_rules import judge
 from cellframe.llm.mixing import mix_plan
+from cellframe.llm.ngram_join import jaccard_components
 from cellframe.llm.pii import pseudonymise_documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -61,6 +62,11 @@ def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pseudonymise_documents(table(spark, sf_dir, "documents"))
 
 
+def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Set size and component of every document."""
+    return jaccard_components(table(spark, sf_dir, "documents"))
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity score of every document."""
     return _scored(spark, sf_dir, toxicity, 4, 2)
@@ -77,5 +83,5 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     return {f.__name__: f for f in (
         op1_byte_bpe, op2_quality, op4_line_rules, op5_mixing, op6_pii,
-        op9_toxicity, op10_html_text,
+        op8_ngram_join, op9_toxicity, op10_html_text,
     )}
