@@ -37,8 +37,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cellframe.llm.common import Scratch, map_arrow, map_columns, same
+from cellframe.llm.common import Scratch, map_columns, same
 from cellframe.llm.components import connected_components
+from cellframe.llm.exchange import SCHEMA, each_bucket, from_low_bytes, low_bytes, pack
 from cellframe.llm.features import WordHash
 from cellframe.llm.shingles import mix, shingle_set
 
@@ -137,7 +138,7 @@ def set_profiles(docs: DataFrame, seed: int) -> DataFrame:
 
 
 def _selections(docs: DataFrame, heavy: np.ndarray, buckets: int, seed: int) -> DataFrame:
-    """(bucket, nodes, counts, subsets): a batch's selections, packed by bucket."""
+    """The selections of every batch, packed by bucket."""
     known = WordHash()
     sent = docs.sparkSession.sparkContext.broadcast(heavy)
 
@@ -150,71 +151,42 @@ def _selections(docs: DataFrame, heavy: np.ndarray, buckets: int, seed: int) ->
                 seen.add(node)
                 nodes.append(node)
                 lists.append(selection(tokens, sent.value))
-        out: list[list] = [[], [], [], []]
         if not lists:
-            return out
+            return [[], [], [], []]
         subsets = np.concatenate(lists)
         owner = np.repeat(np.arange(len(lists)), [len(x) for x in lists])
         bucket = (subsets % np.uint64(buckets)).astype(np.int64)
-        order = np.lexsort((owner, bucket))
-        bucket, owner, subsets = bucket[order], owner[order], subsets[order]
-        ends = np.flatnonzero(np.diff(bucket, append=-1)) + 1
-        numbers = np.array(nodes, np.int64)
-        start = 0
-        for end in ends.tolist():
-            who, counts = np.unique(owner[start:end], return_counts=True)
-            # 48 bits within a bucket: a clash only makes one more candidate.
-            short = (subsets[start:end] >> np.uint64(16)).view(np.uint8).reshape(-1, 8)
-            out[0].append(int(bucket[start]))
-            out[1].append(numbers[who].tobytes())
-            out[2].append(counts.astype(np.uint32).tobytes())
-            out[3].append(short[:, :6].tobytes())
-            start = end
-        return out
+        # 48 bits within a bucket: a clash only makes one more candidate.
+        short = low_bytes(subsets >> np.uint64(16), 6)
+        return pack(bucket, owner, np.array(nodes, np.int64), short)
 
-    return map_columns(
-        docs.select("text"),
-        "bucket int, nodes binary, counts binary, subsets binary",
-        run,
-    )
+    return map_columns(docs.select("text"), SCHEMA, run)
 
 
-def _meetings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _meetings(node: np.ndarray, entries: np.ndarray) -> Iterator[list]:
     """The candidates of one bucket: (a, b, subset); b null: member a of a subset
     that is paired in two rounds."""
-    nodes, subsets = [], []
-    for batch in batches:
-        for who, counts, short in zip(*(c.to_pylist() for c in batch.columns[1:])):
-            times = np.frombuffer(counts, np.uint32)
-            nodes.append(np.repeat(np.frombuffer(who, np.int64), times))
-            wide = np.zeros((int(times.sum()), 8), np.uint8)
-            wide[:, :6] = np.frombuffer(short, np.uint8).reshape(-1, 6)
-            subsets.append(wide.view(np.uint64).ravel())
-    if nodes:
-        node, subset = np.concatenate(nodes), np.concatenate(subsets)
-        del nodes, subsets
-        order = np.lexsort((node, subset))
-        node, subset = node[order], subset[order]
-        fresh = np.append(True, (np.diff(node) != 0) | (np.diff(subset) != 0))
-        node, subset = node[fresh], subset[fresh]
-        starts = np.flatnonzero(np.append(True, np.diff(subset) != 0))
-        sizes = np.diff(np.append(starts, len(subset)))
-        pairs, members = [np.zeros((0, 2), np.int64)], []
-        for size in np.unique(sizes[(sizes > 1) & (sizes <= STAR)]).tolist():
-            group = node[starts[sizes == size][:, None] + np.arange(size)]
-            i, j = np.triu_indices(size, 1)
-            pairs.append(np.stack([group[:, i].ravel(), group[:, j].ravel()], axis=1))
-        for at in np.flatnonzero(sizes > STAR).tolist():
-            group = node[starts[at] : starts[at] + sizes[at]]
-            pairs.append(np.stack([np.full(len(group) - 1, group[0]), group[1:]], axis=1))
-            members.append((int(subset[starts[at]].astype(np.int64)), group))
-        found = np.unique(np.concatenate(pairs), axis=0)
-        rows = [(found[:, 0], pa.array(found[:, 1]), np.zeros(len(found), np.int64))]
-        rows += [(g, pa.nulls(len(g), pa.int64()), np.full(len(g), s)) for s, g in members]
-        for a, b, s in rows:
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(a), b, pa.array(s)], names=["a", "b", "subset"]
-            )
+    subset = from_low_bytes(entries)
+    order = np.lexsort((node, subset))
+    node, subset = node[order], subset[order]
+    fresh = np.append(True, (np.diff(node) != 0) | (np.diff(subset) != 0))
+    node, subset = node[fresh], subset[fresh]
+    starts = np.flatnonzero(np.append(True, np.diff(subset) != 0))
+    sizes = np.diff(np.append(starts, len(subset)))
+    pairs = [np.zeros((0, 2), np.int64)]
+    for size in np.unique(sizes[(sizes > 1) & (sizes <= STAR)]).tolist():
+        group = node[starts[sizes == size][:, None] + np.arange(size)]
+        i, j = np.triu_indices(size, 1)
+        pairs.append(np.stack([group[:, i].ravel(), group[:, j].ravel()], axis=1))
+    for at in np.flatnonzero(sizes > STAR).tolist():
+        group = node[starts[at] : starts[at] + sizes[at]]
+        pairs.append(np.stack([np.full(len(group) - 1, group[0]), group[1:]], axis=1))
+        yield [
+            group, pa.nulls(len(group), pa.int64()),
+            np.full(len(group), subset[starts[at]].astype(np.int64)),
+        ]
+    found = np.unique(np.concatenate(pairs), axis=0)
+    yield [found[:, 0], found[:, 1], np.zeros(len(found), np.int64)]
 
 
 def _sets_of(docs: DataFrame, wanted: DataFrame, seed: int) -> DataFrame:
@@ -297,9 +269,9 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     total = sets.agg(F.sum("n")).first()[0] or 0
     buckets = max(16, int(0.7 * total) // BUCKET_SUBSETS)
 
-    packed = _selections(docs, heavy, buckets, seed).repartitionById(buckets, "bucket")
+    packed = _selections(docs, heavy, buckets, seed)
     met = scratch.write(
-        map_arrow(packed, _meetings, "a long, b long, subset long"), "met"
+        each_bucket(packed, buckets, 6, _meetings, "a long, b long, subset long"), "met"
     )
     first = met.where("b IS NOT NULL").select("a", "b").distinct()
 

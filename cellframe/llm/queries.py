@@ -15,6 +15,7 @@ from cellframe.llm.line_rules import judge
 from cellframe.llm.mixing import mix_plan
 from cellframe.llm.ngram_join import jaccard_components
 from cellframe.llm.pii import pseudonymise_documents
+from cellframe.llm.rlz import substring_dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -62,6 +63,11 @@ def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pseudonymise_documents(table(spark, sf_dir, "documents"))
 
 
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document that an earlier one has in the same 13-word window."""
+    return substring_dedup(table(spark, sf_dir, "documents"))
+
+
 def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Set size and component of every document."""
     return jaccard_components(table(spark, sf_dir, "documents"))
@@ -83,5 +89,5 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     return {f.__name__: f for f in (
         op1_byte_bpe, op2_quality, op4_line_rules, op5_mixing, op6_pii,
-        op8_ngram_join, op9_toxicity, op10_html_text,
+        op7_substring_dedup, op8_ngram_join, op9_toxicity, op10_html_text,
     )}
