@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from cellframe.llm import bpe, html_crf, quality, toxicity
 from cellframe.llm.common import table
+from cellframe.llm.ego_join import near_duplicates
 from cellframe.llm.features import remainder
 from cellframe.llm.line_rules import judge
 from cellframe.llm.mixing import mix_plan
@@ -48,6 +49,11 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _scored(spark, sf_dir, quality, 3, 1)
 
 
+def op3_embedding_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and component of every vector at cosine 0.95 or more."""
+    return near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op4_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base counts and verdict of every document."""
     return judge(table(spark, sf_dir, "documents"))
@@ -88,6 +94,6 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {f.__name__: f for f in (
-        op1_byte_bpe, op2_quality, op4_line_rules, op5_mixing, op6_pii,
+        op1_byte_bpe, op2_quality, op3_embedding_join, op4_line_rules, op5_mixing, op6_pii,
         op7_substring_dedup, op8_ngram_join, op9_toxicity, op10_html_text,
     )}
