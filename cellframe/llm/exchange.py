@@ -13,6 +13,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from cellframe.llm.common import map_arrow
 
@@ -24,7 +25,10 @@ def pack(
 ) -> list[list]:
     """Columns of `SCHEMA`. `owner` indexes `numbers`; `entries` is a byte matrix."""
     out: list[list] = [[], [], [], []]
-    order = np.lexsort((owner, bucket))
+    order = np.argsort(owner.astype(np.uint32), kind="stable")
+    # Small integers sort by radix.
+    small = bucket.astype(np.uint16) if bucket.max(initial=0) < 1 << 16 else bucket
+    order = order[np.argsort(small[order], kind="stable")]
     bucket, owner, entries = bucket[order], owner[order], entries[order]
     start = 0
     for end in (np.flatnonzero(np.diff(bucket)) + 1).tolist() + [len(bucket)]:
@@ -68,6 +72,27 @@ def each_bucket(
     return map_arrow(packed.repartitionById(buckets, "bucket"), run, schema)
 
 
+# Size of a filter of ids: 8 MB, whatever the number of ids.
+FILTER_BITS = 1 << 26
+
+
+def id_filter(ids: DataFrame) -> np.ndarray:
+    """A bit set over the hashed `id` column of a table. Its size is fixed; the more
+    ids there are, the more others pass it, so it saves work and decides nothing."""
+    place = F.pmod(F.xxhash64("id"), F.lit(FILTER_BITS))
+    words = ids.select(place.alias("p")).groupBy(F.expr("p div 64").alias("word")).agg(
+        F.bit_or(F.expr("shiftleft(1L, CAST(p % 64 AS INT))")).alias("bits")
+    ).toArrow()
+    found = np.zeros(FILTER_BITS // 64, np.int64)
+    found[words["word"].to_numpy()] = words["bits"].to_numpy()
+    return found
+
+
+def passes(filter_bits: np.ndarray, places: np.ndarray) -> np.ndarray:
+    """Whether the ids with these places, pmod(xxhash64(id), FILTER_BITS), may be in."""
+    return (filter_bits[places >> 6] >> (places & 63)) & 1 == 1
+
+
 def low_bytes(values: np.ndarray, count: int) -> np.ndarray:
     """The lowest `count` bytes of 64-bit numbers, one row each."""
     return values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :count]

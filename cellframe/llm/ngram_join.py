@@ -15,10 +15,11 @@ one-deletion neighbourhood takes the place of them all.
 
 Selections meet in buckets of their hash: numpy arrays travel, not rows. A
 bucket yields candidate pairs; a subset shared by more than `STAR` sets first
-yields a star around its smallest set, and after the links of the first round
-are known, all pairs between sets of it that are not connected yet. So groups of
-near copies never become all pairs, and no link between components is lost.
-Every candidate is verified on the whole sets.
+yields a star around its smallest set. Of all candidates, every set is verified
+first against the smallest; after these links are known, all candidates and all
+pairs of sets with a common subset that are not connected yet. So groups of near
+copies never become all pairs, and no link between components is lost. Every
+candidate is verified on the whole sets.
 
 Equal sets are one node from the start (two 64-bit sums; a clash of the first
 is detected by the second and the run repeated with another seed).
@@ -37,9 +38,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cellframe.llm.common import Scratch, map_columns, same
+from cellframe.llm.common import Scratch, map_columns
 from cellframe.llm.components import connected_components
-from cellframe.llm.exchange import SCHEMA, each_bucket, from_low_bytes, low_bytes, pack
+from cellframe.llm.exchange import (
+    FILTER_BITS, SCHEMA, each_bucket, from_low_bytes, id_filter, low_bytes, pack, passes,
+)
 from cellframe.llm.features import WordHash
 from cellframe.llm.shingles import mix, shingle_set
 
@@ -47,6 +50,8 @@ WIDTH = 5
 # Similarity 3/4, that is 7 * common >= 3 * (a + b).
 # Selected subsets in one bucket, a task's work.
 BUCKET_SUBSETS = 1_500_000
+# Bytes of a subset's hash besides its bucket; bytes of a token when sets are compared.
+SHORT, TOKEN_BYTES = 5, 6
 # Sets that may share a subset before it is paired in two rounds.
 STAR = 16
 # A token in this many documents of a batch counts as heavy; so many are kept.
@@ -97,8 +102,12 @@ def selection(tokens: np.ndarray, heavy: np.ndarray) -> np.ndarray:
         rares = np.bincount(segment, weights=rare, minlength=m)
         place = np.arange(m, dtype=np.uint64) + np.uint64(band << 32)
         subsets = mix(sums + place * np.uint64(0xC2B2AE3D27D4EB4F))
-        order = np.lexsort((subsets, -counts, -rares))
-        found.append(subsets[order[: differ + 1]])
+        key = (
+            (255 - np.minimum(rares, 255)).astype(np.uint64) << np.uint64(56)
+            | (255 - np.minimum(counts, 255)).astype(np.uint64) << np.uint64(48)
+            | subsets >> np.uint64(16)
+        )
+        found.append(subsets[np.argpartition(key, differ)[: differ + 1]])
     return np.concatenate(found) if found else np.zeros(0, np.uint64)
 
 
@@ -156,8 +165,8 @@ def _selections(docs: DataFrame, heavy: np.ndarray, buckets: int, seed: int) ->
         subsets = np.concatenate(lists)
         owner = np.repeat(np.arange(len(lists)), [len(x) for x in lists])
         bucket = (subsets % np.uint64(buckets)).astype(np.int64)
-        # 48 bits within a bucket: a clash only makes one more candidate.
-        short = low_bytes(subsets >> np.uint64(16), 6)
+        # 40 bits within a bucket: a clash only makes one more candidate.
+        short = low_bytes(subsets >> np.uint64(24), SHORT)
         return pack(bucket, owner, np.array(nodes, np.int64), short)
 
     return map_columns(docs.select("text"), SCHEMA, run)
@@ -190,32 +199,41 @@ def _meetings(node: np.ndarray, entries: np.ndarray) -> Iterator[list]:
 
 
 def _sets_of(docs: DataFrame, wanted: DataFrame, seed: int) -> DataFrame:
-    """(node, tokens) of the nodes in `wanted` (node, doc_id: one document of it)."""
-    ids = wanted.select(F.col("doc_id").alias("wanted_id")).distinct()
+    """(node, tokens) of at least the nodes that the documents in `wanted` (id) have.
+
+    A filter of fixed size goes to the scan, so texts are not shuffled.
+    """
     known = WordHash()
+    sent = docs.sparkSession.sparkContext.broadcast(id_filter(wanted))
 
-    def run(texts: list) -> list[list]:
-        sets = [shingle_set(t, known) for t in texts]
-        return [[_identity(s, seed)[0] for s in sets], [s.tobytes() for s in sets]]
+    def run(places: list, texts: list) -> list[list]:
+        nodes, sets = [], []
+        maybe = passes(sent.value, np.array(places, np.int64))
+        for text, chosen in zip(texts, maybe.tolist()):
+            if chosen:
+                tokens = shingle_set(text, known)
+                nodes.append(_identity(tokens, seed)[0])
+                sets.append(low_bytes(tokens, TOKEN_BYTES).tobytes())
+        return [nodes, sets]
 
-    texts = docs.select("doc_id", "text").join(
-        ids, same(F.col("doc_id"), F.col("wanted_id")), "left_semi"
-    )
-    sets = map_columns(texts.select("text"), "node long, tokens binary", run)
-    return sets.dropDuplicates(["node"])
+    place = F.pmod(F.xxhash64("doc_id"), F.lit(FILTER_BITS))
+    return map_columns(docs.select(place, "text"), "node long, tokens binary", run)
 
 
 def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (a, b) that are similar."""
+    """The pairs (a, b) that are similar.
+
+    Tokens are compared by 48 bits, a few thousand against a few thousand.
+    """
     left = sets.toDF("a", "left_tokens")
     right = sets.toDF("b", "right_tokens")
 
     def run(a: list, b: list, left: list, right: list) -> list[list]:
         out: list[list] = [[], []]
         for i, j, x, y in zip(a, b, left, right):
-            x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-            both = np.concatenate([x, y])
-            both.sort(kind="stable")
+            both = np.frombuffer(x + y, np.uint8).reshape(-1, TOKEN_BYTES)
+            both = from_low_bytes(both)
+            both.sort()
             if 7 * int((both[1:] == both[:-1]).sum()) >= 3 * len(both):
                 out[0].append(i)
                 out[1].append(j)
@@ -228,6 +246,19 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     )
 
 
+def _apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The pairs whose ends are in different components."""
+    def label(end: str) -> DataFrame:
+        return labels.toDF(f"{end}_node", f"{end}_of")
+
+    return (
+        pairs.join(label("a"), F.col("a") == F.col("a_node"), "left")
+        .join(label("b"), F.col("b") == F.col("b_node"), "left")
+        .where(F.coalesce("a_of", "a") != F.coalesce("b_of", "b"))
+        .select("a", "b")
+    )
+
+
 def _later_pairs(members: DataFrame, labels: DataFrame) -> DataFrame:
     """Pairs between members of a subset that are still in different components."""
     labelled = members.join(labels, members["a"] == labels["node"], "left").select(
@@ -271,26 +302,27 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
 
     packed = _selections(docs, heavy, buckets, seed)
     met = scratch.write(
-        each_bucket(packed, buckets, 6, _meetings, "a long, b long, subset long"), "met"
+        each_bucket(packed, buckets, SHORT, _meetings, "a long, b long, subset long"), "met"
     )
-    first = met.where("b IS NOT NULL").select("a", "b").distinct()
-
-    def links(pairs: DataFrame, name: str) -> DataFrame:
-        pairs = scratch.write(pairs, f"{name}-pairs")
-        ends = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-        wanted = nodes.select("node", "doc_id").join(ends, "node", "left_semi")
-        tokens = scratch.write(_sets_of(docs, wanted, seed), f"{name}-sets")
-        found = scratch.write(_verified(pairs, tokens), f"{name}-links")
-        scratch.drop(tokens)
-        scratch.drop(pairs)
-        return found
-
-    found = links(first, "first")
+    pairs = met.where("b IS NOT NULL").select("a", "b").distinct()
+    ends = met.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    wanted = nodes.join(ends, "node", "left_semi").select(F.col("doc_id").alias("id"))
+    tokens = scratch.write(_sets_of(docs, wanted, seed), "sets")
+    # First every set against the smallest of its candidates, which unites most
+    # groups; then all pairs that this has left apart.
+    first = pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
+    found = scratch.write(_verified(first, tokens), "first")
     labels = connected_components(found)
     members = met.where("b IS NULL").select("subset", "a")
-    later = scratch.write(_later_pairs(members, labels), "later")
+    later = scratch.write(
+        _apart(pairs, labels).unionByName(_later_pairs(members, labels)).distinct()
+        .join(first, ["a", "b"], "left_anti"),
+        "later",
+    )
     if not later.isEmpty():
-        labels = connected_components(found.union(links(later, "later")))
+        more = scratch.write(_verified(later, tokens), "second")
+        labels = connected_components(found.union(more))
+    scratch.drop(tokens)
     grouped = profiles.where("n IS NOT NULL").join(
         labels.withColumnRenamed("node", "label_node"),
         (F.col("node") == F.col("label_node")) & (F.col("n") > 0), "left",
