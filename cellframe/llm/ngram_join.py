@@ -18,8 +18,9 @@ bucket yields candidate pairs; a subset shared by more than `STAR` sets first
 yields a star around its smallest set. Of all candidates, every set is verified
 first against the smallest; after these links are known, all candidates and all
 pairs of sets with a common subset that are not connected yet. So groups of near
-copies never become all pairs, and no link between components is lost. Every
-candidate is verified on the whole sets.
+copies never become all pairs, and no link between components is lost. Parities of
+token counts in hashed cells bound the difference of two sets from below: what
+they do not rule out is verified on the whole sets.
 
 Equal sets are one node from the start (two 64-bit sums; a clash of the first
 is detected by the second and the run repeated with another seed).
@@ -38,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cellframe.llm.common import Scratch, map_columns
+from cellframe.llm.common import Scratch, map_arrow, map_columns
 from cellframe.llm.components import connected_components
 from cellframe.llm.exchange import (
     FILTER_BITS, SCHEMA, each_bucket, from_low_bytes, id_filter, low_bytes, pack, passes,
@@ -54,6 +55,8 @@ BUCKET_SUBSETS = 1_500_000
 SHORT, TOKEN_BYTES = 5, 6
 # Sets that may share a subset before it is paired in two rounds.
 STAR = 16
+# Members of a subset that are compared with each other at once.
+PART = 2048
 # A token in this many documents of a batch counts as heavy; so many are kept.
 # Heavy tokens steer the order only: results do not depend on them.
 HEAVY_IN_BATCH = 8
@@ -198,8 +201,26 @@ def _meetings(node: np.ndarray, entries: np.ndarray) -> Iterator[list]:
     yield [found[:, 0], found[:, 1], np.zeros(len(found), np.int64)]
 
 
+def parity(tokens: np.ndarray) -> np.ndarray:
+    """A bit for each of 4 cells a token or more: whether the cell holds an odd
+    number of tokens. Two sets differ in at least as many tokens as bits."""
+    bits = max(256, 1 << (4 * len(tokens) - 1).bit_length())
+    cells = (mix(tokens + np.uint64(99)) % np.uint64(bits)).astype(np.int64)
+    odd = np.bincount(cells, minlength=bits).astype(np.uint8) & 1
+    return np.packbits(odd).view(np.uint64)
+
+
+def folded(bits: np.ndarray, width: int) -> np.ndarray:
+    """Parities over fewer cells."""
+    while len(bits) > width:
+        half = len(bits) // 2
+        bits = bits[:half] ^ bits[half:]
+    return bits
+
+
 def _sets_of(docs: DataFrame, wanted: DataFrame, seed: int) -> DataFrame:
-    """(node, tokens) of at least the nodes that the documents in `wanted` (id) have.
+    """(node, n, bits, tokens) of at least the nodes that the documents in `wanted`
+    (id) have.
 
     A filter of fixed size goes to the scan, so texts are not shuffled.
     """
@@ -207,17 +228,47 @@ def _sets_of(docs: DataFrame, wanted: DataFrame, seed: int) -> DataFrame:
     sent = docs.sparkSession.sparkContext.broadcast(id_filter(wanted))
 
     def run(places: list, texts: list) -> list[list]:
-        nodes, sets = [], []
+        out: list[list] = [[], [], [], []]
         maybe = passes(sent.value, np.array(places, np.int64))
         for text, chosen in zip(texts, maybe.tolist()):
             if chosen:
                 tokens = shingle_set(text, known)
-                nodes.append(_identity(tokens, seed)[0])
-                sets.append(low_bytes(tokens, TOKEN_BYTES).tobytes())
-        return [nodes, sets]
+                for column, value in zip(out, (
+                    _identity(tokens, seed)[0], len(tokens), parity(tokens).tobytes(),
+                    low_bytes(tokens, TOKEN_BYTES).tobytes(),
+                )):
+                    column.append(value)
+        return out
 
     place = F.pmod(F.xxhash64("doc_id"), F.lit(FILTER_BITS))
-    return map_columns(docs.select(place, "text"), "node long, tokens binary", run)
+    return map_columns(
+        docs.select(place, "text"), "node long, n int, bits binary, tokens binary", run
+    )
+
+
+def _both(pairs: DataFrame, sets: DataFrame, *columns: str) -> DataFrame:
+    """Pairs (a, b) with columns of their sets."""
+    for end in ("a", "b"):
+        names = [end, *(f"{end}_{c}" for c in columns)]
+        pairs = pairs.join(sets.select("node", *columns).toDF(*names), end)
+    return pairs.select("a", "b", *[f"{e}_{c}" for c in columns for e in ("a", "b")])
+
+
+def _possible(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs that their parities do not rule out."""
+
+    def run(a: list, b: list, m: list, n: list, x: list, y: list) -> list[list]:
+        out: list[list] = [[], []]
+        for i, j, size, bits, other in zip(a, b, map(sum, zip(m, n)), x, y):
+            bits, other = np.frombuffer(bits, np.uint64), np.frombuffer(other, np.uint64)
+            width = min(len(bits), len(other))
+            differ = np.bitwise_count(folded(bits, width) ^ folded(other, width))
+            if int(differ.sum(dtype=np.int64)) <= size // 7:
+                out[0].append(i)
+                out[1].append(j)
+        return out
+
+    return map_columns(_both(pairs, sets, "n", "bits"), "a long, b long", run)
 
 
 def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -225,25 +276,18 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
     Tokens are compared by 48 bits, a few thousand against a few thousand.
     """
-    left = sets.toDF("a", "left_tokens")
-    right = sets.toDF("b", "right_tokens")
 
     def run(a: list, b: list, left: list, right: list) -> list[list]:
         out: list[list] = [[], []]
         for i, j, x, y in zip(a, b, left, right):
-            both = np.frombuffer(x + y, np.uint8).reshape(-1, TOKEN_BYTES)
-            both = from_low_bytes(both)
+            both = from_low_bytes(np.frombuffer(x + y, np.uint8).reshape(-1, TOKEN_BYTES))
             both.sort()
             if 7 * int((both[1:] == both[:-1]).sum()) >= 3 * len(both):
                 out[0].append(i)
                 out[1].append(j)
         return out
 
-    return map_columns(
-        pairs.join(left, "a").join(right, "b").select("a", "b", "left_tokens", "right_tokens"),
-        "a long, b long",
-        run,
-    )
+    return map_columns(_both(pairs, sets, "tokens"), "a long, b long", run)
 
 
 def _apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -259,21 +303,81 @@ def _apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
     )
 
 
-def _later_pairs(members: DataFrame, labels: DataFrame) -> DataFrame:
-    """Pairs between members of a subset that are still in different components."""
+def _between(left: list[tuple], right: list[tuple] | None) -> tuple[np.ndarray, np.ndarray]:
+    """Possible pairs between members (node, component, n, bits) of two parts of a
+    subset, or within one part, that are in different components."""
+    members = left + (right or [])
+    width = min(len(m[3]) for m in members)
+    bits = np.array([folded(m[3], width) for m in members])
+    nodes, of, sizes = (np.array([m[i] for m in members]) for i in range(3))
+    first = np.arange(len(left) if right is not None else 0, len(members))
+    step = max(1, (1 << 22) // (len(first) * width))
+    found = []
+    for at in range(0, len(left), step):
+        rows = np.arange(at, min(at + step, len(left)))
+        differ = np.bitwise_count(bits[rows, None] ^ bits[None, first]).sum(2, dtype=np.int64)
+        good = differ <= (sizes[rows, None] + sizes[None, first]) // 7
+        good &= of[rows, None] != of[None, first]
+        i, j = np.nonzero(good)
+        found.append(np.stack([nodes[rows[i]], nodes[first[j]]], axis=1))
+    pairs = np.sort(np.concatenate(found), axis=1)
+    pairs = np.unique(pairs, axis=0)
+    return pairs[:, 0], pairs[:, 1]
+
+
+def _later_pairs(members: DataFrame, labels: DataFrame, sets: DataFrame) -> DataFrame:
+    """Possible pairs between members of a subset that are still in different
+    components. A large subset is dealt in parts, part against part."""
     labelled = members.join(labels, members["a"] == labels["node"], "left").select(
         "subset", "a", F.coalesce("component", "a").alias("component")
     )
     open_subsets = (
-        labelled.groupBy("subset")
-        .agg(F.min("component").alias("low"), F.max("component").alias("high"))
-        .where("low <> high").select("subset")
+        labelled.groupBy("subset").agg(
+            F.min("component").alias("low"), F.max("component").alias("high"),
+            F.ceil(F.count("*") / PART).alias("parts"),
+        )
+        .where("low <> high").select("subset", "parts")
+    )
+    part = F.pmod(F.xxhash64("a"), F.col("parts"))
+    dealt = (
+        labelled.join(open_subsets, "subset")
+        .withColumn("part", part)
+        .withColumn("other", F.explode(F.expr("sequence(0L, parts - 1)")))
+        .selectExpr(
+            "subset", "least(part, other) AS low", "greatest(part, other) AS high",
+            "part", "a", "component",
+        )
+        .join(sets.select(F.col("node").alias("a"), "n", "bits"), "a")
+        .select("subset", "low", "high", "part", "a", "component", "n", "bits")
     )
-    left = labelled.join(open_subsets, "subset")
-    right = left.toDF("subset", "b", "other")
-    return left.join(right, "subset").where("component < other").selectExpr(
-        "least(a, b) AS a", "greatest(a, b) AS b"
-    ).distinct()
+    keys = ["subset", "low", "high"]
+    dealt = dealt.repartition(*keys).sortWithinPartitions(*keys, "part")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, sides = None, ([], [])
+
+        def pairs() -> pa.RecordBatch:
+            left, right = sides
+            a, b = np.zeros(0, np.int64), np.zeros(0, np.int64)
+            if left and at[1] == at[2]:
+                a, b = _between(left, None)
+            elif left and right:
+                a, b = _between(left, right)
+            return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
+
+        for batch in batches:
+            for *key, part, node, component, n, bits in zip(
+                *(c.to_pylist() for c in batch.columns)
+            ):
+                if key != at:
+                    yield pairs()
+                    at, sides = key, ([], [])
+                sides[part != key[1]].append(
+                    (node, component, n, np.frombuffer(bits, np.uint64))
+                )
+        yield pairs()
+
+    return map_arrow(dealt, run, "a long, b long").distinct()
 
 
 def jaccard_components(docs: DataFrame) -> DataFrame:
@@ -310,12 +414,13 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     tokens = scratch.write(_sets_of(docs, wanted, seed), "sets")
     # First every set against the smallest of its candidates, which unites most
     # groups; then all pairs that this has left apart.
+    pairs = scratch.write(_possible(pairs, tokens), "possible")
     first = pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
     found = scratch.write(_verified(first, tokens), "first")
     labels = connected_components(found)
     members = met.where("b IS NULL").select("subset", "a")
     later = scratch.write(
-        _apart(pairs, labels).unionByName(_later_pairs(members, labels)).distinct()
+        _apart(pairs, labels).unionByName(_later_pairs(members, labels, tokens)).distinct()
         .join(first, ["a", "b"], "left_anti"),
         "later",
     )
