@@ -30,7 +30,7 @@ from cellframe.llm.common import map_columns
 from cellframe.llm.dom import Block, blocks
 
 SAMPLE_PAGES = 300
-VARIANTS = 3
+VARIANTS = 5
 SLOT_BITS = 17
 EPOCHS = 4
 RATE = 0.2
@@ -179,6 +179,8 @@ def path_slots(path: tuple) -> list[int]:
     names |= {f"name {part}" for _, parts in path for part in parts}
     names |= {f"tag {own[0]}", f"tags {above} {own[0]}", f"depth {min(len(path), 8)}"}
     names |= {f"own {part}" for part in own[1]}
+    near = next((parts for _, parts in reversed(path) if parts), ())
+    names |= {f"near {part}" for part in near}
     return [_slot(n) for n in names]
 
 
@@ -321,7 +323,10 @@ def labelled_sequences(html: str | None, seed: int) -> list[tuple[list, list[int
     main = [b.text for b, y in zip(page, labels) if y]
     other = [b.text for b, y in zip(page, labels) if not y]
     for n in range(VARIANTS):
-        again, marks = variant(main, other, seed * VARIANTS + n)
+        # Short articles too: some of the article's blocks, in order.
+        pick = random.Random(f"{seed} {n}")
+        few = [t for t in main if n % 2 or pick.random() < 0.3] or main[:1]
+        again, marks = variant(few, other, seed * VARIANTS + n)
         parsed = blocks(again)
         if len(parsed) == len(marks):
             found.append((_sequence(parsed), marks))

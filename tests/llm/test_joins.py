@@ -1,0 +1,180 @@
+import random
+
+import numpy as np
+import plain
+import pytest
+
+from cellframe.llm import ngram_join, rlz
+from cellframe.llm.components import Forest, connected_components
+from cellframe.llm.ego_join import near_duplicates
+from cellframe.llm.shingles import shingle_set
+from cellframe.llm.features import WordHash
+
+
+def corpus(seed, n, low=1, high=80, vocabulary=400):
+    """Random texts with copies, near copies, shared passages and odd ones."""
+    pick = random.Random(seed)
+    word = [f"w{i}" for i in range(vocabulary)]
+    passage = " ".join(pick.choices(word, k=40))
+    texts = [None, "", " \n\t", "one", "One", "two words", "a b c d", "a b c d e", "a b c d e f"]
+    while len(texts) < n:
+        kind = pick.random()
+        base = (pick.choice(texts) or "x").split()
+        if kind < 0.2:
+            text = " ".join(base)
+        elif kind < 0.5:
+            for _ in range(pick.randint(1, 3)):
+                at = pick.randrange(len(base) + 1)
+                base[at : at + pick.randint(0, 1)] = pick.choices(word, k=pick.randint(0, 1))
+            text = " ".join(base)
+        else:
+            own = pick.choices(word, k=pick.randint(low, high))
+            if kind < 0.7:
+                at = pick.randrange(len(own))
+                own[at:at] = passage.split()
+            text = pick.choice([" ", "\n", "  "]).join(own)
+        texts.append(text.upper() if pick.random() < 0.1 else text)
+    pick.shuffle(texts)
+    return dict(enumerate(texts))
+
+
+def frame(spark, docs, extra=()):
+    rows = [(i, t, "x") for i, t in docs.items()] + list(extra)
+    return spark.createDataFrame(
+        rows, "doc_id long, text string, component_id string"
+    ).repartition(5)
+
+
+@pytest.mark.parametrize("seed, low, high", [(1, 1, 80), (2, 1, 14), (3, 100, 300)])
+def test_jaccard_components(spark, seed, low, high):
+    docs = corpus(seed, 120, low, high)
+    got = ngram_join.jaccard_components(frame(spark, docs)).collect()
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got} == (
+        plain.jaccard_components(docs)
+    )
+
+
+def test_groups_above_the_star_size(spark, monkeypatch):
+    """Members of a shared subset that the star does not unite are paired later."""
+    monkeypatch.setattr(ngram_join, "STAR", 1)
+    monkeypatch.setattr(ngram_join, "PART", 4)
+    docs = corpus(5, 100)
+    got = ngram_join.jaccard_components(frame(spark, docs)).collect()
+    assert {r["doc_id"]: r["component_id"] for r in got} == {
+        i: c for i, (_, c) in plain.jaccard_components(docs).items()
+    }
+
+
+def test_selections_of_similar_sets_meet():
+    """The pigeonhole promise, for random pairs of every size."""
+    pick = np.random.default_rng(1)
+    none = np.zeros(0, np.uint64)
+    for size in [*range(1, 40), 100, 333, 1000]:
+        for _ in range(12):
+            a = np.unique(pick.integers(0, 2**63, size).astype(np.uint64))
+            differ = int(pick.integers(0, 2 * size // 7 + 1))
+            gone = int(pick.integers(0, differ + 1))
+            b = np.unique(np.concatenate([
+                pick.permutation(a)[gone:],
+                pick.integers(0, 2**63, differ - gone).astype(np.uint64),
+            ]))
+            common = len(np.intersect1d(a, b))
+            if len(b) and not np.array_equal(a, b) and 7 * common >= 3 * (len(a) + len(b)):
+                heavy = np.sort(pick.permutation(a)[: size // 2])
+                for known in (none, heavy):
+                    assert np.intersect1d(
+                        ngram_join.selection(a, known), ngram_join.selection(b, known)
+                    ).size
+
+
+def test_shingles_fold_only_ascii():
+    known = WordHash()
+    same = shingle_set("A b C d E f", known), shingle_set("a B c D e F", known)
+    assert np.array_equal(*same)
+    other = shingle_set("É b c d e f", known), shingle_set("é b c d e f", known)
+    assert not np.array_equal(*other)
+    assert len(shingle_set("a b c", known)) == 1 and not len(shingle_set(" \n", known))
+
+
+def test_jaccard_odd_rows(spark):
+    extra = [(None, "a b c d e f g", "n"), (7, "p q r s t u v", "r"), (7, "p q r s t u v", "r")]
+    docs = frame(spark, {1: "a b c d e f g", 2: "p q r s t u v", 3: None}, extra)
+    got = [tuple(r) for r in ngram_join.jaccard_components(docs).collect()]
+    assert sorted(got, key=repr) == sorted([
+        (1, 3, 1), (None, 3, 1), (2, 3, 2), (7, 3, 2), (7, 3, 2), (3, 0, 3),
+    ], key=repr)
+    assert ngram_join.jaccard_components(docs.limit(0)).count() == 0
+    kept = ngram_join.one_of_each(docs)
+    assert kept.columns == docs.columns
+    assert sorted((r["doc_id"] for r in kept.collect()), key=repr) == [1, 2, 3, None]
+
+
+def test_components(spark):
+    pick = random.Random(3)
+    links = [(pick.randrange(300), pick.randrange(300)) for _ in range(250)]
+    links += [(i, i + 1) for i in range(1000, 1100)] + [(5000, i) for i in range(6000, 6200)]
+    forest = Forest()
+    for a, b in links:
+        forest.join(a, b)
+    got = dict(map(tuple, connected_components(
+        spark.createDataFrame(links, "a long, b long").repartition(7)
+    ).collect()))
+    assert got == {x: forest.find(x) for p in links for x in p if forest.find(x) != x}
+    assert connected_components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_substring_dedup(spark, seed):
+    docs = corpus(seed, 150, 5, 90, 60)
+    got = rlz.substring_dedup(frame(spark, docs)).collect()
+    assert {r[0]: tuple(r[1:]) for r in got} == plain.substring_dedup(docs)
+
+
+def test_factors_are_spans_of_the_text(spark):
+    shared = " ".join(f"s{i}" for i in range(20))
+    docs = {1: f"a b {shared} c", 2: f"x {shared} y {shared}", 3: "none of it"}
+    got = {r["doc_id"]: r for r in rlz.factors(frame(spark, docs)).collect()}
+    assert (got[2]["starts"], got[2]["lengths"]) == ([1, 22], [20, 20])
+    assert got[2]["kept_text"] == "x y" and got[1]["n_removed"] == 0
+
+
+def test_substring_odd_rows(spark):
+    text = " ".join(f"w{i}" for i in range(15))
+    extra = [(None, text, "n"), (None, text, "n"), (5, text, "r"), (5, text, "r")]
+    docs = frame(spark, {9: text, 10: None, 11: " ".join(["x"] * 14)}, extra)
+    got = sorted(((r[0], r[1], r[2]) for r in rlz.substring_dedup(docs).collect()), key=repr)
+    assert got == sorted([
+        (5, 15, 0), (5, 15, 0), (9, 15, 15), (10, 0, 0), (11, 14, 0),
+        (None, 15, 15), (None, 15, 15),
+    ], key=repr)
+    assert rlz.substring_dedup(docs.limit(0)).count() == 0
+
+
+def test_embeddings(spark):
+    pick = np.random.default_rng(4)
+    vectors = {}
+    for i in range(400):
+        base = pick.normal(size=12) if i % 3 == 0 else np.array(vectors[i - i % 3])
+        vectors[i] = (base + pick.normal(size=12) * (0.25 * (i % 3 > 0))).tolist()
+    vectors |= {
+        500: None, 501: [], 502: [0.0] * 12, 503: [1.0, None] + [0.0] * 10,
+        504: [float("nan")] * 12, 505: [float("inf")] + [1.0] * 11, 506: vectors[3],
+        507: vectors[3], 508: [2 * x for x in vectors[3]], 509: vectors[3][:5],
+        510: vectors[3][:5],
+    }
+    rows = [(i, v, 0) for i, v in vectors.items()]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    got = {r["vec_id"]: r for r in near_duplicates(table.repartition(4)).collect()}
+    expected = plain.vector_links(vectors)
+    assert {i: (r["n_links"], r["component_id"]) for i, r in got.items()} == expected
+    assert all(r["kept"] == (r["component_id"] == i) for i, r in got.items())
+    assert near_duplicates(table.limit(0)).count() == 0
+
+
+def test_embeddings_without_ids_and_repeats(spark):
+    rows = [(None, [1.0, 0.0]), (3, [1.0, 0.0]), (3, [1.0, 0.0]), (4, [0.0, 1.0])]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    got = sorted((tuple(r) for r in near_duplicates(table).collect()), key=repr)
+    assert got == sorted(
+        [(None, 0, None, True), (3, 1, 3, True), (3, 1, 3, True), (4, 0, 4, True)], key=repr
+    )
