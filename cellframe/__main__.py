@@ -14,7 +14,7 @@ JOBS = [
     jobs.create_table, jobs.write_sales, jobs.read_table, jobs.read_snapshot,
     jobs.bulk_load, jobs.delete_rows,
 ]
-NUMBERS = {"start", "end", "at", "ts", "regions"}
+NUMBERS = {"start", "end", "at", "ts", "regions", "commit", "max_versions", "file_bytes"}
 
 
 def parser() -> argparse.ArgumentParser:
@@ -42,7 +42,9 @@ def parser() -> argparse.ArgumentParser:
 def main(argv: list[str] | None = None) -> None:
     options = vars(parser().parse_args(argv))
     run, _ = options.pop("run"), options.pop("job")
-    run(SparkSession.builder.appName("cellframe").getOrCreate(), **options)
+    left_out = run(SparkSession.builder.appName("cellframe").getOrCreate(), **options)
+    if left_out:
+        print(f"{left_out} rows or keys were blank and left out")
 
 
 if __name__ == "__main__":

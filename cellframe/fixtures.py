@@ -33,7 +33,6 @@ TABLES = {
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
     return spark.read.schema(TABLES[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -97,7 +96,10 @@ def cell_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(~gone, F.col("value").cast("decimal(12,2)").cast("string")).alias(
             "value"
         ),
-        F.unix_millis(F.col("ts").cast("timestamp")).alias("ts"),
+        # As UTC, whatever the session's time zone.
+        F.expr(
+            "unix_millis(CAST(convert_timezone('UTC', current_timezone(), ts) AS TIMESTAMP))"
+        ).alias("ts"),
         F.col("event_id").alias("seq"),
         F.when(gone, TOMBSTONE).otherwise(PUT).alias("kind"),
         F.least((F.col("user_id") / 14).cast("int"), F.lit(10)).alias("region"),

@@ -12,6 +12,9 @@ from cellframe.model import REGION_BOUNDS
 
 Bounds = Sequence[int] | Sequence[str]
 
+# Bounds that a tree of comparisons holds; entries of a search step beyond that.
+TREE, STEP = 64, 64
+
 
 def region_count(bounds: Bounds, overflow: str = "strict") -> int:
     """Number of regions that `region_of` can return."""
@@ -36,7 +39,9 @@ def region_of(
     and keys with a non-digit to the last region; a key that does not fit an
     int (or is empty) gets null, for the caller to report.
 
-    One SQL text, so that a table with thousands of regions builds at once.
+    One SQL text. Up to `TREE` bounds it is a tree of comparisons; more are one
+    constant array, searched in two levels, so that a table with thousands of
+    regions plans and compiles at once.
     """
     if overflow not in ("strict", "reference"):
         raise ValueError(f"unknown overflow mode: {overflow!r}")
@@ -67,6 +72,8 @@ def region_of(
 
 def _passed(value: str, points: list[str], below: int) -> str:
     """How many points are <= value: a balanced tree, log2(n) tests per row."""
+    if len(points) > TREE:
+        return _searched(value, points)
     if not points:
         return str(below)
     mid = len(points) // 2
@@ -75,14 +82,53 @@ def _passed(value: str, points: list[str], below: int) -> str:
     return f"IF({value} < {points[mid]}, {left}, {right})"
 
 
+def _searched(value: str, points: list[str]) -> str:
+    """The same for many points: find the step, then look inside it."""
+    text = points[0].startswith("'")
+    plain = [p[1:-1] if text else p for p in points]
+    element = "STRING" if text else "BIGINT"
+
+    def constant(some: list[str]) -> str:
+        # One folded literal; the separator is in no key.
+        listed = "\x01".join(some)
+        return f"CAST(split('{listed}', '\x01') AS ARRAY<{element}>)"
+
+    steps = f"size(filter({constant(plain[::STEP])}, b -> b <= {value}))"
+    inside = (
+        f"size(filter(slice({constant(plain)}, {STEP} * ({steps} - 1) + 1, {STEP}), "
+        f"b -> b <= {value}))"
+    )
+    return f"IF({value} < {points[0]}, 0, {STEP} * ({steps} - 1) + {inside})"
+
+
+def text_bounds_from(
+    df: DataFrame, key: str, regions: int, sample: int = 20_000
+) -> list[str]:
+    """Split points of text keys, in text order, from the keys of `sample` rows.
+
+    The rows are those with the smallest hashes of their keys: one pass, and at
+    most `sample` keys on the driver.
+    """
+    keys = df.select(F.col(named(key)).cast("string").alias("k")).where("k <> ''")
+    chosen = sorted(
+        r["k"] for r in keys.orderBy(F.xxhash64("k"), "k").limit(sample).collect()
+    )
+    if not chosen or regions < 2:
+        raise ValueError("no keys to take bounds from, or fewer than two regions")
+    return sorted({chosen[len(chosen) * i // regions] for i in range(1, regions)})
+
+
 def bounds_from(
-    df: DataFrame, key: str, regions: int, error: float = 0.001
+    df: DataFrame, key: str, regions: int, error: float | None = None
 ) -> list[int]:
     """Split points that cut the numeric keys into about equal regions.
 
-    One pass over the key column; quantile sketches merge per task. Keys with
-    a non-digit have their own region and do not count here.
+    One pass over the key column; quantile sketches merge per task. The rank
+    error is a tenth of a region unless given, 0.001 at most. Keys with a
+    non-digit have their own region and do not count here.
     """
+    if error is None:
+        error = min(0.001, 0.1 / regions)
     if regions < 2:
         raise ValueError("at least two regions are needed for a bound")
     numbers = df.select(

@@ -5,6 +5,8 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -41,8 +43,28 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a written folder, wherever it lies."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
+@contextmanager
+def scratch(spark: SparkSession, df: DataFrame, name: str) -> Iterator[DataFrame]:
+    """`df` written once and read from there; deleted at the end, whatever happens."""
+    path = scratch_dir(spark, name)
+    try:
+        df.write.parquet(path)
+        yield spark.read.schema(df.schema).parquet(path)
+    finally:
+        remove(spark, path)
+
+
 def written(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
-    """Write `df` once to the shared scratch folder and read it from there."""
+    """Write `df` once to the shared scratch folder and read it from there.
+
+    For results that are read later; `scratch` is for what one action reads.
+    """
     path = scratch_dir(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

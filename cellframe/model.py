@@ -47,9 +47,12 @@ PARTITION_COLUMNS = ["kind", "region"]
 
 
 def column_list(columns: str | Sequence[str]) -> list[str]:
-    """Accept ``"Invoice, orders"`` or a list; names are trimmed."""
-    parts = columns.split(",") if isinstance(columns, str) else columns
-    names = [name.strip() for name in parts]
+    """Accept ``"Invoice, orders"``, whose names are trimmed, or a list of names
+    that are taken as they are."""
+    if isinstance(columns, str):
+        names = [name.strip() for name in columns.split(",")]
+    else:
+        names = list(columns)
     if not names or any(not name for name in names):
         raise ValueError(f"column list has an empty name: {columns!r}")
     return names

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Cells in one written file before its region is split over more tasks.
-CELLS_PER_FILE = 1_000_000
+from cellframe.functions.sizing import fits_broadcast
+
+# Bytes of keys and values in one written file before its region takes several.
+FILE_BYTES = 256 << 20
 
 
 def sorted_for_files(cells: DataFrame, partition_columns: list[str]) -> DataFrame:
@@ -21,39 +25,86 @@ def sorted_for_files(cells: DataFrame, partition_columns: list[str]) -> DataFram
     )
 
 
-def region_sizes(rows: DataFrame) -> dict[int | None, int]:
-    """Rows per region (null: no usable key); one small row per region."""
-    counts = rows.groupBy("region").agg(F.count("*").alias("rows"))
-    return {row["region"]: row["rows"] for row in counts.collect()}
+@dataclass(frozen=True)
+class RegionSize:
+    rows: int
+    bytes: int
+
+
+def octets(columns: list[Column]) -> Column:
+    """Bytes of the text of some columns; null counts as none."""
+    lengths = [F.coalesce(F.octet_length(c.cast("string")), F.lit(0)) for c in columns]
+    return sum(lengths[1:], lengths[0]).cast("long")
+
+
+def region_sizes(rows: DataFrame) -> dict[int | None, RegionSize]:
+    """Rows and bytes per region (null: no usable key), from `region` and, where
+    there is one, `bytes`; one small row per region."""
+    size = F.sum("bytes") if "bytes" in rows.columns else F.lit(0).cast("long")
+    counts = rows.groupBy("region").agg(F.count("*").alias("rows"), size.alias("bytes"))
+    return {r["region"]: RegionSize(r["rows"], r["bytes"] or 0) for r in counts.collect()}
 
 
 def by_region(
     cells: DataFrame,
-    sizes: dict[int, int],
-    cells_per_file: int = CELLS_PER_FILE,
+    sizes: dict[int, RegionSize],
+    file_bytes: int = FILE_BYTES,
 ) -> DataFrame:
-    """Task i holds region i; a big region gets several tasks.
+    """Deal cells to writing tasks: a task per small region, several per big one.
 
-    `sizes` holds the cells per region. Task ids are passed straight through
-    (no hash), so no two regions collide. Inside a big region cells are spread by
-    hash; the id of the reading task is part of it, so that not even copies
-    of one cell gather in a single task.
+    `sizes` holds the regions that are present, so empty ones cost nothing. Task
+    ids of small regions are passed straight through (no hash), so no two
+    collide. Big regions are cut into ranges of keys, which lets a read skip files
+    by key. Only a key that alone exceeds a file is spread over several of them,
+    by a hash that includes the reading task, so that not even copies of one cell
+    gather.
     """
     if not sizes:
         return cells
-    first, tasks, total = [], [], 0
-    for region in range(max(sizes) + 1):
-        first.append(total)
-        tasks.append(max(1, -(-sizes.get(region, 0) // cells_per_file)))
-        total += tasks[-1]
-
-    def lookup(numbers: list[int]):
-        table = F.array(*[F.lit(n) for n in numbers])
-        return F.element_at(table, F.col("region") + 1)
-
-    if total == len(tasks):
-        task = F.col("region")
+    big = {r: -(-s.bytes // file_bytes) for r, s in sizes.items() if s.bytes > file_bytes}
+    small = [r for r in sorted(sizes) if r not in big]
+    parts = []
+    if small:
+        first = min(small)
+        task = F.col("region") - first
+        if small[-1] - first + 1 != len(small):
+            # Positions of the regions present, as one literal text.
+            listed = ",".join(str(r) for r in small)
+            task = F.expr(
+                f"array_position(CAST(split('{listed}', ',') AS ARRAY<INT>), region) - 1"
+            ).cast("int")
+        chosen = cells.where(~_among(big)) if big else cells
+        parts.append(
+            chosen.withColumn("task", task).repartitionById(len(small), "task").drop("task")
+        )
+    if big:
+        parts.append(_by_key_range(cells.where(_among(big)), sum(big.values()), file_bytes))
+    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+
+
+def _among(regions: dict) -> Column:
+    return F.col("region").isin(sorted(regions))
+
+
+def _by_key_range(cells: DataFrame, files: int, file_bytes: int) -> DataFrame:
+    """Cells of big regions in ranges of (region, key), about equal in rows."""
+    size = octets([F.col("row_key"), F.col("value")])
+    # There are at most as many of these as files.
+    heavy = (
+        cells.groupBy("row_key").agg(F.sum(size).alias("bytes"))
+        .where(F.col("bytes") > file_bytes).select(F.col("row_key").alias("heavy_key"))
+    )
+    count, text = heavy.agg(F.count("*"), F.sum(F.octet_length("heavy_key"))).first()
+    spread = F.xxhash64("row_key", "qualifier", F.spark_partition_id())
+    if count:
+        if fits_broadcast(cells.sparkSession, count, text):
+            heavy = F.broadcast(heavy)
+        marked = cells.join(heavy, F.col("row_key") == F.col("heavy_key"), "left")
+        salt = F.when(F.col("heavy_key").isNotNull(), spread)
     else:
-        spread = F.xxhash64("row_key", "qualifier", F.spark_partition_id())
-        task = lookup(first) + F.pmod(spread, lookup(tasks)).cast("int")
-    return cells.withColumn("task", task).repartitionById(total, "task").drop("task")
+        marked, salt = cells.withColumn("heavy_key", F.lit(None).cast("string")), F.lit(None)
+    return (
+        marked.withColumn("salt", salt.cast("long"))
+        .repartitionByRange(files, "region", "row_key", "salt")
+        .drop("salt", "heavy_key")
+    )

@@ -12,11 +12,23 @@ from pyspark.sql import functions as F
 from cellframe.model import MAX_RATE, PAUSE_SECONDS
 
 
-def batch_size(rate: int, workers: int) -> int:
-    """Requests per batch of one task: the rate shared by concurrent tasks."""
-    if rate > MAX_RATE:
-        raise ValueError(f"rate {rate}/s is above the limit of {MAX_RATE}/s")
-    return max(1, rate // max(1, workers))
+def sending_tasks(rate: int, workers: int, max_rate: int = MAX_RATE) -> int:
+    """Tasks that may send at once: never more than rows a second."""
+    if rate < 1:
+        raise ValueError("at least one row a second must be allowed")
+    if rate > max_rate:
+        raise ValueError(f"rate {rate}/s is above the limit of {max_rate}/s")
+    return max(1, min(workers, rate))
+
+
+def batch_size(rate: int, tasks: int) -> int:
+    """Requests per batch of one task: a second's share of the rate."""
+    return max(1, rate // max(1, tasks))
+
+
+def batch_seconds(rate: int, tasks: int, size: int) -> float:
+    """How long a task's batch must last for all tasks to keep the rate."""
+    return size * tasks / rate
 
 
 def batch_plan(rows: DataFrame, by: str, size: int) -> DataFrame:
@@ -37,23 +49,28 @@ def send_in_batches(
     size: int,
     pause: float = PAUSE_SECONDS,
     sleep: Callable[[float], None] = time.sleep,
+    seconds: float = 0.0,
+    clock: Callable[[], float] = time.monotonic,
 ) -> tuple[int, int, int]:
     """Send rows in arrival order, `size` at a time, pausing after full batches.
 
-    `connect()` returns an object with ``send(rows)`` and ``close()``; it is
+    A pause lasts `pause` seconds, and longer where the batch, sending included,
+    would otherwise take less than `seconds`. `connect()` returns an object with ``send(rows)`` and ``close()``; it is
     closed whatever happens. Returns (records, batches, pauses).
     """
     records = batches = pauses = 0
     sink = connect()
     try:
         batch: list[Any] = []
+        since = clock()
         for row in rows:
             batch.append(row)
             if len(batch) == size:
                 sink.send(batch)
                 records, batches, pauses = records + size, batches + 1, pauses + 1
                 batch = []
-                sleep(pause)
+                sleep(max(pause, since + seconds - clock()))
+                since = clock()
         if batch:
             sink.send(batch)
             records, batches = records + len(batch), batches + 1
@@ -67,27 +84,35 @@ def deliver(
     connect: Callable[[], Any],
     rate: int = MAX_RATE,
     workers: int | None = None,
-    pause: float = PAUSE_SECONDS,
+    pause: float = 0.0,
+    max_rate: int = MAX_RATE,
 ) -> Row:
-    """Send a DataFrame to an outside store, partition by partition.
+    """Send a DataFrame to an outside store, at most `rate` rows a second.
 
-    Each partition streams through one connection; rows arrive as dicts. A
+    Partitions are merged (not shuffled) into as many tasks as may send at once,
+    `workers` or the default parallelism and never more than `rate`; so the rate
+    holds whatever the number of partitions and of cores. A task sends its share
+    of a second, then waits for the rest of the second. Each task streams
+    through one connection; rows arrive as dicts. A
     task that is run again sends its rows again, so `send` must be idempotent,
     as puts and deletes are. Returns the totals of records, batches, pauses.
     """
-    size = batch_size(rate, workers or rows.sparkSession.sparkContext.defaultParallelism)
+    parallelism = rows.sparkSession.sparkContext.defaultParallelism
+    tasks = sending_tasks(rate, workers or parallelism, max_rate)
+    size = batch_size(rate, tasks)
+    seconds = batch_seconds(rate, tasks, size)
 
     def run(chunks: Iterator[Any]) -> Iterator[Any]:
         import pyarrow as pa
 
         records = (row for chunk in chunks for row in chunk.to_pylist())
-        totals = send_in_batches(records, connect, size, pause)
+        totals = send_in_batches(records, connect, size, pause, seconds=seconds)
         names = ["records", "batches", "pauses"]
         yield pa.RecordBatch.from_pydict(
             {name: pa.array([n], pa.int64()) for name, n in zip(names, totals)}
         )
 
-    sent = rows.mapInArrow(run, "records long, batches long, pauses long")
+    sent = rows.coalesce(tasks).mapInArrow(run, "records long, batches long, pauses long")
     return sent.agg(
         *[F.sum(c).alias(c) for c in ("records", "batches", "pauses")]
     ).first()

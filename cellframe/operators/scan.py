@@ -25,16 +25,12 @@ from cellframe.operators.cells import usable_key
 
 CELL_KEY = ["row_key", "family", "qualifier"]
 
-# Past this many versions Spark stops trimming groups before the shuffle
-# (spark.sql.optimizer.windowGroupLimitThreshold).
-TRIMMED_VERSIONS = 1000
+# Up to this many versions Spark trims groups before the shuffle.
+TRIM_SETTING = "spark.sql.optimizer.windowGroupLimitThreshold"
 
 # Output rows that one copy-expanding task may emit for one key of a get.
 COPIES_PER_TASK = 100_000
 
-# Ways a row is spread when its tombstone cannot be broadcast.
-ROW_SPREAD = 32
-
 
 def _is(kind: str) -> Column:
     return F.col("kind") == kind
@@ -112,20 +108,53 @@ def time_range(
 def as_of(
     log: DataFrame, columns: str | Sequence[str], at: int, family: str = FAMILY
 ) -> DataFrame:
-    """The table as it stood at `at`: later puts and tombstones are unseen."""
+    """The table as it stood at `at`: later puts and tombstones are unseen.
+
+    By cell time: a put that is later stamped back into that time is seen.
+    """
     return _rows(log.where(F.col("ts") <= at), columns, family)
 
 
-def versions(log: DataFrame, n: int = 1) -> DataFrame:
+def snapshot(
+    log: DataFrame, columns: str | Sequence[str], commit: int, family: str = FAMILY
+) -> DataFrame:
+    """The table after the commit numbered `commit`, the same whenever it is read.
+
+    Commits are told by `seq`, which only grows, so a later put does not change
+    the image, whatever its time. `CellTable.last_commit` gives the number to keep.
+    """
+    return _rows(log.where(F.col("seq") <= commit), columns, family)
+
+
+def versions(
+    log: DataFrame,
+    n: int = 1,
+    columns: str | Sequence[str] | None = None,
+    start: int | None = None,
+    end: int | None = None,
+    family: str | None = None,
+) -> DataFrame:
     """Up to `n` newest live versions of every cell, newest as version 1.
 
-    Two puts of a cell in one millisecond are one version; `seq` decides.
-    Repeats fold into one row before the shuffle, and groups are trimmed to
-    `n` before the next one, so a hot cell never meets in one task.
+    `columns` (the key's name first, as in the other scans) and `family` choose
+    cells; ``[start, end)`` chooses puts by time, while later tombstones still
+    mask them. Two puts of a cell in one millisecond are one version; `seq`
+    decides. Repeats fold into one row before the shuffle, and groups are trimmed
+    to `n` before the next one. Past what Spark trims by itself a cell is trimmed
+    in parts first, so `n` rows for each part are sorted in a task.
     """
     if n < 1:
         raise ValueError("at least one version must be asked for")
     puts = log.where(_is(PUT))
+    if columns is not None:
+        puts = puts.where(F.col("qualifier").isin(column_list(columns)[1:]))
+    if family is not None:
+        puts = puts.where(F.col("family") == family)
+    if start is not None:
+        # Older tombstones cannot mask what is left.
+        log, puts = log.where(F.col("ts") >= start), puts.where(F.col("ts") >= start)
+    if end is not None:
+        puts = puts.where(F.col("ts") < end)
     if n == 1:
         ranked = (
             puts.groupBy(*CELL_KEY)
@@ -138,7 +167,7 @@ def versions(log: DataFrame, n: int = 1) -> DataFrame:
             .agg(F.max(F.struct("seq", "value")).alias("v"))
             .select(*CELL_KEY, "ts", "v.value")
         )
-        if n > TRIMMED_VERSIONS:
+        if n > int(log.sparkSession.conf.get(TRIM_SETTING)):
             folded = _trim_by_parts(folded, n)
         newest_first = Window.partitionBy(*CELL_KEY).orderBy(F.desc("ts"))
         ranked = folded.select(
@@ -166,7 +195,8 @@ def _unmasked(ranked: DataFrame, log: DataFrame) -> DataFrame:
     """Drop the versions that a tombstone of their row masks.
 
     Tombstones fold to one row per row key. Measured small, they are sent to
-    every executor; otherwise the join spreads each row over several tasks.
+    every executor; otherwise it is a join by row key, which AQE splits where
+    a row has very many versions.
     """
     spark = ranked.sparkSession
     deleted = (
@@ -180,15 +210,8 @@ def _unmasked(ranked: DataFrame, log: DataFrame) -> DataFrame:
     if rows == 0:
         return ranked
     if fits_broadcast(spark, rows, text):
-        joined = ranked.join(F.broadcast(deleted), "row_key", "left")
-    else:
-        part = F.pmod(F.xxhash64("qualifier", "ts"), F.lit(ROW_SPREAD))
-        copies = deleted.withColumn(
-            "part", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(ROW_SPREAD - 1)))
-        )
-        joined = ranked.withColumn("part", part).join(
-            copies, ["row_key", "part"], "left"
-        )
+        deleted = F.broadcast(deleted)
+    joined = ranked.join(deleted, "row_key", "left")
     live = F.col("deleted_ts").isNull() | (F.col("ts") > F.col("deleted_ts"))
     return joined.where(live).select(*ranked.columns)
 
@@ -208,9 +231,10 @@ def get_rows(
     ``"skip"`` leaves the row out. Null and empty keys are not asked for.
 
     Repeats are counted before the shuffle and expanded at the end. One small
-    job measures the key list: a list that fits is sent to the log scan along
-    with its key range (and regions, given the `bounds` of the table), a
-    larger one meets the aggregated log on its own partitioning.
+    job measures the key list; its key range (and regions, given the `bounds` of
+    the table) go to the log scan, and only cells of requested keys are
+    aggregated: a list that fits is sent to the scan, a larger one is joined by
+    key, with Spark's runtime filters and skew handling.
     """
     if on_missing not in ("blank", "keep_key", "skip"):
         raise ValueError(f"unknown on_missing: {on_missing!r}")
@@ -235,8 +259,10 @@ def get_rows(
         log = log.where(F.col("row_key").between(size["first"], size["last"]))
         if bounds is not None:
             log = log.where(F.col("region").isin(size["regions"]))
+    asked = wanted.select("row_key")
     if fits_broadcast(keys.sparkSession, size["rows"], size["text"]):
-        log = log.join(F.broadcast(wanted.select("row_key")), "row_key", "left_semi")
+        asked = F.broadcast(asked)
+    log = log.join(asked, "row_key", "left_semi")
 
     cells = [f"cell_{i}" for i in range(len(names) - 1)]
     found = _rows(log, ["found_key", *names[1:]], family).toDF("found_key", *cells)

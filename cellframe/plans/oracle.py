@@ -99,6 +99,22 @@ def _region(key: str, overflow: str) -> str:
 
 
 SCAN = f"WITH {CELL_LOG},{_live()}\n{_pivot(QUALIFIERS)}"
+IN_RANGE = f"t >= {RANGE_START} AND t < {RANGE_END}"
+TIME_RANGE = f"WITH {CELL_LOG},{_live(puts=IN_RANGE)}\n{_pivot(QUALIFIERS)}"
+UNTIL = f"t <= {SNAPSHOT_AT}"
+AS_OF = f"WITH {CELL_LOG},{_live(puts=UNTIL, stones=UNTIL)}\n{_pivot(QUALIFIERS)}"
+
+
+def _versions(puts: str) -> str:
+    return f"""WITH {CELL_LOG},{_live(puts=puts)},
+one_per_ms AS (SELECT k, q, t, arg_max(v, (s, v)) AS v FROM live GROUP BY k, q, t),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY k, q ORDER BY t DESC) AS version
+  FROM one_per_ms
+)
+SELECT k AS row_key, 'order' AS family, q AS qualifier,
+       CAST(version AS INTEGER) AS version, t AS ts, v AS value
+FROM ranked WHERE version <= {VERSIONS}"""
 
 KEYS = """
 keys AS (
@@ -134,9 +150,10 @@ def oracle_sql() -> dict[str, str]:
         "nest_dedup": f"""{with_lines}
 SELECT "Invoice", count(DISTINCT {STRUCT}) AS n_lines
 FROM sales_lines GROUP BY "Invoice\"""",
-        "nest_null_fields": f"""{with_lines},
-unknown AS (SELECT * FROM sales_lines WHERE "Customer_ID" IS NULL)
-{_nested('unknown')}""",
+        "nest_null_fields": f"""{with_lines}
+SELECT "Invoice", count(DISTINCT {STRUCT}) AS n_lines,
+       count(DISTINCT {STRUCT}) FILTER ("Customer_ID" IS NOT NULL) AS n_customers
+FROM sales_lines GROUP BY "Invoice\"""",
         "csv_source": f"{with_lines}\nSELECT * FROM sales_lines",
         "key_list_source": f"WITH {KEYS}\nSELECT row_key FROM keys",
         "record_to_cells": f"""{with_invoices}
@@ -146,24 +163,23 @@ SELECT "Invoice", 'orders', orders FROM invoices""",
         "put_upsert": f"""{with_invoices}
 SELECT "Invoice",
        CASE WHEN "Invoice" LIKE 'C%' THEN 'again ' || "Invoice" ELSE orders END AS orders
+FROM invoices""",
+        "put_rejects": f"""{with_invoices}
+SELECT CASE WHEN "Invoice" LIKE '%9' THEN '' WHEN "Invoice" NOT LIKE '%7' THEN "Invoice" END
+         AS "Invoice",
+       orders, "Invoice" LIKE '%9' OR "Invoice" LIKE '%7' AS rejected
 FROM invoices""",
         "scan_latest": SCAN,
+        "scan_snapshot": SCAN,
+        "stored_time_range": TIME_RANGE,
+        "stored_as_of": AS_OF,
         "scan_latest_subset": f"WITH {CELL_LOG},{_live()}\n{_pivot(['click'])}",
-        "scan_time_range": f"""WITH {CELL_LOG},
-{_live(puts=f't >= {RANGE_START} AND t < {RANGE_END}')}
-{_pivot(QUALIFIERS)}""",
-        "scan_as_of": f"""WITH {CELL_LOG},
-{_live(puts=f't <= {SNAPSHOT_AT}', stones=f't <= {SNAPSHOT_AT}')}
-{_pivot(QUALIFIERS)}""",
-        "scan_versions": f"""WITH {CELL_LOG},{_live()},
-one_per_ms AS (SELECT k, q, t, arg_max(v, (s, v)) AS v FROM live GROUP BY k, q, t),
-ranked AS (
-  SELECT *, row_number() OVER (PARTITION BY k, q ORDER BY t DESC) AS version
-  FROM one_per_ms
-)
-SELECT k AS row_key, 'order' AS family, q AS qualifier,
-       CAST(version AS INTEGER) AS version, t AS ts, v AS value
-FROM ranked WHERE version <= {VERSIONS}""",
+        "scan_time_range": TIME_RANGE,
+        "scan_as_of": AS_OF,
+        "scan_versions": _versions("true"),
+        "scan_versions_range": _versions(
+            f"{IN_RANGE} AND q IN ('click', 'purchase')"
+        ),
         "get_rows": f"""WITH {CELL_LOG},{_live()},{KEYS},
 got AS ({_pivot(QUALIFIERS)})
 SELECT coalesce(g.user_id, '') AS user_id, {blank_columns}
@@ -191,7 +207,7 @@ SELECT "Invoice", {_region('"Invoice"', 'strict')} AS region FROM invoices""",
 SELECT row_key, qualifier, value, region FROM placed""",
         "bulk_region_layout": f"""WITH {BULK_CELLS}
 SELECT region, count(*) AS cells, min(row_key) AS min_key, max(row_key) AS max_key,
-       true AS in_order
+       true AS in_order, false AS overlapping
 FROM placed GROUP BY region""",
         "bulk_then_scan": f"""WITH {SPARSE}
 SELECT "Invoice", coalesce(orders, '') AS orders FROM sparse""",

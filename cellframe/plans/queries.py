@@ -10,21 +10,25 @@ from pyspark.sql import functions as F
 from cellframe import fixtures as X
 from cellframe.functions.regions import bounds_from, region_of
 from cellframe.functions.sizing import scratch_dir, written
-from cellframe.model import INVOICE_COLUMNS
+from cellframe.model import INVOICE_COLUMNS, MAX_RATE, ORDER_FIELDS, REGION_BOUNDS
 from cellframe.operators import scan
 from cellframe.operators.cells import record_to_cells, row_to_cells
-from cellframe.operators.nest import nest_orders, order_lines
-from cellframe.operators.pacing import batch_plan
+from cellframe.operators.nest import nest_orders
+from cellframe.operators.pacing import batch_plan, batch_size, sending_tasks
 from cellframe.sinks.results import save_result
 from cellframe.sinks.table import CellTable, bulk_files
 from cellframe.sources.files import read_keys, read_rows, read_sales_csv
 
-# Requested columns, versions per cell, rows per batch, regions.
+# Requested columns, versions per cell, sending tasks, regions,
+# bytes per file (small, so that regions take several).
 SCAN_COLUMNS = "user_id, click, error, purchase, signup, view"
 SUBSET_COLUMNS = "user_id, click"
+VERSION_COLUMNS = "user_id, click, purchase"
 VERSIONS = 3
-BATCH = 500
+WORKERS = 4
+BATCH = batch_size(MAX_RATE, sending_tasks(MAX_RATE, WORKERS))
 REGIONS = 11
+SMALL_FILE = 64 << 10
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -34,13 +38,20 @@ def q_nest_orders(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_nest_dedup(spark: SparkSession, sf: str) -> DataFrame:
-    return order_lines(X.sales_lines(spark, sf)).select(
-        "Invoice", F.size("Orders").cast("long").alias("n_lines")
+    return X.sales_lines(spark, sf).groupBy("Invoice").agg(
+        F.count_distinct(F.struct(*ORDER_FIELDS)).alias("n_lines")
     )
 
 
 def q_nest_null_fields(spark: SparkSession, sf: str) -> DataFrame:
-    return nest_orders(X.sales_lines(spark, sf).where("Customer_ID IS NULL"))
+    """Lines per document, and those that have the field; null ones leave it out."""
+    def found(field: str):
+        return F.regexp_count("orders", F.lit(f'"{field}":')).cast("long")
+
+    return nest_orders(X.sales_lines(spark, sf)).select(
+        "Invoice", found("StockCode").alias("n_lines"),
+        found("Customer_ID").alias("n_customers"),
+    )
 
 
 def q_csv_source(spark: SparkSession, sf: str) -> DataFrame:
@@ -62,8 +73,10 @@ def q_record_to_cells(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_put_upsert(spark: SparkSession, sf: str) -> DataFrame:
-    table = CellTable.create(spark, scratch_dir(spark, "put"))
     documents = written(spark, X.invoices(spark, sf), "invoices")
+    table = CellTable.create(
+        spark, scratch_dir(spark, "put"), bounds_from(documents, "Invoice", REGIONS)
+    )
     table.put(documents, "Invoice", ts=1000, seq=1)
     again = documents.where(F.col("Invoice").startswith("C")).withColumn(
         "orders", F.concat(F.lit("again "), "Invoice")
@@ -72,6 +85,23 @@ def q_put_upsert(spark: SparkSession, sf: str) -> DataFrame:
     return scan.latest(table.cells(), INVOICE_COLUMNS)
 
 
+def q_put_rejects(spark: SparkSession, sf: str) -> DataFrame:
+    """Stored documents, and the records that had no usable key."""
+    end = F.right("Invoice", F.lit(1))
+    documents = written(spark, X.invoices(spark, sf).withColumn(
+        "Invoice", F.when(end == "9", "").when(end != "7", F.col("Invoice"))
+    ), "invoices")
+    table = CellTable.create(
+        spark, scratch_dir(spark, "rejects"), bounds_from(documents, "Invoice", REGIONS)
+    )
+    rejects = scratch_dir(spark, "rejected")
+    table.put(documents, "Invoice", ts=1000, seq=1, rejects_path=rejects)
+    stored = scan.latest(table.cells(), INVOICE_COLUMNS)
+    return stored.withColumn("rejected", F.lit(False)).union(
+        read_rows(spark, rejects).withColumn("rejected", F.lit(True))
+    )
+
+
 def q_scan_latest(spark: SparkSession, sf: str) -> DataFrame:
     return scan.latest(X.cell_log(spark, sf), SCAN_COLUMNS)
 
@@ -94,8 +124,50 @@ def q_scan_versions(spark: SparkSession, sf: str) -> DataFrame:
     return scan.versions(X.cell_log(spark, sf), VERSIONS)
 
 
+def q_scan_versions_range(spark: SparkSession, sf: str) -> DataFrame:
+    return scan.versions(
+        X.cell_log(spark, sf), VERSIONS, VERSION_COLUMNS, X.RANGE_START, X.RANGE_END
+    )
+
+
+def _stored_log(spark: SparkSession, sf: str) -> CellTable:
+    """The cell log as a table, written in three runs, one after the other in time."""
+    log = X.cell_log(spark, sf)
+    table = CellTable.create(
+        spark, scratch_dir(spark, "stored"), bounds_from(log, "row_key", REGIONS)
+    )
+    for run in (
+        f"ts < {X.RANGE_START}",
+        f"ts >= {X.RANGE_START} AND ts < {X.RANGE_END}",
+        f"ts >= {X.RANGE_END}",
+    ):
+        table.append_log(log.where(run))
+    return table
+
+
+def q_stored_time_range(spark: SparkSession, sf: str) -> DataFrame:
+    log = _stored_log(spark, sf).cells()
+    return scan.time_range(log, SCAN_COLUMNS, X.RANGE_START, X.RANGE_END)
+
+
+def q_stored_as_of(spark: SparkSession, sf: str) -> DataFrame:
+    return scan.as_of(_stored_log(spark, sf).cells(), SCAN_COLUMNS, X.SNAPSHOT_AT)
+
+
+def q_scan_snapshot(spark: SparkSession, sf: str) -> DataFrame:
+    """An image stays as it was, also after a put that is stamped back in time."""
+    table = _stored_log(spark, sf)
+    commit = table.last_commit()
+    late = X.buyers_above(spark, sf, 300).distinct().withColumn("click", F.lit("late"))
+    table.put(late, "row_key", "click", ts=X.SNAPSHOT_AT, seq=commit + 1)
+    return scan.snapshot(table.cells(), SCAN_COLUMNS, commit)
+
+
 def q_get_rows(spark: SparkSession, sf: str) -> DataFrame:
-    return scan.get_rows(X.cell_log(spark, sf), X.key_list(spark, sf), SCAN_COLUMNS)
+    table = _stored_log(spark, sf)
+    return scan.get_rows(
+        table.cells(), X.key_list(spark, sf), SCAN_COLUMNS, bounds=table.bounds
+    )
 
 
 def q_scan_to_parquet(spark: SparkSession, sf: str) -> DataFrame:
@@ -130,7 +202,7 @@ def q_delete_then_put(spark: SparkSession, sf: str) -> DataFrame:
 
 def _regions(spark: SparkSession, sf: str, overflow: str) -> DataFrame:
     return X.invoices(spark, sf).select(
-        "Invoice", region_of("Invoice", overflow=overflow).alias("region")
+        "Invoice", region_of("Invoice", REGION_BOUNDS, overflow).alias("region")
     )
 
 
@@ -145,43 +217,60 @@ def q_region_assign_strict(spark: SparkSession, sf: str) -> DataFrame:
 def q_bulk_cells(spark: SparkSession, sf: str) -> DataFrame:
     rows = written(spark, X.sparse_invoices(spark, sf), "bulk-input")
     return row_to_cells(rows, "Invoice", INVOICE_COLUMNS).withColumn(
-        "region", region_of("row_key")
+        "region", region_of("row_key", REGION_BOUNDS)
     )
 
 
-def _bulk_path(spark: SparkSession, sf: str) -> str:
+def _bulk_path(spark: SparkSession, sf: str, **options) -> str:
     rows = written(spark, X.sparse_invoices(spark, sf), "bulk-input")
     path = scratch_dir(spark, "bulk-files")
-    bulk_files(rows, path, "Invoice", INVOICE_COLUMNS, ts=1000, seq=1)
+    bulk_files(
+        rows, path, "Invoice", INVOICE_COLUMNS, REGION_BOUNDS, ts=1000, seq=1, **options
+    )
     return path
 
 
 def q_bulk_region_layout(spark: SparkSession, sf: str) -> DataFrame:
     in_file = Window.partitionBy("file").orderBy("position")
     place = F.struct("row_key", "family", "qualifier")
-    stored = read_rows(spark, _bulk_path(spark, sf)).select(
+    path = _bulk_path(spark, sf, file_bytes=SMALL_FILE)
+    stored = read_rows(spark, f"{path}/cells").select(
         "region",
         "row_key",
         place.alias("place"),
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.row_index").alias("position"),
     )
-    return (
+    files = (
         stored.withColumn("before", F.lag("place").over(in_file))
-        .groupBy("region")
+        .groupBy("region", "file")
         .agg(
             F.count("*").alias("cells"),
-            F.min("row_key").alias("min_key"),
-            F.max("row_key").alias("max_key"),
+            F.min("row_key").alias("low"),
+            F.max("row_key").alias("high"),
             F.bool_and(
                 F.col("before").isNull() | (F.col("before") <= F.col("place"))
             ).alias("in_order"),
         )
     )
+    in_region = Window.partitionBy("region").orderBy("low")
+    return (
+        files.withColumn("before", F.lag("high").over(in_region))
+        .groupBy("region")
+        .agg(
+            F.sum("cells").alias("cells"),
+            F.min("low").alias("min_key"),
+            F.max("high").alias("max_key"),
+            F.bool_and("in_order").alias("in_order"),
+            F.bool_or(F.coalesce(F.col("low") <= F.col("before"), F.lit(False))).alias(
+                "overlapping"
+            ),
+        )
+    )
 
 
 def q_bulk_then_scan(spark: SparkSession, sf: str) -> DataFrame:
-    table = CellTable.create(spark, scratch_dir(spark, "bulk-table"))
+    table = CellTable.create(spark, scratch_dir(spark, "bulk-table"), REGION_BOUNDS)
     table.adopt(_bulk_path(spark, sf))
     return scan.latest(table.cells(), INVOICE_COLUMNS)
 

@@ -11,9 +11,13 @@ from cellframe.model import column_list
 
 
 def as_result(rows: DataFrame, columns: str | Sequence[str]) -> DataFrame:
-    """The requested columns in the caller's order, all strings."""
-    return rows.select(
-        *[F.col(f"`{c}`").cast("string").alias(c) for c in column_list(columns)]
+    """The requested columns in the caller's order, all strings, each once."""
+    names = dict.fromkeys(column_list(columns))
+    # By place: a name that was asked for twice stands there twice.
+    place = {name: i for i, name in reversed(list(enumerate(rows.columns)))}
+    numbered = rows.toDF(*[f"c{i}" for i in range(len(rows.columns))])
+    return numbered.select(
+        *[F.col(f"c{place[name]}").cast("string").alias(name) for name in names]
     )
 
 

@@ -1,8 +1,9 @@
 """The cell log on disk: create, put, bulk-load, delete.
 
 A table is a folder with `cells/` (append-only parquet, partitioned by kind
-and region) and `meta/` (the region bounds, fixed for the table's life). One
-writer at a time; each operation is one committed Spark write.
+and region), `meta/` (region bounds and family, fixed for the table's life) and
+`adopted/` (the folders of bulk-load files that belong to it). One writer at a
+time; each operation is one committed Spark write.
 """
 
 from __future__ import annotations
@@ -11,6 +12,7 @@ import json
 import time
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,12 +20,11 @@ from pyspark.sql import functions as F
 from cellframe.functions.regions import Bounds, region_of
 from cellframe.functions.text import named
 from cellframe.model import (
-    CELL_SCHEMA, FAMILY, PARTITION_COLUMNS, PUT, REGION_BOUNDS, TOMBSTONE,
-    column_list,
+    CELL_SCHEMA, FAMILY, PARTITION_COLUMNS, PUT, TOMBSTONE, column_list,
 )
 from cellframe.operators import cells as C
 from cellframe.operators.layout import (
-    CELLS_PER_FILE, by_region, region_sizes, sorted_for_files,
+    FILE_BYTES, RegionSize, by_region, octets, region_sizes, sorted_for_files,
 )
 
 
@@ -45,15 +46,16 @@ class CellTable:
         cls,
         spark: SparkSession,
         path: str,
-        bounds: Bounds = REGION_BOUNDS,
+        bounds: Bounds,
         family: str = FAMILY,
     ) -> CellTable:
-        """A new, empty table; an existing one is never replaced."""
+        """A new, empty table; an existing one is never replaced.
+
+        `bounds` are the split points of its regions: `bounds_from` and
+        `text_bounds_from` cut them from data.
+        """
         region_of("row_key", bounds)  # checks the bounds
-        meta = json.dumps({"bounds": list(bounds), "family": family})
-        spark.range(1).select(F.lit(meta).alias("value")).write.mode("error").text(
-            f"{path}/meta"
-        )
+        _write_meta(spark, path, bounds, family)
         empty = spark.range(0).select(
             *[F.lit(None).cast(f.dataType).alias(f.name) for f in CELL_SCHEMA]
         )
@@ -62,12 +64,22 @@ class CellTable:
 
     @classmethod
     def open(cls, spark: SparkSession, path: str) -> CellTable:
-        meta = json.loads(spark.read.text(f"{path}/meta").first()["value"])
-        return cls(spark, path, tuple(meta["bounds"]), meta["family"])
+        return cls(spark, path, *_read_meta(spark, path))
 
     def cells(self) -> DataFrame:
         """The whole log. The schema is given, so no footer is read for it."""
-        return self.spark.read.schema(CELL_SCHEMA).parquet(f"{self.path}/cells")
+        read = self.spark.read.schema(CELL_SCHEMA)
+        folders = [self.path, *self.adopted()]
+        return reduce(DataFrame.unionByName, [read.parquet(f"{f}/cells") for f in folders])
+
+    def adopted(self) -> list[str]:
+        """Folders of bulk-load files that belong to the table."""
+        listed = self.spark.read.text(f"{self.path}/adopted")
+        return sorted({r["value"] for r in listed.collect() if r["value"]})
+
+    def last_commit(self) -> int:
+        """The greatest commit number so far; 0 for an empty table."""
+        return self.cells().agg(F.max("seq")).first()[0] or 0
 
     def region(self) -> Column:
         """Region of the rows of any DataFrame with a `row_key`."""
@@ -81,18 +93,23 @@ class CellTable:
         ts: int | None = None,
         seq: int | None = None,
         allow_rejects: bool = False,
-        cells_per_file: int = CELLS_PER_FILE,
-    ) -> None:
+        file_bytes: int = FILE_BYTES,
+        rejects_path: str | None = None,
+    ) -> int:
         """Upsert: each non-null field becomes a cell stamped `ts`.
 
         A null or empty row key is an error, raised before anything is written,
-        unless `allow_rejects` leaves such rows out.
+        unless `allow_rejects` leaves such rows out or `rejects_path` takes them
+        as parquet. Returns their number.
         """
-        prepared = prepare_cells(
-            records, key, fields, self.bounds, self.family, ts, seq,
-            allow_rejects, cells_per_file,
+        prepared, rejects = prepare_cells(
+            records, key, self.bounds, fields, self.family, ts, seq,
+            allow_rejects or rejects_path is not None, file_bytes,
         )
+        if rejects_path is not None:
+            C.split_rejects(records, key)[1].write.parquet(rejects_path)
         _append(prepared, f"{self.path}/cells", PUT)
+        return rejects
 
     def delete(
         self, keys: DataFrame, ts: int | None = None, seq: int | None = None
@@ -103,87 +120,114 @@ class CellTable:
         left out and their number is returned.
         """
         region = self.region()
-        sizes = region_sizes(keys.select(region.alias("region")))
+        sizes = region_sizes(
+            keys.select(region.alias("region"), octets([F.col("row_key")]).alias("bytes"))
+        )
         if not sizes:
             raise ValueError("no row keys to delete")
-        blank = sizes.pop(None, 0)
+        blank = sizes.pop(None, RegionSize(0, 0)).rows
         named = keys.where(C.usable_key(F.col("row_key")))
         stamped = C.tombstones(named, *_stamp(ts, seq), region)
         _append(by_region(stamped, sizes), f"{self.path}/cells", TOMBSTONE)
         return blank
 
     def adopt(self, prepared_path: str) -> None:
-        """Make prepared bulk-load files part of the table.
+        """Make prepared bulk-load files part of the table, where they are.
 
-        A narrow copy: each task re-sorts what it reads, nothing is shuffled.
-        Files prepared for other bounds are refused, row by row, in that pass.
+        Nothing is read or written but a line: from now on the folder belongs to
+        the table. Files for other bounds or another family are refused.
         """
-        prepared = self.spark.read.schema(CELL_SCHEMA).parquet(prepared_path)
-        fits = F.col("region") == self.region()
-        checked = prepared.withColumn(
-            "region",
-            F.when(fits, F.col("region")).otherwise(
-                F.raise_error(F.lit("files were prepared for other region bounds"))
-            ).cast("int"),
-        )
-        _append(checked, f"{self.path}/cells")
-
-    def append_log(
-        self, log: DataFrame, cells_per_file: int = CELLS_PER_FILE
-    ) -> None:
+        bounds, family = _read_meta(self.spark, prepared_path)
+        if bounds != self.bounds:
+            raise ValueError("files were prepared for other region bounds")
+        if family != self.family:
+            raise ValueError(f"files were prepared for the family {family!r}")
+        if prepared_path in self.adopted():
+            raise ValueError(f"{prepared_path} was adopted before")
+        _append_line(self.spark, f"{self.path}/adopted", prepared_path)
+
+    def append_log(self, log: DataFrame, file_bytes: int = FILE_BYTES) -> None:
         """Append ready log rows (puts and tombstones); regions are set here."""
         placed = log.withColumn("region", self.region()).to(CELL_SCHEMA)
-        sizes = region_sizes(placed)
+        size = octets([F.col("row_key"), F.col("value")])
+        sizes = region_sizes(placed.select("region", size.alias("bytes")))
         if None in sizes:
-            raise ValueError(f"{sizes[None]} log rows have a null or empty row key")
-        _append(by_region(placed, sizes, cells_per_file), f"{self.path}/cells")
+            raise ValueError(f"{sizes[None].rows} log rows have a null or empty row key")
+        _append(by_region(placed, sizes, file_bytes), f"{self.path}/cells")
 
 
 def prepare_cells(
     records: DataFrame,
     key: str,
+    bounds: Bounds,
     fields: str | Sequence[str] | None = None,
-    bounds: Bounds = REGION_BOUNDS,
     family: str = FAMILY,
     ts: int | None = None,
     seq: int | None = None,
     allow_rejects: bool = False,
-    cells_per_file: int = CELLS_PER_FILE,
-) -> DataFrame:
-    """Records as log rows, placed by region.
+    file_bytes: int = FILE_BYTES,
+) -> tuple[DataFrame, int]:
+    """Records as log rows, placed by region, and the number of rejected records.
 
-    A first pass over the key column counts the rows per region and those
-    without a usable key; the second explodes and places. `fields`
-    defaults to every column.
+    A first pass measures the regions and counts the records without a usable
+    key; the second explodes and places. `fields` defaults to every column.
     """
     names = column_list(fields or records.columns)
     if key not in records.columns:
         raise ValueError(f"no key column {key!r} in {records.columns}")
-    region = region_of("row_key", bounds)
-    row_keys = records.select(F.col(named(key)).cast("string").alias("row_key"))
-    sizes = region_sizes(row_keys.select(region.alias("region")))
-    rejects = sizes.pop(None, 0)
+    row_key = F.col(named(key)).cast("string")
+    # Every cell repeats the key.
+    size = octets([F.col(named(name)) for name in names]) + octets([row_key]) * len(names)
+    measured = records.select(row_key.alias("row_key"), size.alias("bytes"))
+    sizes = region_sizes(measured.select(region_of("row_key", bounds).alias("region"), "bytes"))
+    rejects = sizes.pop(None, RegionSize(0, 0)).rows
     if rejects and not allow_rejects:
         raise ValueError(f"{rejects} rows have a null or empty row key")
     storable, _ = C.split_rejects(records, key)
     cells = C.stamp(
         C.row_to_cells(storable, key, names),
         *_stamp(ts, seq),
-        region,
+        region_of("row_key", bounds),
         family,
     )
-    sizes = {region: rows * len(names) for region, rows in sizes.items()}
-    return by_region(cells, sizes, cells_per_file)
+    return by_region(cells, sizes, file_bytes), rejects
 
 
 def bulk_files(
-    records: DataFrame, path: str, key: str, *args, **options
-) -> None:
-    """Write the files of a bulk load: one sorted file set per region.
+    records: DataFrame,
+    path: str,
+    key: str,
+    fields: str | Sequence[str] | None,
+    bounds: Bounds,
+    family: str = FAMILY,
+    **options,
+) -> int:
+    """Write the files of a bulk load: a sorted file set per region, in a new folder.
 
-    Arguments as in `prepare_cells`. Nothing reads them until they are adopted.
+    Further arguments as in `prepare_cells`. Bounds and family are kept beside the
+    files; nothing reads them until they are adopted. Returns the number of
+    rejected records.
     """
-    _append(prepare_cells(records, key, *args, **options), path, PUT)
+    prepared, rejects = prepare_cells(records, key, bounds, fields, family, **options)
+    _write_meta(records.sparkSession, path, bounds, family)
+    _append(prepared, f"{path}/cells", PUT)
+    return rejects
+
+
+def _write_meta(spark: SparkSession, path: str, bounds: Bounds, family: str) -> None:
+    """What a folder was made for; an existing folder is an error."""
+    meta = json.dumps({"bounds": list(bounds), "family": family})
+    spark.range(1).select(F.lit(meta).alias("value")).write.mode("error").text(f"{path}/meta")
+    _append_line(spark, f"{path}/adopted", "")
+
+
+def _read_meta(spark: SparkSession, path: str) -> tuple[tuple, str]:
+    meta = json.loads(spark.read.text(f"{path}/meta").first()["value"])
+    return tuple(meta["bounds"]), meta["family"]
+
+
+def _append_line(spark: SparkSession, path: str, line: str) -> None:
+    spark.range(1).select(F.lit(line).alias("value")).write.mode("append").text(path)
 
 
 def _stamp(ts: int | None, seq: int | None) -> tuple[int, int]:

@@ -5,7 +5,9 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from cellframe.operators.pacing import batch_plan, batch_size, deliver, send_in_batches
+from cellframe.operators.pacing import (
+    batch_plan, batch_seconds, batch_size, deliver, send_in_batches, sending_tasks,
+)
 from conftest import rows
 
 
@@ -27,8 +29,64 @@ def test_batch_size_is_the_shared_rate():
     assert batch_size(2000, 3) == 666
     assert batch_size(5, 8) == 1
     assert batch_size(2000, 0) == 2000
-    with pytest.raises(ValueError):
-        batch_size(2001, 1)
+
+
+def test_never_more_tasks_than_rows_a_second():
+    assert sending_tasks(2000, 8) == 8
+    assert sending_tasks(3, 8) == 3
+    assert sending_tasks(9000, 8, max_rate=10_000) == 8
+    for rate in (2001, 0):
+        with pytest.raises(ValueError):
+            sending_tasks(rate, 1)
+    for rate, workers in ((2000, 8), (3, 8), (7, 5), (1, 1)):
+        tasks = sending_tasks(rate, workers)
+        size = batch_size(rate, tasks)
+        assert size * tasks / batch_seconds(rate, tasks, size) <= rate + 1e-9
+
+
+def test_a_batch_lasts_its_time():
+    sink, slept, now = Recorder(), [], [0.0]
+
+    def sleep(seconds):
+        slept.append(seconds)
+        now[0] += seconds
+
+    send_in_batches(range(9), lambda: sink, 3, 0.5, sleep, 2.0, lambda: now[0])
+    assert slept == [2.0, 2.0, 2.0]
+
+
+@pytest.mark.parametrize("rate, rows_sent, partitions", [(4, 12, 16), (60, 240, 24)])
+def test_the_rate_holds_with_more_partitions_than_rate(spark, tmp_path, rate, rows_sent, partitions):
+    folder = str(tmp_path)
+
+    class Counting:
+        """Writes the time of every batch to a file of its own."""
+
+        def __init__(self):
+            import uuid
+
+            self.file = open(f"{folder}/{uuid.uuid4().hex}", "w")
+
+        def send(self, batch):
+            import time
+
+            self.file.write(f"{time.time()} {len(batch)}\n")
+
+        def close(self):
+            self.file.close()
+
+    df = spark.range(0, rows_sent, 1, partitions).select(F.col("id").cast("string").alias("k"))
+    totals = deliver(df, Counting, rate=rate)
+    assert totals["records"] == rows_sent
+    sent = sorted(
+        (float(t), int(n)) for f in tmp_path.iterdir()
+        for t, n in (line.split() for line in f.read_text().splitlines())
+    )
+    # In any second and a bit, no more than two seconds' worth begins.
+    for i, (start, _) in enumerate(sent):
+        assert sum(n for t, n in sent[i:] if t < start + 0.95) <= 2 * rate
+    span = sent[-1][0] - sent[0][0]
+    assert rows_sent - rate <= rate * (span + 1)
 
 
 @pytest.mark.parametrize("n, totals", [(0, (0, 0, 0)), (3, (3, 1, 0)), (4, (4, 1, 1)),

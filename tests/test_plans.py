@@ -6,6 +6,7 @@ import re
 
 import pytest
 
+from cellframe.model import REGION_BOUNDS
 from cellframe.operators import scan
 from cellframe.operators.cells import row_to_cells
 from cellframe.operators.nest import nest_orders
@@ -24,7 +25,7 @@ def plan(df):
 @pytest.fixture(scope="module")
 def log(spark, tmp_path_factory):
     path = str(tmp_path_factory.mktemp("plans") / "table")
-    table = CellTable.create(spark, path)
+    table = CellTable.create(spark, path, REGION_BOUNDS)
     rows = spark.createDataFrame([("1", "x"), ("2", "y")], "id string, a string")
     table.put(rows, "id", ts=5)
     table.delete(spark.createDataFrame([("2",)], "row_key string"), ts=6)
@@ -73,6 +74,39 @@ def test_get_prunes_regions_and_key_range(spark, log):
     assert "GreaterThanOrEqual(row_key,1)" in text
 
 
+def test_a_large_key_list_still_filters_the_cells(spark, log):
+    keys = spark.createDataFrame([("1",), ("2",)], "row_key string")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        text = plan(scan.get_rows(log.cells(), keys, "id, a", bounds=log.bounds))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "LeftSemi" in text and text.index("partial_max") < text.index("LeftSemi")
+
+
+@pytest.mark.parametrize("threshold, trimmed", [(1000, True), (2, False)])
+def test_the_trim_setting_is_read(spark, log, threshold, trimmed):
+    setting = scan.TRIM_SETTING
+    before = spark.conf.get(setting)
+    try:
+        spark.conf.set(setting, str(threshold))
+        text = plan(scan.versions(log.cells(), 3))
+    finally:
+        spark.conf.set(setting, before)
+    assert ("WindowGroupLimit" in text) == trimmed
+    assert ("part#" in text or "part " in text) or trimmed
+
+
+def test_a_stored_log_prunes_folders_and_runs(spark):
+    from cellframe.plans.queries import q_stored_time_range
+
+    text = plan(q_stored_time_range(spark, SMALL))
+    puts, stones = re.findall(r"PushedFilters: \[(.*?)\], ReadSchema", text)
+    assert "LessThan(ts," in puts and "GreaterThanOrEqual(ts," in stones
+    assert re.search(r"PartitionFilters: \[isnotnull\(kind#\d+\), \(kind#\d+ = P\)", text)
+
+
 def test_nesting_is_one_exchange_over_only_the_needed_columns(spark):
     lines = spark.read.parquet(f"{SMALL}/orders.parquet").selectExpr(
         "cast(o_orderkey as string) Invoice", *[

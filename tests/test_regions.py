@@ -6,7 +6,10 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from cellframe.functions.regions import bounds_from, region_count, region_of
+from cellframe.functions.regions import (
+    bounds_from, region_count, region_of, text_bounds_from,
+)
+from cellframe.model import REGION_BOUNDS
 from cellframe.operators.layout import by_region, region_sizes
 from cellframe.sinks.table import CellTable, bulk_files
 from conftest import rows
@@ -79,7 +82,8 @@ def test_bounds_from_data_cut_evenly(spark):
     bounds = bounds_from(keys, "k", 8)
     assert len(bounds) == 7
     sizes = region_sizes(keys.select(region_of("k", bounds).alias("region")))
-    assert max(sizes.values()) < 1.1 * min(sizes.values())
+    counts = [s.rows for s in sizes.values()]
+    assert max(counts) < 1.1 * min(counts)
     with pytest.raises(ValueError):
         bounds_from(spark.createDataFrame([("x",)], "k string"), "k", 4)
 
@@ -113,8 +117,8 @@ def files_in_order(spark, path):
 
 def test_one_sorted_file_per_region(spark, tmp_path):
     path = str(tmp_path / "files")
-    bulk_files(records(spark, 3000).repartition(5), path, "Invoice", ts=1)
-    files = files_in_order(spark, path)
+    bulk_files(records(spark, 3000).repartition(5), path, "Invoice", None, REGION_BOUNDS, ts=1)
+    files = files_in_order(spark, f"{path}/cells")
     assert all(f["in_order"] for f in files)
     assert len({f["region"] for f in files}) == len(files)
     assert sum(f["cells"] for f in files) == 6000
@@ -122,32 +126,70 @@ def test_one_sorted_file_per_region(spark, tmp_path):
 
 def test_big_region_is_split_into_sorted_files(spark, tmp_path):
     path = str(tmp_path / "files")
-    bulk_files(records(spark, 6000).repartition(8), path, "Invoice", ts=1,
-               cells_per_file=500)
-    files = files_in_order(spark, path)
+    bulk_files(records(spark, 6000).repartition(8), path, "Invoice", None, REGION_BOUNDS,
+               ts=1, file_bytes=8000)
+    files = files_in_order(spark, f"{path}/cells")
     assert all(f["in_order"] for f in files)
     assert sum(f["cells"] for f in files) == 12000
     # The hot key alone has 4000 cells; no file holds nearly that many.
     assert max(f["cells"] for f in files) < 1500
-    assert rows(spark.read.parquet(path).select("value").where("qualifier = 'orders'")) \
-        == rows(records(spark, 6000).select("orders"))
 
 
-def test_task_i_holds_region_i(spark):
+def test_files_of_a_big_region_are_key_ranges(spark, tmp_path):
+    path = str(tmp_path / "files")
+    docs = spark.range(5000).selectExpr("CAST(500000 + id AS STRING) AS k", "repeat('x', 50) AS v")
+    bulk_files(docs.repartition(6), path, "k", None, [100, 900000], ts=1, file_bytes=40_000)
+    ranges = sorted(
+        (r["low"], r["high"]) for r in spark.read.parquet(f"{path}/cells")
+        .groupBy(F.col("_metadata.file_path")).agg(
+            F.min("row_key").alias("low"), F.max("row_key").alias("high")).collect()
+    )
+    assert len(ranges) > 5
+    assert all(a[1] < b[0] for a, b in zip(ranges, ranges[1:]))
+
+
+def test_one_row_in_a_table_of_thousands_of_regions(spark, tmp_path):
+    import time
+
+    table = CellTable.create(spark, str(tmp_path / "t"), list(range(1000, 61_000, 20)))
+    row = spark.createDataFrame([("60970", "x")], "k string, v string")
+    start = time.time()
+    table.put(row, "k", ts=1)
+    assert time.time() - start < 6
+    assert table.cells().select("region").distinct().collect()[0][0] == 2999
+    from cellframe.sinks.table import prepare_cells
+
+    cells, _ = prepare_cells(row, "k", table.bounds)
+    assert cells.rdd.getNumPartitions() == 1
+
+
+def test_text_bounds_from_data(spark):
+    keys = spark.range(5000).select(F.concat(F.lit("k"), F.lpad(F.col("id").cast("string"), 5, "0")).alias("k"))
+    bounds = text_bounds_from(keys, "k", 100)
+    assert len(bounds) == 99 and bounds == sorted(bounds)
+    counts = keys.groupBy(region_of("k", bounds).alias("r")).count().collect()
+    assert len(counts) == 100 and max(r["count"] for r in counts) < 3 * 50
+    for key, region in keys.limit(200).select("k", region_of("k", bounds)).collect():
+        assert region == sum(key >= b for b in bounds)
+
+@pytest.mark.parametrize("absent", [[], [0, 3]])
+def test_a_task_for_each_region_that_is_there(spark, absent):
     cells = records(spark, 900).select(
         F.col("Invoice").alias("row_key"), F.lit("q").alias("qualifier"),
         region_of("Invoice").alias("region"),
-    )
+    ).where(~F.col("region").isin(absent))
     placed = by_region(cells, region_sizes(cells))
-    found = placed.select("region", F.spark_partition_id().alias("task")).distinct()
-    assert all(r["region"] == r["task"] for r in found.collect())
+    found = placed.select("region", F.spark_partition_id().alias("task")).distinct().collect()
+    present = sorted(r["region"] for r in found)
+    assert len(found) == len(set(present)) == placed.rdd.getNumPartitions()
+    assert all(present[r["task"]] == r["region"] for r in found)
 
 
 def test_bad_keys_are_reported_and_can_be_left_out(spark, tmp_path):
     bad = spark.createDataFrame(
         [("1", "a"), ("", "b"), (None, "c")], "Invoice string, orders string"
     )
-    table = CellTable.create(spark, str(tmp_path / "t"))
+    table = CellTable.create(spark, str(tmp_path / "t"), REGION_BOUNDS)
     with pytest.raises(ValueError, match="2 rows"):
         table.put(bad, "Invoice", ts=1)
     assert table.cells().count() == 0
@@ -156,7 +198,7 @@ def test_bad_keys_are_reported_and_can_be_left_out(spark, tmp_path):
 
 
 def test_files_lie_in_kind_and_region_folders(spark, tmp_path, keys_of):
-    table = CellTable.create(spark, str(tmp_path / "t"))
+    table = CellTable.create(spark, str(tmp_path / "t"), REGION_BOUNDS)
     table.put(records(spark, 30), "Invoice", ts=1)
     table.delete(keys_of("500000"), ts=2)
     folders = set(os.listdir(tmp_path / "t" / "cells"))

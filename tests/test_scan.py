@@ -227,13 +227,14 @@ def test_random_logs_match_the_model(log_of, keys_of, seed):
     )
 
 
-def test_wide_paths_agree_with_narrow_ones(spark, log_of, keys_of, monkeypatch):
+def test_wide_paths_agree_with_narrow_ones(spark, log_of, keys_of):
     """Without any broadcast, and with versions trimmed part by part."""
     data = random_log(99)
     log = log_of(*data).cache()
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    monkeypatch.setattr(scan, "TRIMMED_VERSIONS", 1)
+    trims = spark.conf.get(scan.TRIM_SETTING)
+    spark.conf.set(scan.TRIM_SETTING, "1")
     try:
         assert rows(scan.versions(log, 3).drop("family")) == model_versions(
             model_live(data), 3
@@ -245,6 +246,23 @@ def test_wide_paths_agree_with_narrow_ones(spark, log_of, keys_of, monkeypatch):
         )
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+        spark.conf.set(scan.TRIM_SETTING, trims)
+
+
+@pytest.mark.parametrize("n", [1, 2, 5])
+def test_versions_in_a_range_of_some_columns(log_of, n):
+    """Puts outside the range are not counted; later tombstones still mask."""
+    data = random_log(41)
+    log = log_of(*data).cache()
+    start, end = 20, 70
+    live = [r for r in model_live(data) if start <= r[3] < end and r[1] == "a"]
+    found = scan.versions(log, n, "k, a", start, end, "order")
+    assert rows(found.drop("family")) == model_versions(live, n)
+
+
+def test_versions_of_a_deleted_row(log_of):
+    log = log_of(("1", "a", "x", 5), ("1", "a", "y", 6), ("1", None, None, 90))
+    assert rows(scan.versions(log, 3, "k, a", 0, 10)) == []
 
 
 def test_limits_of_ranges_are_the_latest_scan(log_of):

@@ -3,6 +3,7 @@
 import pytest
 
 from cellframe import __main__ as cli
+from cellframe.model import REGION_BOUNDS
 from cellframe.operators import scan
 from cellframe.plans import jobs
 from cellframe.sinks.table import CellTable, bulk_files
@@ -20,7 +21,7 @@ def docs(spark):
 
 @pytest.fixture
 def table(spark, tmp_path):
-    return CellTable.create(spark, str(tmp_path / "table"))
+    return CellTable.create(spark, str(tmp_path / "table"), REGION_BOUNDS)
 
 
 def blanked(records):
@@ -30,7 +31,7 @@ def blanked(records):
 def test_new_table_is_empty_and_never_replaced(spark, table):
     assert rows(scan.latest(table.cells(), COLS)) == []
     with pytest.raises(Exception, match="(?i)exist"):
-        CellTable.create(spark, table.path)
+        CellTable.create(spark, table.path, REGION_BOUNDS)
     assert CellTable.open(spark, table.path) == table
 
 
@@ -71,30 +72,80 @@ def test_delete_equals_anti_join(table, docs, keys_of):
 
 
 def test_bulk_load_equals_put(spark, tmp_path, table, docs):
-    bulk_files(docs, str(tmp_path / "files"), "Invoice", COLS, ts=5)
+    bulk_files(docs, str(tmp_path / "files"), "Invoice", COLS, REGION_BOUNDS, ts=5)
     assert scan.latest(table.cells(), COLS).count() == 0
     table.adopt(str(tmp_path / "files"))
-    put = CellTable.create(spark, str(tmp_path / "put"))
+    put = CellTable.create(spark, str(tmp_path / "put"), REGION_BOUNDS)
     put.put(docs, "Invoice", COLS, ts=5)
     assert rows(table.cells().drop("seq")) == rows(put.cells().drop("seq"))
 
 
 def test_files_for_other_bounds_are_refused(spark, tmp_path, table, docs):
-    bulk_files(docs, str(tmp_path / "files"), "Invoice", COLS, bounds=[600000], ts=5)
-    with pytest.raises(Exception, match="other region bounds"):
-        table.adopt(str(tmp_path / "files"))
+    path = str(tmp_path / "files")
+    bulk_files(docs, path, "Invoice", COLS, [600000], ts=5)
+    with pytest.raises(ValueError, match="other region bounds"):
+        table.adopt(path)
+    with pytest.raises(Exception, match="(?i)exist"):
+        bulk_files(docs, path, "Invoice", COLS, [600000], ts=5)
     assert table.cells().count() == 0
 
 
-def test_adopted_files_stay_sorted(spark, tmp_path, table):
+def test_files_of_another_family_are_refused(spark, tmp_path, table, docs):
+    bulk_files(docs, str(tmp_path / "f"), "Invoice", COLS, REGION_BOUNDS, "other", ts=5)
+    with pytest.raises(ValueError, match="family"):
+        table.adopt(str(tmp_path / "f"))
+
+
+def test_adoption_reads_and_writes_no_cell(spark, tmp_path, table, docs):
     from test_regions import files_in_order, records
 
-    bulk_files(records(spark, 4000).repartition(4), str(tmp_path / "f"), "Invoice",
-               ts=1, cells_per_file=700)
-    table.adopt(str(tmp_path / "f"))
-    files = files_in_order(spark, f"{table.path}/cells")
+    path = str(tmp_path / "f")
+    bulk_files(records(spark, 4000).repartition(4), path, "Invoice", None, REGION_BOUNDS,
+               ts=1, file_bytes=7000)
+    files = files_in_order(spark, f"{path}/cells")
     assert sum(f["cells"] for f in files) == 8000
     assert all(f["in_order"] for f in files)
+    table.put(docs, "Invoice", ts=2)
+    table.adopt(path)
+    assert table.adopted() == [path]
+    assert files_in_order(spark, f"{path}/cells") and table.cells().count() == 8000 + 7
+    assert spark.read.parquet(f"{table.path}/cells").count() == 7
+    with pytest.raises(ValueError, match="before"):
+        table.adopt(path)
+    table.delete(spark.createDataFrame([("500000",)], "row_key string"), ts=3)
+    keys = {r[0] for r in scan.latest(table.cells(), "Invoice").collect()}
+    assert "500000" not in keys and "498579" in keys
+
+
+def test_rejected_records_are_returned(spark, tmp_path, table):
+    records = spark.createDataFrame([("1", "a"), ("", "b"), (None, "c")], "k string, v string")
+    with pytest.raises(ValueError, match="2 rows"):
+        table.put(records, "k")
+    assert table.put(records, "k", rejects_path=str(tmp_path / "r"), ts=1) == 2
+    assert rows(spark.read.parquet(str(tmp_path / "r"))) == [("", "b"), (None, "c")]
+    assert rows(scan.latest(table.cells(), "k, v")) == [("1", "a")]
+
+
+def test_a_snapshot_does_not_change(spark, table, docs):
+    assert table.last_commit() == 0
+    table.put(docs, "Invoice", ts=50, seq=7)
+    image = rows(scan.snapshot(table.cells(), COLS, table.last_commit()))
+    late = spark.createDataFrame([("C1", "back-dated"), ("9", "new")], docs.schema)
+    table.put(late, "Invoice", ts=60, seq=8)
+    table.put(late, "Invoice", ts=20, seq=9)
+    assert rows(scan.snapshot(table.cells(), COLS, 7)) == image == blanked(DOCS)
+    assert rows(scan.as_of(table.cells(), COLS, 50)) != image
+
+
+def test_odd_column_names(spark, tmp_path, table):
+    from cellframe.sinks.results import save_result
+
+    records = spark.createDataFrame([("1", "x", "y")], "k string, ` a ` string, `b``c` string")
+    table.put(records, "k", [" a ", "b`c"], ts=1)
+    found = scan.latest(table.cells(), ["k", " a ", "b`c", " a "])
+    assert rows(found) == [("1", "x", "y", "x")]
+    save_result(found, ["k", " a ", "b`c", " a "], str(tmp_path / "r"))
+    assert rows(spark.read.parquet(str(tmp_path / "r"))) == [("1", "x", "y")]
 
 
 def test_get_uses_the_regions_of_the_table(table, docs, keys_of):
@@ -124,7 +175,8 @@ def test_the_whole_chain_by_command_line(spark, tmp_path):
                   "--start", "0", "--end", "2000"])
 
     # main() joins the running session.
-    cli.main(["create-table", "--table-path", path["table"]])
+    cli.main(["create-table", "--table-path", path["table"],
+              "--bounds", "490000, 500000"])
     cli.main(["write-sales", "--source-path", source, "--table-path", path["table"],
               "--ts", "1000"])
     read_all("table", "scan", "range", "get")
@@ -158,7 +210,29 @@ def test_read_job_checks_its_range_before_it_writes(spark, tmp_path, table):
 
 def test_null_invoice_is_rejected_by_the_write_job(spark, tmp_path, table):
     source = csv(tmp_path, ",A,d,1,t,2,7,UK", "1,B,e,1,t,3,,FR")
-    with pytest.raises(ValueError, match="1 rows"):
+    with pytest.raises(ValueError, match="1 lines"):
         jobs.write_sales(spark, source, table.path)
-    jobs.write_sales(spark, source, table.path, allow_rejects=True)
+    left = str(tmp_path / "left")
+    assert jobs.write_sales(spark, source, table.path, rejects_path=left) == 1
+    assert rows(spark.read.parquet(left).select("Invoice", "StockCode")) == [(None, "A")]
     assert rows(scan.latest(table.cells(), COLS).select("Invoice")) == [("1",)]
+
+
+def test_lines_without_invoice_are_never_nested(spark, tmp_path, table, monkeypatch):
+    """What is written in between holds no null group, and is gone afterwards."""
+    source = csv(tmp_path, *[f",A,d,{i},t,2,7,UK" for i in range(50)], "1,B,e,1,t,3,,FR")
+    shared = tmp_path / "shared"
+    monkeypatch.setattr("cellframe.functions.sizing.scratch_dir", lambda _, name: f"{shared}/{name}")
+    shared.mkdir()
+    seen = []
+    put = CellTable.put
+
+    def spy(self, records, *args, **options):
+        assert len(list(shared.iterdir())) == 1
+        seen.append(rows(records.select("Invoice")))
+        return put(self, records, *args, **options)
+
+    monkeypatch.setattr(CellTable, "put", spy)
+    assert jobs.write_sales(spark, source, table.path, allow_rejects=True) == 50
+    assert seen == [[("1",)]]
+    assert list(shared.iterdir()) == []
