@@ -15,9 +15,9 @@ one-deletion neighbourhood takes the place of them all.
 
 Selections meet in buckets of their hash: numpy arrays travel, not rows. A
 bucket yields candidate pairs; a subset shared by more than `STAR` sets first
-yields a star around its smallest set. Of all candidates, every set is verified
-first against the smallest; after these links are known, all candidates and all
-pairs of sets with a common subset that are not connected yet. So groups of near
+yields a star around one of them. The stars and one candidate of every other set
+are verified first; after these links are known, all candidates and all pairs of
+sets with a common subset that are not connected yet. So groups of near
 copies never become all pairs, and no link between components is lost. Parities of
 token counts in hashed cells bound the difference of two sets from below: what
 they do not rule out is verified on the whole sets.
@@ -55,8 +55,9 @@ BUCKET_SUBSETS = 1_500_000
 SHORT, TOKEN_BYTES = 5, 6
 # Sets that may share a subset before it is paired in two rounds.
 STAR = 16
-# Members of a subset that are compared with each other at once.
-PART = 2048
+# Members of a subset that are compared with each other at once; members of all
+# subsets of a lot.
+PART, LOT = 2048, 150_000
 # A token in this many documents of a batch counts as heavy; so many are kept.
 # Heavy tokens steer the order only: results do not depend on them.
 HEAVY_IN_BATCH = 8
@@ -176,8 +177,12 @@ def _selections(docs: DataFrame, heavy: np.ndarray, buckets: int, seed: int) ->
 
 
 def _meetings(node: np.ndarray, entries: np.ndarray) -> Iterator[list]:
-    """The candidates of one bucket: (a, b, subset); b null: member a of a subset
-    that is paired in two rounds."""
+    """The candidates of one bucket: (a, b, subset). Subset 0: a pair; 1: a pair of a
+    star; b null: member a of a subset that is paired in two rounds.
+
+    A star stands around the member that most large subsets of the bucket hold: the
+    original of a group of near copies has all that any of them has kept.
+    """
     subset = from_low_bytes(entries)
     order = np.lexsort((node, subset))
     node, subset = node[order], subset[order]
@@ -190,15 +195,25 @@ def _meetings(node: np.ndarray, entries: np.ndarray) -> Iterator[list]:
         group = node[starts[sizes == size][:, None] + np.arange(size)]
         i, j = np.triu_indices(size, 1)
         pairs.append(np.stack([group[:, i].ravel(), group[:, j].ravel()], axis=1))
-    for at in np.flatnonzero(sizes > STAR).tolist():
-        group = node[starts[at] : starts[at] + sizes[at]]
-        pairs.append(np.stack([np.full(len(group) - 1, group[0]), group[1:]], axis=1))
+    groups = [node[starts[at] : starts[at] + sizes[at]] for at in np.flatnonzero(sizes > STAR)]
+    stars = [np.zeros((0, 2), np.int64)]
+    if groups:
+        names, place, times = np.unique(
+            np.concatenate(groups), return_inverse=True, return_counts=True
+        )
+        ends = np.cumsum([len(g) for g in groups])
+        for group, places in zip(groups, np.split(times[place], ends[:-1])):
+            centre = group[places.argmax()]
+            rest = group[group != centre]
+            stars.append(np.sort(np.stack([np.full(len(rest), centre), rest], axis=1), axis=1))
+    for at, group in zip(np.flatnonzero(sizes > STAR).tolist(), groups):
         yield [
             group, pa.nulls(len(group), pa.int64()),
             np.full(len(group), subset[starts[at]].astype(np.int64)),
         ]
-    found = np.unique(np.concatenate(pairs), axis=0)
-    yield [found[:, 0], found[:, 1], np.zeros(len(found), np.int64)]
+    for kind, some in ((0, pairs), (1, stars)):
+        found = np.unique(np.concatenate(some), axis=0)
+        yield [found[:, 0], found[:, 1], np.full(len(found), kind, np.int64)]
 
 
 def parity(tokens: np.ndarray) -> np.ndarray:
@@ -247,28 +262,29 @@ def _sets_of(docs: DataFrame, wanted: DataFrame, seed: int) -> DataFrame:
 
 
 def _both(pairs: DataFrame, sets: DataFrame, *columns: str) -> DataFrame:
-    """Pairs (a, b) with columns of their sets."""
+    """Pairs (a, b and more) with columns of their sets."""
+    own = pairs.columns
     for end in ("a", "b"):
         names = [end, *(f"{end}_{c}" for c in columns)]
         pairs = pairs.join(sets.select("node", *columns).toDF(*names), end)
-    return pairs.select("a", "b", *[f"{e}_{c}" for c in columns for e in ("a", "b")])
+    return pairs.select(*own, *[f"{e}_{c}" for c in columns for e in ("a", "b")])
 
 
 def _possible(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs that their parities do not rule out."""
+    """The pairs (a, b, star) that their parities do not rule out."""
 
-    def run(a: list, b: list, m: list, n: list, x: list, y: list) -> list[list]:
-        out: list[list] = [[], []]
-        for i, j, size, bits, other in zip(a, b, map(sum, zip(m, n)), x, y):
+    def run(a: list, b: list, star: list, m: list, n: list, x: list, y: list) -> list[list]:
+        out: list[list] = [[], [], []]
+        for i, j, s, size, bits, other in zip(a, b, star, map(sum, zip(m, n)), x, y):
             bits, other = np.frombuffer(bits, np.uint64), np.frombuffer(other, np.uint64)
             width = min(len(bits), len(other))
             differ = np.bitwise_count(folded(bits, width) ^ folded(other, width))
             if int(differ.sum(dtype=np.int64)) <= size // 7:
-                out[0].append(i)
-                out[1].append(j)
+                for column, value in zip(out, (i, j, s)):
+                    column.append(value)
         return out
 
-    return map_columns(_both(pairs, sets, "n", "bits"), "a long, b long", run)
+    return map_columns(_both(pairs, sets, "n", "bits"), "a long, b long, star long", run)
 
 
 def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -303,7 +319,7 @@ def _apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
     )
 
 
-def _between(left: list[tuple], right: list[tuple] | None) -> tuple[np.ndarray, np.ndarray]:
+def _between(left: list[tuple], right: list[tuple] | None) -> np.ndarray:
     """Possible pairs between members (node, component, n, bits) of two parts of a
     subset, or within one part, that are in different components."""
     members = left + (right or [])
@@ -320,62 +336,71 @@ def _between(left: list[tuple], right: list[tuple] | None) -> tuple[np.ndarray,
         good &= of[rows, None] != of[None, first]
         i, j = np.nonzero(good)
         found.append(np.stack([nodes[rows[i]], nodes[first[j]]], axis=1))
-    pairs = np.sort(np.concatenate(found), axis=1)
-    pairs = np.unique(pairs, axis=0)
-    return pairs[:, 0], pairs[:, 1]
+    return np.unique(np.sort(np.concatenate(found), axis=1), axis=0)
 
 
 def _later_pairs(members: DataFrame, labels: DataFrame, sets: DataFrame) -> DataFrame:
     """Possible pairs between members of a subset that are still in different
-    components. A large subset is dealt in parts, part against part."""
+    components.
+
+    Subsets are dealt in lots: a member travels once a lot with its parities and
+    the subsets it has there, and a pair that shares several of them comes out
+    once. Where a subset is large, members are dealt in parts, part against part.
+    """
     labelled = members.join(labels, members["a"] == labels["node"], "left").select(
         "subset", "a", F.coalesce("component", "a").alias("component")
     )
-    open_subsets = (
-        labelled.groupBy("subset").agg(
-            F.min("component").alias("low"), F.max("component").alias("high"),
-            F.ceil(F.count("*") / PART).alias("parts"),
-        )
-        .where("low <> high").select("subset", "parts")
-    )
-    part = F.pmod(F.xxhash64("a"), F.col("parts"))
+    open_subsets = labelled.groupBy("subset").agg(
+        F.min("component").alias("low"), F.max("component").alias("high"),
+        F.count("*").alias("size"),
+    ).where("low <> high")
+    total, largest = open_subsets.agg(F.sum("size"), F.max("size")).first()
+    lots = -(-(total or 0) // LOT) or 1
+    parts = -(-(largest or 0) // PART) or 1
     dealt = (
-        labelled.join(open_subsets, "subset")
-        .withColumn("part", part)
-        .withColumn("other", F.explode(F.expr("sequence(0L, parts - 1)")))
+        labelled.join(open_subsets.select("subset"), "subset")
+        .groupBy(F.pmod(F.xxhash64("subset"), F.lit(lots)).alias("lot"), "a", "component")
+        .agg(F.collect_list("subset").alias("subsets"))
+        .join(sets.select(F.col("node").alias("a"), "n", "bits"), "a")
+        .withColumn("part", F.pmod(F.xxhash64("a"), F.lit(parts)))
+        .withColumn("other", F.explode(F.expr(f"sequence(0L, {parts - 1}L)")))
         .selectExpr(
-            "subset", "least(part, other) AS low", "greatest(part, other) AS high",
-            "part", "a", "component",
+            "lot", "least(part, other) AS low", "greatest(part, other) AS high",
+            "part", "a", "component", "n", "bits", "subsets",
         )
-        .join(sets.select(F.col("node").alias("a"), "n", "bits"), "a")
-        .select("subset", "low", "high", "part", "a", "component", "n", "bits")
     )
-    keys = ["subset", "low", "high"]
-    dealt = dealt.repartition(*keys).sortWithinPartitions(*keys, "part")
+    keys = ["lot", "low", "high"]
+    dealt = dealt.repartition(*keys).sortWithinPartitions(*keys, "a")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, sides = None, ([], [])
+        at, sides = None, ({}, {})
 
         def pairs() -> pa.RecordBatch:
             left, right = sides
-            a, b = np.zeros(0, np.int64), np.zeros(0, np.int64)
-            if left and at[1] == at[2]:
-                a, b = _between(left, None)
-            elif left and right:
-                a, b = _between(left, right)
-            return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
+            found = [np.zeros((0, 2), np.int64)]
+            for subset, some in left.items():
+                if at[1] == at[2]:
+                    found.append(_between(some, None))
+                elif subset in right:
+                    found.append(_between(some, right[subset]))
+            unique = np.unique(np.concatenate(found), axis=0)
+            return pa.RecordBatch.from_arrays(
+                [pa.array(unique[:, i]) for i in (0, 1)], names=["a", "b"]
+            )
 
         for batch in batches:
-            for *key, part, node, component, n, bits in zip(
+            for *key, part, node, component, n, bits, subsets in zip(
                 *(c.to_pylist() for c in batch.columns)
             ):
                 if key != at:
-                    yield pairs()
-                    at, sides = key, ([], [])
-                sides[part != key[1]].append(
-                    (node, component, n, np.frombuffer(bits, np.uint64))
-                )
-        yield pairs()
+                    if at is not None:
+                        yield pairs()
+                    at, sides = key, ({}, {})
+                member = (node, component, n, np.frombuffer(bits, np.uint64))
+                for subset in subsets:
+                    sides[part != key[1]].setdefault(subset, []).append(member)
+        if at is not None:
+            yield pairs()
 
     return map_arrow(dealt, run, "a long, b long").distinct()
 
@@ -408,19 +433,21 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     met = scratch.write(
         each_bucket(packed, buckets, SHORT, _meetings, "a long, b long, subset long"), "met"
     )
-    pairs = met.where("b IS NOT NULL").select("a", "b").distinct()
+    pairs = met.where("b IS NOT NULL").groupBy("a", "b").agg(F.max("subset").alias("star"))
     ends = met.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     wanted = nodes.join(ends, "node", "left_semi").select(F.col("doc_id").alias("id"))
     tokens = scratch.write(_sets_of(docs, wanted, seed), "sets")
-    # First every set against the smallest of its candidates, which unites most
-    # groups; then all pairs that this has left apart.
+    # First the stars, and every set against the smallest of its other candidates,
+    # which unites most groups; then all pairs that this has left apart.
     pairs = scratch.write(_possible(pairs, tokens), "possible")
-    first = pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
+    first = pairs.where("star = 1").select("a", "b").unionByName(
+        pairs.where("star = 0").groupBy("b").agg(F.min("a").alias("a"))
+    ).distinct()
     found = scratch.write(_verified(first, tokens), "first")
     labels = connected_components(found)
     members = met.where("b IS NULL").select("subset", "a")
     later = scratch.write(
-        _apart(pairs, labels).unionByName(_later_pairs(members, labels, tokens)).distinct()
+        _apart(pairs.select("a", "b"), labels).unionByName(_later_pairs(members, labels, tokens)).distinct()
         .join(first, ["a", "b"], "left_anti"),
         "later",
     )
