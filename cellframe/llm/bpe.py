@@ -36,8 +36,8 @@ LEAF_BYTES = 32
 # Tokens decoded at once in a leaf of the decoding tree.
 LEAF_TOKENS = 4096
 # Entries a worker keeps of pieces and of chunks; a full cache starts anew.
-PIECES_KEPT = 800_000
-CHUNKS_KEPT = 300_000
+PIECES_KEPT = 400_000
+CHUNKS_KEPT = 200_000
 
 Ranks = dict[bytes, int]
 

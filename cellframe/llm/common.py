@@ -19,6 +19,9 @@ from cellframe.functions.sizing import scratch_dir
 # this is exactly what `bytes.split()` gives.
 WORD = r"[^\x20\x09-\x0D]+"
 
+# Rows that are Python objects at a time.
+BATCH_ROWS = 4096
+
 
 def words_of(text: str | None) -> list[bytes]:
     """The words of a text as UTF-8; none for null."""
@@ -56,10 +59,12 @@ def map_columns(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            columns = function(*[c.to_pylist() for c in batch.columns])
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, f.type) for c, f in zip(columns, arrow)], schema=arrow
-            )
+            for at in range(0, batch.num_rows, BATCH_ROWS):
+                part = batch.slice(at, BATCH_ROWS)
+                columns = function(*[c.to_pylist() for c in part.columns])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c, f.type) for c, f in zip(columns, arrow)], schema=arrow
+                )
 
     return map_arrow(df, run, struct)
 
