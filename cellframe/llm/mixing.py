@@ -28,7 +28,7 @@ from cellframe.llm.common import Scratch, same, word_count
 
 WEIGHTS = (3, 1, 2)
 BLOCK_WORDS = 32
-SHARD_DOCS = 20_000
+SHARD_DOCS = 2_000
 SEED = "mix-1"
 
 

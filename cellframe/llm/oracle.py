@@ -36,7 +36,7 @@ s0 AS (
   FROM d GROUP BY source),
 s1 AS (
   SELECT *, ([3, 1, 2])[((entry - 1) % 3 + 1)::INT] AS weight, 200 * source_size AS cap,
-         150 * sum(source_size) OVER () AS total, ceil(docs / 20000)::BIGINT AS shards
+         150 * sum(source_size) OVER () AS total, ceil(docs / 2000)::BIGINT AS shards
   FROM s0),
 s AS (
   SELECT *, CASE WHEN is_full THEN cap / 100
