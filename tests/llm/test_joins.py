@@ -58,6 +58,7 @@ def test_groups_above_the_star_size(spark, monkeypatch):
     """Members of a shared subset that the star does not unite are paired later."""
     monkeypatch.setattr(ngram_join, "STAR", 1)
     monkeypatch.setattr(ngram_join, "PART", 4)
+    monkeypatch.setattr(ngram_join, "LOT", 50)
     docs = corpus(5, 100)
     got = ngram_join.jaccard_components(frame(spark, docs)).collect()
     assert {r["doc_id"]: r["component_id"] for r in got} == {
@@ -178,3 +179,33 @@ def test_embeddings_without_ids_and_repeats(spark):
     assert got == sorted(
         [(None, 0, None, True), (3, 1, 3, True), (3, 1, 3, True), (4, 0, 4, True)], key=repr
     )
+
+
+def test_parities_bound_the_difference():
+    pick = np.random.default_rng(6)
+    for size in (1, 5, 60, 400, 3000):
+        a = np.unique(pick.integers(0, 2**63, size).astype(np.uint64))
+        b = np.unique(np.concatenate([
+            a[size // 5 :], pick.integers(0, 2**63, size // 4).astype(np.uint64)
+        ]))
+        x, y = ngram_join.parity(a), ngram_join.parity(b)
+        for width in {4, min(len(x), len(y))}:
+            bits = ngram_join.folded(x, width) ^ ngram_join.folded(y, width)
+            assert np.bitwise_count(bits).sum() <= len(np.setxor1d(a, b))
+
+
+def test_a_large_group_of_near_copies(spark):
+    """Copies of copies: groups of hundreds, of which some link to few others."""
+    pick = random.Random(7)
+    word = [f"w{i}" for i in range(5000)]
+    base = pick.choices(word, k=150)
+    docs = {0: " ".join(base)}
+    for i in range(1, 150):
+        own = list(base) if pick.random() < 0.6 else docs[pick.randrange(i)].split()
+        for _ in range(pick.randint(1, 7)):
+            own[pick.randrange(len(own))] = pick.choice(word)
+        docs[i] = " ".join(own)
+    got = ngram_join.jaccard_components(frame(spark, docs)).collect()
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got} == (
+        plain.jaccard_components(docs)
+    )
