@@ -93,6 +93,20 @@ def passes(filter_bits: np.ndarray, places: np.ndarray) -> np.ndarray:
     return (filter_bits[places >> 6] >> (places & 63)) & 1 == 1
 
 
+def matching(df: DataFrame, column: str, ids: DataFrame) -> DataFrame:
+    """The rows of a table that may have one of the `id`s, told before any shuffle."""
+    sent = df.sparkSession.sparkContext.broadcast(id_filter(ids))
+    place = F.pmod(F.xxhash64(column), F.lit(FILTER_BITS)).alias("filter_place")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            mask = passes(sent.value, batch.column(batch.num_columns - 1).to_numpy())
+            kept = batch.filter(pa.array(mask))
+            yield pa.RecordBatch.from_arrays(kept.columns[:-1], names=kept.schema.names[:-1])
+
+    return map_arrow(df.select(*df.columns, place), run, df.schema)
+
+
 def low_bytes(values: np.ndarray, count: int) -> np.ndarray:
     """The lowest `count` bytes of 64-bit numbers, one row each."""
     return values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :count]

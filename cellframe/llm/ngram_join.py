@@ -42,7 +42,8 @@ from pyspark.sql import functions as F
 from cellframe.llm.common import Scratch, map_arrow, map_columns
 from cellframe.llm.components import connected_components
 from cellframe.llm.exchange import (
-    FILTER_BITS, SCHEMA, each_bucket, from_low_bytes, id_filter, low_bytes, pack, passes,
+    FILTER_BITS, SCHEMA, each_bucket, from_low_bytes, id_filter, low_bytes, matching, pack,
+    passes,
 )
 from cellframe.llm.features import WordHash
 from cellframe.llm.shingles import mix, shingle_set
@@ -146,7 +147,8 @@ def set_profiles(docs: DataFrame, seed: int) -> DataFrame:
         return out
 
     return map_columns(
-        docs.select("doc_id", "text"), "doc_id long, n long, node long, check long", run
+        docs.select("doc_id", "text"), "doc_id long, n long, node long, check long", run,
+        [known],
     )
 
 
@@ -173,7 +175,7 @@ def _selections(docs: DataFrame, heavy: np.ndarray, buckets: int, seed: int) ->
         short = low_bytes(subsets >> np.uint64(24), SHORT)
         return pack(bucket, owner, np.array(nodes, np.int64), short)
 
-    return map_columns(docs.select("text"), SCHEMA, run)
+    return map_columns(docs.select("text"), SCHEMA, run, [known])
 
 
 def _meetings(node: np.ndarray, entries: np.ndarray) -> Iterator[list]:
@@ -257,7 +259,8 @@ def _sets_of(docs: DataFrame, wanted: DataFrame, seed: int) -> DataFrame:
 
     place = F.pmod(F.xxhash64("doc_id"), F.lit(FILTER_BITS))
     return map_columns(
-        docs.select(place, "text"), "node long, n int, bits binary, tokens binary", run
+        docs.select(place, "text"), "node long, n int, bits binary, tokens binary", run,
+        [known],
     )
 
 
@@ -290,8 +293,11 @@ def _possible(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs (a, b) that are similar.
 
-    Tokens are compared by 48 bits, a few thousand against a few thousand.
+    Only sets that are in a pair are shuffled. Tokens are compared by 48 bits, a
+    few thousand against a few thousand.
     """
+    ends = pairs.select(F.explode(F.array("a", "b")).alias("id"))
+    sets = matching(sets.select("node", "tokens"), "node", ends)
 
     def run(a: list, b: list, left: list, right: list) -> list[list]:
         out: list[list] = [[], []]
@@ -440,10 +446,10 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     # First the stars, and every set against the smallest of its other candidates,
     # which unites most groups; then all pairs that this has left apart.
     pairs = scratch.write(_possible(pairs, tokens), "possible")
-    first = pairs.where("star = 1").select("a", "b").unionByName(
+    first = scratch.write(pairs.where("star = 1").select("a", "b").unionByName(
         pairs.where("star = 0").groupBy("b").agg(F.min("a").alias("a"))
-    ).distinct()
-    found = scratch.write(_verified(first, tokens), "first")
+    ).distinct(), "first-pairs")
+    found = scratch.write(_verified(first, tokens), "first-links")
     labels = connected_components(found)
     members = met.where("b IS NULL").select("subset", "a")
     later = scratch.write(
