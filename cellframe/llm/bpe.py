@@ -11,7 +11,7 @@ associative since its result depends on the bytes alone.
 
 A text may be cut before any space that follows a character other than white
 space: the pattern lets a space only begin a piece. Those chunks are what the
-bounded cache of a Python worker keeps.
+bounded cache of a task keeps.
 
 Null text counts as empty: no tokens. Text of any length is one document in one
 task; work and memory grow with its length, long pieces included.
@@ -35,8 +35,8 @@ from cellframe.llm.common import map_columns
 LEAF_BYTES = 32
 # Tokens decoded at once in a leaf of the decoding tree.
 LEAF_TOKENS = 4096
-# Entries a worker keeps of pieces and of chunks; a full cache starts anew.
-PIECES_KEPT = 400_000
+# Entries a task keeps of pieces and of chunks; a full cache starts anew.
+PIECES_KEPT = 300_000
 CHUNKS_KEPT = 200_000
 
 Ranks = dict[bytes, int]
@@ -179,7 +179,7 @@ class Encoder:
         self._split = regex.compile(pattern).findall
         self._packed = {t: r.to_bytes(4, "little") for t, r in ranks.items()}
         self._pieces = _Cache(self._piece, PIECES_KEPT)
-        self._first = _Cache(self._chunk, CHUNKS_KEPT)
+        self._first = _Cache(self._chunk, CHUNKS_KEPT // 10)
         self._later = _Cache(lambda chunk: self._chunk(" " + chunk), CHUNKS_KEPT)
 
     def _piece(self, piece: str) -> bytes:
@@ -199,28 +199,33 @@ class Encoder:
         return decode(self.tokens, np.frombuffer(packed, "<u4").tolist())
 
 
-_encoders: dict[str, Encoder] = {}
+# The encoder that a worker process keeps from task to task, if asked to.
+_kept: dict[tuple[str, str], Encoder] = {}
 
 
-def _encoder(key: str, ranks: Callable[[], Ranks], pattern: str) -> Encoder:
-    """One encoder per worker process and tokenizer."""
-    if key not in _encoders:
-        _encoders[key] = Encoder(ranks(), pattern)
-    return _encoders[key]
+def _shared(
+    docs: DataFrame, path: str, pattern: str, keep: bool = False
+) -> tuple[Callable[[], Encoder], list]:
+    """The tokenizer of a task, and the list that holds it until the task ends. The
+    driver reads the file, whose size does not grow with the corpus, and sends its
+    ranks. `keep` lets a worker keep it for its next tasks: faster, for its memory."""
+    sent = docs.sparkSession.sparkContext.broadcast(read_ranks(path))
+    own: list[Encoder] = []
 
+    def encoder() -> Encoder:
+        if not own:
+            found = _kept.get((path, pattern)) or Encoder(sent.value, pattern)
+            if keep:
+                _kept[path, pattern] = found
+            own.append(found)
+        return own[0]
 
-def _shared(docs: DataFrame, path: str, pattern: str) -> Callable[[], Encoder]:
-    """The tokenizer for the tasks. The driver reads the file, whose size does
-    not grow with the corpus, and sends its ranks."""
-    ranks = read_ranks(path)
-    sent = docs.sparkSession.sparkContext.broadcast(ranks)
-    key = f"{path} {pattern} {len(ranks)}"
-    return lambda: _encoder(key, lambda: sent.value, pattern)
+    return encoder, own
 
 
 def encode_documents(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     """(doc_id, n_tokens, token_ids) of every document; whole texts."""
-    encoder = _shared(docs, path, pattern)
+    encoder, own = _shared(docs, path, pattern)
 
     def run(ids: list, texts: list) -> list[list]:
         packed = [encoder().encode(text or "") for text in texts]
@@ -231,38 +236,40 @@ def encode_documents(docs: DataFrame, path: str, pattern: str) -> DataFrame:
         docs.select("doc_id", "text"),
         "doc_id long, n_tokens long, token_ids array<int>",
         run,
+        [own],
     )
 
 
 def decode_documents(encoded: DataFrame, path: str, pattern: str) -> DataFrame:
     """(doc_id, text) from (doc_id, token_ids): the way back."""
-    encoder = _shared(encoded, path, pattern)
+    encoder, own = _shared(encoded, path, pattern)
 
     def run(ids: list, tokens: list) -> list[list]:
         table = encoder().tokens
         return [ids, [decode(table, t or []).decode(errors="replace") for t in tokens]]
 
     return map_columns(
-        encoded.select("doc_id", "token_ids"), "doc_id long, text string", run
+        encoded.select("doc_id", "token_ids"), "doc_id long, text string", run, [own]
     )
 
 
 def round_trip(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     """Encode and decode in one pass: lengths and digests of ids and bytes."""
-    encoder = _shared(docs, path, pattern)
+    encoder, own = _shared(docs, path, pattern, keep=True)
 
     def run(ids: list, texts: list) -> list[list]:
-        own = encoder()
+        tokenizer = encoder()
         counts, id_digests, byte_digests = [], [], []
         for text in texts:
-            packed = own.encode(text or "")
+            packed = tokenizer.encode(text or "")
             counts.append(len(packed) // 4)
             id_digests.append(hashlib.sha256(packed).hexdigest())
-            byte_digests.append(hashlib.sha256(own.decode(packed)).hexdigest())
+            byte_digests.append(hashlib.sha256(tokenizer.decode(packed)).hexdigest())
         return [ids, counts, id_digests, byte_digests]
 
     return map_columns(
         docs.select("doc_id", "text"),
         "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string",
         run,
+        [own],
     )

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import os
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 from pathlib import Path
 from urllib.parse import quote
 
@@ -45,14 +45,21 @@ def map_arrow(df: DataFrame, function: Callable, schema: StructType | str) -> Da
     paths = environment.get("PYTHONPATH", "").split(os.pathsep)
     if home not in paths:
         environment["PYTHONPATH"] = os.pathsep.join([*filter(None, paths), home])
-    return df.mapInArrow(function, schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from function(batches)
+        # A worker goes on to other tasks and must not keep this one's buffers.
+        pa.default_memory_pool().release_unused()
+
+    return df.mapInArrow(run, schema)
 
 
 def map_columns(
-    df: DataFrame, schema: str, function: Callable[..., list[list]]
+    df: DataFrame, schema: str, function: Callable[..., list[list]], caches: Sequence = ()
 ) -> DataFrame:
     """Run `function` on Arrow batches: one list per input column goes in, one
-    list per column of `schema` comes out; the lengths in and out may differ."""
+    list per column of `schema` comes out; the lengths in and out may differ.
+    `caches` of the function live as long as a task and are cleared after it."""
     struct = _parse_datatype_string(schema)
     assert isinstance(struct, StructType)
     arrow = to_arrow_schema(struct)
@@ -65,6 +72,8 @@ def map_columns(
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, f.type) for c, f in zip(columns, arrow)], schema=arrow
                 )
+        for cache in caches:
+            cache.clear()
 
     return map_arrow(df, run, struct)
 

@@ -37,7 +37,7 @@ def labelled_sample(
 class WordHash(dict):
     """Word -> 64-bit hash; starts anew when full."""
 
-    MOST = 300_000
+    MOST = 150_000
 
     def __missing__(self, word: bytes) -> int:
         if len(self) >= self.MOST:

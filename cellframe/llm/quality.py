@@ -183,4 +183,5 @@ def score(docs: DataFrame, model: Machine, threshold: float = THRESHOLD) -> Data
         docs.select("doc_id", "text", "n_chars"),
         "doc_id long, score double, predicted int",
         run,
+        [hashes],
     )

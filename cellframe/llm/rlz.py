@@ -140,7 +140,7 @@ def _index_blocks(docs: DataFrame, buckets: int) -> DataFrame:
         packed, later = _settle([anchors, blocks], owner, numbers, buckets)
         return _with_settled(packed, numbers[owner[later]], blocks[later], buckets)
 
-    return map_columns(docs.select("k", "text"), ENTRIES, run)
+    return map_columns(docs.select("k", "text"), ENTRIES, run, [known])
 
 
 def _with_settled(packed: list[list], numbers, keys, buckets: int) -> list[list]:
@@ -194,7 +194,7 @@ def _index_windows(docs: DataFrame, buckets: int) -> DataFrame:
         packed, later = _settle(keys, owner, numbers, buckets)
         return _with_settled(packed, numbers[owner[later]], keys[0][later], buckets)
 
-    return map_columns(docs.select("k", "doc_id", "text", "opens"), ENTRIES, run)
+    return map_columns(docs.select("k", "doc_id", "text", "opens"), ENTRIES, run, [known])
 
 
 def _joined(lists: list[bytes] | None) -> np.ndarray:
@@ -265,6 +265,7 @@ def factors(docs: DataFrame) -> DataFrame:
         "doc_id long, n_words long, n_removed long, starts array<long>, "
         "lengths array<long>, kept_text string",
         run,
+        [known],
     )
 
 

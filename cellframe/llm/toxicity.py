@@ -155,5 +155,5 @@ def score(docs: DataFrame, model: Weights, threshold: float = THRESHOLD) -> Data
         return [ids, scores, [int(s >= threshold) for s in scores]]
 
     return map_columns(
-        docs.select("doc_id", "text"), "doc_id long, score double, predicted int", run
+        docs.select("doc_id", "text"), "doc_id long, score double, predicted int", run, [cached]
     )
