@@ -35,9 +35,10 @@ from cellframe.llm.common import map_columns
 LEAF_BYTES = 32
 # Tokens decoded at once in a leaf of the decoding tree.
 LEAF_TOKENS = 4096
-# Entries a task keeps of pieces and of chunks; a full cache starts anew.
-PIECES_KEPT = 300_000
-CHUNKS_KEPT = 200_000
+# Entries kept of pieces and of chunks; a full cache starts anew. The second pair
+# holds where the encoder is given back after each task.
+PIECES_KEPT, CHUNKS_KEPT = 300_000, 200_000
+PIECES_OF_TASK, CHUNKS_OF_TASK = 80_000, 50_000
 
 Ranks = dict[bytes, int]
 
@@ -171,16 +172,18 @@ _CHUNK = re.compile(r"(?<=\S) ")
 class Encoder:
     """Texts to ids, packed as little-endian unsigned 32-bit numbers."""
 
-    def __init__(self, ranks: Ranks, pattern: str):
+    def __init__(
+        self, ranks: Ranks, pattern: str, pieces: int = PIECES_KEPT, chunks: int = CHUNKS_KEPT
+    ):
         self.ranks = ranks
         self.tokens: list[bytes] = [b""] * (max(ranks.values(), default=-1) + 1)
         for token, rank in ranks.items():
             self.tokens[rank] = token
         self._split = regex.compile(pattern).findall
         self._packed = {t: r.to_bytes(4, "little") for t, r in ranks.items()}
-        self._pieces = _Cache(self._piece, PIECES_KEPT)
-        self._first = _Cache(self._chunk, CHUNKS_KEPT // 10)
-        self._later = _Cache(lambda chunk: self._chunk(" " + chunk), CHUNKS_KEPT)
+        self._pieces = _Cache(self._piece, pieces)
+        self._first = _Cache(self._chunk, chunks // 10)
+        self._later = _Cache(lambda chunk: self._chunk(" " + chunk), chunks)
 
     def _piece(self, piece: str) -> bytes:
         parts = encode_piece(self.ranks, piece.encode())
@@ -214,9 +217,11 @@ def _shared(
 
     def encoder() -> Encoder:
         if not own:
-            found = _kept.get((path, pattern)) or Encoder(sent.value, pattern)
             if keep:
+                found = _kept.get((path, pattern)) or Encoder(sent.value, pattern)
                 _kept[path, pattern] = found
+            else:
+                found = Encoder(sent.value, pattern, PIECES_OF_TASK, CHUNKS_OF_TASK)
             own.append(found)
         return own[0]
 
