@@ -286,8 +286,9 @@ KINDS: list[tuple[str, re.Pattern, Callable[[bytes, re.Match], str | None]]] = [
         r"(?![\w-])"), international),
 ]
 
-# A text without any of these holds nothing of any kind.
-_ANY = re.compile(r"\d\d|@|PRIVATE KEY|(?i:pass|pwd|secret|token|key)")
+# A text without any of these holds nothing of any kind: a condition of every pattern
+# above. Numbers may stand as single digits (8.8.8.8, spaced cards), keys without any.
+_ANY = re.compile(r"\d|@|A[KS]IA|PRIVATE KEY|(?i:pass|pwd|secret|token|key)")
 
 
 def pseudonymise(text: str, key: bytes = KEY) -> tuple[str, list[tuple[str, int, int]]]:
