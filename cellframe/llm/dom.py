@@ -6,11 +6,13 @@ import re
 from dataclasses import dataclass
 from html import unescape
 
-# Content of these elements is never text of the page.
+# Content of these elements is never text of the page. Only the foreign ones, svg and
+# math, may close themselves; names that go on (<svg-icon>) are other elements.
 _RAW = r"script|style|noscript|template|svg|iframe|object|canvas|math"
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    rf"|<(?P<raw>{_RAW})\b(?:\"[^\"]*\"|'[^']*'|[^'\">])*>.*?(?:</(?P=raw)\s*>|\Z)"
+    r"|<(?:svg|math)(?=[\s/])(?:\"[^\"]*\"|'[^']*'|[^'\">])*/>"
+    rf"|<(?P<raw>{_RAW})(?=[\s/>])(?:\"[^\"]*\"|'[^']*'|[^'\">])*>.*?(?:</(?P=raw)\s*>|\Z)"
     r"|<(?P<end>/?)(?P<tag>[a-zA-Z][\w:-]*)(?P<attrs>(?:\"[^\"]*\"|'[^']*'|[^'\">])*)>"
     r"|<[!?][^>]*>"
     r"|(?P<text>[^<]+|<)",

@@ -26,6 +26,24 @@ def test_blocks(html, expected):
     assert texts(html) == expected
 
 
+@pytest.mark.parametrize("icon", [
+    '<svg class="i"/>', "<svg/>", '<SVG a="x > y" />', "<math display='block'/>",
+    "<svg viewBox='0 0 1 1'><path d='M0'/>no</svg>", '<math><mi>no</mi></math >',
+    '<svg-icon name="x"></svg-icon>', "<object-view></object-view>", "<svg:rect/>",
+    "<style-guide a=b></style-guide>", "<math-field/>", "<script-x></script-x>",
+    "<template-part>\n</template-part>", "<canvas\nid=c>no</canvas>",
+])
+def test_text_after_icons_and_custom_elements(icon):
+    page = f"<article><p>one</p>{icon}<p>two</p><p>three</p></article>"
+    assert texts(page) == ["one", "two", "three"]
+
+
+def test_a_self_closed_icon_ends_no_block():
+    assert texts("<p>one <svg class=i /> two</p>") == ["one two"]
+    assert texts("<p>x</p><svg-icon>shown</svg-icon><p>y</p>") == ["x", "shown", "y"]
+    assert texts('<script src="a"/>var x</script><p>x</p>') == ["x"]
+
+
 def test_paths_and_links():
     found = blocks('<div class="main nav"><ul><li><a href=x>go</a> now</li></ul></div>')
     assert found[0].path == (("div", ("main", "nav")), ("ul", ()), ("li", ()))
