@@ -23,7 +23,8 @@ SCHEMA = "bucket int, owners binary, counts binary, entries binary"
 def pack(
     bucket: np.ndarray, owner: np.ndarray, numbers: np.ndarray, entries: np.ndarray
 ) -> list[list]:
-    """Columns of `SCHEMA`. `owner` indexes `numbers`; `entries` is a byte matrix."""
+    """Columns of `SCHEMA`. `owner` indexes `numbers`, one or a row of several for each
+    document; `entries` is a byte matrix."""
     out: list[list] = [[], [], [], []]
     order = np.argsort(owner.astype(np.uint32), kind="stable")
     # Small integers sort by radix.
@@ -49,15 +50,18 @@ def each_bucket(
     function: Callable[[np.ndarray, np.ndarray], Iterator[list]],
     schema: str,
 ) -> DataFrame:
-    """One task per bucket: `function(numbers, entries)` gets all of it, a document
-    number and `width` bytes for each entry, and yields lists of columns."""
+    """One task per bucket: `function(numbers, entries)` gets all of it, a document's
+    number or numbers and `width` bytes for each entry, and yields lists of columns."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         numbers, entries = [], []
         for batch in batches:
             for who, counts, data in zip(*(c.to_pylist() for c in batch.columns[1:])):
                 times = np.frombuffer(counts, np.uint32)
-                numbers.append(np.repeat(np.frombuffer(who, np.int64), times))
+                own = np.frombuffer(who, np.int64)
+                if len(own) > len(times):
+                    own = own.reshape(len(times), -1)
+                numbers.append(np.repeat(own, times, axis=0))
                 entries.append(np.frombuffer(data, np.uint8).reshape(-1, width))
         if numbers:
             whole = np.concatenate(numbers), np.concatenate(entries)

@@ -15,7 +15,11 @@ comparison with all earlier documents would mark.
 Blocks and windows travel as packed arrays; a batch sends each of them once, for
 its smallest doc_id, and settles its other documents by itself, so what a third
 of all documents share costs one entry a batch. Fingerprints have 100 bits or
-more.
+more. Answers go to rows by a row number, which is written beside the texts
+first; doc_ids only tell which of two rows is earlier. Rows of a batch that share
+the smallest doc_id are linked to the one that was sent and get its answer, key
+by key. So a row meets no more keys than its own text has, however many rows share
+its doc_id or have none.
 
 Null or empty text, or fewer than `WINDOW` words: nothing is removed. Repeated
 rows have one doc_id, so none of them is earlier than the other: all keep their
@@ -87,88 +91,104 @@ def _firsts(keys: list[np.ndarray], docs: np.ndarray) -> tuple[np.ndarray, np.nd
     return order, new
 
 
-def _later(order: np.ndarray, new: np.ndarray, docs: np.ndarray) -> np.ndarray:
-    """Entries whose document is greater than the first one of their key."""
-    own = docs[order]
-    first = own[np.flatnonzero(new)[np.cumsum(new) - 1]]
-    return order[own > first]
+def _first_of(order: np.ndarray, new: np.ndarray) -> np.ndarray:
+    """For each entry in order the first one of its key."""
+    return order[np.flatnonzero(new)[np.cumsum(new) - 1]]
 
 
-def _states(numbers: np.ndarray, keys: np.ndarray, kind: int) -> list:
-    """Rows (doc, kind, keys) of entries, one per document."""
-    order = np.lexsort((keys, numbers))
-    numbers, keys = numbers[order], keys[order]
-    ends = np.flatnonzero(np.append(np.diff(numbers) != 0, len(numbers) > 0))
-    starts = np.append(0, ends[:-1] + 1)
-    return [
-        numbers[ends] if len(ends) else np.zeros(0, np.int64),
-        np.full(len(ends), kind, np.int32),
-        pa.array([keys[a : b + 1].tobytes() for a, b in zip(starts, ends)], pa.binary()),
-    ]
+def _spans(ids: list[np.ndarray], keys: np.ndarray) -> tuple[list[np.ndarray], pa.Array]:
+    """The distinct ids (one or several numbers) and the distinct keys of each."""
+    order = np.lexsort((keys, *reversed(ids)))
+    ids, keys = [i[order] for i in ids], keys[order]
+    turn = np.zeros(len(keys), bool)
+    turn[:1] = True
+    for i in ids:
+        turn[1:] |= np.diff(i) != 0
+    fresh = turn.copy()
+    fresh[1:] |= np.diff(keys) != 0
+    ids, keys, turn = [i[fresh] for i in ids], keys[fresh], turn[fresh]
+    starts = np.flatnonzero(turn)
+    lists = [keys[a:b].tobytes() for a, b in zip(starts, np.append(starts[1:], len(keys)))]
+    return [i[starts] for i in ids], pa.array(lists, pa.binary())
+
+
+def _states(rows: np.ndarray, keys: np.ndarray, kind: int) -> list:
+    """Columns (row, kind, keys) of entries, one per row."""
+    (rows,), lists = _spans([rows], keys)
+    return [rows, np.full(len(rows), kind, np.int32), lists]
 
 
-STATE = "doc long, kind int, keys binary"
-ENTRIES = f"{SCHEMA}, doc long"
+STATE = "row long, kind int, keys binary"
+# Packed entries have no `row`; the others say which keys of a row are settled, or
+# with `sent`, which ones have the answer of that row.
+ENTRIES = f"{SCHEMA}, row long, sent long"
 COVERED_BLOCKS, OPEN_BLOCKS, COVERED_WINDOWS = 0, 1, 2
 
 
 def _settle(
-    keys: list[np.ndarray], owner: np.ndarray, docs: np.ndarray, buckets: int
-) -> tuple[list[list], np.ndarray]:
-    """A batch's entries for the exchange, and which of them an earlier document of
-    the batch settles."""
-    number = docs[owner]
-    order, new = _firsts(keys, number)
+    keys: list[np.ndarray], name: np.ndarray, owner: np.ndarray, docs: list, rows: list,
+    buckets: int,
+) -> list[list]:
+    """A batch's columns of `ENTRIES`: its entries for the exchange, the keys (by
+    `name`) of rows that an earlier document of the batch settles, and those of
+    rows whose doc_id is that of the row sent."""
+    numbers = np.array([docs, rows], np.int64).T
+    docs, rows = numbers[owner].T
+    order, new = _firsts(keys, docs)
+    first = _first_of(order, new)
     sent = order[new]
     bucket = (keys[0][sent] % np.uint64(buckets)).astype(np.int64)
     entries = np.concatenate([low_bytes(k[sent], 8) for k in keys], axis=1)
-    packed = pack(bucket, owner[sent], docs, entries)
-    return packed, _later(order, new, number)
+    packed = pack(bucket, owner[sent], numbers, entries)
+    later = order[docs[order] > docs[first]]
+    (settled,), settled_keys = _spans([rows[later]], name[later])
+    tied = (docs[order] == docs[first]) & (owner[order] != owner[first])
+    like, tied = first[tied], order[tied]
+    (of, linked), linked_keys = _spans([rows[like], rows[tied]], name[tied])
+    own = [*settled.tolist(), *linked.tolist()]
+    rest = [
+        [row % buckets for row in own], *[[None] * len(own)] * 2,
+        settled_keys.to_pylist() + linked_keys.to_pylist(),
+        own, [None] * len(settled) + of.tolist(),
+    ]
+    nothing = [None] * len(packed[0])
+    return [a + b for a, b in zip([*packed, nothing, nothing], rest)]
 
 
 def _index_blocks(docs: DataFrame, buckets: int) -> DataFrame:
     known = WordHash()
 
-    def run(ids: list, texts: list) -> list[list]:
+    def run(rows: list, ids: list, texts: list) -> list[list]:
         parsed = [Blocks(known.array(t.encode().split() if t else [])) for t in texts]
         owner = np.repeat(np.arange(len(ids)), [len(p.blocks) for p in parsed])
         if not len(owner):
-            return [[], [], [], [], []]
-        numbers = np.array(ids, np.int64)
+            return [[], [], [], [], [], []]
         anchors = np.concatenate([p.anchors for p in parsed])
         blocks = np.concatenate([p.blocks for p in parsed])
-        packed, later = _settle([anchors, blocks], owner, numbers, buckets)
-        return _with_settled(packed, numbers[owner[later]], blocks[later], buckets)
-
-    return map_columns(docs.select("k", "text"), ENTRIES, run, [known])
+        return _settle([anchors, blocks], blocks, owner, ids, rows, buckets)
 
-
-def _with_settled(packed: list[list], numbers, keys, buckets: int) -> list[list]:
-    """Append rows for a batch's settled documents: only `doc` and their keys."""
-    docs, _, lists = _states(numbers, keys, 0)
-    nothing = [None] * len(docs)
-    rest = [docs.tolist(), *[nothing] * 2, lists.to_pylist(), docs.tolist()]
-    rest[0] = [doc % buckets for doc in rest[0]]
-    return [a + b for a, b in zip([*packed, [None] * len(packed[0])], rest)]
+    return map_columns(docs.select("row", "k", "text"), ENTRIES, run, [known])
 
 
 def _owners(kind: int, opens: bool):
     """What a bucket finds: keys whose first document is an earlier one, and, with
-    `opens`, the first documents' blocks of anchors that have several."""
+    `opens`, the first documents' blocks of anchors that have several. Rows of the
+    first doc_id are all first ones."""
 
     def run(numbers: np.ndarray, entries: np.ndarray) -> Iterator[list]:
+        docs, rows = np.ascontiguousarray(numbers.T)
         keys = [from_low_bytes(entries[:, :8]), from_low_bytes(entries[:, 8:])]
         name = keys[1] if opens else keys[0]
-        order, new = _firsts(keys, numbers)
-        later = _later(order, new, numbers)
-        yield _states(numbers[later], name[later], kind)
+        order, new = _firsts(keys, docs)
+        is_later = docs[order] > docs[_first_of(order, new)]
+        later = order[is_later]
+        yield _states(rows[later], name[later], kind)
         if opens:
-            first = order[new]
-            anchor = keys[0][first]
+            anchor = keys[0][order[new]]
             edge = np.diff(anchor) == 0
             several = np.append(edge, False) | np.append(False, edge)
-            chosen = first[several]
-            yield _states(numbers[chosen], name[chosen], OPEN_BLOCKS)
+            chosen = order[several[np.cumsum(new) - 1] & ~is_later]
+            yield _states(rows[chosen], name[chosen], OPEN_BLOCKS)
 
     return run
 
@@ -177,7 +197,7 @@ def _index_windows(docs: DataFrame, buckets: int) -> DataFrame:
     """Windows of open blocks; the second key is an independent fingerprint."""
     known = WordHash()
 
-    def run(ids: list, _: list, texts: list, opens: list) -> list[list]:
+    def run(rows: list, ids: list, texts: list, opens: list) -> list[list]:
         first, second, sizes = [], [], []
         for text, blocks in zip(texts, opens):
             hashes = known.array(text.encode().split())
@@ -188,28 +208,67 @@ def _index_windows(docs: DataFrame, buckets: int) -> DataFrame:
             sizes.append(int(chosen.sum()))
         owner = np.repeat(np.arange(len(ids)), sizes)
         if not len(owner):
-            return [[], [], [], [], []]
-        numbers = np.array(ids, np.int64)
+            return [[], [], [], [], [], []]
         keys = [np.concatenate(first), np.concatenate(second)]
-        packed, later = _settle(keys, owner, numbers, buckets)
-        return _with_settled(packed, numbers[owner[later]], keys[0][later], buckets)
+        return _settle(keys, keys[0], owner, ids, rows, buckets)
 
-    return map_columns(docs.select("k", "doc_id", "text", "opens"), ENTRIES, run, [known])
+    return map_columns(docs.select("row", "k", "text", "opens"), ENTRIES, run, [known])
 
 
 def _joined(lists: list[bytes] | None) -> np.ndarray:
     return np.frombuffer(b"".join(lists or ()), np.uint64)
 
 
-def _resolved(packed: DataFrame, buckets: int, kind: int, opens: bool) -> DataFrame:
-    """States of all documents from packed entries and settled rows."""
-    settled = packed.where("doc IS NOT NULL").select(
-        "doc", F.lit(kind).alias("kind"), F.col("entries").alias("keys")
+def _each_key(lists: DataFrame, *ids: str) -> DataFrame:
+    """A row for each of the packed `keys`, as `key`, beside the ids."""
+
+    def run(*columns: list) -> list[list]:
+        *numbers, keys = columns
+        sizes = [len(k) // 8 for k in keys]
+        return [
+            *(np.repeat(np.array(n, np.int64), sizes) for n in numbers),
+            _joined(keys).view(np.int64),
+        ]
+
+    schema = ", ".join(f"{name} long" for name in (*ids, "key"))
+    return map_columns(lists.select(*ids, "keys"), schema, run)
+
+
+def _linked_states(links: DataFrame, met: DataFrame) -> DataFrame:
+    """The answers of the rows sent, for the keys of the rows linked to them."""
+    sent = links.select(F.col("sent").alias("row")).distinct()
+    answers = _each_key(met.join(sent, "row", "left_semi"), "row", "kind").select(
+        F.col("row").alias("sent"), "kind", "key"
+    )
+    lists = (
+        _each_key(links, "sent", "row").join(answers, ["sent", "key"])
+        .groupBy("row", "kind").agg(F.collect_list("key").alias("keys"))
+    )
+
+    def run(rows: list, kinds: list, keys: list) -> list[list]:
+        return [rows, kinds, [np.array(k, np.int64).tobytes() for k in keys]]
+
+    return map_columns(lists.select("row", "kind", "keys"), STATE, run)
+
+
+def _resolved(
+    scratch: Scratch, part: str, packed: DataFrame, buckets: int, kind: int, opens: bool
+) -> DataFrame:
+    """States of all rows from packed entries, settled and linked rows."""
+    settled = packed.where("row IS NOT NULL AND sent IS NULL").select(
+        "row", F.lit(kind).alias("kind"), F.col("entries").alias("keys")
     )
     met = each_bucket(
-        packed.where("doc IS NULL").drop("doc"), buckets, 16, _owners(kind, opens), STATE
+        packed.where("row IS NULL").select("bucket", "owners", "counts", "entries"),
+        buckets, 16, _owners(kind, opens), STATE,
+    )
+    links = packed.where("sent IS NOT NULL").select(
+        "sent", "row", F.col("entries").alias("keys")
     )
-    return met.unionByName(settled)
+    if links.isEmpty():
+        return met.unionByName(settled)
+    met = scratch.write(met, part)
+    return met.unionByName(settled).unionByName(_linked_states(links, met))
 
 
 def factors(docs: DataFrame) -> DataFrame:
@@ -217,26 +276,29 @@ def factors(docs: DataFrame) -> DataFrame:
     the factors as spans of words, and the words outside of them."""
     spark = docs.sparkSession
     scratch = Scratch(spark, "rlz")
-    keyed = docs.select(
+    # Numbers that stay as they are: the table is written once with them.
+    keyed = scratch.write(docs.select(
+        F.monotonically_increasing_id().alias("row"),
         F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("k"),
         F.col("doc_id").cast("long").alias("doc_id"),
         F.coalesce("text", F.lit("")).alias("text"),
-    )
+    ), "rows")
     # Letters per word do not vary much; this only sets the number of tasks.
-    letters = docs.agg(F.sum(F.length("text"))).first()[0] or 0
+    letters = keyed.agg(F.sum(F.length("text"))).first()[0] or 0
     buckets = max(16, int(letters / 6 / WORDS_PER_BLOCK) // BUCKET_ENTRIES)
     packed = scratch.write(_index_blocks(keyed, buckets), "blocks")
-    states = scratch.write(_resolved(packed, buckets, COVERED_BLOCKS, True), "states")
+    states = scratch.write(
+        _resolved(scratch, "met-blocks", packed, buckets, COVERED_BLOCKS, True), "states"
+    )
     scratch.drop(packed)
-    opens = states.where(f"kind = {OPEN_BLOCKS}").groupBy("doc").agg(
+    opens = states.where(f"kind = {OPEN_BLOCKS}").groupBy("row").agg(
         F.collect_list("keys").alias("opens")
     )
-    waiting = keyed.join(opens, F.col("k") == F.col("doc")).select(
-        "k", "doc_id", "text", "opens"
+    windows = scratch.write(
+        _index_windows(keyed.join(opens, "row"), buckets), "windows"
     )
-    windows = scratch.write(_index_windows(waiting, buckets), "windows")
-    found = _resolved(windows, buckets, COVERED_WINDOWS, False)
-    covered = states.where(f"kind = {COVERED_BLOCKS}").unionByName(found).groupBy("doc").agg(
+    found = _resolved(scratch, "met-windows", windows, buckets, COVERED_WINDOWS, False)
+    covered = states.where(f"kind = {COVERED_BLOCKS}").unionByName(found).groupBy("row").agg(
         F.collect_list(F.expr(f"IF(kind = {COVERED_BLOCKS}, keys, NULL)")).alias("blocks"),
         F.collect_list(F.expr(f"IF(kind = {COVERED_WINDOWS}, keys, NULL)")).alias("windows"),
     )
@@ -260,7 +322,7 @@ def factors(docs: DataFrame) -> DataFrame:
         return out
 
     return map_columns(
-        keyed.join(covered, F.col("k") == F.col("doc"), "left")
+        keyed.join(covered, "row", "left")
         .select("doc_id", "text", "blocks", "windows"),
         "doc_id long, n_words long, n_removed long, starts array<long>, "
         "lengths array<long>, kept_text string",

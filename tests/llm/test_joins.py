@@ -110,6 +110,51 @@ def test_jaccard_odd_rows(spark):
     assert sorted((r["doc_id"] for r in kept.collect()), key=repr) == [1, 2, 3, None]
 
 
+@pytest.mark.parametrize("tasks", [1, 4, 60])
+def test_substring_many_rows_of_one_id_or_none(spark, monkeypatch, tasks):
+    """Results by order key, and no row is handed keys that its text does not have."""
+    pick = random.Random(tasks)
+    ids = [None, None, 7, 7, 50, *range(100, 110)]
+    passages = [" ".join(f"p{i}w{j}" for j in range(60)) for i in range(3)]
+    rows = [
+        (pick.choice(ids), f"{t or ''} {pick.choice(passages)[pick.randrange(90):]}" if
+         pick.random() < 0.4 else t, "x")
+        for t in corpus(tasks, 240, 5, 90, 60).values()
+    ]
+    order = lambda i: 10**9 if i is None else i
+    first = {}
+    for i, text, _ in rows:
+        w = (text or "").split()
+        for k in range(len(w) - 12):
+            run = tuple(w[k : k + 13])
+            first[run] = min(first.get(run, order(i)), order(i))
+    expected = []
+    for i, text, _ in rows:
+        w = (text or "").split()
+        gone = {k + j for k in range(len(w) - 12) for j in range(13)
+                if first[tuple(w[k : k + 13])] < order(i)}
+        kept = " ".join(x for k, x in enumerate(w) if k not in gone)
+        expected.append((i, len(w), len(gone), kept))
+    handed = []
+    real = rlz.map_columns
+
+    def seen(df, *rest, **named):
+        handed.extend([df] if {"blocks", "windows"} <= set(df.columns) else [])
+        return real(df, *rest, **named)
+
+    monkeypatch.setattr(rlz, "map_columns", seen)
+    docs = spark.createDataFrame(rows, "doc_id long, text string, component_id string")
+    got = rlz.factors(docs.repartition(tasks))
+    key = lambda r: (order(r[0]), *r[1:])
+    assert sorted(
+        ((r["doc_id"], r["n_words"], r["n_removed"], r["kept_text"]) for r in got.collect()),
+        key=key,
+    ) == sorted(expected, key=key)
+    for r in handed[0].collect():
+        for keys in (r["blocks"], r["windows"]):
+            assert sum(map(len, keys or ())) <= 8 * len(r["text"].split())
+
+
 def test_components(spark):
     pick = random.Random(3)
     links = [(pick.randrange(300), pick.randrange(300)) for _ in range(250)]
