@@ -206,7 +206,7 @@ def date(key: bytes, found: re.Match) -> str | None:
     """Days of 1900 to 2099, written y-m-d, d.m.y, d/m/y or m/d/y.
 
     In d/m/y and m/d/y order the day of a month above 12 tells the two apart;
-    otherwise m/d/y is taken.
+    otherwise m/d/y is taken. A time may follow y-m-d after a T.
     """
     first, mark, second, _, third = found.group("a", "mark", "b", "mark2", "c")
     numbers = [int(first), int(second), int(third)]
@@ -263,7 +263,7 @@ KINDS: list[tuple[str, re.Pattern, Callable[[bytes, re.Match], str | None]]] = [
         r"(?P<head>-----BEGIN [A-Z ]*PRIVATE KEY-----)(?P<body>.*?)"
         r"(?P<tail>-----END [A-Z ]*PRIVATE KEY-----)", re.S), key_block),
     ("secret", re.compile(
-        r"(?P<lead>\b(?:pass(?:word|wd|phrase)?|pwd|secret|token|api[_-]?key|"
+        r"(?P<lead>(?:\b|(?<=_))(?:pass(?:word|wd|phrase)?|pwd|secret|token|api[_-]?key|"
         r"access[_-]?key|auth[_-]?key|client[_-]?secret)\b[\"']?\s*[:=]\s*[\"']?)"
         r"(?P<secret>[^\s\"',;]{6,})", re.I), secret),
     ("access_key", re.compile(r"\b(?:AKIA|ASIA)[A-Z0-9]{16}\b"), access_key),
@@ -276,7 +276,7 @@ KINDS: list[tuple[str, re.Pattern, Callable[[bytes, re.Match], str | None]]] = [
     ("date", re.compile(
         r"(?<![\w./-])(?P<a>\d{4}|\d{1,2})(?P<mark>[-./])(?P<b>\d{1,2})(?P<mark2>(?P=mark))"
         r"(?P<c>(?<=\d{4}[-./]\d{2}[-./])\d{1,2}|(?<=\d{4}[-./]\d[-./])\d{1,2}|\d{4})"
-        r"(?![\w/-]|\.\d)"), date),
+        r"(?:(?![\w/-]|\.\d)|(?<!\d{4})(?=T\d))"), date),
     ("ssn", re.compile(_DIGIT_EDGE.format(r"\d{3}([- ])\d{2}\1\d{4}")), ssn),
     ("phone", re.compile(
         r"(?<![\w.-])(?:\+?1[ .-]?)?(?P<local>(?:\(\d{3}\) ?|\d{3}[ .-])\d{3}[ .-]\d{4})"

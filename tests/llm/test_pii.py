@@ -64,6 +64,22 @@ def test_found_without_adjacent_digits(kind, value):
     assert new[start : start + size] in pii.pseudonymise(f"In 1984: {value} after.")[0]
 
 
+def test_dates_before_a_time():
+    day = pii.pseudonymise("on 2021-03-04 10:00")[0][3:13]
+    assert day != "2021-03-04"
+    assert pii.pseudonymise("at 2021-03-04T10:00:00Z.")[0] == f"at {day}T10:00:00Z."
+    for text in ("2021-03-04Tue", "2021-03-041T10", "04.03.2021T10:00"):
+        assert pii.pseudonymise(text) == (text, [])
+
+
+def test_secret_words_after_an_underscore():
+    value = pii.pseudonymise("password=hunter22x")[0].split("=")[1]
+    assert value != "hunter22x"
+    for name in ("DB_PASSWORD", "my_secret", "AWS_SECRET"):
+        assert pii.pseudonymise(f"export {name}=hunter22x")[0] == f"export {name}={value}"
+    assert pii.pseudonymise("bypass=hunter22x") == ("bypass=hunter22x", [])
+
+
 @pytest.mark.parametrize("text", [
     "4041894974608796 is no card", "300.1.1.1", "version 1.2.3.4.5", "99/99/9999",
     "2021-02-30", "000-12-3456", "666-45-6789", "555-1234", "3.14159 and 1234567890",
