@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from cellframe.llm.common import WORD
+from cellframe.llm.lexical import TERM
 
 SQL: dict[str, str] = {}
 
@@ -133,3 +134,133 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 
 
 SQL["op4_line_rules"] = line_rules_sql()
+
+
+def lexical_sql(documents: str = "documents", items: str = "benchmark", top: int = 50) -> str:
+    """`search` by scoring every document that holds a term of the item."""
+    small = (
+        "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    )
+    terms = f"regexp_extract_all({small}, '{TERM}')"
+    return f"""
+WITH d AS (SELECT row_number() OVER () AS row, doc_id, {terms} AS terms FROM {documents}),
+s AS (SELECT count(*) AS n_docs, sum(len(terms))::BIGINT AS n_terms FROM d WHERE len(terms) > 0),
+p AS (
+  SELECT row, doc_id, any_value(n) AS n, term, count(*) AS tf
+  FROM (SELECT row, doc_id, len(terms) AS n, unnest(terms) AS term FROM d)
+  GROUP BY row, doc_id, term),
+w AS (
+  SELECT term, floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w
+  FROM p, s GROUP BY term, n_docs),
+i AS (
+  SELECT item, item_id, unnest(list_distinct(terms)) AS term
+  FROM (SELECT row_number() OVER () AS item, item_id, {terms} AS terms FROM {items})),
+r AS (
+  SELECT item, item_id, row, doc_id,
+         sum(w * ((1000000000 * tf)
+                  // (1000 * tf + 20 * (100 - 50 + (50 * n * n_docs) // n_terms))))::BIGINT AS score
+  FROM i JOIN p USING (term) JOIN w USING (term), s GROUP BY ALL)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score
+FROM (SELECT *, row_number() OVER (
+               PARTITION BY item ORDER BY score DESC, doc_id NULLS LAST) AS rank
+      FROM r WHERE score > 0)
+WHERE rank <= {top}
+"""
+
+
+SQL["op11_lexical_search"] = lexical_sql()
+
+
+def crc32_sql(octets: str) -> str:
+    """CRC-32 of a list of bytes, bit by bit."""
+    return f"""xor(4294967295::BIGINT, list_reduce(
+      list_prepend(4294967295::BIGINT, {octets}),
+      lambda a, b: list_reduce(list_prepend(xor(a, b), range(8)),
+                               lambda x, y: xor(x >> 1, 3988292384 * (x & 1)))))"""
+
+
+def octets_sql(text: str) -> str:
+    """The bytes of a text as a list of numbers."""
+    return f"""list_transform(regexp_extract_all(hex(encode({text})), '..'),
+                              lambda x: ('0x' || x)::BIGINT)"""
+
+
+def prefix_trie_sql(conversations: str = "conversations") -> str:
+    """`prefix_trie` by grouping every prefix; what a subtree adds up to is counted
+    on the members that own its nodes, the smallest ones."""
+    return f"""
+WITH t AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''),
+                            sha256(coalesce(text, ''))) AS i
+  FROM {conversations} WHERE conv_id IS NOT NULL),
+c AS (
+  SELECT conv_id, conv_id - conv_id % 20 AS base,
+         {crc32_sql(octets_sql("conv_id::VARCHAR"))} % 4 AS h
+  FROM (SELECT DISTINCT conv_id FROM t)),
+r AS (
+  SELECT c.conv_id, t.i, role, text FROM c JOIN t ON t.conv_id = c.base WHERE t.i <= h
+  UNION ALL
+  SELECT c.conv_id, t.i, role, text FROM c JOIN t ON t.conv_id = c.conv_id WHERE t.i > h),
+m AS (
+  SELECT conv_id, row_number() OVER o AS depth, list({{'role': role, 'text': text}}) OVER o AS path,
+         len(regexp_extract_all(text, '{WORD}')) AS words
+  FROM r WINDOW o AS (PARTITION BY conv_id ORDER BY i)
+  UNION ALL
+  SELECT conv_id, 0, [], 0 FROM c),
+n AS (
+  SELECT depth, path, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(words) AS words,
+         (count(*) - 1) * any_value(words) AS cost
+  FROM m GROUP BY depth, path),
+e AS (
+  SELECT path, string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) AS ids
+  FROM (SELECT conv_id, max_by(path, depth) AS path FROM m GROUP BY conv_id) GROUP BY path),
+u AS (SELECT depth - 1 AS depth, path[:-2] AS path, count(*) AS n_children
+      FROM n WHERE depth > 0 GROUP BY ALL),
+k AS (SELECT n.*, coalesce(n_children, 0) AS n_children FROM n LEFT JOIN u USING (depth, path)),
+s AS (
+  SELECT a.depth, a.path, sum(cost) AS saved, sum((n_children = 0)::INT) AS leaves
+  FROM k JOIN m a USING (conv_id) WHERE a.depth <= k.depth GROUP BY a.depth, a.path)
+SELECT k.conv_id, k.depth::BIGINT AS depth, up.conv_id AS parent_conv_id,
+       k.n_convs::BIGINT AS n_convs, k.n_children::BIGINT AS n_children,
+       s.leaves::BIGINT AS n_leaves, s.saved::BIGINT AS saved_tokens,
+       sha256(coalesce(e.ids, '')) AS ends_sha256
+FROM k JOIN s USING (depth, path) LEFT JOIN e ON e.path = k.path
+LEFT JOIN n up ON up.depth = k.depth - 1 AND up.path = k.path[:-2]
+"""
+
+
+SQL["op12_prefix_trie"] = prefix_trie_sql()
+
+
+def sharding_sql(documents: str = "documents", shards: int = 24, seed: str = "shards-1") -> str:
+    """`shard_plan` with whole windows."""
+    hash32 = "('0x' || substr({}, 1, 8))::BIGINT"
+    phase = hash32.format(f"md5('{seed}:' || source)")
+    return f"""
+WITH d AS (
+  SELECT doc_id, coalesce('+' || source, '-') AS source,
+         (octet_length(encode(coalesce(text, ''))) + 8)::BIGINT AS size,
+         coalesce({crc32_sql(octets_sql("text"))}, 0) AS text_crc32
+  FROM {documents}),
+w AS (
+  SELECT *, md5(coalesce('+' || doc_id::VARCHAR, '-') || ':' || size || ':' || text_crc32 || ':'
+                || source) AS who FROM d),
+k AS (
+  SELECT *, md5('{seed}:' || who || ':'
+                || (row_number() OVER (PARTITION BY who) - 1)) AS place FROM w),
+f AS (
+  SELECT *, (row_number() OVER (PARTITION BY source ORDER BY place) - 1
+             + ({phase} + 0.5::DOUBLE) / 4294967296::DOUBLE)
+            / count(*) OVER (PARTITION BY source) AS "at"
+  FROM k),
+r AS (SELECT *, row_number() OVER (ORDER BY "at", place) - 1 AS rank, count(*) OVER () AS n FROM f),
+s AS (SELECT *, (rank * {shards} // n)::INTEGER AS shard FROM r)
+SELECT doc_id, size, text_crc32, 'rows' AS law, shard,
+       (rank - (shard * n + {shards - 1}) // {shards})::BIGINT AS slot,
+       NULL::INTEGER AS grown_shard
+FROM s
+"""
+
+
+SQL["op13_sharding"] = sharding_sql()

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cellframe.llm import bpe, html_crf, quality, toxicity
+from cellframe.llm import bpe, html_crf, lexical, quality, toxicity
 from cellframe.llm.common import table
 from cellframe.llm.ego_join import near_duplicates
 from cellframe.llm.features import remainder
@@ -16,7 +16,9 @@ from cellframe.llm.line_rules import judge
 from cellframe.llm.mixing import mix_plan
 from cellframe.llm.ngram_join import jaccard_components
 from cellframe.llm.pii import pseudonymise_documents
+from cellframe.llm.prefix_trie import prefix_trie
 from cellframe.llm.rlz import substring_dedup
+from cellframe.llm.sharding import shard_plan
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -92,8 +94,25 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 50 best documents for every benchmark item."""
+    index, n_docs, _ = lexical.build_index(table(spark, sf_dir, "documents"))
+    return lexical.search(index, n_docs, table(spark, sf_dir, "benchmark"))
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every node of the trie of rebuilt conversations."""
+    return prefix_trie(table(spark, sf_dir, "conversations"))
+
+
+def op13_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shard and slot of every document."""
+    return shard_plan(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Query]:
     return {f.__name__: f for f in (
         op1_byte_bpe, op2_quality, op3_embedding_join, op4_line_rules, op5_mixing, op6_pii,
         op7_substring_dedup, op8_ngram_join, op9_toxicity, op10_html_text,
+        op11_lexical_search, op12_prefix_trie, op13_sharding,
     )}
