@@ -99,6 +99,12 @@ class Scratch:
         path.getFileSystem(hadoop).delete(path, True)
 
 
+def row_digest() -> Column:
+    """64 bits of a document's source and text. Beside doc_id it tells rows apart that
+    only share an id."""
+    return F.xxhash64(F.col("source").isNull(), "source", F.col("text").isNull(), "text")
+
+
 def word_count(text: str) -> Column:
     """Number of words of a text column, natively; 0 for null."""
     return F.coalesce(F.regexp_count(F.col(text), F.lit(WORD)), F.lit(0)).cast("long")

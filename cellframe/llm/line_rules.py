@@ -12,20 +12,24 @@ hash that includes the host; only hashes are shuffled, and counts are combined
 on the map side, so a line in a third of all documents costs one row a task.
 
 Null or empty text: no words, `base_failed`. A null source is a host of its own.
-Repeated rows each get a row; rows of one doc_id share one verdict when their
-texts are equal. An empty table gives none.
+Verdicts and lost lines belong to a row's host and text: repeated rows each get a
+row with the same verdict, rows that only share a doc_id, or have none, don't. An
+empty table gives none. Columns beside doc_id, source and text may have any name
+and type.
 """
 
 from __future__ import annotations
 
-import re
+from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
-from cellframe.llm.common import Scratch, map_columns, words_of
+from cellframe.llm.common import Scratch, map_arrow, map_columns, row_digest, same, words_of
 
 SYMBOLS = b"#*$%&|<>"
 SPACES = b" \t\n\r\x0b\x0c"
@@ -61,16 +65,26 @@ def _signed(number: int) -> int:
     return number - (1 << 64) if number >> 63 else number
 
 
+def _salt(host: str | None) -> bytes:
+    return b"\0" if host is None else b"\1" + host.encode() + b"\0"
+
+
+def _line_key(salt: bytes, own: list[bytes]) -> int:
+    """Hash of a line's words in lower case, on its host."""
+    normal = b" ".join(own).decode().lower().encode()
+    return _signed(xxhash.xxh64_intdigest(salt + normal))
+
+
 def _profile(host: str | None, text: str | None) -> tuple:
-    """Base counts, a text digest, and the hash and words of each distinct line."""
+    """Base counts, and the hash and words of each distinct line."""
     words = words_of(text)
     if not words:
         symbols = sum(text.count(chr(c)) for c in SYMBOLS) if text else 0
-        return 0, 0, symbols, 0, 0, 0, [], []
+        return 0, 0, symbols, 0, 0, [], []
     raw = text.encode()
     word_chars = len(text) - (len(raw) - len(raw.translate(None, SPACES)))
     symbols = len(raw) - len(raw.translate(None, SYMBOLS))
-    salt = b"\0" if host is None else b"\1" + host.encode() + b"\0"
+    salt = _salt(host)
     seen: set[bytes] = set()
     lines: dict[int, int] = {}
     repeats = 0
@@ -80,26 +94,25 @@ def _profile(host: str | None, text: str | None) -> tuple:
             continue
         repeats += line in seen
         seen.add(line)
-        normal = b" ".join(own).decode().lower().encode()
-        key = _signed(xxhash.xxh64_intdigest(salt + normal))
+        key = _line_key(salt, own)
         lines[key] = lines.get(key, 0) + len(own)
     return (
         len(words), word_chars, symbols, repeats, repeated_words(words),
-        _signed(xxhash.xxh64_intdigest(salt + raw)), list(lines), list(lines.values()),
+        list(lines), list(lines.values()),
     )
 
 
 def line_profiles(docs: DataFrame) -> DataFrame:
-    """One row per document: base counts, text digest, lines as (hash, words)."""
+    """One row per document: digest of the row, base counts, lines as (hash, words)."""
 
-    def run(ids: list, hosts: list, texts: list) -> list[list]:
-        columns = list(zip(*map(_profile, hosts, texts))) or [[] for _ in range(8)]
-        return [ids, hosts, *map(list, columns)]
+    def run(ids: list, hosts: list, digests: list, texts: list) -> list[list]:
+        columns = list(zip(*map(_profile, hosts, texts))) or [[] for _ in range(7)]
+        return [ids, hosts, digests, *map(list, columns)]
 
     return map_columns(
-        docs.select("doc_id", "source", "text"),
-        "doc_id long, host string, n_words long, word_chars long, n_symbols long, "
-        "n_dup_lines long, n_repeat_words long, digest long, "
+        docs.select("doc_id", "source", row_digest().alias("digest"), "text"),
+        "doc_id long, host string, digest long, n_words long, word_chars long, "
+        "n_symbols long, n_dup_lines long, n_repeat_words long, "
         "lines array<long>, line_words array<int>",
         run,
     )
@@ -123,7 +136,10 @@ def frequent_lines(profiles: DataFrame, max_docs: int, max_share: float) -> Data
         .groupBy("host", "line", "digest")
         .agg(F.min("doc_id").alias("doc_id"))
         .groupBy("host", "line")
-        .agg(F.count("*").alias("docs"), F.min(F.struct("doc_id", "digest")).alias("first"))
+        .agg(
+            F.count("*").alias("docs"),
+            F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "digest")).alias("first"),
+        )
         .where(F.col("docs") > max_docs)
     )
     sizes = sizes.withColumnRenamed("host", "size_host")
@@ -132,88 +148,120 @@ def frequent_lines(profiles: DataFrame, max_docs: int, max_share: float) -> Data
     ).select("line", F.col("first.digest").alias("carrier"))
 
 
-def judge(
-    docs: DataFrame,
-    max_docs: int = MAX_DOCS,
-    max_share: float = MAX_SHARE,
-    max_removed: float = MAX_REMOVED,
+def _verdicts(
+    docs: DataFrame, max_docs: int, max_share: float, max_removed: float
 ) -> DataFrame:
-    """Base counts, words left after the removal of frequent lines, verdict.
-
-    (doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
-    base_failed, kept, n_kept_words); the profiles are written once.
-    """
+    """Base counts, words left after the removal of frequent lines, verdict, and the
+    hashes of the lines that go; the profiles are written once."""
     profiles = Scratch(docs.sparkSession, "lines").write(line_profiles(docs), "profiles")
     frequent = frequent_lines(profiles, max_docs, max_share)
-    # By text, not by document: copies share their lines and their fate. The
-    # hash of a line holds its host.
-    removed = (
-        profiles.select("digest", F.explode(F.arrays_zip("lines", "line_words")).alias("l"))
-        .select("digest", F.col("l.lines").alias("line"), F.col("l.line_words").alias("w"))
-        .join(frequent, "line")
-        .where(F.col("digest") != F.col("carrier"))
-        .groupBy("digest", "line").agg(F.max("w").alias("w"))
-        .groupBy("digest").agg(F.sum("w").alias("removed"))
-    )
     left = F.col("n_words") - F.coalesce("removed", F.lit(0))
     return (
         profiles.drop("lines", "line_words", "host")
-        .join(removed, "digest", "left")
+        .join(_gone(profiles, frequent), "digest", "left")
         .withColumn("base_failed", base_failed())
         .withColumn("n_kept_words", left)
-        .select(
-            "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines",
-            "n_repeat_words", "base_failed",
-            (~F.col("base_failed")
-             & (F.col("n_kept_words") >= F.col("n_words") * (1 - max_removed))
-             ).alias("kept"),
-            "n_kept_words",
+        .withColumn(
+            "kept",
+            ~F.col("base_failed")
+            & (F.col("n_kept_words") >= F.col("n_words") * (1 - max_removed)),
         )
     )
 
 
-def clean_lines(docs: DataFrame, frequent: DataFrame) -> DataFrame:
-    """The texts without their frequent lines: (doc_id, text).
+def _gone(profiles: DataFrame, frequent: DataFrame) -> DataFrame:
+    """(digest, gone, removed): hashes of the lines that a text loses, and their words.
 
-    `frequent` comes from `frequent_lines`; each document looks up its own lines.
-    Rows that share a doc_id share the lines they lose.
+    By text, not by document: copies share their lines and their fate. The hash
+    of a line holds its host.
     """
-    profiles = line_profiles(docs)
-    gone = (
-        profiles.select("doc_id", "digest", F.explode("lines").alias("line"))
+    return (
+        profiles.select("digest", F.explode(F.arrays_zip("lines", "line_words")).alias("l"))
+        .select("digest", F.col("l.lines").alias("line"), F.col("l.line_words").alias("w"))
         .join(frequent, "line")
         .where(F.col("digest") != F.col("carrier"))
-        .groupBy("doc_id").agg(F.collect_set("line").alias("gone"))
-        .select(F.col("doc_id").alias("gone_id"), "gone")
+        .groupBy("digest", "line").agg(F.max("w").alias("w"))
+        .groupBy("digest")
+        .agg(F.collect_list("line").alias("gone"), F.sum("w").alias("removed"))
+    )
+
+
+def judge(
+    docs: DataFrame,
+    max_docs: int = MAX_DOCS,
+    max_share: float = MAX_SHARE,
+    max_removed: float = MAX_REMOVED,
+) -> DataFrame:
+    """(doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+    base_failed, kept, n_kept_words) of every document."""
+    return _verdicts(docs, max_docs, max_share, max_removed).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines",
+        "n_repeat_words", "base_failed", "kept", "n_kept_words",
     )
 
-    def run(ids: list, hosts: list, texts: list, lists: list) -> list[list]:
-        out = []
-        for host, text, lines in zip(hosts, texts, lists):
-            salt = b"\0" if host is None else b"\1" + host.encode() + b"\0"
-            drop = set(lines or ())
 
-            def stays(line: str, salt=salt, drop=drop) -> bool:
-                normal = b" ".join(words_of(line)).decode().lower().encode()
-                return _signed(xxhash.xxh64_intdigest(salt + normal)) not in drop
+def without_lines(host: str | None, text: str, gone: list[int]) -> str:
+    """A text without the lines whose hashes are in `gone`."""
+    salt, drop = _salt(host), set(gone)
 
-            out.append(
-                text if not drop else "\n".join(filter(stays, re.split("\n", text)))
+    def stays(line: str) -> bool:
+        own = words_of(line)
+        return not own or _line_key(salt, own) not in drop
+
+    return "\n".join(filter(stays, text.split("\n")))
+
+
+def _cleaned(rows: DataFrame, kind: StructType) -> DataFrame:
+    """(row, gone) -> the rows, their texts without the lines in `gone`."""
+    names = [f.name.lower() for f in kind.fields]
+    text_at, host_at = names.index("text"), names.index("source")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            row, gone = batch.column(0), batch.column(1).to_pylist()
+            columns = row.flatten()
+            texts = columns[text_at].to_pylist()
+            hosts = columns[host_at].to_pylist()
+            for i, lines in enumerate(gone):
+                if lines:
+                    texts[i] = without_lines(hosts[i], texts[i], lines)
+            columns[text_at] = pa.array(texts, columns[text_at].type)
+            yield pa.RecordBatch.from_arrays(
+                [pa.StructArray.from_arrays(columns, fields=list(row.type))], names=["row"]
             )
-        return [ids, out]
 
-    found = docs.select("doc_id", "source", "text").join(
-        gone, F.col("doc_id").eqNullSafe(F.col("gone_id")), "left"
-    )
-    return map_columns(
-        found.select("doc_id", "source", "text", "gone"), "doc_id long, text string", run
-    )
+    return map_arrow(rows, run, StructType([StructField("row", kind)])).select("row.*")
 
 
-def keep_documents(docs: DataFrame, **limits) -> DataFrame:
-    """The documents the rules keep, with all their columns and whole texts."""
-    kept = (
-        judge(docs, **limits).where("kept")
-        .select(F.col("doc_id").alias("kept_id")).distinct()
-    )
-    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["kept_id"]), "left_semi")
+def _with_gone(docs: DataFrame, gone: DataFrame, how: str) -> DataFrame:
+    """Whole documents, joined with what (doc_id, digest, gone) says of their rows."""
+    whole = F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row")
+    own = docs.select(whole, F.col("doc_id").alias("own_id"), row_digest().alias("own_digest"))
+    said = gone.groupBy("doc_id", "digest").agg(F.first("gone").alias("gone"))
+    joined = own.join(
+        said, same(F.col("own_id"), F.col("doc_id")) & (F.col("own_digest") == F.col("digest")),
+        how,
+    ).select("row", "gone")
+    return _cleaned(joined, joined.schema["row"].dataType)
+
+
+def clean_lines(docs: DataFrame, frequent: DataFrame) -> DataFrame:
+    """All documents, their texts without frequent lines; `frequent` comes from
+    `frequent_lines`. Other columns, a stored length too, stay as they are."""
+    profiles = line_profiles(docs)
+    gone = profiles.join(_gone(profiles, frequent), "digest")
+    return _with_gone(docs, gone.select("doc_id", "digest", "gone"), "left")
+
+
+def keep_documents(
+    docs: DataFrame,
+    max_docs: int = MAX_DOCS,
+    max_share: float = MAX_SHARE,
+    max_removed: float = MAX_REMOVED,
+) -> DataFrame:
+    """The documents that the rules keep, their texts without frequent lines, and all
+    other columns as they are. Verdicts go by row: rows that share a doc_id, or have
+    none, and differ in text or source are kept or rejected each by its own."""
+    verdicts = _verdicts(docs, max_docs, max_share, max_removed)
+    kept = verdicts.where("kept").select("doc_id", "digest", "gone")
+    return _with_gone(docs, kept, "inner")

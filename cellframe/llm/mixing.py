@@ -1,20 +1,23 @@
 """Mixing sources to target weights by Sainte-Laguë apportionment.
 
 Sources share a budget by weight; none gets more than `max_epochs` times its
-own words, and what is cut off goes to the others by weight. The budget is
-dealt as equal blocks of `block_words` words: the highest quotients
+own words, and what is cut off goes to the others by weight. A source that is cut
+off is taken whole that often. The rest of the budget is dealt among the other
+sources as equal blocks of `block_words` words: the highest quotients
 `weight / (2k - 1)` get a block each, first among sources, then among the
 shards of a source (weighed by their words). A shard lays its documents in
-seeded order on one line of words, cut into blocks; its quota of blocks is
-whole rounds of the line and one cyclic run of blocks from a seeded block on.
-A run of neighbouring blocks leaves all but two documents of a shard whole.
+seeded order on one line of words, cut into blocks; its quota is whole rounds of
+the line and one cyclic run of words from a seeded block on. So a source takes its
+quota to the word, which is its target to a block or two, and a run of neighbouring
+blocks leaves all but two documents of a shard whole.
 
 Everything is DataFrame code. The text is read once, for its word count; all
 else runs on (doc_id, source, size). Shards hold about `shard_docs` documents
 whatever a source's share, so a hot source is many tasks.
 
 Null text: size 0, taken 0. A null source is a source of its own, last in
-order. Repeated rows are documents of their own. An empty table gives none.
+order. Repeated rows are documents of their own. An empty table gives none. Columns
+beside doc_id, source and text may have any name and type.
 """
 
 from __future__ import annotations
@@ -24,7 +27,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cellframe.llm.common import Scratch, same, word_count
+from cellframe.llm.common import Scratch, row_digest, same, word_count
 
 WEIGHTS = (3, 1, 2)
 BLOCK_WORDS = 32
@@ -102,8 +105,9 @@ def sainte_lague(entries: DataFrame, group: Sequence[str], seats: str) -> DataFr
     )
 
 
-def mix_plan(
+def _plan(
     docs: DataFrame,
+    carried: Sequence[str],
     weights: Sequence[int] = WEIGHTS,
     budget_percent: int = 150,
     max_epochs: int = 2,
@@ -111,11 +115,11 @@ def mix_plan(
     shard_docs: int = SHARD_DOCS,
     seed: str = SEED,
 ) -> DataFrame:
-    """(doc_id, size, source_size, target, taken) for every document."""
+    """(doc_id, size, source_size, target, carried columns, taken) of every document."""
     spark = docs.sparkSession
     slim = Scratch(spark, "mixing").write(
         docs.select(
-            "doc_id",
+            "doc_id", *carried,
             F.col("source").isNull().alias("no_source"),
             F.coalesce("source", F.lit("")).alias("source"),
             word_count("text").alias("size"),
@@ -146,83 +150,97 @@ def mix_plan(
     )
     # One row per source and a few columns: the plans below start from it.
     sources = Scratch(spark, "mixing").write(
-        sources.select(*source, "entry", "weight", "source_size", "all_size",
+        sources.select(*source, "entry", "weight", "source_size", "full", "rest_total",
                        "shards", "target"),
         "sources",
     )
     key = F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
     placed = slim.join(sources, source).select(
-        "doc_id", "size", "entry", "source_size", "target",
+        "doc_id", *carried, "size", "entry", "source_size", "target",
         F.md5(key).alias("place"),
         F.pmod(_hash32(key), F.col("shards")).alias("shard"),
     )
     shards = (
         placed.where("size > 0").groupBy("entry", "shard")
         .agg(F.sum("size").alias("shard_size"))
-        .withColumn("blocks", F.expr(f"CAST(ceil(shard_size / {block_words}D) AS LONG)"))
+        # So many blocks hold the most that a shard may give.
+        .withColumn("cap", F.expr(
+            f"(shard_size * {max_epochs} + {block_words - 1}) div {block_words}"))
     )
-    seats = sources.join(
-        shards.groupBy("entry").agg((F.sum("blocks") * max_epochs).alias("cap")), "entry"
-    ).select(
+    # The sources that take part in the apportionment, and their blocks in all.
+    caps = shards.groupBy("entry").agg(F.sum("cap").alias("cap"))
+    seats = sources.where("NOT full").join(caps, "entry").select(
         "entry", "weight", "cap",
-        F.expr(f"(all_size * {budget_percent} + {50 * block_words})"
-               f" div {100 * block_words}").alias("seats"),
-    )
-    quotas = sainte_lague(seats, [], "seats").withColumnRenamed("quota", "seats")
-    shard_entries = shards.join(
-        quotas.withColumnRenamed("entry", "source_no"),
-        F.col("entry") == F.col("source_no"),
-    ).select(
-        F.col("source_no"), F.col("shard").alias("entry"),
-        F.col("shard_size").alias("weight"),
-        (F.col("blocks") * max_epochs).alias("cap"), "seats",
+        F.expr(f"(rest_total + {50 * block_words}) div {100 * block_words}").alias("seats"),
+    )
+    quotas = sainte_lague(seats, [], "seats").select(
+        F.col("entry").alias("source_no"), F.col("quota").alias("seats")
+    )
+    shard_entries = shards.join(quotas, F.col("entry") == F.col("source_no")).select(
+        "source_no", F.col("shard").alias("entry"), F.col("shard_size").alias("weight"),
+        "cap", "seats",
     )
     shard_quotas = sainte_lague(shard_entries, ["source_no"], "seats").select(
         F.col("source_no").alias("entry"), F.col("entry").alias("shard"), "quota"
     )
     first = F.concat(F.lit(f"{seed}:"), "shard", F.lit(":"), "entry")
-    runs = shards.join(shard_quotas, ["entry", "shard"]).select(
-        "entry", "shard", "shard_size", "blocks",
-        F.expr("quota div blocks").alias("rounds"),
-        F.expr("quota % blocks").alias("run"),
-        F.pmod(_hash32(first), F.col("blocks")).alias("from_block"),
+    # Shards of a full source have no quota: all of their words are taken.
+    most = f"shard_size * {max_epochs}"
+    runs = (
+        shards.join(shard_quotas, ["entry", "shard"], "left")
+        .withColumn("words", F.expr(f"coalesce(least(quota * {block_words}, {most}), {most})"))
+        .select(
+            "entry", "shard", "shard_size",
+            F.expr("words div shard_size").alias("rounds"),
+            F.expr("words % shard_size").alias("run"),
+            (F.pmod(_hash32(first), F.ceil(F.col("shard_size") / block_words))
+             * block_words).alias("from_word"),
+        )
     )
-    line = Window.partitionBy("entry", "shard").orderBy("place", "doc_id", "size")
+    line = Window.partitionBy("entry", "shard").orderBy("place", "doc_id", "size", *carried)
     end = F.sum("size").over(line.rowsBetween(Window.unboundedPreceding, 0))
-    b = block_words
     return (
         placed.withColumn("end", end)
         .join(runs, ["entry", "shard"], "left")
         .select(
-            "doc_id", "size", "source_size", "target",
-            F.expr(f"""
+            "doc_id", "size", "source_size", "target", *carried,
+            F.expr("""
                 CASE WHEN size = 0 THEN 0L ELSE rounds * size
-                  + greatest(0L, least(end, (from_block + run) * {b})
-                                 - greatest(end - size, from_block * {b}))
-                  + greatest(0L, least(end, (from_block + run - blocks) * {b})
-                                 - (end - size)) END
+                  + greatest(0L, least(end, from_word + run) - greatest(end - size, from_word))
+                  + greatest(0L, least(end, from_word + run - shard_size) - (end - size)) END
             """).cast("long").alias("taken"),
         )
     )
 
 
+def mix_plan(docs: DataFrame, **options) -> DataFrame:
+    """(doc_id, size, source_size, target, taken) for every document; options as in
+    `_plan`."""
+    return _plan(docs.select("doc_id", "source", "text"), [], **options)
+
+
 def mix_documents(docs: DataFrame, **options) -> DataFrame:
     """The mix itself: each document as often as its taken words say.
 
     Only documents at the ends of a run are taken in part; they are rounded to
-    whole copies. A document without words is in no mix.
+    whole copies. A document without words is in no mix. Equal rows are decided
+    together; rows that share a doc_id and differ in text or source are not.
     """
+    own = docs.select("doc_id", "source", "text").withColumn("digest", row_digest())
     copies = (
-        mix_plan(docs, **options)
-        .groupBy("doc_id")
+        _plan(own, ["digest"], **options)
+        .where("size > 0")
+        .groupBy("doc_id", "digest")
         .agg(F.expr("round(sum(taken) / sum(size))").cast("int").alias("mix_copies"))
         .where("mix_copies >= 1")
-        .select(F.col("doc_id").alias("mix_id"), "mix_copies")
+        .select(F.col("doc_id").alias("mix_id"), F.col("digest").alias("mix_digest"), "mix_copies")
     )
-    named = docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row"))
+    whole = F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row")
     return (
-        named.where(F.col("row.text").isNotNull())
-        .join(copies, same(F.col("row.doc_id"), F.col("mix_id")))
+        docs.where(F.col("text").isNotNull())
+        .select(whole, F.col("doc_id").alias("own_id"), row_digest().alias("own_digest"))
+        .join(copies, same(F.col("own_id"), F.col("mix_id"))
+              & (F.col("own_digest") == F.col("mix_digest")))
         .withColumn("copy", F.explode(F.expr("sequence(1, mix_copies)")))
         .select("row.*")
     )

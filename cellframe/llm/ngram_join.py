@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cellframe.llm.common import Scratch, map_arrow, map_columns
+from cellframe.llm.common import WORD, Scratch, map_arrow, map_columns, same
 from cellframe.llm.components import connected_components
 from cellframe.llm.exchange import (
     FILTER_BITS, SCHEMA, each_bucket, from_low_bytes, id_filter, low_bytes, matching, pack,
@@ -124,31 +124,31 @@ def _identity(tokens: np.ndarray, seed: int) -> tuple[int, int]:
 
 
 def set_profiles(docs: DataFrame, seed: int) -> DataFrame:
-    """A row per document (doc_id, n, node, check) and, kept apart by `n` null, a
-    row per heavy token of each batch (node: token, check: documents)."""
+    """A row per document (doc_id, digest, n, node, check) and, kept apart by `n` null,
+    a row per heavy token of each batch (node: token, check: documents)."""
     known = WordHash()
 
-    def run(ids: list, texts: list) -> list[list]:
-        out = [list(ids), [], [], []]
+    def run(ids: list, digests: list, texts: list) -> list[list]:
+        out = [list(ids), list(digests), [], [], []]
         tokens = []
         for text in texts:
             found = shingle_set(text, known)
             tokens.append(found)
-            for column, value in zip(out[1:], (len(found), *_identity(found, seed))):
+            for column, value in zip(out[2:], (len(found), *_identity(found, seed))):
                 column.append(value)
         if tokens:
             each, counts = np.unique(np.concatenate(tokens), return_counts=True)
             often = counts >= HEAVY_IN_BATCH
             extra = each[often].astype(np.int64).tolist()
             for column, values in zip(out, (
-                [None] * len(extra), [None] * len(extra), extra, counts[often].tolist()
+                *[[None] * len(extra)] * 3, extra, counts[often].tolist()
             )):
                 column += values
         return out
 
     return map_columns(
-        docs.select("doc_id", "text"), "doc_id long, n long, node long, check long", run,
-        [known],
+        docs.select("doc_id", F.xxhash64("text"), "text"),
+        "doc_id long, digest long, n long, node long, check long", run, [known],
     )
 
 
@@ -411,8 +411,9 @@ def _later_pairs(members: DataFrame, labels: DataFrame, sets: DataFrame) -> Data
     return map_arrow(dealt, run, "a long, b long").distinct()
 
 
-def jaccard_components(docs: DataFrame) -> DataFrame:
-    """(doc_id, n_shingles, component_id) of every document."""
+def _grouped(docs: DataFrame) -> DataFrame:
+    """(doc_id, digest of the text, n, component) of every document; a component is
+    known by one of its nodes."""
     spark = docs.sparkSession
     scratch = Scratch(spark, "ngram")
     seed = 0
@@ -461,10 +462,15 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
         more = scratch.write(_verified(later, tokens), "second")
         labels = connected_components(found.union(more))
     scratch.drop(tokens)
-    grouped = profiles.where("n IS NOT NULL").join(
+    return profiles.where("n IS NOT NULL").join(
         labels.withColumnRenamed("node", "label_node"),
         (F.col("node") == F.col("label_node")) & (F.col("n") > 0), "left",
-    ).select("doc_id", "n", F.coalesce("component", "node").alias("component"))
+    ).select("doc_id", "digest", "n", F.coalesce("component", "node").alias("component"))
+
+
+def jaccard_components(docs: DataFrame) -> DataFrame:
+    """(doc_id, n_shingles, component_id) of every document."""
+    grouped = _grouped(docs.select("doc_id", "text"))
     smallest = grouped.where("n > 0").groupBy("component").agg(
         F.min("doc_id").alias("component_id")
     ).withColumnRenamed("component", "of")
@@ -478,18 +484,34 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
-    """One document of each group stays: the one with the smallest doc_id, of
-    repeated rows all columns' smallest. Rows without a doc_id all stay."""
-    gone = (
-        jaccard_components(docs).where("doc_id <> component_id")
-        .select(F.col("doc_id").alias("gone_id")).distinct()
+    """One row of each group of similar documents stays.
+
+    It is the one with the smallest doc_id (null last), then the smallest digest of
+    its text; of rows equal in both, that with the smallest digest of its other
+    columns. Rows are told apart by doc_id and text, so a text unlike all others
+    stays whatever row shares its doc_id. Texts without words are in no group:
+    all of their rows stay.
+    """
+    grouped = _grouped(docs.select("doc_id", "text"))
+    first = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "digest")
+    chosen = grouped.where("n > 0").groupBy("component").agg(F.min(first).alias("first"))
+    stay = chosen.select(
+        F.col("first.doc_id").alias("stay_id"), F.col("first.digest").alias("stay_digest")
+    )
+    others = [c for c in docs.columns if c.lower() != "text"]
+    own = docs.select(
+        F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row"),
+        F.col("doc_id").alias("own_id"),
+        F.xxhash64("text").alias("own_digest"),
+        # Any type has a text; a map has no hash.
+        F.xxhash64(F.to_json(F.struct(*[docs[f"`{c}`"] for c in others]))).alias("rest"),
+        F.coalesce(F.regexp_like("text", F.lit(WORD)), F.lit(False)).alias("has_words"),
+    )
+    kept = (
+        own.where("has_words")
+        .join(stay, same(F.col("own_id"), F.col("stay_id"))
+              & (F.col("own_digest") == F.col("stay_digest")), "left_semi")
+        .groupBy("own_id", "own_digest")
+        .agg(F.min_by("row", "rest").alias("row"))
     )
-    columns = docs.columns
-    kept = docs.join(gone, F.col("doc_id") == F.col("gone_id"), "left_anti")
-    named = [c for c in columns if c.lower() != "doc_id"]
-    unique = kept.where(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(
-        F.min(F.struct(*[kept[f"`{c}`"] for c in named])).alias("row")
-    ).select(*[
-        F.col("doc_id") if c.lower() == "doc_id" else F.col(f"row.`{c}`") for c in columns
-    ])
-    return unique.union(kept.where(F.col("doc_id").isNull()))
+    return kept.select("row.*").unionByName(own.where("NOT has_words").select("row.*"))

@@ -48,35 +48,37 @@ p AS (
          ('0x' || substr(md5(d.k), 1, 8))::BIGINT % s.shards AS shard
   FROM d JOIN s ON d.source IS NOT DISTINCT FROM s.source),
 h AS (
-  SELECT entry, shard, sum(size)::BIGINT AS shard_size, ceil(sum(size) / 32)::BIGINT AS blocks
+  SELECT entry, shard, sum(size)::BIGINT AS shard_size,
+         (2 * sum(size) + 31)::BIGINT // 32 AS cap
   FROM p WHERE size > 0 GROUP BY entry, shard),
 q AS (
   SELECT entry, count(*) AS seats
   FROM (SELECT entry, row_number() OVER (ORDER BY (2 * k - 1) / weight, entry) AS place, seats
         FROM (SELECT entry, weight, unnest(range(1, c.cap + 1)) AS k,
-                     ((total + 1600) // 3200)::BIGINT AS seats
-              FROM s1 JOIN (SELECT entry, sum(2 * blocks)::BIGINT AS cap
-                            FROM h GROUP BY entry) c USING (entry)
-             ))
+                     ((rest_total + 1600) // 3200)::BIGINT AS seats
+              FROM s JOIN (SELECT entry, sum(cap)::BIGINT AS cap
+                           FROM h GROUP BY entry) c USING (entry)
+              WHERE NOT is_full))
   WHERE place <= seats GROUP BY entry),
 r AS (
   SELECT entry, shard, count(*) AS quota
   FROM (SELECT entry, shard, seats, row_number() OVER (
                  PARTITION BY entry ORDER BY (2 * k - 1) / shard_size, shard) AS place
-        FROM (SELECT h.*, q.seats, unnest(range(1, 2 * blocks + 1)) AS k
+        FROM (SELECT h.*, q.seats, unnest(range(1, h.cap + 1)) AS k
               FROM h JOIN q USING (entry)))
   WHERE place <= seats GROUP BY entry, shard),
 t AS (
-  SELECT h.*, coalesce(quota, 0) // blocks AS rounds, coalesce(quota, 0) % blocks AS run,
+  SELECT entry, shard, shard_size, words // shard_size AS rounds, words % shard_size AS run,
          ('0x' || substr(md5('mix-1:' || shard || ':' || entry), 1, 8))::BIGINT
-           % blocks AS from_block
-  FROM h LEFT JOIN r USING (entry, shard))
+           % ceil(shard_size / 32)::BIGINT * 32 AS from_word
+  FROM (SELECT h.*, CASE WHEN is_full THEN 2 * shard_size
+                         ELSE least(coalesce(quota, 0) * 32, 2 * shard_size) END AS words
+        FROM h JOIN s USING (entry) LEFT JOIN r USING (entry, shard)))
 SELECT doc_id, size, source_size, target,
        (CASE WHEN size = 0 THEN 0 ELSE rounds * size
-         + greatest(0, least("end", (from_block + run) * 32)
-                       - greatest("end" - size, from_block * 32))
-         + greatest(0, least("end", (from_block + run - blocks) * 32)
-                       - ("end" - size)) END)::BIGINT AS taken
+         + greatest(0, least("end", from_word + run) - greatest("end" - size, from_word))
+         + greatest(0, least("end", from_word + run - shard_size) - ("end" - size))
+         END)::BIGINT AS taken
 FROM (SELECT *, sum(size) OVER (PARTITION BY entry, shard ORDER BY place, doc_id, size
                                 ROWS UNBOUNDED PRECEDING) AS "end" FROM p) p
 LEFT JOIN t USING (entry, shard)

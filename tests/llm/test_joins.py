@@ -107,7 +107,24 @@ def test_jaccard_odd_rows(spark):
     assert ngram_join.jaccard_components(docs.limit(0)).count() == 0
     kept = ngram_join.one_of_each(docs)
     assert kept.columns == docs.columns
-    assert sorted((r["doc_id"] for r in kept.collect()), key=repr) == [1, 2, 3, None]
+    assert sorted((r["doc_id"] for r in kept.collect()), key=repr) == [1, 2, 3]
+
+
+def test_one_of_each_goes_by_row(spark):
+    """Rows that share a doc_id, or have none, are told apart by their texts."""
+    a, b, c = ("one two three four five six", "x1 x2 x3 x4 x5 x6", "y1 y2 y3 y4 y5 y6")
+    rows = [
+        (1, a, "p", {"k": 1}), (7, a, "q", None), (7, b, "r", {}), (7, b, "r", {}),
+        (None, c, "s", None), (None, c, "t", None), (None, b, "u", None),
+        (7, None, "v", None), (None, " ", "w", None), (None, " ", "w", None),
+    ]
+    docs = spark.createDataFrame(
+        rows, "doc_id long, text string, gone_id string, label map<string, int>"
+    ).repartition(3)
+    kept = ngram_join.one_of_each(docs)
+    assert kept.columns == docs.columns
+    got = sorted(((r[0], r[1]) for r in kept.collect()), key=repr)
+    assert got == sorted([(1, a), (7, b), (None, c), (7, None), (None, " "), (None, " ")], key=repr)
 
 
 @pytest.mark.parametrize("tasks", [1, 4, 60])

@@ -52,11 +52,35 @@ def test_frequent_lines_leave_the_text(spark):
     rows = [(i, "h", f"Same  LINE here\n{b}") for i, b in enumerate(body)]
     docs = spark.createDataFrame(rows, "doc_id long, source string, text string")
     frequent = line_rules.frequent_lines(line_rules.line_profiles(docs), 20, 0.01)
-    got = dict(line_rules.clean_lines(docs, frequent).collect())
+    got = {r["doc_id"]: r["text"] for r in line_rules.clean_lines(docs, frequent).collect()}
     assert got[0] == rows[0][2] and all(got[i] == body[i] for i in range(1, 30))
     assert all(r["kept"] for r in line_rules.judge(docs).collect())
 
 
+def test_rows_of_one_id_are_judged_apart(spark):
+    good = " ".join(f"g{k}" for k in range(80))
+    rows = [(7, "h", good, 1), (7, "h", "junk", 2), (None, "h", good + " x", 3),
+            (None, "h", "", 4), (None, None, None, 5), (7, None, good, 6)]
+    docs = spark.createDataFrame(
+        rows, "doc_id long, source string, text string, digest long"
+    )
+    kept = line_rules.keep_documents(docs)
+    assert kept.columns == docs.columns
+    assert sorted(r["digest"] for r in kept.collect()) == [1, 3, 6]
+
+
+def test_the_stage_removes_lines(spark):
+    body = ["\n".join(f"u{i}x{k}" for k in range(60)) for i in range(30)]
+    rows = [(i // 2, "h", {"k": i}, f"Same  LINE here\n{b}\n\n") for i, b in enumerate(body)]
+    docs = spark.createDataFrame(
+        rows, "doc_id long, source string, host map<string, int>, text string"
+    ).repartition(4)
+    kept = line_rules.keep_documents(docs).collect()
+    texts = sorted(r["text"] for r in kept)
+    assert len(texts) == 30 and sum(t.startswith("Same") for t in texts) == 1
+    assert all(t.endswith("\n\n") for t in texts)
+
+
 def test_repeated_words_whole_and_long():
     pick = random.Random(5)
     for n in (0, 1, 2, 3, 4, 10, 500):
@@ -83,6 +107,29 @@ def sources(seed, n, hot=0):
     return rows
 
 
+def test_mix_beside_many_small_sources(spark):
+    """Full sources give all of their words; the others share what is left."""
+    rows = [(i, f"s{i:03d}", "w") for i in range(300)]
+    rows += [(1000 + i, "t", " ".join(["v"] * 40)) for i in range(500)]
+    docs = spark.createDataFrame(rows, "doc_id long, source string, text string")
+    plan = mixing.mix_plan(docs).collect()
+    by, target = Counter(), {}
+    for r in plan:
+        source = "t" if r["doc_id"] >= 1000 else r["doc_id"]
+        by[source] += r["taken"]
+        target[source] = r["target"]
+    assert all(abs(by[s] - target[s]) <= mixing.BLOCK_WORDS for s in target)
+    assert abs(sum(by.values()) - 1.5 * 20_300) <= mixing.BLOCK_WORDS
+
+
+def test_mixed_rows_of_one_id(spark):
+    rows = [(7, "a", "x " * 50, 1), (7, "a", None, 2), (7, "b", "y " * 10, 3), (None, "b", "", 4),
+            (None, None, "z " * 5, 5)]
+    docs = spark.createDataFrame(rows, "doc_id long, source string, text string, mix_copies long")
+    found = Counter(r["mix_copies"] for r in mixing.mix_documents(docs).collect())
+    assert set(found) <= {1, 3, 5} and max(found.values()) <= 2
+
+
 def shares(sizes, weights, budget):
     """Targets by filling up the smallest caps first."""
     left, open_ = budget, sorted(sizes, key=lambda s: 2 * sizes[s] / weights[s])
