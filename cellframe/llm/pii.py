@@ -9,7 +9,14 @@ format, so equal values stay equal across documents, and different ones
 different, without any table of pseudonyms: the operator is one pass.
 
 The permutation is a balanced Feistel network over the range of the format, with
-cycle walking where the range is no power of two or a value would be invalid.
+cycle walking where the range is no power of two or a value would be invalid. Long
+secrets are permuted in pieces, each shifted by what the one before it became.
+Time is linear in a text, whatever it holds.
+
+The key is the caller's (`session_key`: the session setting `KEY_SETTING`, else one
+drawn at random for the running application, which is written nowhere). Whoever has
+it can undo the pseudonyms; without the setting they link within one application
+only.
 
 Null text stays null, texts without findings stay as they are. Repeated rows get
 equal texts. An empty table gives none. Other columns are untouched.
@@ -20,16 +27,30 @@ from __future__ import annotations
 import datetime
 import hashlib
 import re
-from collections.abc import Callable
+import secrets
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cellframe.llm.common import map_arrow, map_columns
 
-KEY = b"cellframe-pii-1"
+#: Session setting of the key, any text; the same key gives the same pseudonyms.
+KEY_SETTING = "spark.cellframe.pii.key"
 ROUNDS = 8
+# Letters and digits that are permuted as one number.
+PIECE = 256
+
+_drawn: dict[str, bytes] = {}
+
+
+def session_key(spark: SparkSession) -> bytes:
+    """The key of this session or, where none is set, of this application."""
+    given = spark.conf.get(KEY_SETTING, None)
+    if given:
+        return hashlib.sha256(given.encode()).digest()
+    return _drawn.setdefault(spark.sparkContext.applicationId, secrets.token_bytes(32))
 
 
 class Permutation:
@@ -96,11 +117,22 @@ _PLACE = {c: (len(a), i, a) for a in _CLASSES for i, c in enumerate(a)}
 
 def spelled(key: bytes, name: str, text: str) -> str:
     """Permute letters and digits, each among its kind; the rest stays."""
+    out, before = [], ""
+    for start in range(0, len(text), PIECE):
+        before = _spelled(key, name, text[start : start + PIECE], before)
+        out.append(before)
+    return "".join(out)
+
+
+def _spelled(key: bytes, name: str, text: str, before: str) -> str:
+    """One piece; what the piece before it became shifts its value."""
     size, value = 1, 0
     for c in text:
         if c in _PLACE:
             base, place, _ = _PLACE[c]
             size, value = size * base, value * base + place
+    if before:
+        value = (value + int.from_bytes(hashlib.blake2b(before.encode()).digest() * 6)) % size
     value = permuted(key, f"{name}{size.bit_length()}", size, value)
     out = []
     for c in reversed(text):
@@ -257,33 +289,75 @@ def key_block(key: bytes, found: re.Match) -> str:
 
 _DIGIT_EDGE = r"(?<![\w.+-]){}(?![\w-]|\.\d)"
 
+_MAIL = re.compile(
+    r"[A-Za-z0-9][A-Za-z0-9._%+-]*+@(?:[A-Za-z0-9-]++\.)+[A-Za-z]{2,}")
+_BEFORE_AT = re.compile(r"[^A-Za-z0-9._%+-]")
+_FIRST_OF_MAIL = re.compile(r"[A-Za-z0-9]")
+
+
+def mails(text: str) -> Iterator[re.Match]:
+    """Addresses, looked for from each @ back to the start of its run of characters."""
+    done = 0
+    at = text.find("@")
+    while at >= 0:
+        # Back in steps that double, so that a long run is read about twice.
+        start, step = at, 64
+        while start > done:
+            low = max(done, start - step)
+            stops = [m.end() for m in _BEFORE_AT.finditer(text, low, start)]
+            if stops:
+                start = stops[-1]
+                break
+            start, step = low, 2 * step
+        first = _FIRST_OF_MAIL.search(text, start, at)
+        found = first and _MAIL.match(text, first.start())
+        done = found.end() if found else at + 1
+        if found:
+            yield found
+        at = text.find("@", done)
+
+
+_BLOCK = re.compile(
+    r"(?P<head>-----BEGIN [A-Z ]*+(?<=PRIVATE KEY)-----)(?P<body>.*?)"
+    r"(?P<tail>-----END [A-Z ]*+(?<=PRIVATE KEY)-----)", re.S)
+_BLOCK_TAIL = re.compile(r"-----END [A-Z ]*+(?<=PRIVATE KEY)-----")
+
+
+def key_blocks(text: str) -> Iterator[re.Match]:
+    """Key blocks, up to the last tail: no head before it goes without one."""
+    if "PRIVATE KEY-----" not in text:
+        return
+    last = 0
+    for last_tail in _BLOCK_TAIL.finditer(text):
+        last = last_tail.end()
+    yield from _BLOCK.finditer(text, 0, last)
+
+
 # Kinds in order: what an earlier kind replaced is not looked at again.
-KINDS: list[tuple[str, re.Pattern, Callable[[bytes, re.Match], str | None]]] = [
-    ("key_block", re.compile(
-        r"(?P<head>-----BEGIN [A-Z ]*PRIVATE KEY-----)(?P<body>.*?)"
-        r"(?P<tail>-----END [A-Z ]*PRIVATE KEY-----)", re.S), key_block),
+Finder = Callable[[str], Iterator[re.Match]]
+KINDS: list[tuple[str, Finder, Callable[[bytes, re.Match], str | None]]] = [
+    ("key_block", key_blocks, key_block),
     ("secret", re.compile(
         r"(?P<lead>(?:\b|(?<=_))(?:pass(?:word|wd|phrase)?|pwd|secret|token|api[_-]?key|"
         r"access[_-]?key|auth[_-]?key|client[_-]?secret)\b[\"']?\s*[:=]\s*[\"']?)"
-        r"(?P<secret>[^\s\"',;]{6,})", re.I), secret),
-    ("access_key", re.compile(r"\b(?:AKIA|ASIA)[A-Z0-9]{16}\b"), access_key),
-    ("mail", re.compile(
-        r"[A-Za-z0-9][A-Za-z0-9._%+-]*@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,}"), mail),
+        r"(?P<secret>[^\s\"',;]{6,})", re.I).finditer, secret),
+    ("access_key", re.compile(r"\b(?:AKIA|ASIA)[A-Z0-9]{16}\b").finditer, access_key),
+    ("mail", mails, mail),
     ("iban", re.compile(
-        r"\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?\b"), iban),
-    ("card", re.compile(_DIGIT_EDGE.format(r"\d(?:[ -]?\d){12,18}")), card),
-    ("ipv4", re.compile(_DIGIT_EDGE.format(r"\d{1,3}(?:\.\d{1,3}){3}")), address),
+        r"\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?\b").finditer, iban),
+    ("card", re.compile(_DIGIT_EDGE.format(r"\d(?:[ -]?\d){12,18}")).finditer, card),
+    ("ipv4", re.compile(_DIGIT_EDGE.format(r"\d{1,3}(?:\.\d{1,3}){3}")).finditer, address),
     ("date", re.compile(
         r"(?<![\w./-])(?P<a>\d{4}|\d{1,2})(?P<mark>[-./])(?P<b>\d{1,2})(?P<mark2>(?P=mark))"
         r"(?P<c>(?<=\d{4}[-./]\d{2}[-./])\d{1,2}|(?<=\d{4}[-./]\d[-./])\d{1,2}|\d{4})"
-        r"(?:(?![\w/-]|\.\d)|(?<!\d{4})(?=T\d))"), date),
-    ("ssn", re.compile(_DIGIT_EDGE.format(r"\d{3}([- ])\d{2}\1\d{4}")), ssn),
+        r"(?:(?![\w/-]|\.\d)|(?<!\d{4})(?=T\d))").finditer, date),
+    ("ssn", re.compile(_DIGIT_EDGE.format(r"\d{3}([- ])\d{2}\1\d{4}")).finditer, ssn),
     ("phone", re.compile(
         r"(?<![\w.-])(?:\+?1[ .-]?)?(?P<local>(?:\(\d{3}\) ?|\d{3}[ .-])\d{3}[ .-]\d{4})"
-        r"(?![\w-]|\.\d)"), phone),
+        r"(?![\w-]|\.\d)").finditer, phone),
     ("international", re.compile(
         r"(?<![\w.+-])(?P<code>\+[2-9]\d{0,2})(?P<rest>(?:[ .-]?\(?\d{1,4}\)?){2,6})"
-        r"(?![\w-])"), international),
+        r"(?![\w-])").finditer, international),
 ]
 
 # A text without any of these holds nothing of any kind: a condition of every pattern
@@ -291,23 +365,29 @@ KINDS: list[tuple[str, re.Pattern, Callable[[bytes, re.Match], str | None]]] = [
 _ANY = re.compile(r"\d|@|A[KS]IA|PRIVATE KEY|(?i:pass|pwd|secret|token|key)")
 
 
-def pseudonymise(text: str, key: bytes = KEY) -> tuple[str, list[tuple[str, int, int]]]:
+def pseudonymise(text: str, key: bytes) -> tuple[str, list[tuple[str, int, int]]]:
     """The text with pseudonyms and the spans (kind, start, length) in the new text."""
     if not _ANY.search(text):
         return text, []
     taken: list[tuple[int, int, str, str]] = []
-    for kind, pattern, replace in KINDS:
-        for found in pattern.finditer(text):
+    for kind, finder, replace in KINDS:
+        # Both sides are in order of their places: one sweep finds what overlaps.
+        new, at = [], 0
+        for found in finder(text):
             start, end = found.span()
-            if any(start < b and a < end for a, b, _, _ in taken):
+            while at < len(taken) and taken[at][1] <= start:
+                at += 1
+            if at < len(taken) and taken[at][0] < end:
                 continue
             other = replace(key, found)
             if other is not None:
-                taken.append((start, end, kind, other))
+                new.append((start, end, kind, other))
+        if new:
+            taken = sorted(taken + new)
     if not taken:
         return text, []
     out, spans, at, size = [], [], 0, 0
-    for start, end, kind, other in sorted(taken):
+    for start, end, kind, other in taken:
         out += [text[at:start], other]
         size += start - at
         spans.append((kind, size, len(other)))
@@ -317,11 +397,13 @@ def pseudonymise(text: str, key: bytes = KEY) -> tuple[str, list[tuple[str, int,
     return "".join(out), spans
 
 
-def pseudonymise_documents(docs: DataFrame, key: bytes = KEY) -> DataFrame:
+def pseudonymise_documents(docs: DataFrame, key: bytes | None = None) -> DataFrame:
     """(doc_id, text, n_found, kinds): whole texts, one pass, nothing shuffled.
 
-    `kinds` lists the findings as kind:start:length in the new text, in order.
+    `kinds` lists the findings as kind:start:length in the new text, in order. `key`
+    is that of the session unless given.
     """
+    key = key or session_key(docs.sparkSession)
 
     def run(ids: list, texts: list) -> list[list]:
         done = [(None, []) if t is None else pseudonymise(t, key) for t in texts]
@@ -337,8 +419,10 @@ def pseudonymise_documents(docs: DataFrame, key: bytes = KEY) -> DataFrame:
     )
 
 
-def replace_texts(docs: DataFrame, key: bytes = KEY) -> DataFrame:
-    """The same table with pseudonymised texts; every other column as it is."""
+def replace_texts(docs: DataFrame, key: bytes | None = None) -> DataFrame:
+    """The same table with pseudonymised texts; every other column as it is. `key` is
+    that of the session unless given."""
+    key = key or session_key(docs.sparkSession)
     kind = docs.schema["text"].dataType
     place = docs.columns.index("text")
 

@@ -4,6 +4,8 @@ import pytest
 
 from cellframe.llm import pii
 
+KEY = b"of the tests"
+
 
 @pytest.mark.parametrize("size", [1, 2, 3, 10, 97, 1000, 4096])
 def test_permutation(size):
@@ -36,18 +38,19 @@ FOUND = {
 @pytest.mark.parametrize("kind, value", [(k, v) for k, vs in FOUND.items() for v in vs])
 def test_found_and_replaced_in_format(kind, value):
     text = f"Before {value}, after."
-    new, spans = pii.pseudonymise(text)
+    new, spans = pii.pseudonymise(text, KEY)
     assert [k for k, _, _ in spans] == [kind]
     _, start, size = spans[0]
     other = new[start : start + size]
-    assert new == f"Before {other}{text[7 + len(value):]}" and other != value.rstrip('"')
-    again, found = pii.pseudonymise(new)
+    # The closing quote of a secret is outside of its span.
+    assert new == text.replace(value.rstrip('"'), other) and other != value.rstrip('"')
+    again, found = pii.pseudonymise(new, KEY)
     assert [k for k, _, _ in found] == [kind]  # a valid value of the same kind
     shape = lambda s: re.sub(r"[a-z]", "a", re.sub(r"\d", "0", s))
     if kind not in ("ipv4", "date"):
         assert shape(other.lower()) == shape(value.lower()[: len(other)]) or kind == "secret"
     # Equal values stay equal wherever they stand; another key gives another value.
-    assert other in pii.pseudonymise(f"x {value} y")[0]
+    assert other in pii.pseudonymise(f"x {value} y", KEY)[0]
     assert pii.pseudonymise(text, b"other")[0] != new
 
 
@@ -58,26 +61,26 @@ def test_found_and_replaced_in_format(kind, value):
 ])
 def test_found_without_adjacent_digits(kind, value):
     """Alone in a text, and by the same value as beside other digits."""
-    new, spans = pii.pseudonymise(f"Before {value} after.")
+    new, spans = pii.pseudonymise(f"Before {value} after.", KEY)
     assert [k for k, _, _ in spans] == [kind] and value not in new
     _, start, size = spans[0]
-    assert new[start : start + size] in pii.pseudonymise(f"In 1984: {value} after.")[0]
+    assert new[start : start + size] in pii.pseudonymise(f"In 1984: {value} after.", KEY)[0]
 
 
 def test_dates_before_a_time():
-    day = pii.pseudonymise("on 2021-03-04 10:00")[0][3:13]
+    day = pii.pseudonymise("on 2021-03-04 10:00", KEY)[0][3:13]
     assert day != "2021-03-04"
-    assert pii.pseudonymise("at 2021-03-04T10:00:00Z.")[0] == f"at {day}T10:00:00Z."
+    assert pii.pseudonymise("at 2021-03-04T10:00:00Z.", KEY)[0] == f"at {day}T10:00:00Z."
     for text in ("2021-03-04Tue", "2021-03-041T10", "04.03.2021T10:00"):
-        assert pii.pseudonymise(text) == (text, [])
+        assert pii.pseudonymise(text, KEY) == (text, [])
 
 
 def test_secret_words_after_an_underscore():
-    value = pii.pseudonymise("password=hunter22x")[0].split("=")[1]
+    value = pii.pseudonymise("password=hunter22x", KEY)[0].split("=")[1]
     assert value != "hunter22x"
     for name in ("DB_PASSWORD", "my_secret", "AWS_SECRET"):
-        assert pii.pseudonymise(f"export {name}=hunter22x")[0] == f"export {name}={value}"
-    assert pii.pseudonymise("bypass=hunter22x") == ("bypass=hunter22x", [])
+        assert pii.pseudonymise(f"export {name}=hunter22x", KEY)[0] == f"export {name}={value}"
+    assert pii.pseudonymise("bypass=hunter22x", KEY) == ("bypass=hunter22x", [])
 
 
 @pytest.mark.parametrize("text", [
@@ -87,7 +90,7 @@ def test_secret_words_after_an_underscore():
     "012-345-6789 no area code",
 ])
 def test_left_alone(text):
-    assert pii.pseudonymise(text) == (text, [])
+    assert pii.pseudonymise(text, KEY) == (text, [])
 
 
 def test_different_values_stay_different():
@@ -95,13 +98,13 @@ def test_different_values_stay_different():
     for i in range(300):
         body = f"40000000000{i:04d}"
         cards.append(next(body + c for c in "0123456789" if pii.luhn(body + c)))
-    new = {pii.pseudonymise(c)[0] for c in cards}
+    new = {pii.pseudonymise(c, KEY)[0] for c in cards}
     assert len(new) == 300 and all(map(pii.luhn, new))
 
 
 def test_a_key_block():
     text = "-----BEGIN RSA PRIVATE KEY-----\nMIIabc\n12==\n-----END RSA PRIVATE KEY-----"
-    new, spans = pii.pseudonymise(text)
+    new, spans = pii.pseudonymise(text, KEY)
     assert spans[0][0] == "key_block" and "MIIabc" not in new and new.endswith(text[-29:])
 
 
@@ -118,3 +121,59 @@ def test_documents(spark):
         (i, r["text"]) for i, r in got.items()
     }
     assert pii.replace_texts(docs.limit(0)).count() == 0
+
+
+def test_the_key_is_the_session_s_or_drawn(spark):
+    drawn = pii.session_key(spark)
+    assert len(drawn) == 32 and pii.session_key(spark) == drawn
+    spark.conf.set(pii.KEY_SETTING, "one")
+    try:
+        one = pii.session_key(spark)
+        docs = spark.createDataFrame([(1, "mail a.b@c.org")], "doc_id long, text string")
+        got = pii.pseudonymise_documents(docs).first()["text"]
+        assert got == pii.pseudonymise("mail a.b@c.org", one)[0] and one != drawn
+        spark.conf.set(pii.KEY_SETTING, "two")
+        assert pii.pseudonymise_documents(docs).first()["text"] != got
+    finally:
+        spark.conf.unset(pii.KEY_SETTING)
+
+
+def plain_mails(text):
+    """By the whole pattern at once, in quadratic time."""
+    return [m.span() for m in re.finditer(
+        r"[A-Za-z0-9][A-Za-z0-9._%+-]*@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,}", text)]
+
+
+def test_mails_from_their_signs():
+    import random
+
+    pick = random.Random(3)
+    parts = ["a", "Z", "9", ".", "@", "-", "+", "_", " ", "é", "co", "x.org"]
+    for _ in range(20_000):
+        text = "".join(pick.choices(parts, k=pick.randint(1, 40)))
+        assert [m.span() for m in pii.mails(text)] == plain_mails(text), text
+
+
+@pytest.mark.parametrize("name, text, count", [
+    ("findings", "".join(f"10.0.{i % 250}.{i % 200} " for i in range(100_000)), 100_000),
+    ("no at", "a" * 1_000_000, 0),
+    ("letters before an at", "a1.b2%" * 200_000 + "@", 0),
+    ("ats", "@" * 300_000, 0),
+    ("heads", "-----BEGIN PRIVATE KEY-----" * 40_000, 0),
+    ("long secret", "password=" + "a1B" * 300_000, 1),
+])
+def test_long_texts_take_linear_time(name, text, count):
+    import time
+
+    began = time.process_time()
+    new, spans = pii.pseudonymise(text, KEY)
+    assert len(spans) == count and time.process_time() - began < 30
+    assert new == text if not count else new != text
+
+
+def test_long_secrets_stay_apart():
+    found = [pii.spelled(KEY, "secret", "ab1" * 200 + end) for end in ("", "x", "y")]
+    assert len(set(found)) == 3 and [len(f) for f in found] == [600, 601, 601]
+    # A change early on reaches the pieces behind it.
+    a, b = (pii.spelled(KEY, "secret", c + "ab1" * 200) for c in "xy")
+    assert a[:256] != b[:256] and a[256:512] != b[256:512]
