@@ -6,14 +6,18 @@ page, and its words if it is short. Two labels, main text or not, with weights
 for each feature and for each pair of neighbouring labels; trained by gradient
 steps on the log likelihood (forward-backward), decoded by Viterbi.
 
-Labelled pages: a bounded sample of the pages themselves (`SAMPLE_PAGES`). One
-that has a landmark for its article (<article>, <main>, role=main) is labelled by
-it; its blocks are also laid out anew in other markups (`variant`), in which
-every block's label is known, so that the model learns names and shapes besides
-landmarks. Only hashed features reach the driver.
+Labelled pages: a bounded sample of the pages themselves (`SAMPLE_PAGES`), those
+first that are no longer than `SAMPLE_CHARS` and have a landmark for their article
+(<article>, <main>, role=main). Such a page is labelled by it. Every sampled page's
+blocks are also laid out anew in other markups (`variant`), in which each block's
+label is known, so that the model learns names and shapes besides landmarks; of a
+page without a landmark the long blocks and half of the others stand for the article there. So a table
+without any landmark is read by what its own texts look like in generic markups.
+Only hashed features reach the driver.
 
 Null or empty html: empty text. Repeated rows are extracted alike; pages of any
 length are one task's work, linear in their length. An empty table gives none.
+Columns beside page_id, url and html may have any name and type.
 """
 
 from __future__ import annotations
@@ -26,10 +30,13 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cellframe.llm.common import map_columns
-from cellframe.llm.dom import Block, blocks
+from cellframe.llm.common import map_columns, same
+from cellframe.llm.dom import Block, Node, blocks
 
 SAMPLE_PAGES = 300
+SAMPLE_CHARS = 200_000
+# Words from which a block of a page without a landmark counts as long.
+LONG_BLOCK = 12
 VARIANTS = 5
 SLOT_BITS = 17
 EPOCHS = 4
@@ -50,25 +57,32 @@ _DROP_NAMES = {
 }
 
 
+# What may be a landmark; pages with it are sampled first.
+_LANDMARK = r"(?i)<(article|main)\b|\bmain\b[^<>]*>"
+
+
+def _framed(above: tuple[bool, bool], node: Node) -> tuple[bool, bool]:
+    """Whether an element is inside a landmark, and inside of what frames it."""
+    inside, dropped = above
+    if node.tag in _KEEPS or "main" in node.names:
+        inside, dropped = True, False
+    if node.tag in _DROPS or not _DROP_NAMES.isdisjoint(node.names):
+        dropped = True
+    return inside, dropped
+
+
 def landmark_labels(page: list[Block]) -> list[int] | None:
     """1 for blocks inside the article's landmark and outside of what frames it;
     None for a page without one."""
-    labels, seen = [], False
-    for block in page:
-        inside = dropped = False
-        for tag, names in block.path:
-            if tag in _KEEPS or "main" in names:
-                inside, dropped = True, False
-            if tag in _DROPS or not _DROP_NAMES.isdisjoint(names):
-                dropped = True
-        seen |= inside
-        labels.append(int(inside and not dropped))
-    return labels if seen else None
+    found = [b.node.worked_out("framed", (False, False), _framed) for b in page]
+    if not any(inside for inside, _ in found):
+        return None
+    return [int(inside and not dropped) for inside, dropped in found]
 
 
 # Markups of the variants. {t}: text of one block; {l}: its words as a link.
 _CONTENT = [
-    "<article{}>", "<main{}>", '<div class="content"{}>', '<div id="content"{}>',
+    "<article{}>", "<main{}>", "<div{}>", "<section{}>", '<div class="content"{}>', '<div id="content"{}>',
     '<div class="post-body"{}>', '<div class="article-text"{}>', '<div id="main"{}>',
     '<section class="story"{}>', '<div class="entry-content"{}>', '<div class="text"{}>',
     '<article class="post"{}>', '<div class="page"><div class="body-copy"{}>',
@@ -171,17 +185,40 @@ def _slot(name: str) -> int:
     return zlib.crc32(name.encode()) >> (32 - SLOT_BITS)
 
 
-def path_slots(path: tuple) -> list[int]:
+def _own_names(node: Node) -> set[str]:
+    return {f"has {node.tag}", *(f"name {part}" for part in node.names)}
+
+
+def _place_names(node: Node) -> list[str]:
+    """Features of the innermost element and its place; the root stands for none."""
+    names = node.names
+    above = node.parent.tag if node.parent else ""
+    near = node.worked_out("near", (), lambda outer, n: n.names or outer)
+    return [
+        f"tag {node.tag}", f"tags {above} {node.tag}", f"depth {min(node.depth, 8)}",
+        *(f"own {part}" for part in dict.fromkeys(names)),
+        *(f"near {part}" for part in dict.fromkeys(near)),
+    ]
+
+
+def _more(seen: tuple[frozenset, ...], new: frozenset) -> tuple[frozenset, ...]:
+    """Adds to sets of falling sizes, so that a deep path copies little."""
+    while seen and len(seen[-1]) <= len(new):
+        new, seen = new | seen[-1], seen[:-1]
+    return (*seen, new)
+
+
+def _seen(above: tuple, node: Node) -> tuple:
+    """(names of all ancestors, those that this one adds)."""
+    seen = above[0]
+    new = frozenset(n for n in _own_names(node) if not any(n in s for s in seen))
+    return (_more(seen, new) if new else seen), new
+
+
+def path_slots(node: Node) -> list[int]:
     """Features of a block's ancestors."""
-    own = path[-1] if path else ("", ())
-    above = path[-2][0] if len(path) > 1 else ""
-    names = {f"has {tag}" for tag, _ in path}
-    names |= {f"name {part}" for _, parts in path for part in parts}
-    names |= {f"tag {own[0]}", f"tags {above} {own[0]}", f"depth {min(len(path), 8)}"}
-    names |= {f"own {part}" for part in own[1]}
-    near = next((parts for _, parts in reversed(path) if parts), ())
-    names |= {f"near {part}" for part in near}
-    return [_slot(n) for n in names]
+    seen = node.worked_out("seen", ((), frozenset()), _seen)[0]
+    return [_slot(n) for n in [*(n for s in seen for n in s), *_place_names(node)]]
 
 
 def text_slots(block: Block, place: int, count: int) -> list[int]:
@@ -216,18 +253,23 @@ class Crf:
     def labeller(self):
         """A function blocks -> labels for one worker."""
         weight = dict(zip(self.slots.tolist(), self.values.tolist()))
-        paths: dict[tuple, float] = {}
         get = weight.get
 
+        def worth(names) -> float:
+            return sum(get(_slot(n), 0.0) for n in names)
+
+        def names_worth(above: float, node: Node) -> float:
+            node.worked_out("seen", ((), frozenset()), _seen)
+            return above + worth(node.memo["seen"][1])
+
         def label(page: list[Block]) -> list[int]:
             emit = []
             for place, block in enumerate(page):
-                known = paths.get(block.path)
+                node = block.node
+                known = node.memo.get("worth")
                 if known is None:
-                    if len(paths) > 50_000:
-                        paths.clear()
-                    known = sum(get(s, 0.0) for s in path_slots(block.path))
-                    paths[block.path] = known
+                    known = node.worked_out("names worth", 0.0, names_worth)
+                    known = node.memo["worth"] = known + worth(_place_names(node))
                 emit.append(
                     known + sum(get(s, 0.0) for s in text_slots(block, place, len(page)))
                 )
@@ -308,18 +350,26 @@ def fit(pages: list[tuple[list[np.ndarray], np.ndarray]], epochs: int = EPOCHS)
 
 def _sequence(page: list[Block]) -> list[np.ndarray]:
     return [
-        np.array(path_slots(b.path) + text_slots(b, i, len(page)), np.int32)
+        np.array(path_slots(b.node) + text_slots(b, i, len(page)), np.int32)
         for i, b in enumerate(page)
     ]
 
 
 def labelled_sequences(html: str | None, seed: int) -> list[tuple[list, list[int]]]:
-    """A page labelled by its landmark, and the same texts in other markups."""
+    """A page labelled by its landmark, if it has one, and the same texts in other
+    markups."""
     page = blocks(html)
-    labels = landmark_labels(page)
-    if not labels or not any(labels):
+    if not page:
         return []
-    found = [(_sequence(page), labels)]
+    labels = landmark_labels(page)
+    if labels and any(labels):
+        found = [(_sequence(page), labels)]
+    else:
+        # In another markup any text may be the article's: long ones and half of the rest.
+        pick = random.Random(seed)
+        sizes = [len(b.text.split()) for b in page]
+        labels = [int(n >= min(LONG_BLOCK, max(sizes)) or pick.random() < 0.5) for n in sizes]
+        found = []
     main = [b.text for b, y in zip(page, labels) if y]
     other = [b.text for b, y in zip(page, labels) if not y]
     for n in range(VARIANTS):
@@ -334,12 +384,30 @@ def labelled_sequences(html: str | None, seed: int) -> list[tuple[list, list[int
 
 
 def train(pages: DataFrame, rows: int = SAMPLE_PAGES) -> Crf:
-    """Learn from at most `rows` pages, the first by a hash of page_id."""
-    chosen = pages.select("page_id").orderBy(
-        F.xxhash64("page_id", F.lit(3)), "page_id"
-    ).limit(rows).distinct().withColumnRenamed("page_id", "chosen_id")
-    sample = pages.select("page_id", "html").join(
-        F.broadcast(chosen), F.col("page_id").eqNullSafe(F.col("chosen_id"))
+    """Learn from at most `rows` pages: those with a landmark and of usual length
+    first, then by a hash of page_id. Of rows with one page_id one is taken."""
+    html = F.coalesce(F.col("html"), F.lit(""))
+    fit_for = F.struct(
+        (F.length(html) <= SAMPLE_CHARS).alias("usual"),
+        html.rlike(_LANDMARK).alias("marked"),
+        F.xxhash64("html").alias("hash"),
+    )
+    chosen = (
+        pages.groupBy("page_id").agg(F.max(fit_for).alias("fit"))
+        .orderBy(
+            F.desc("fit.usual"), F.desc("fit.marked"), F.xxhash64("page_id", F.lit(3)), "page_id"
+        )
+        .limit(rows)
+        .select(F.col("page_id").alias("chosen_id"), F.col("fit.hash").alias("chosen_hash"))
+    )
+    sample = (
+        pages.select("page_id", "html")
+        .join(
+            F.broadcast(chosen),
+            same(F.col("page_id"), F.col("chosen_id"))
+            & (F.xxhash64("html") == F.col("chosen_hash")),
+        )
+        .groupBy("page_id").agg(F.min("html").alias("html"))
     )
 
     def run(ids: list, texts: list) -> list[list]:
@@ -375,9 +443,13 @@ def extract(pages: DataFrame, model: Crf) -> DataFrame:
         if not cached:
             cached.append(sent.value.labeller())
         out = [ids, urls, [], [], [], []]
+        root, paths = Node(None, "", ()), 0
         for html in texts:
-            page = blocks(html)
+            page = blocks(html, root)
             labels = cached[0](page)
+            paths += len(page)
+            if paths > 100_000:  # long pages may have a path for each block
+                root, paths = Node(None, "", ()), 0
             text = " ".join(b.text for b, y in zip(page, labels) if y)
             for column, value in zip(out[2:], (text, len(text), len(page), sum(labels))):
                 column.append(value)

@@ -1,3 +1,6 @@
+from collections import Counter
+
+import hand_labelled
 import pytest
 
 from cellframe.llm import html_crf
@@ -119,3 +122,70 @@ def test_no_page_to_learn_from(spark):
     model = html_crf.train(empty)
     pages = spark.createDataFrame([(1, "u", "<p>x</p>")], "page_id long, url string, html string")
     assert html_crf.extract(pages, model).count() == 1
+
+
+@pytest.mark.parametrize("name, html, count", [
+    ("odd quotes", '<p title="x>y</p>' * 50_000 + '"', None),
+    ("quotes that never close", '<a "' * 50_001, 1),
+    ("deep", "<div>" * 100_000 + "x", 1),
+    ("deep, all different", "".join(f"<div class=c{'abcdefghij'[i % 10] * (i // 10)}>" for i in range(2000)) + "x", 1),
+    ("inline ones never closed", "<b>" * 50_000 + "<li>x</li>" * 50_000, 50_000),
+    ("ends without starts", "</p>" * 100_000 + "<!x " * 100_000, 0),
+])
+def test_linear_time(model, name, html, count):
+    import time
+
+    began = time.process_time()
+    page = blocks(html)
+    labels = model.labeller()(page)
+    html_crf.landmark_labels(page)
+    assert time.process_time() - began < 20 and len(labels) == len(page)
+    assert count is None or len(page) == count
+
+
+def test_a_tag_without_an_end_is_text():
+    assert texts('<p>a <b "c</p>') == ['a <b "c']
+    assert texts("<p>a</p><p title='x>b</p><i>c</i>") == ["a", "<p title='x>b", "c"]
+
+
+@pytest.mark.parametrize("without", [False, True])
+def test_a_table_without_landmarks(spark, without):
+    """Articles are found also when no page of the table says where they are."""
+    import re
+
+    pages = spark.read.parquet(f"{SF}/pages.parquet").collect()
+    strip = lambda h: re.sub(r"<(/?)(article|main)\b", r"<\1div", h)
+    rows = [(r["page_id"], r["url"], strip(r["html"]) if without else r["html"], 1) for r in pages]
+    table = spark.createDataFrame(rows, "page_id long, url string, html string, chosen_id int")
+    found = {r["page_id"]: r["text"].split() for r in html_crf.extract(table, html_crf.train(table)).collect()}
+    right = wrong = missed = 0
+    for r in pages:
+        page = blocks(r["html"])
+        truth = html_crf.landmark_labels(page)
+        main = " ".join(b.text for b, y in zip(page, truth) if y).split()
+        hit = sum((Counter(main) & Counter(found[r["page_id"]])).values())
+        right, wrong = right + hit, wrong + len(found[r["page_id"]]) - hit
+        missed += len(main) - hit
+    assert wrong <= 0.02 * right and missed <= 0.05 * right
+
+
+def test_pages_labelled_by_hand(model):
+    right = wrong = missed = 0
+    for html, text in hand_labelled.PAGES:
+        page = blocks(html)
+        got = " ".join(b.text for b, y in zip(page, model.labeller()(page)) if y).split()
+        hit = sum((Counter(got) & Counter(text.split())).values())
+        right, wrong, missed = right + hit, wrong + len(got) - hit, missed + len(text.split()) - hit
+    assert wrong <= 0.1 * right and missed <= 0.1 * right, (right, wrong, missed)
+
+
+def test_the_sample_is_bounded(spark):
+    rows = [(1, "u", f"<main><p>text {i % 5}</p></main>") for i in range(3000)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    seen = []
+    plain_fit, html_crf.fit = html_crf.fit, lambda found: seen.append(len(found)) or plain_fit(found)
+    try:
+        html_crf.train(pages)
+    finally:
+        html_crf.fit = plain_fit
+    assert seen[0] <= 1 + html_crf.VARIANTS
