@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 import numpy as np
 import xxhash
 from pyspark.sql import Column, DataFrame
@@ -16,22 +18,39 @@ def remainder(column: str, modulus: int) -> Column:
 
 
 def labelled_sample(
-    docs: DataFrame, labels: DataFrame, label: str, where: Column, rows: int
+    docs: DataFrame, labels: DataFrame, label: str, where: Column, rows: int,
+    inputs: Sequence[str] = ("text",),
 ) -> DataFrame:
-    """Up to `rows` labelled documents, (doc_id, label, text and `docs` columns).
+    """Up to `rows` labelled documents: (doc_id, label, the `inputs` of `docs`).
 
     They are the first by a hash of doc_id among the labels that `where` admits;
     the hash order makes them a random sample that every run repeats. The list
-    of ids is bounded by `rows`, so it is sent to the scan of the documents.
+    of ids is bounded by `rows`, so it is sent to the scan of the documents. Of
+    rows that share a doc_id one is taken, the first by a hash of its text, before
+    and after the shuffle, so the sample is bounded whatever the table holds.
     """
     chosen = (
         labels.where(where & F.col(label).isin(0, 1))
-        .groupBy("doc_id").agg(F.max(label).alias("label"))
+        .groupBy("doc_id").agg(F.max(label).alias("marked"))
         .orderBy(F.xxhash64(F.col("doc_id"), F.lit(17)), "doc_id")
         .limit(rows)
-        .select(F.col("doc_id").alias("labelled_id"), "label")
+        .select(F.col("doc_id").alias("marked_id"), "marked")
+    )
+    own = docs.select(
+        F.col("doc_id").alias("own_id"), F.struct(*[docs[f"`{c}`"] for c in inputs]).alias("own")
+    )
+    return (
+        own.join(F.broadcast(chosen), same(F.col("own_id"), F.col("marked_id")))
+        .groupBy("own_id")
+        .agg(
+            F.min_by("own", F.xxhash64("own")).alias("own"),
+            F.max("marked").alias("marked"),
+        )
+        .select(
+            F.col("own_id").alias("doc_id"), F.col("marked").alias("label"),
+            *[F.col(f"own.`{c}`") for c in inputs],
+        )
     )
-    return docs.join(F.broadcast(chosen), same(F.col("doc_id"), F.col("labelled_id")))
 
 
 class WordHash(dict):

@@ -157,7 +157,7 @@ def train(
         return [ids, marks, [a.astype(np.int32).tobytes() for a, _ in found],
                 [x.astype(np.float32).tobytes() for _, x in found]]
 
-    sample = labelled_sample(docs, labels, "quality", where, rows)
+    sample = labelled_sample(docs, labels, "quality", where, rows, ("text", "n_chars"))
     got = map_columns(
         sample.select("doc_id", "label", "text", "n_chars"),
         "doc_id long, label int, slots binary, x binary",

@@ -73,6 +73,19 @@ def test_only_admitted_labels_are_read(spark):
     assert labelled_sample(docs, labels, "quality", where, 50).count() == 50
 
 
+def test_the_sample_is_bounded_by_rows(spark):
+    """Many rows of one labelled doc_id are one row of the sample."""
+    rows = [(i % 3, f"text {i % 7}", "x", 1) for i in range(50_000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, label string, labelled_id int")
+    labels = spark.createDataFrame([(0, 1), (1, 0), (None, 1)], "doc_id long, toxic int")
+    got = labelled_sample(docs, labels, "toxic", F.lit(True), 10).collect()
+    assert sorted((r["doc_id"], r["label"]) for r in got) == [(0, 1), (1, 0)]
+    assert quality.score(docs.withColumn("n_chars", F.lit(3)).limit(5), quality.train(
+        docs.withColumn("n_chars", F.lit(3)), labels.withColumnRenamed("toxic", "quality"), F.lit(True)
+    )).count() == 5
+    assert toxicity.train(docs, labels, F.lit(True)).bias is not None
+
+
 def test_linear_time_pairs_equal_the_double_sum():
     pick = np.random.default_rng(0)
     machine = quality.Machine(0.3, pick.normal(size=quality.SIZE), pick.normal(size=(quality.SIZE, quality.RANK)))
