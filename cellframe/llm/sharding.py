@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from cellframe.llm.common import Scratch
 
 SHARDS = 24
-BUCKET_ROWS = 20_000
+BUCKET_ROWS = 4_000
 SEED = "shards-1"
 # Bytes that a row counts besides its text.
 ROW_BYTES = 8
