@@ -43,10 +43,36 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def remove(spark: SparkSession, path: str) -> None:
-    """Delete a written folder, wherever it lies."""
+def _located(spark: SparkSession, path: str):
+    """(file system, path) of a folder, wherever it lies."""
     at = spark._jvm.org.apache.hadoop.fs.Path(path)
-    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()), at
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a written folder."""
+    system, at = _located(spark, path)
+    system.delete(at, True)
+
+
+def qualified(spark: SparkSession, path: str) -> str:
+    """A path with its file system, the same however it was written."""
+    system, at = _located(spark, path)
+    return system.makeQualified(at).toString()
+
+
+def is_folder(spark: SparkSession, path: str) -> bool:
+    system, at = _located(spark, path)
+    return system.exists(at)
+
+
+def rename(spark: SparkSession, path: str, to: str) -> None:
+    """Move a folder inside its file system, into folders that are made as needed."""
+    system, at = _located(spark, path)
+    target = _located(spark, to)[1]
+    system.mkdirs(target.getParent())
+    if not system.rename(at, target):
+        raise OSError(f"cannot move {path} to {to}")
 
 
 @contextmanager

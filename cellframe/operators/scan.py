@@ -120,10 +120,13 @@ def snapshot(
 ) -> DataFrame:
     """The table after the commit numbered `commit`, the same whenever it is read.
 
-    Commits are told by `seq`, which only grows, so a later put does not change
-    the image, whatever its time. `CellTable.last_commit` gives the number to keep.
+    A stored cell has the number of the commit that made it part of the table, and
+    these only grow; so neither a later put, whatever its time, nor the adoption of
+    older files changes the image. `CellTable.last_commit` gives the number to keep.
+    In a log that was never stored commits are told by `seq`.
     """
-    return _rows(log.where(F.col("seq") <= commit), columns, family)
+    number = "commit" if "commit" in log.columns else "seq"
+    return _rows(log.where(F.col(number) <= commit), columns, family)
 
 
 def versions(

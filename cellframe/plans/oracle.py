@@ -171,6 +171,15 @@ SELECT CASE WHEN "Invoice" LIKE '%9' THEN '' WHEN "Invoice" NOT LIKE '%7' THEN "
 FROM invoices""",
         "scan_latest": SCAN,
         "scan_snapshot": SCAN,
+        "scan_after_adoption": f"""WITH {CELL_LOG},
+loaded AS (
+  SELECT * FROM cell_log
+  UNION ALL
+  SELECT DISTINCT CAST(user_id AS VARCHAR), 'view', 'adopted', {DELETE_AT}, 1, false
+  FROM events WHERE event_type = 'purchase' AND value > 300
+),
+{_live(source='loaded')}
+SELECT user_id, click, error, purchase, signup, view FROM ({_pivot(QUALIFIERS)})""",
         "stored_time_range": TIME_RANGE,
         "stored_as_of": AS_OF,
         "scan_latest_subset": f"WITH {CELL_LOG},{_live()}\n{_pivot(['click'])}",
@@ -184,6 +193,10 @@ FROM invoices""",
 got AS ({_pivot(QUALIFIERS)})
 SELECT coalesce(g.user_id, '') AS user_id, {blank_columns}
 FROM keys LEFT JOIN got g ON g.user_id = keys.row_key""",
+        "paced_get": f"""WITH {KEYS}
+SELECT CASE WHEN missing THEN '' ELSE row_key END AS user_id,
+       CASE WHEN missing THEN '' ELSE 'user ' || row_key END AS name
+FROM (SELECT row_key, row_key LIKE 'missing%' AS missing FROM keys)""",
         "scan_to_parquet": SCAN,
         "delete_rows": f"""WITH {CELL_LOG},{_live()}
 SELECT * FROM ({_pivot(QUALIFIERS)}) WHERE user_id NOT IN ({_buyers(200)})""",

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Callable
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -14,13 +16,13 @@ from cellframe.model import INVOICE_COLUMNS, MAX_RATE, ORDER_FIELDS, REGION_BOUN
 from cellframe.operators import scan
 from cellframe.operators.cells import record_to_cells, row_to_cells
 from cellframe.operators.nest import nest_orders
-from cellframe.operators.pacing import batch_plan, batch_size, sending_tasks
+from cellframe.operators.pacing import batch_size, fetch, send_partitions, sending_tasks
 from cellframe.sinks.results import save_result
 from cellframe.sinks.table import CellTable, bulk_files
 from cellframe.sources.files import read_keys, read_rows, read_sales_csv
 
-# Requested columns, versions per cell, sending tasks, regions,
-# bytes per file (small, so that regions take several).
+# Requested columns, versions per cell, sending tasks, regions, files
+# that a layout is cut into, keys asked of an outside store in a second.
 SCAN_COLUMNS = "user_id, click, error, purchase, signup, view"
 SUBSET_COLUMNS = "user_id, click"
 VERSION_COLUMNS = "user_id, click, purchase"
@@ -28,10 +30,14 @@ VERSIONS = 3
 WORKERS = 4
 BATCH = batch_size(MAX_RATE, sending_tasks(MAX_RATE, WORKERS))
 REGIONS = 11
-SMALL_FILE = 64 << 10
+FILES = 40
+ASKED = 1_000_000
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+# The client below goes to the workers along with the tasks.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def q_nest_orders(spark: SparkSession, sf: str) -> DataFrame:
     return nest_orders(X.sales_lines(spark, sf))
@@ -155,14 +161,35 @@ def q_stored_as_of(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_scan_snapshot(spark: SparkSession, sf: str) -> DataFrame:
-    """An image stays as it was, also after a put that is stamped back in time."""
+    """An image stays as it was, also after a put that is stamped back in time and the
+    adoption of files that are older than it."""
     table = _stored_log(spark, sf)
+    late = X.buyers_above(spark, sf, 300).distinct()
+    files = scratch_dir(spark, "older-files")
+    bulk_files(
+        late.withColumn("view", F.lit("older")), files, "row_key", "view", table.bounds,
+        ts=X.SNAPSHOT_AT, seq=1,
+    )
     commit = table.last_commit()
-    late = X.buyers_above(spark, sf, 300).distinct().withColumn("click", F.lit("late"))
-    table.put(late, "row_key", "click", ts=X.SNAPSHOT_AT, seq=commit + 1)
+    table.put(late.withColumn("click", F.lit("late")), "row_key", "click",
+              ts=X.SNAPSHOT_AT, seq=commit + 1)
+    table.adopt(files)
     return scan.snapshot(table.cells(), SCAN_COLUMNS, commit)
 
 
+def q_scan_after_adoption(spark: SparkSession, sf: str) -> DataFrame:
+    """The same table with all of its commits: what was put and what was adopted."""
+    table = _stored_log(spark, sf)
+    late = X.buyers_above(spark, sf, 300).distinct()
+    files = scratch_dir(spark, "newer-files")
+    bulk_files(
+        late.withColumn("view", F.lit("adopted")), files, "row_key", "view", table.bounds,
+        ts=X.DELETE_AT,
+    )
+    table.adopt(files)
+    return scan.latest(table.cells(), SCAN_COLUMNS)
+
+
 def q_get_rows(spark: SparkSession, sf: str) -> DataFrame:
     table = _stored_log(spark, sf)
     return scan.get_rows(
@@ -221,11 +248,11 @@ def q_bulk_cells(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def _bulk_path(spark: SparkSession, sf: str, **options) -> str:
+def _bulk_path(spark: SparkSession, sf: str) -> str:
     rows = written(spark, X.sparse_invoices(spark, sf), "bulk-input")
     path = scratch_dir(spark, "bulk-files")
     bulk_files(
-        rows, path, "Invoice", INVOICE_COLUMNS, REGION_BOUNDS, ts=1000, seq=1, **options
+        rows, path, "Invoice", INVOICE_COLUMNS, REGION_BOUNDS, ts=1000, seq=1
     )
     return path
 
@@ -233,7 +260,13 @@ def _bulk_path(spark: SparkSession, sf: str, **options) -> str:
 def q_bulk_region_layout(spark: SparkSession, sf: str) -> DataFrame:
     in_file = Window.partitionBy("file").orderBy("position")
     place = F.struct("row_key", "family", "qualifier")
-    path = _bulk_path(spark, sf, file_bytes=SMALL_FILE)
+    rows = written(spark, X.sparse_invoices(spark, sf), "bulk-input")
+    size = rows.agg(F.sum(
+        2 * F.octet_length("Invoice") + F.coalesce(F.octet_length("orders"), F.lit(0))
+    )).first()[0]
+    path = scratch_dir(spark, "bulk-files")
+    bulk_files(rows, path, "Invoice", INVOICE_COLUMNS, REGION_BOUNDS, ts=1000, seq=1,
+               file_bytes=max(1, size // FILES))
     stored = read_rows(spark, f"{path}/cells").select(
         "region",
         "row_key",
@@ -275,8 +308,35 @@ def q_bulk_then_scan(spark: SparkSession, sf: str) -> DataFrame:
     return scan.latest(table.cells(), INVOICE_COLUMNS)
 
 
+class _Outside:
+    """A store outside Spark, as its clients see it: takes all rows, knows all keys
+    but those that say that they are missing."""
+
+    def send(self, batch: list) -> None:
+        pass
+
+    def get(self, keys: list[str]) -> dict[str, dict[str, str]]:
+        return {k: {"name": f"user {k}"} for k in keys if not k.startswith("missing")}
+
+    def close(self) -> None:
+        pass
+
+
 def q_batch_plan(spark: SparkSession, sf: str) -> DataFrame:
-    return batch_plan(_regions(spark, sf, "strict"), "region", BATCH)
+    """Records, batches and pauses of each region's task, counted as they are sent."""
+    last = len(REGION_BOUNDS) + 2
+    by_region = _regions(spark, sf, "strict").repartitionById(last, "region")
+    return send_partitions(by_region, _Outside, BATCH).groupBy("task").agg(
+        F.sum("records").alias("records"), F.count("*").alias("batches"),
+        F.sum(F.col("paused").cast("long")).alias("pauses"),
+    ).withColumnRenamed("task", "region")
+
+
+def q_paced_get(spark: SparkSession, sf: str) -> DataFrame:
+    """Every requested key, asked of a store outside Spark in paced batches."""
+    return fetch(
+        X.key_list(spark, sf), _Outside, "user_id, name", rate=ASKED, max_rate=ASKED,
+    )
 
 
 def queries() -> dict[str, Query]:

@@ -126,8 +126,8 @@ def test_explosion_to_cells_is_narrow(spark):
     assert "Exchange" not in plan(row_to_cells(rows, "id", "id, a"))
 
 
-def test_no_python_in_any_query(spark):
-    for name in ("nest_orders", "scan_latest", "scan_versions", "get_rows", "batch_plan"):
+def test_no_python_but_in_traffic_with_a_store(spark):
+    for name in ("nest_orders", "scan_latest", "scan_versions", "get_rows", "region_assign"):
         text = plan(queries()[name](spark, SMALL))
         assert "Python" not in text and "InPandas" not in text
         assert "CartesianProduct" not in text and "NestedLoop" not in text

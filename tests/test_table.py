@@ -108,7 +108,8 @@ def test_adoption_reads_and_writes_no_cell(spark, tmp_path, table, docs):
     table.put(docs, "Invoice", ts=2)
     table.adopt(path)
     assert table.adopted() == [path]
-    assert files_in_order(spark, f"{path}/cells") and table.cells().count() == 8000 + 7
+    moved = files_in_order(spark, f"{table.path}/bulk")
+    assert all(f["in_order"] for f in moved) and table.cells().count() == 8000 + 7
     assert spark.read.parquet(f"{table.path}/cells").count() == 7
     with pytest.raises(ValueError, match="before"):
         table.adopt(path)
@@ -137,6 +138,88 @@ def test_a_snapshot_does_not_change(spark, table, docs):
     assert rows(scan.as_of(table.cells(), COLS, 50)) != image
 
 
+def test_adoption_leaves_snapshots_as_they_are(spark, tmp_path, table, docs):
+    """Files that are older than a commit, adopted after it, are not in its image."""
+    for name, value in (("a", "older"), ("b", "oldest")):
+        late = spark.createDataFrame([("C1", value), ("new", value)], docs.schema)
+        bulk_files(late, str(tmp_path / name), "Invoice", COLS, REGION_BOUNDS, ts=90, seq=1)
+    table.put(docs, "Invoice", ts=50)
+    first = table.last_commit()
+    image = rows(scan.snapshot(table.cells(), COLS, first))
+    table.adopt(str(tmp_path / "a"))
+    second = table.last_commit()
+    assert second > first
+    with_a = rows(scan.snapshot(table.cells(), COLS, second))
+    assert ("new", "older") in with_a and ("C1", "older") in with_a
+    table.adopt(f"{tmp_path}/b/")
+    assert rows(scan.snapshot(table.cells(), COLS, first)) == image == blanked(DOCS)
+    assert rows(scan.snapshot(table.cells(), COLS, second)) == with_a
+    assert scan.latest(table.cells(), COLS).count() == 5
+
+
+def test_a_folder_is_adopted_once_however_it_is_written(spark, tmp_path, table, docs):
+    path = str(tmp_path / "f")
+    bulk_files(docs, path, "Invoice", COLS, REGION_BOUNDS, ts=5)
+    table.adopt(f"{path}/")
+    for again in (path, f"file:{path}", f"{tmp_path}/./f"):
+        with pytest.raises(ValueError, match="before"):
+            table.adopt(again)
+    assert table.cells().count() == 7
+
+
+def test_an_adoption_that_broke_off_is_unseen_and_can_be_finished(
+    spark, tmp_path, table, docs, monkeypatch
+):
+    path = str(tmp_path / "f")
+    bulk_files(docs, path, "Invoice", COLS, REGION_BOUNDS, ts=5)
+    commit = CellTable._commit
+
+    def fails(*args, **said):
+        raise OSError("gone")
+
+    monkeypatch.setattr(CellTable, "_commit", fails)
+    with pytest.raises(OSError):
+        table.adopt(path)
+    monkeypatch.setattr(CellTable, "_commit", commit)
+    assert table.cells().count() == 0 and table.adopted() == []
+    table.adopt(path)
+    assert table.cells().count() == 7
+
+
+def test_many_adoptions_are_one_scan(spark, tmp_path, table, docs):
+    from test_plans import plan
+
+    for i in range(5):
+        bulk_files(docs, str(tmp_path / str(i)), "Invoice", COLS, REGION_BOUNDS, ts=i)
+        table.adopt(str(tmp_path / str(i)))
+    text = plan(scan.snapshot(table.cells(), COLS, 3))
+    assert text.count("FileScan parquet") == 2
+    assert "commit#" in text.split("PartitionFilters")[2]
+    assert rows(scan.snapshot(table.cells(), COLS, 3)) == blanked(DOCS)
+    assert scan.versions(table.cells(), 9).count() == 5 * 7
+
+
+def test_commits_only_grow(table, docs):
+    table.put(docs, "Invoice", ts=5, seq=7)
+    for seq in (7, 3):
+        with pytest.raises(ValueError, match="not above"):
+            table.put(docs, "Invoice", ts=6, seq=seq)
+    assert table.last_commit() == 7 and table.cells().count() == 7
+
+
+def test_the_manifest_counts_what_was_written(spark, tmp_path, table, docs, keys_of):
+    odd = spark.createDataFrame([("", "x"), (None, "y")], docs.schema)
+    table.put(docs.union(odd), "Invoice", ts=5, allow_rejects=True)
+    table.delete(keys_of("C1", "C1", "nope", ""), ts=6)
+    bulk_files(docs, str(tmp_path / "f"), "Invoice", COLS, REGION_BOUNDS, ts=7)
+    table.adopt(str(tmp_path / "f"))
+    table.append_log(table.cells().limit(3))
+    got = [tuple(r) for r in table.commits().orderBy("commit").collect()]
+    assert [g[:2] for g in got] == [(1, "put"), (2, "delete"), (3, "adopt"), (4, "append")]
+    assert got[0][2:6] == (5, 4, 7, 2) and got[1][2:6] == (6, 3, 2, 1)
+    assert got[2][6] == str(tmp_path / "f") and got[3][4] == 3
+
+
 def test_odd_column_names(spark, tmp_path, table):
     from cellframe.sinks.results import save_result
 
