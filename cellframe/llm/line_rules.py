@@ -20,16 +20,12 @@ and type.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
-import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructField, StructType
 
-from cellframe.llm.common import Scratch, map_arrow, map_columns, row_digest, same, words_of
+from cellframe.llm.common import Scratch, map_columns, row_digest, same, words_of
 
 SYMBOLS = b"#*$%&|<>"
 SPACES = b" \t\n\r\x0b\x0c"
@@ -76,44 +72,49 @@ def _line_key(salt: bytes, own: list[bytes]) -> int:
 
 
 def _profile(host: str | None, text: str | None) -> tuple:
-    """Base counts, and the hash and words of each distinct line."""
+    """Base counts, the hash and words of each distinct line, and the hash of every
+    line in order (null for blank ones)."""
     words = words_of(text)
     if not words:
         symbols = sum(text.count(chr(c)) for c in SYMBOLS) if text else 0
-        return 0, 0, symbols, 0, 0, [], []
+        return 0, 0, symbols, 0, 0, [], [], []
     raw = text.encode()
     word_chars = len(text) - (len(raw) - len(raw.translate(None, SPACES)))
     symbols = len(raw) - len(raw.translate(None, SYMBOLS))
     salt = _salt(host)
     seen: set[bytes] = set()
     lines: dict[int, int] = {}
+    keys: list[int | None] = []
     repeats = 0
     for line in raw.split(b"\n"):
         own = line.split()
         if not own:
+            keys.append(None)
             continue
         repeats += line in seen
         seen.add(line)
         key = _line_key(salt, own)
+        keys.append(key)
         lines[key] = lines.get(key, 0) + len(own)
     return (
         len(words), word_chars, symbols, repeats, repeated_words(words),
-        list(lines), list(lines.values()),
+        list(lines), list(lines.values()), keys,
     )
 
 
 def line_profiles(docs: DataFrame) -> DataFrame:
-    """One row per document: digest of the row, base counts, lines as (hash, words)."""
+    """One row per document: digest of the row, base counts, distinct lines as (hash,
+    words), and all lines in order by their hashes."""
 
     def run(ids: list, hosts: list, digests: list, texts: list) -> list[list]:
-        columns = list(zip(*map(_profile, hosts, texts))) or [[] for _ in range(7)]
+        columns = list(zip(*map(_profile, hosts, texts))) or [[] for _ in range(8)]
         return [ids, hosts, digests, *map(list, columns)]
 
     return map_columns(
         docs.select("doc_id", "source", row_digest().alias("digest"), "text"),
         "doc_id long, host string, digest long, n_words long, word_chars long, "
         "n_symbols long, n_dup_lines long, n_repeat_words long, "
-        "lines array<long>, line_words array<int>",
+        "lines array<long>, line_words array<int>, line_keys array<long>",
         run,
     )
 
@@ -200,57 +201,38 @@ def judge(
     )
 
 
-def without_lines(host: str | None, text: str, gone: list[int]) -> str:
-    """A text without the lines whose hashes are in `gone`."""
-    salt, drop = _salt(host), set(gone)
-
-    def stays(line: str) -> bool:
-        own = words_of(line)
-        return not own or _line_key(salt, own) not in drop
-
-    return "\n".join(filter(stays, text.split("\n")))
-
-
-def _cleaned(rows: DataFrame, kind: StructType) -> DataFrame:
-    """(row, gone) -> the rows, their texts without the lines in `gone`."""
-    names = [f.name.lower() for f in kind.fields]
-    text_at, host_at = names.index("text"), names.index("source")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            row, gone = batch.column(0), batch.column(1).to_pylist()
-            columns = row.flatten()
-            texts = columns[text_at].to_pylist()
-            hosts = columns[host_at].to_pylist()
-            for i, lines in enumerate(gone):
-                if lines:
-                    texts[i] = without_lines(hosts[i], texts[i], lines)
-            columns[text_at] = pa.array(texts, columns[text_at].type)
-            yield pa.RecordBatch.from_arrays(
-                [pa.StructArray.from_arrays(columns, fields=list(row.type))], names=["row"]
-            )
-
-    return map_arrow(rows, run, StructType([StructField("row", kind)])).select("row.*")
-
-
-def _with_gone(docs: DataFrame, gone: DataFrame, how: str) -> DataFrame:
-    """Whole documents, joined with what (doc_id, digest, gone) says of their rows."""
+def _with_gone(docs: DataFrame, profiles: DataFrame, how: str) -> DataFrame:
+    """Whole documents, joined with the `profiles` of their rows: their texts are
+    without the lines whose hashes are in `gone`."""
+    places = F.expr("""
+        filter(transform(line_keys, (k, i) -> IF(array_contains(gone, k), i, -1)), i -> i >= 0)
+    """)
+    said = profiles.groupBy("doc_id", "digest").agg(F.first(places).alias("places"))
     whole = F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row")
     own = docs.select(whole, F.col("doc_id").alias("own_id"), row_digest().alias("own_digest"))
-    said = gone.groupBy("doc_id", "digest").agg(F.first("gone").alias("gone"))
     joined = own.join(
         said, same(F.col("own_id"), F.col("doc_id")) & (F.col("own_digest") == F.col("digest")),
         how,
-    ).select("row", "gone")
-    return _cleaned(joined, joined.schema["row"].dataType)
+    )
+
+    def column(name: str) -> Column:
+        value = F.col(f"row.`{name}`")
+        if name.lower() != "text":
+            return value
+        left = F.filter(
+            F.split(value, "\n", -1), lambda _, i: ~F.array_contains(F.col("places"), i)
+        )
+        cut = F.when(F.size("places") > 0, F.array_join(left, "\n")).otherwise(value)
+        return cut.cast(docs.schema[name].dataType).alias(name)
+
+    return joined.select(*map(column, docs.columns))
 
 
 def clean_lines(docs: DataFrame, frequent: DataFrame) -> DataFrame:
     """All documents, their texts without frequent lines; `frequent` comes from
     `frequent_lines`. Other columns, a stored length too, stay as they are."""
     profiles = line_profiles(docs)
-    gone = profiles.join(_gone(profiles, frequent), "digest")
-    return _with_gone(docs, gone.select("doc_id", "digest", "gone"), "left")
+    return _with_gone(docs, profiles.join(_gone(profiles, frequent), "digest"), "left")
 
 
 def keep_documents(
@@ -263,5 +245,4 @@ def keep_documents(
     other columns as they are. Verdicts go by row: rows that share a doc_id, or have
     none, and differ in text or source are kept or rejected each by its own."""
     verdicts = _verdicts(docs, max_docs, max_share, max_removed)
-    kept = verdicts.where("kept").select("doc_id", "digest", "gone")
-    return _with_gone(docs, kept, "inner")
+    return _with_gone(docs, verdicts.where("kept"), "inner")
