@@ -8,6 +8,10 @@ learning rate (from the sum of its squared gradients) and an L1 threshold that
 leaves most weights exactly 0, so a long harmless text gathers no score and the
 model sent to the tasks is a short list of slots and weights.
 
+The parameters were chosen on a split of the training rows alone: a quarter of them by
+crc32(doc_id and "v"), the others learned from. Rows outside of a caller's `where` had
+no part in it.
+
 Words are compared in lower case without ASCII punctuation. Labels are learned
 from a bounded sample (`SAMPLE_ROWS` labelled rows), whose features alone reach the driver.
 
@@ -32,7 +36,7 @@ SLOT_BITS = 20
 ALPHA, BETA, L1, L2 = 0.5, 1.0, 15.0, 0.1
 EPOCHS = 8
 MIN_DOCS = 8
-STEMS = (6, 8, 10)
+STEMS = (4, 6, 8)
 THRESHOLD = 0.3
 
 _PUNCTUATION = bytes(c for c in range(33, 127) if not chr(c).isalnum())
