@@ -266,3 +266,90 @@ FROM s
 
 
 SQL["op13_sharding"] = sharding_sql()
+
+
+# Smallest id that each node of `edges` (a, b, both ways) reaches, as `reached`.
+_REACHED = """
+reach AS (
+  SELECT a, b FROM edges
+  UNION
+  SELECT r.a, e.b FROM reach r JOIN edges e ON e.a = r.b),
+reached AS (SELECT a AS id, least(a, min(b)) AS component FROM reach GROUP BY a)
+"""
+
+
+def embedding_sql(embeddings: str = "embeddings", cosine: float = 0.95) -> str:
+    """`near_duplicates` by comparing all pairs; ids are distinct."""
+    return f"""
+WITH RECURSIVE v AS (
+  SELECT vec_id, embedding::DOUBLE[] AS e FROM {embeddings}
+  WHERE len(embedding) > 0
+    AND list_bool_and(list_transform(embedding, lambda x: x IS NOT NULL AND isfinite(x)))),
+n AS (
+  SELECT * FROM (SELECT *, sqrt(list_dot_product(e, e)) AS norm FROM v) WHERE norm > 0),
+pairs AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM n a JOIN n b ON a.vec_id < b.vec_id
+  WHERE len(a.e) = len(b.e)
+    AND list_dot_product(a.e, CASE WHEN len(a.e) = len(b.e) THEN b.e ELSE a.e END)
+        / (a.norm * b.norm) >= {cosine}),
+edges AS (SELECT a, b FROM pairs UNION ALL SELECT b, a FROM pairs),
+{_REACHED},
+links AS (SELECT a AS id, count(*) AS n FROM edges GROUP BY a)
+SELECT vec_id, coalesce(links.n, 0)::BIGINT AS n_links,
+       coalesce(component, vec_id) AS component_id, coalesce(component, vec_id) = vec_id AS kept
+FROM {embeddings} LEFT JOIN reached ON reached.id = vec_id LEFT JOIN links ON links.id = vec_id
+"""
+
+
+def substring_sql(documents: str = "documents", width: int = 13) -> str:
+    """`substring_dedup` on every window's words; ids are distinct."""
+    return f"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '{WORD}') AS w FROM {documents}),
+win AS (
+  SELECT doc_id, i, array_to_string(w[i : i + {width - 1}], ' ') AS words
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - {width - 2})) AS i FROM d)),
+firsts AS (SELECT words, min(doc_id) AS earliest FROM win GROUP BY words HAVING count(*) > 1),
+hit AS (SELECT doc_id, i FROM win JOIN firsts USING (words) WHERE earliest < doc_id),
+gone AS (
+  SELECT DISTINCT doc_id, i + o AS i FROM hit, (SELECT unnest(range(0, {width})) AS o)),
+word AS (SELECT doc_id, i, w[i] AS word FROM (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS i FROM d)),
+kept AS (
+  SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS text, count(*) AS n
+  FROM word ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id)
+SELECT doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n, 0))::BIGINT AS n_removed,
+       sha256(coalesce(text, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)
+"""
+
+
+def jaccard_sql(documents: str = "documents", width: int = 5, percent: int = 75) -> str:
+    """`jaccard_components` by counting the shingles of all pairs that share one; ids
+    are distinct."""
+    small = (
+        "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    )
+    return f"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all({small}, '{WORD}') AS w FROM {documents}),
+s AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i : i + {width - 1}], ' ') AS shingle
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - {width - 2}, least(len(w), 1) + 1))) AS i
+        FROM d)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+shared AS (
+  SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS common
+  FROM s x JOIN s y ON x.shingle = y.shingle AND x.doc_id < y.doc_id GROUP BY ALL),
+pairs AS (
+  SELECT a, b FROM shared JOIN n p ON p.doc_id = a JOIN n q ON q.doc_id = b
+  WHERE 100 * common >= {percent} * (p.n + q.n - common)),
+edges AS (SELECT a, b FROM pairs UNION ALL SELECT b, a FROM pairs),
+{_REACHED}
+SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles,
+       coalesce(component, d.doc_id) AS component_id
+FROM d LEFT JOIN n USING (doc_id) LEFT JOIN reached ON reached.id = d.doc_id
+"""
+
+
+SQL["op3_embedding_join"] = embedding_sql()
+SQL["op7_substring_dedup"] = substring_sql()
+SQL["op8_ngram_join"] = jaccard_sql()
