@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import threading
 from collections.abc import Callable, Iterator, Sequence
 from pathlib import Path
 from urllib.parse import quote
@@ -13,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType, _parse_datatype_string
 
-from cellframe.functions.sizing import scratch_dir
+from cellframe.functions.sizing import remove, scratch_dir
 
 # A word: a run of characters other than the six ASCII white spaces. On bytes
 # this is exactly what `bytes.split()` gives.
@@ -78,25 +79,50 @@ def map_columns(
     return map_arrow(df, run, struct)
 
 
+class _Written(threading.local):
+    """Paths of the intermediate tables, in the order of writing."""
+
+    def __init__(self):
+        self.paths: list[str] = []
+
+
 class Scratch:
-    """Intermediate tables in the shared folder; `drop` removes one of them."""
+    """Intermediate tables in the shared folder. `drop` removes one of them, `release`
+    all that this thread has written since a `mark` and that nothing reads any more."""
+
+    _written = _Written()
 
     def __init__(self, spark: SparkSession, name: str):
         self.spark, self.name = spark, name
+        self.paths: dict[int, str] = {}
 
     def write(self, df: DataFrame, part: str) -> DataFrame:
         path = scratch_dir(self.spark, f"{self.name}-{part}")
+        Scratch._written.paths.append(path)
         df.write.parquet(path)
         read = self.spark.read.schema(df.schema).parquet(path)
-        read._scratch_path = path
+        self.paths[id(read)] = path
         return read
 
+    def path(self, df: DataFrame) -> str:
+        """Where a table of this scratch lies."""
+        return self.paths[id(df)]
+
     def drop(self, df: DataFrame) -> None:
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(
-            quote(df._scratch_path, safe="/:")
-        )
-        hadoop = self.spark._jsc.hadoopConfiguration()
-        path.getFileSystem(hadoop).delete(path, True)
+        remove(self.spark, quote(self.path(df), safe="/:"))
+
+    @classmethod
+    def mark(cls) -> int:
+        return len(cls._written.paths)
+
+    @classmethod
+    def release(cls, spark: SparkSession, mark: int, keep: Sequence[str] = ()) -> None:
+        """Remove what was written since the mark, by any operator, but for `keep`."""
+        written = cls._written.paths
+        for path in written[mark:]:
+            if path not in keep:
+                remove(spark, quote(path, safe="/:"))
+        written[mark:] = [p for p in written[mark:] if p in keep]
 
 
 def row_digest() -> Column:

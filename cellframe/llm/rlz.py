@@ -1,16 +1,21 @@
-"""Substring dedup: relative Lempel-Ziv factors against all earlier documents.
+"""Substring dedup: spans of words that earlier documents hold, in the place of a
+relative Lempel-Ziv parse.
+
+No parse is made: what is asked for is the words that some earlier window covers,
+whatever their sources, and a factor's source and longest match would need the
+source's text where the document is. Equal windows are found by fingerprint
+instead, which gives the same words; a span may join hits from several documents.
 
 The reference is the whole corpus, cut into blocks by its own content: every
 window of `WINDOW` words belongs to its anchor, the 5-word run with the smallest
 hash in it, and the neighbouring windows of one anchor form a block of at most
 `2 * WINDOW - 5` words. Equal text is cut equally wherever it stands. The index maps
 a block, and where blocks of one anchor differ, each of their windows, to the
-smallest doc_id that holds it; a document is factored greedily against it: a
-factor runs on while the next block or window is found in an earlier document.
-Factors end inside blocks, so windows are looked up exactly there: in the first
-documents of blocks that share an anchor with a different block. All factors
-have at least `WINDOW` words, and their union is what a window by window
-comparison with all earlier documents would mark.
+smallest doc_id that holds it; a span of a document runs on while the next block or
+window is found in an earlier document. Spans end inside blocks, so windows are
+looked up exactly there: in the first documents of blocks that share an anchor with
+a different block. All spans have at least `WINDOW` words, and their union is what a
+window by window comparison with all earlier documents would mark.
 
 Blocks and windows travel as packed arrays; a batch sends each of them once, for
 its smallest doc_id, and settles its other documents by itself, so what a third
@@ -272,8 +277,8 @@ def _resolved(
 
 
 def factors(docs: DataFrame) -> DataFrame:
-    """(doc_id, n_words, n_removed, starts, lengths, kept_text) of every document:
-    the factors as spans of words, and the words outside of them."""
+    """(doc_id, n_words, n_removed, starts, lengths, kept_text) of every document: the
+    spans, and the words outside of them."""
     spark = docs.sparkSession
     scratch = Scratch(spark, "rlz")
     # Numbers that stay as they are: the table is written once with them.
@@ -332,7 +337,7 @@ def factors(docs: DataFrame) -> DataFrame:
 
 
 def greedy_factors(hit: np.ndarray, n_words: int) -> tuple[list[int], list[int], np.ndarray]:
-    """Factors from the windows found earlier: each runs from a found window as long
+    """Spans from the windows found earlier: each runs from a found window as long
     as found windows follow, overlap or touch; and the mask of their words."""
     edge = np.zeros(n_words + 1, np.int64)
     at = np.flatnonzero(hit)
