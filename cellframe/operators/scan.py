@@ -13,6 +13,7 @@ plans small:
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -28,6 +29,13 @@ CELL_KEY = ["row_key", "family", "qualifier"]
 # Up to this many versions Spark trims groups before the shuffle.
 TRIM_SETTING = "spark.sql.optimizer.windowGroupLimitThreshold"
 
+# Versions of a cell that are ranked by one task when many are asked for.
+PART_ROWS = 100_000
+
+# Up to this many keys a get has the scan look them up in statistics and Bloom filters
+# of the files; so many of them make one filter.
+LOOKUPS, LOOKUP_FILTER = 500, 10
+
 # Output rows that one copy-expanding task may emit for one key of a get.
 COPIES_PER_TASK = 100_000
 
@@ -143,8 +151,8 @@ def versions(
     cells; ``[start, end)`` chooses puts by time, while later tombstones still
     mask them. Two puts of a cell in one millisecond are one version; `seq`
     decides. Repeats fold into one row before the shuffle, and groups are trimmed
-    to `n` before the next one. Past what Spark trims by itself a cell is trimmed
-    in parts first, so `n` rows for each part are sorted in a task.
+    to `n` before the next one. Past what Spark trims by itself big cells are ranked
+    in parts of time, a task each.
     """
     if n < 1:
         raise ValueError("at least one version must be asked for")
@@ -171,27 +179,57 @@ def versions(
             .select(*CELL_KEY, "ts", "v.value")
         )
         if n > int(log.sparkSession.conf.get(TRIM_SETTING)):
-            folded = _trim_by_parts(folded, n)
-        newest_first = Window.partitionBy(*CELL_KEY).orderBy(F.desc("ts"))
-        ranked = folded.select(
-            *CELL_KEY,
-            F.row_number().over(newest_first).alias("version"),
-            "ts",
-            "value",
-        ).where(F.col("version") <= n)
+            ranked = _ranked_by_parts(folded, n)
+        else:
+            newest_first = Window.partitionBy(*CELL_KEY).orderBy(F.desc("ts"))
+            ranked = folded.select(
+                *CELL_KEY,
+                F.row_number().over(newest_first).alias("version"),
+                "ts",
+                "value",
+            ).where(F.col("version") <= n)
     return _unmasked(ranked, log)
 
 
-def _trim_by_parts(folded: DataFrame, n: int) -> DataFrame:
-    """Keep the newest `n` of each part of a cell: holds the newest n of all."""
-    parts = int(folded.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    spread = folded.withColumn("part", F.pmod(F.xxhash64("ts"), F.lit(parts)))
-    newest_first = Window.partitionBy(*CELL_KEY, "part").orderBy(F.desc("ts"))
-    return (
-        spread.withColumn("place", F.row_number().over(newest_first))
-        .where(F.col("place") <= n)
-        .drop("part", "place")
+def _ranked_by_parts(folded: DataFrame, n: int) -> DataFrame:
+    """The newest `n` of each cell with their numbers, a big cell by many tasks.
+
+    Cells of more than `PART_ROWS` versions are cut into parts of time, newest first.
+    The versions of each part are counted, running totals give the rank at which a part
+    begins, and parts that begin behind `n` are dropped before anything is sorted. So
+    no task sorts more than a part, whatever the cell and `n`. A millisecond has one
+    version, so a part of time is bounded, too.
+    """
+    big = folded.groupBy(*CELL_KEY).agg(
+        F.count("*").alias("n"), F.min("ts").alias("first"), F.max("ts").alias("last")
+    ).where(F.col("n") > PART_ROWS)
+    same_cell = [F.col(k).eqNullSafe(F.col(f"big_{k}")) for k in CELL_KEY]
+    big = big.withColumnsRenamed({k: f"big_{k}" for k in CELL_KEY})
+    # Part 0 is the newest; cells that are not big have only that.
+    part = F.expr(f"""
+        coalesce(CAST(floor((last - ts) / (last - first + 1D) * ceil(n / {PART_ROWS}D)) AS LONG), 0L)
+    """)
+    parted = folded.join(big, same_cell, "left").select(
+        *folded.columns, part.alias("part"), F.col("n").isNotNull().alias("is_big")
     )
+    in_cell = Window.partitionBy(*CELL_KEY).orderBy("part")
+    before = F.sum("held").over(in_cell.rowsBetween(Window.unboundedPreceding, -1))
+    starts = (
+        parted.where("is_big").groupBy(*CELL_KEY, "part").agg(F.count("*").alias("held"))
+        .withColumn("start", F.coalesce(before, F.lit(0)))
+        .where(F.col("start") < n)
+        .drop("held")
+        .withColumnsRenamed({k: f"big_{k}" for k in CELL_KEY})
+        .withColumnRenamed("part", "big_part")
+    )
+    parted = parted.join(
+        starts, [*same_cell, F.col("part") == F.col("big_part")], "left"
+    ).where("NOT is_big OR start IS NOT NULL")
+    newest_first = Window.partitionBy(*CELL_KEY, "part").orderBy(F.desc("ts"))
+    version = F.row_number().over(newest_first) + F.coalesce("start", F.lit(0))
+    return parted.select(
+        *CELL_KEY, version.cast("int").alias("version"), "ts", "value"
+    ).where(F.col("version") <= n)
 
 
 def _unmasked(ranked: DataFrame, log: DataFrame) -> DataFrame:
@@ -237,7 +275,9 @@ def get_rows(
     job measures the key list; its key range (and regions, given the `bounds` of
     the table) go to the log scan, and only cells of requested keys are
     aggregated: a list that fits is sent to the scan, a larger one is joined by
-    key, with Spark's runtime filters and skew handling.
+    key, with Spark's runtime filters and skew handling. Up to `LOOKUPS` keys are
+    written into the scan itself, which skips row groups that hold none of them, by
+    their statistics and the Bloom filters of stored cells.
     """
     if on_missing not in ("blank", "keep_key", "skip"):
         raise ValueError(f"unknown on_missing: {on_missing!r}")
@@ -263,6 +303,8 @@ def get_rows(
         if bounds is not None:
             log = log.where(F.col("region").isin(size["regions"]))
     asked = wanted.select("row_key")
+    if 0 < size["rows"] <= LOOKUPS:
+        log = log.where(_one_of([r["row_key"] for r in asked.collect()]))
     if fits_broadcast(keys.sparkSession, size["rows"], size["text"]):
         asked = F.broadcast(asked)
     log = log.join(asked, "row_key", "left_semi")
@@ -281,6 +323,16 @@ def get_rows(
     )
 
 
+def _one_of(keys: list[str]) -> Column:
+    """Whether the row key is one of these, in pieces that are small enough for the
+    scan to test each key; a long list would only reach it as a range."""
+    ordered = sorted(keys)
+    return reduce(Column.__or__, [
+        F.col("row_key").isin(ordered[i : i + LOOKUP_FILTER])
+        for i in range(0, len(ordered), LOOKUP_FILTER)
+    ])
+
+
 def _repeat(answers: DataFrame, most: int) -> DataFrame:
     """Emit each row `copies` times; a much-asked key is spread over tasks."""
     if most <= 1:

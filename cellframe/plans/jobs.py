@@ -4,8 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import SparkSession
-
+from pyspark.sql import Observation, SparkSession
 from pyspark.sql import functions as F
 
 from cellframe.functions.regions import bounds_from, text_bounds_from
@@ -55,19 +54,25 @@ def write_sales(
 ) -> int:
     """Sales CSV -> one document per invoice -> table.
 
-    Lines without an invoice are counted before anything is grouped: they are an
-    error, unless `allow_rejects` leaves them out or `rejects_path` takes them as
-    parquet. Returns their number. The documents are written once to the shared
-    scratch folder, for the two passes of the put, and deleted after it.
+    Lines without an invoice are an error, raised before anything is stored, unless
+    `allow_rejects` leaves them out or `rejects_path` takes them as parquet. Returns
+    their number, which is counted while the lines are nested. The documents are
+    written once to the shared scratch folder, for the two passes of the put, and
+    deleted after it; only rejected lines that are to be kept are read again.
     """
     table = CellTable.open(spark, table_path)
-    lines, rejected = split_rejects(read_sales_csv(spark, source_path), "Invoice")
-    count = rejected.count()
-    if count and not allow_rejects and rejects_path is None:
-        raise ValueError(f"{count} lines have a null or empty Invoice")
-    if rejects_path is not None:
-        rejected.write.parquet(rejects_path)
-    with scratch(spark, nest_orders(lines), "invoices") as invoices:
+    lines = read_sales_csv(spark, source_path)
+    seen = Observation()
+    counted = lines.observe(
+        seen, F.count_if(~usable_key(F.col("Invoice"))).alias("rejects")
+    )
+    stored, _ = split_rejects(counted, "Invoice")
+    with scratch(spark, nest_orders(stored), "invoices") as invoices:
+        count = seen.get["rejects"]
+        if count and not allow_rejects and rejects_path is None:
+            raise ValueError(f"{count} lines have a null or empty Invoice")
+        if rejects_path is not None:
+            split_rejects(lines, "Invoice")[1].write.parquet(rejects_path)
         table.put(invoices, "Invoice", ts=ts, file_bytes=file_bytes)
     return count
 

@@ -147,6 +147,7 @@ def oracle_sql() -> dict[str, str]:
     blank_columns = ",\n".join(f"coalesce(g.{q}, '') AS {q}" for q in QUALIFIERS)
     return {
         "nest_orders": f"{with_lines}\n{_nested('sales_lines')}",
+        "nest_chunked": f"{with_lines}\n{_nested('sales_lines')}",
         "nest_dedup": f"""{with_lines}
 SELECT "Invoice", count(DISTINCT {STRUCT}) AS n_lines
 FROM sales_lines GROUP BY "Invoice\"""",

@@ -14,15 +14,16 @@ from cellframe.functions.regions import bounds_from, region_of
 from cellframe.functions.sizing import scratch_dir, written
 from cellframe.model import INVOICE_COLUMNS, MAX_RATE, ORDER_FIELDS, REGION_BOUNDS
 from cellframe.operators import scan
-from cellframe.operators.cells import record_to_cells, row_to_cells
+from cellframe.operators.cells import record_to_cells, row_to_cells, stamp
+from cellframe.operators.chunks import chunk_cells, nest_chunks, whole_documents
 from cellframe.operators.nest import nest_orders
 from cellframe.operators.pacing import batch_size, fetch, send_partitions, sending_tasks
 from cellframe.sinks.results import save_result
 from cellframe.sinks.table import CellTable, bulk_files
 from cellframe.sources.files import read_keys, read_rows, read_sales_csv
 
-# Requested columns, versions per cell, sending tasks, regions, files
-# that a layout is cut into, keys asked of an outside store in a second.
+# Requested columns, versions per cell, sending tasks, regions,
+# lines of a chunk, files that a layout is cut into, keys asked of an outside store in a second.
 SCAN_COLUMNS = "user_id, click, error, purchase, signup, view"
 SUBSET_COLUMNS = "user_id, click"
 VERSION_COLUMNS = "user_id, click, purchase"
@@ -30,6 +31,7 @@ VERSIONS = 3
 WORKERS = 4
 BATCH = batch_size(MAX_RATE, sending_tasks(MAX_RATE, WORKERS))
 REGIONS = 11
+CHUNK = 2
 FILES = 40
 ASKED = 1_000_000
 
@@ -60,6 +62,16 @@ def q_nest_null_fields(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def q_nest_chunked(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents stored in chunks of two lines and put together again."""
+    chunks = written(spark, nest_chunks(X.sales_lines(spark, sf), CHUNK), "chunks")
+    table = CellTable.create(
+        spark, scratch_dir(spark, "chunked"), bounds_from(chunks, "Invoice", REGIONS)
+    )
+    table.append_log(stamp(chunk_cells(chunks), 1000, 1, table.region()))
+    return whole_documents(table.cells())
+
+
 def q_csv_source(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch_dir(spark, "sales-csv")
     X.sales_lines(spark, sf).withColumnRenamed("Customer_ID", "Customer ID").write.csv(

@@ -339,6 +339,7 @@ def _append(cells: DataFrame, path: str, kind: str | None = None) -> int:
     (
         ordered.write.mode("append").partitionBy(*columns)
         .option("parquet.bloom.filter.enabled#row_key", "true")
+        .option("parquet.bloom.filter.adaptive.enabled", "true")
         .parquet(path)
     )
     return seen.get["cells"]

@@ -19,7 +19,8 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the base rules or line frequency reject go."""
+    """Documents that the base rules or line frequency reject go; the others lose
+    their frequent lines."""
     return keep_documents(docs)
 
 
@@ -59,9 +60,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over `documents`; each one's result is written, then reread."""
+    """All stages over `documents`; each one's result is written, then reread. What a
+    stage has written besides goes when its result is there, and that of the stage
+    before it, too."""
     docs = table(spark, sf_dir, "documents")
-    scratch = Scratch(spark, "pipeline")
+    scratch, before = Scratch(spark, "pipeline"), Scratch.mark()
     for name, stage in STAGES:
         docs = scratch.write(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        Scratch.release(spark, before, [scratch.path(docs)])
     return docs

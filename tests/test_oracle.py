@@ -29,7 +29,7 @@ def duck():
 
 def test_catalogue_and_oracle_have_the_same_keys():
     assert queries().keys() == oracle_sql().keys()
-    assert len(queries()) == 29
+    assert len(queries()) == 30
     assert queries().keys() <= entry_points.queries().keys()
     assert oracle_sql().items() <= entry_points.oracle_sql().items()
 

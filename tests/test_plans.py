@@ -71,7 +71,11 @@ def test_get_prunes_regions_and_key_range(spark, log):
     assert re.search(r"PartitionFilters: \[[^\]]*region#\d+ = 0", text) or re.search(
         r"PartitionFilters: \[[^\]]*region#\d+ IN \(0\)", text
     )
-    assert "GreaterThanOrEqual(row_key,1)" in text
+    # One key is looked up; a list too long to be looked up is a range.
+    assert "EqualTo(row_key,1)" in text
+    many = spark.range(1000).selectExpr("cast(id as string) AS row_key")
+    text = plan(scan.get_rows(log.cells(), many, "id, a", bounds=log.bounds))
+    assert "GreaterThanOrEqual(row_key,0)" in text and "LessThanOrEqual(row_key,999)" in text
 
 
 def test_a_large_key_list_still_filters_the_cells(spark, log):

@@ -3,6 +3,7 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from cellframe.operators import scan
 from cellframe.operators.cells import row_to_cells
@@ -280,3 +281,41 @@ def test_result_does_not_depend_on_shuffle_partitions(spark, log_of):
         found.append((rows(scan.latest(log, COLS)), rows(scan.versions(log, 2))))
     spark.conf.set("spark.sql.shuffle.partitions", "8")
     assert found[0] == found[1] == found[2]
+
+
+@pytest.mark.parametrize("part_rows", [1, 7, 50, 100_000])
+@pytest.mark.parametrize("n", [5, 40, 500])
+def test_many_versions_in_parts(spark, log_of, monkeypatch, part_rows, n):
+    """Numbers and limit are those of one sort, however a cell is cut in time."""
+    pick = random.Random(n)
+    puts = [("hot", "q", f"v{i}", pick.choice([i, 10_000 + i // 3, 2**40 + i])) for i in range(300)]
+    puts += [(f"k{i % 9}", pick.choice("qr"), f"w{i}", pick.randrange(50)) for i in range(200)]
+    log = log_of(*puts, ("k3", None, None, 25), ("hot", None, None, 12))
+    whole = rows(scan.versions(log, n))
+    monkeypatch.setattr(scan, "PART_ROWS", part_rows)
+    setting = spark.conf.get(scan.TRIM_SETTING)
+    try:
+        spark.conf.set(scan.TRIM_SETTING, "1")
+        assert rows(scan.versions(log, n)) == whole
+    finally:
+        spark.conf.set(scan.TRIM_SETTING, setting)
+
+
+def test_no_task_ranks_all_of_a_cell(spark, monkeypatch):
+    """300,000 versions of one cell, of which 5,000 are asked for."""
+    from cellframe.model import CELL_SCHEMA
+
+    monkeypatch.setattr(scan, "PART_ROWS", 10_000)
+    log = spark.range(300_000).selectExpr(
+        "'k' AS row_key", "'order' AS family", "'q' AS qualifier", "cast(id as string) AS value",
+        "id * 7 AS ts", "id AS seq", "'P' AS kind", "0 AS region",
+    ).to(CELL_SCHEMA)
+    found = scan.versions(log, 5000)
+    got = found.agg({"version": "max", "ts": "min", "*": "count"}).first()
+    assert got["max(version)"] == 5000 == got["count(1)"]
+    assert got["min(ts)"] == 7 * 295_000
+    ranked = scan._ranked_by_parts(
+        log.select("row_key", "family", "qualifier", "ts", "value"), 25_000
+    )
+    spread = ranked.groupBy(F.spark_partition_id().alias("task")).count().collect()
+    assert sum(r["count"] for r in spread) == 25_000

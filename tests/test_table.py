@@ -319,3 +319,67 @@ def test_lines_without_invoice_are_never_nested(spark, tmp_path, table, monkeypa
     assert jobs.write_sales(spark, source, table.path, allow_rejects=True) == 50
     assert seen == [[("1",)]]
     assert list(shared.iterdir()) == []
+
+
+def test_a_put_reads_its_source_twice(spark, table):
+    """Once to measure regions, keys and heavy keys, once to write."""
+    read = spark.sparkContext.accumulator(0)
+
+    def seen(row):
+        read.add(1)
+        return row
+
+    n = 4000
+    source = spark.createDataFrame(
+        spark.sparkContext.range(n, numSlices=4)
+        .map(lambda i: (str(500_000 + (i if i % 3 else 7)), "x" * (1 + i % 40))).map(seen),
+        "Invoice string, orders string",
+    )
+    table.put(source, "Invoice", ts=1, file_bytes=9000)
+    assert read.value == 2 * n
+    assert table.commits().first()["records"] == n
+
+
+def test_files_are_equal_in_bytes(spark, tmp_path):
+    """A few documents hold most of the bytes; files go by bytes, not by rows."""
+    docs = spark.range(4000).selectExpr(
+        "CAST(500000 + id AS STRING) AS k", "repeat('x', IF(id < 400, 1000, 10)) AS v"
+    ).repartition(6)
+    path = str(tmp_path / "f")
+    bulk_files(docs, path, "k", None, [100, 900000], ts=1, file_bytes=40_000)
+    files = spark.read.parquet(f"{path}/cells").selectExpr(
+        "_metadata.file_path AS file", "octet_length(row_key) + octet_length(value) AS size"
+    ).groupBy("file").sum("size").collect()
+    sizes = sorted(r[1] for r in files)
+    assert len(sizes) >= 10 and sizes[-1] < 2.5 * 40_000
+
+
+def test_a_get_skips_what_holds_none_of_its_keys(spark, tmp_path):
+    """Scattered keys: row groups are skipped by their statistics and Bloom filters."""
+    hadoop = spark.sparkContext._jsc.hadoopConfiguration()
+    hadoop.set("parquet.block.size", "65536")
+    try:
+        table = CellTable.create(spark, str(tmp_path / "t"), ["5"])
+        docs = spark.range(10_000).selectExpr("md5(cast(id as string)) k", "repeat('x', 100) v")
+        for i in range(3):
+            table.put(docs.selectExpr(f"concat(k, '{i}') AS k", "v"), "k", ts=i)
+    finally:
+        hadoop.unset("parquet.block.size")
+    keys = docs.selectExpr("concat(k, '1') AS row_key").limit(30)
+    found = scan.get_rows(table.cells(), keys, "k, v", bounds=table.bounds)
+    assert found.count() == 30 and found.where("v = ''").count() == 0
+    found.collect()
+
+    def scanned(plan):
+        name = plan.nodeName()
+        if "Scan parquet" in name:
+            return plan.metrics().apply("numOutputRows").value()
+        inner = [plan.plan()] if "QueryStage" in name else []
+        if "AdaptiveSparkPlan" in name:
+            inner = [plan.executedPlan()]
+        children = plan.children()
+        inner += [children.apply(i) for i in range(children.size())]
+        return sum(scanned(p) for p in inner)
+
+    read = scanned(found._jdf.queryExecution().executedPlan())
+    assert 60 <= read < 60_000 / 3
