@@ -238,9 +238,17 @@ def unpack(heads: np.ndarray, body: bytes, i: int) -> tuple[np.ndarray, np.ndarr
 def build_index(docs: DataFrame) -> tuple[DataFrame, int, int]:
     """The written index of all documents, and the numbers N of documents and L of
     terms that impacts are made with. The text is read twice: counted, then cut."""
-    length = F.regexp_count("text", F.lit(TERM))
-    n_docs, n_terms = docs.select(length.alias("n")).where("n > 0").agg(
-        F.count("*"), F.coalesce(F.sum("n"), F.lit(0))
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sizes = [sum(map(len, pieces(t.as_py()))) for t in batch.column(0)]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([sum(n > 0 for n in sizes)]), pa.array([sum(sizes)])],
+                names=["docs", "terms"],
+            )
+
+    n_docs, n_terms = map_arrow(docs.select("text"), count, "docs long, terms long").agg(
+        F.coalesce(F.sum("docs"), F.lit(0)), F.coalesce(F.sum("terms"), F.lit(0))
     ).first()
     read = docs.select(F.col("doc_id").cast("long"), F.col("text"))
 
