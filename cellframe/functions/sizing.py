@@ -13,6 +13,9 @@ from pyspark.sql import DataFrame, SparkSession
 # Bytes a hash relation needs per row besides the text of its key.
 ROW_OVERHEAD = 64
 
+# Codec of written tables, which are full of repetitive texts.
+PACKED = "zstd"
+
 
 def broadcast_limit(spark: SparkSession) -> int:
     """`spark.sql.autoBroadcastJoinThreshold` in bytes; -1 when switched off."""
@@ -80,7 +83,7 @@ def scratch(spark: SparkSession, df: DataFrame, name: str) -> Iterator[DataFrame
     """`df` written once and read from there; deleted at the end, whatever happens."""
     path = scratch_dir(spark, name)
     try:
-        df.write.parquet(path)
+        df.write.option("compression", PACKED).parquet(path)
         yield spark.read.schema(df.schema).parquet(path)
     finally:
         remove(spark, path)
@@ -92,5 +95,5 @@ def written(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     For results that are read later; `scratch` is for what one action reads.
     """
     path = scratch_dir(spark, name)
-    df.write.parquet(path)
+    df.write.option("compression", PACKED).parquet(path)
     return spark.read.schema(df.schema).parquet(path)

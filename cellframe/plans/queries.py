@@ -64,11 +64,12 @@ def q_nest_null_fields(spark: SparkSession, sf: str) -> DataFrame:
 
 def q_nest_chunked(spark: SparkSession, sf: str) -> DataFrame:
     """Documents stored in chunks of two lines and put together again."""
-    chunks = written(spark, nest_chunks(X.sales_lines(spark, sf), CHUNK), "chunks")
+    lines = written(spark, X.sales_lines(spark, sf), "lines")
     table = CellTable.create(
-        spark, scratch_dir(spark, "chunked"), bounds_from(chunks, "Invoice", REGIONS)
+        spark, scratch_dir(spark, "chunked"), bounds_from(lines, "Invoice", REGIONS)
     )
-    table.append_log(stamp(chunk_cells(chunks), 1000, 1, table.region()))
+    chunks = chunk_cells(nest_chunks(lines, CHUNK))
+    table.append_ranges(stamp(chunks, 1000, 1, table.region()))
     return whole_documents(table.cells())
 
 

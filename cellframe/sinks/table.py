@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cellframe.functions.regions import Bounds, region_of
-from cellframe.functions.sizing import is_folder, qualified, rename
+from cellframe.functions.sizing import PACKED, is_folder, qualified, rename
 from cellframe.functions.text import named
 from cellframe.model import (
     CELL_SCHEMA, FAMILY, PARTITION_COLUMNS, PUT, TOMBSTONE, column_list,
@@ -227,6 +227,19 @@ class CellTable:
         cells = self._store(by_region(placed, sizes, file_bytes), number)
         self._commit(number, "append", records=cells, cells=cells)
 
+    def append_ranges(self, puts: DataFrame) -> None:
+        """Append ready put rows whose tasks hold ranges of keys already, as they are left
+        by a range exchange: they are sorted and written where they are.
+
+        They are neither measured nor dealt again, so they are read once. A null or empty
+        row key or a tombstone fails the write, which leaves nothing behind.
+        """
+        number = self._next()
+        wrong = F.raise_error(F.lit("log rows have a null or empty row key or are no puts"))
+        region = F.coalesce(F.when(F.col("kind") == PUT, self.region()), wrong.cast("int"))
+        cells = self._store(puts.withColumn("region", region).to(CELL_SCHEMA), number, PUT)
+        self._commit(number, "append", records=cells, cells=cells)
+
 
 def prepare_cells(
     records: DataFrame,
@@ -340,6 +353,7 @@ def _append(cells: DataFrame, path: str, kind: str | None = None) -> int:
         ordered.write.mode("append").partitionBy(*columns)
         .option("parquet.bloom.filter.enabled#row_key", "true")
         .option("parquet.bloom.filter.adaptive.enabled", "true")
+        .option("compression", PACKED)
         .parquet(path)
     )
     return seen.get["cells"]
