@@ -23,7 +23,8 @@ from cellframe.sinks.table import CellTable, bulk_files
 from cellframe.sources.files import read_keys, read_rows, read_sales_csv
 
 # Requested columns, versions per cell, sending tasks, regions,
-# lines of a chunk, files that a layout is cut into, keys asked of an outside store in a second.
+# lines of a chunk, files that a layout is cut into and the most bytes of one, keys asked of
+# an outside store in a second.
 SCAN_COLUMNS = "user_id, click, error, purchase, signup, view"
 SUBSET_COLUMNS = "user_id, click"
 VERSION_COLUMNS = "user_id, click, purchase"
@@ -32,7 +33,7 @@ WORKERS = 4
 BATCH = batch_size(MAX_RATE, sending_tasks(MAX_RATE, WORKERS))
 REGIONS = 11
 CHUNK = 2
-FILES = 40
+FILES, FILE_LIMIT = 40, 32 << 20
 ASKED = 1_000_000
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -271,7 +272,7 @@ def _bulk_path(spark: SparkSession, sf: str) -> str:
 
 
 def q_bulk_region_layout(spark: SparkSession, sf: str) -> DataFrame:
-    in_file = Window.partitionBy("file").orderBy("position")
+    in_file = Window.partitionBy("region", "file").orderBy("position")
     place = F.struct("row_key", "family", "qualifier")
     rows = written(spark, X.sparse_invoices(spark, sf), "bulk-input")
     size = rows.agg(F.sum(
@@ -279,12 +280,11 @@ def q_bulk_region_layout(spark: SparkSession, sf: str) -> DataFrame:
     )).first()[0]
     path = scratch_dir(spark, "bulk-files")
     bulk_files(rows, path, "Invoice", INVOICE_COLUMNS, REGION_BOUNDS, ts=1000, seq=1,
-               file_bytes=max(1, size // FILES))
+               file_bytes=max(1, min(size // FILES, FILE_LIMIT)))
     stored = read_rows(spark, f"{path}/cells").select(
         "region",
-        "row_key",
         place.alias("place"),
-        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_name").alias("file"),
         F.col("_metadata.row_index").alias("position"),
     )
     files = (
@@ -292,8 +292,8 @@ def q_bulk_region_layout(spark: SparkSession, sf: str) -> DataFrame:
         .groupBy("region", "file")
         .agg(
             F.count("*").alias("cells"),
-            F.min("row_key").alias("low"),
-            F.max("row_key").alias("high"),
+            F.min("place.row_key").alias("low"),
+            F.max("place.row_key").alias("high"),
             F.bool_and(
                 F.col("before").isNull() | (F.col("before") <= F.col("place"))
             ).alias("in_order"),

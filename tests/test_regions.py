@@ -12,7 +12,7 @@ from cellframe.functions.regions import (
 from cellframe.model import REGION_BOUNDS
 from cellframe.operators.layout import by_region, region_sizes
 from cellframe.sinks.table import CellTable, bulk_files
-from conftest import rows
+from conftest import SMALL, rows
 
 EDGES = ["498579", "498580", "581586", "581587", "999999", "99", "-5", "C489449", "",
          "99999999999", None, "007", "9" * 25]
@@ -204,3 +204,20 @@ def test_files_lie_in_kind_and_region_folders(spark, tmp_path, keys_of):
     folders = set(os.listdir(tmp_path / "t" / "cells"))
     assert {"kind=P", "kind=D"} <= folders
     assert any(d.startswith("region=") for d in os.listdir(tmp_path / "t/cells/kind=D"))
+
+
+def test_a_layout_file_has_a_limit_whatever_the_input(spark, monkeypatch):
+    """A task sorts one file, so a file must not grow with the table."""
+    from cellframe.plans import queries
+
+    asked = []
+
+    def recorded(*args, **options):
+        asked.append(options["file_bytes"])
+        return bulk_files(*args, **options)
+
+    monkeypatch.setattr(queries, "bulk_files", recorded)
+    whole = rows(queries.q_bulk_region_layout(spark, SMALL))
+    monkeypatch.setattr(queries, "FILE_LIMIT", asked[0] // 4, raising=False)
+    assert rows(queries.q_bulk_region_layout(spark, SMALL)) == whole
+    assert asked[1] == asked[0] // 4
