@@ -38,6 +38,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def sales_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Invoice lines; the first line of every order occurs twice."""
+    return _order_lines(spark, sf_dir).drop("o_orderkey")
+
+
+def _order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lines with the key of their order, by which the last join deals them."""
     lineitem = table(spark, sf_dir, "lineitem")
     orders = table(spark, sf_dir, "orders")
     part = table(spark, sf_dir, "part")
@@ -63,6 +68,7 @@ def sales_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     times = F.when(F.col("l_linenumber") == 1, F.array(F.lit(1), F.lit(2)))
     return joined.select(
+        "o_orderkey",
         "Invoice",
         F.col("l_partkey").cast("string").alias("StockCode"),
         F.col("p_name").alias("Description"),
@@ -76,7 +82,8 @@ def sales_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def invoices(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return nest_orders(sales_lines(spark, sf_dir))
+    """One document per invoice; an invoice has the number of one order in it."""
+    return nest_orders(_order_lines(spark, sf_dir), ["o_orderkey"])
 
 
 def sparse_invoices(spark: SparkSession, sf_dir: str) -> DataFrame:
