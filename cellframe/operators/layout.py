@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 
 from cellframe.functions.text import quoted
 
-# Bytes of keys and values in one written file before its region takes several.
-FILE_BYTES = 256 << 20
+# Bytes of keys and values in one written file before its region takes several. One task
+# sorts it, and short cells take several times their bytes as rows.
+FILE_BYTES = 64 << 20
 
 # Sample keys in the bytes of a file; cuts that one search step looks at.
 POINTS, STEP = 32, 64
