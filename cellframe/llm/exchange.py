@@ -21,10 +21,12 @@ SCHEMA = "bucket int, owners binary, counts binary, entries binary"
 
 
 def pack(
-    bucket: np.ndarray, owner: np.ndarray, numbers: np.ndarray, entries: np.ndarray
+    bucket: np.ndarray, owner: np.ndarray, numbers: np.ndarray, entries: np.ndarray,
+    brief: bool = False,
 ) -> list[list]:
     """Columns of `SCHEMA`. `owner` indexes `numbers`, one or a row of several for each
-    document; `entries` is a byte matrix."""
+    document; `entries` is a byte matrix. `brief`: a number's lowest 32 bits are sent,
+    and counts byte by byte, so that their zeros shrink in the shuffle."""
     out: list[list] = [[], [], [], []]
     order = np.argsort(owner.astype(np.uint32), kind="stable")
     # Small integers sort by radix.
@@ -36,8 +38,13 @@ def pack(
         if end > start:
             who, counts = np.unique(owner[start:end], return_counts=True)
             out[0].append(int(bucket[start]))
-            out[1].append(numbers[who].astype(np.int64).tobytes())
-            out[2].append(counts.astype(np.uint32).tobytes())
+            counts = counts.astype(np.uint32)
+            if brief:
+                out[1].append(numbers[who].astype(np.uint32).tobytes())
+                out[2].append(counts.view(np.uint8).reshape(-1, 4).T.tobytes())
+            else:
+                out[1].append(numbers[who].astype(np.int64).tobytes())
+                out[2].append(counts.tobytes())
             out[3].append(np.ascontiguousarray(entries[start:end]).tobytes())
         start = end
     return out
@@ -49,16 +56,23 @@ def each_bucket(
     width: int,
     function: Callable[[np.ndarray, np.ndarray], Iterator[list]],
     schema: str,
+    brief: bool = False,
 ) -> DataFrame:
     """One task per bucket: `function(numbers, entries)` gets all of it, a document's
-    number or numbers and `width` bytes for each entry, and yields lists of columns."""
+    number or numbers and `width` bytes for each entry, and yields lists of columns.
+    `brief`: as packed."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         numbers, entries = [], []
         for batch in batches:
             for who, counts, data in zip(*(c.to_pylist() for c in batch.columns[1:])):
                 times = np.frombuffer(counts, np.uint32)
-                own = np.frombuffer(who, np.int64)
+                own = np.frombuffer(who, np.int64) if not brief else (
+                    np.frombuffer(who, np.uint32).astype(np.int64)
+                )
+                if brief:
+                    planes = np.frombuffer(counts, np.uint8).reshape(4, -1)
+                    times = np.ascontiguousarray(planes.T).view(np.uint32).ravel()
                 if len(own) > len(times):
                     own = own.reshape(len(times), -1)
                 numbers.append(np.repeat(own, times, axis=0))

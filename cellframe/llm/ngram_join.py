@@ -13,14 +13,15 @@ agree on it: subsets with many rare tokens first, those that many documents have
 selections then share a subset. Where H is at most 1, one segment with its
 one-deletion neighbourhood takes the place of them all.
 
-Selections meet in buckets of their hash: numpy arrays travel, not rows. A
-bucket yields candidate pairs; a subset shared by more than `STAR` sets first
-yields a star around one of them. The stars and one candidate of every other set
+Selections meet in buckets of their hash: numpy arrays travel, not rows, and a set
+goes by 32 bits of its number; sets that share them are candidates too. A bucket
+yields candidate pairs; a subset shared by more than `STAR` sets first yields a star
+around one of them. The stars and one candidate of every other set
 are verified first; after these links are known, all candidates and all pairs of
 sets with a common subset that are not connected yet. So groups of near
 copies never become all pairs, and no link between components is lost. Parities of
 token counts in hashed cells bound the difference of two sets from below: what
-they do not rule out is verified on the whole sets.
+they do not rule out is verified on the whole sets, which only then are made.
 
 Equal sets are one node from the start (two 64-bit sums; a clash of the first
 is detected by the second and the run repeated with another seed).
@@ -32,11 +33,14 @@ task. An empty table gives none.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from bisect import bisect_right
+from collections.abc import Callable, Iterator
+from functools import lru_cache
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cellframe.llm.common import WORD, Scratch, map_arrow, map_columns, same
@@ -46,7 +50,7 @@ from cellframe.llm.exchange import (
     passes,
 )
 from cellframe.llm.features import WordHash
-from cellframe.llm.shingles import mix, shingle_set
+from cellframe.llm.shingles import BLOCK_TEXTS, mix, shingle_sets
 
 WIDTH = 5
 # Similarity 3/4, that is 7 * common >= 3 * (a + b).
@@ -54,6 +58,9 @@ WIDTH = 5
 BUCKET_SUBSETS = 1_500_000
 # Bytes of a subset's hash besides its bucket; bytes of a token when sets are compared.
 SHORT, TOKEN_BYTES = 5, 6
+# Bits of a node, at most 32, by which sets meet: its short. Sets with one short meet as
+# one; all of them are candidates then, and of each other.
+SHORT_NODE = 0xFFFFFFFF
 # Sets that may share a subset before it is paired in two rounds.
 STAR = 16
 # Members of a subset that are compared with each other at once; members of all
@@ -76,96 +83,150 @@ def _band_edges() -> list[int]:
 EDGES = _band_edges()
 
 
-def selection(tokens: np.ndarray, heavy: np.ndarray) -> np.ndarray:
-    """Hashes of the subsets that a set (sorted, distinct) is indexed by."""
-    size = len(tokens)
-    if size == 0:
-        return np.zeros(0, np.uint64)
-    own = int(np.searchsorted(EDGES, size, "right")) - 1
-    rare = np.ones(size, bool)
-    if len(heavy):
-        at = np.searchsorted(heavy, tokens)
-        rare = heavy[np.minimum(at, len(heavy) - 1)] != tokens
+@lru_cache(maxsize=256)
+def _segments(m: int, band: int) -> tuple[np.ndarray, np.ndarray]:
+    """Bounds of m equal ranges of 64-bit numbers, and a number for each range."""
+    cuts = [min(-(-(i << 64) // m), (1 << 64) - 1) for i in range(m + 1)]
+    place = np.arange(m, dtype=np.uint64) + np.uint64(band << 32)
+    return np.array(cuts, np.uint64), place * np.uint64(0xC2B2AE3D27D4EB4F)
+
+
+def _running(values: np.ndarray, kind: type) -> np.ndarray:
+    """Sums of the first 0, 1, 2, ... values."""
+    total = np.zeros(len(values) + 1, kind)
+    np.cumsum(values, out=total[1:])
+    return total
+
+
+def selections(sets: list[np.ndarray], heavy: np.ndarray) -> list[np.ndarray]:
+    """For each set (sorted, distinct) hashes of the subsets that it is indexed by.
+
+    Tokens are hashes, so a segment is a range of them, a slice of the set.
+    """
+    if not sets:
+        return []
+    tokens = np.concatenate(sets)
     spread = mix(tokens + np.uint64(77))
-    found = []
-    for band in (own, own + 1):
-        largest = EDGES[band + 1] - 1
-        differ = (size + min(largest, 4 * size // 3)) // 7
-        if differ == 0:
-            continue  # only equal sets are similar
-        most = 2 * largest // 7
-        if most <= 1:
-            whole = spread.sum(dtype=np.uint64)
-            subsets = np.append(whole - spread, whole)
-            found.append(mix(subsets + np.uint64(band) * np.uint64(0x9E3779B9)))
-            continue
-        m = 2 * (most + 1)
-        segment = (mix(tokens + np.uint64(band)) % np.uint64(m)).astype(np.int64)
-        sums = np.zeros(m, np.uint64)
-        np.add.at(sums, segment, spread)
-        counts = np.bincount(segment, minlength=m)
-        rares = np.bincount(segment, weights=rare, minlength=m)
-        place = np.arange(m, dtype=np.uint64) + np.uint64(band << 32)
-        subsets = mix(sums + place * np.uint64(0xC2B2AE3D27D4EB4F))
-        key = (
-            (255 - np.minimum(rares, 255)).astype(np.uint64) << np.uint64(56)
-            | (255 - np.minimum(counts, 255)).astype(np.uint64) << np.uint64(48)
-            | subsets >> np.uint64(16)
-        )
-        found.append(subsets[np.argpartition(key, differ)[: differ + 1]])
-    return np.concatenate(found) if found else np.zeros(0, np.uint64)
+    total, rare = _running(spread, np.uint64), np.arange(len(tokens) + 1)
+    if len(heavy) and len(tokens):
+        at = np.searchsorted(heavy, tokens)
+        rare = _running(heavy[np.minimum(at, len(heavy) - 1)] != tokens, np.int64)
+    found: list[list] = [[] for _ in sets]
+    jobs, lows, highs, places, base = [], [], [], [], 0
+    for i, own_tokens in enumerate(sets):
+        size = len(own_tokens)
+        own = bisect_right(EDGES, size) - 1
+        for band in (own, own + 1) if size else ():
+            largest = EDGES[band + 1] - 1
+            differ = (size + min(largest, 4 * size // 3)) // 7
+            if differ == 0:
+                continue  # only equal sets are similar
+            most = 2 * largest // 7
+            if most <= 1:
+                whole = spread[base : base + size].sum(dtype=np.uint64, keepdims=True)
+                subsets = np.append(whole - spread[base : base + size], whole)
+                found[i].append(mix(subsets + np.uint64(band) * np.uint64(0x9E3779B9)))
+                continue
+            cuts, numbers = _segments(2 * (most + 1), band)
+            bounds = np.searchsorted(own_tokens, cuts)
+            bounds[-1] = size
+            bounds += base
+            jobs.append((i, differ, len(numbers)))
+            lows.append(bounds[:-1])
+            highs.append(bounds[1:])
+            places.append(numbers)
+        base += size
+    if jobs:
+        low, high = np.concatenate(lows), np.concatenate(highs)
+        subsets = mix(total[high] - total[low] + np.concatenate(places))
+        # Many rare tokens first, then many tokens.
+        many = (np.minimum(rare[high] - rare[low], 255) << 8) + np.minimum(high - low, 255)
+        key = (65535 - many).astype(np.uint64) << np.uint64(48) | subsets >> np.uint64(16)
+        start = 0
+        for i, differ, m in jobs:
+            first = np.argpartition(key[start : start + m], differ)[: differ + 1]
+            found[i].append(subsets[start : start + m][first])
+            start += m
+    none = np.zeros(0, np.uint64)
+    return [np.concatenate(x) if x else none for x in found]
 
 
-def _identity(tokens: np.ndarray, seed: int) -> tuple[int, int]:
-    """Two sums over a set, as signed 64-bit numbers."""
-    one = mix(tokens * np.uint64(2 * seed + 1)).sum(dtype=np.uint64)
-    two = mix(tokens + np.uint64(0xD6E8FEB86659FD93)).sum(dtype=np.uint64)
-    return int(one.astype(np.int64)), int(two.astype(np.int64))
+def selection(tokens: np.ndarray, heavy: np.ndarray) -> np.ndarray:
+    """The same of one set."""
+    return selections([tokens], heavy)[0]
+
+
+def _sums(sets: list[np.ndarray], hashed: Callable[[np.ndarray], np.ndarray]) -> list[int]:
+    """A sum over each set, as a signed 64-bit number."""
+    if not sets:
+        return []
+    total = _running(hashed(np.concatenate(sets)), np.uint64)
+    ends = np.cumsum([len(x) for x in sets])
+    starts = np.append(0, ends[:-1])
+    return (total[ends] - total[starts]).view(np.int64).tolist()
+
+
+def _nodes(sets: list[np.ndarray], seed: int) -> list[int]:
+    return _sums(sets, lambda tokens: mix(tokens * np.uint64(2 * seed + 1)))
+
+
+def _checks(sets: list[np.ndarray]) -> list[int]:
+    """Other sums of the same sets."""
+    return _sums(sets, lambda tokens: mix(tokens + np.uint64(0xD6E8FEB86659FD93)))
 
 
 def set_profiles(docs: DataFrame, seed: int) -> DataFrame:
-    """A row per document (doc_id, digest, n, node, check) and, kept apart by `n` null,
-    a row per heavy token of each batch (node: token, check: documents)."""
+    """A row per document (doc_id, digest, n, node, check, its parities, fewer of them)
+    and, kept apart by `n` null, a row per heavy token of each batch (node: token,
+    check: documents)."""
     known = WordHash()
 
     def run(ids: list, digests: list, texts: list) -> list[list]:
-        out = [list(ids), list(digests), [], [], []]
-        tokens = []
-        for text in texts:
-            found = shingle_set(text, known)
-            tokens.append(found)
-            for column, value in zip(out[2:], (len(found), *_identity(found, seed))):
-                column.append(value)
+        tokens = list(shingle_sets(texts, known))
+        bits = [parity(found) for found in tokens]
+        out = [
+            list(ids), list(digests), [len(found) for found in tokens],
+            _nodes(tokens, seed), _checks(tokens), [x.tobytes() for x in bits],
+            [folded(x, max(4, len(x) // 4)).tobytes() for x in bits],
+        ]
         if tokens:
-            each, counts = np.unique(np.concatenate(tokens), return_counts=True)
+            each = np.sort(np.concatenate(tokens))
+            starts = np.flatnonzero(np.append(True, each[1:] != each[:-1])[: len(each)])
+            counts = np.diff(np.append(starts, len(each)))
+            each = each[starts]
             often = counts >= HEAVY_IN_BATCH
             extra = each[often].astype(np.int64).tolist()
             for column, values in zip(out, (
-                *[[None] * len(extra)] * 3, extra, counts[often].tolist()
+                *[[None] * len(extra)] * 3, extra, counts[often].tolist(),
+                *[[None] * len(extra)] * 2,
             )):
                 column += values
         return out
 
     return map_columns(
         docs.select("doc_id", F.xxhash64("text"), "text"),
-        "doc_id long, digest long, n long, node long, check long", run, [known],
+        "doc_id long, digest long, n long, node long, check long, bits binary, brief binary",
+        run, [known],
     )
 
 
 def _selections(docs: DataFrame, heavy: np.ndarray, buckets: int, seed: int) -> DataFrame:
-    """The selections of every batch, packed by bucket."""
-    known = WordHash()
+    """The selections of every batch, packed by bucket. Sets go by the short of their
+    node: the more buckets, the fewer entries share a number."""
+    known, short_node = WordHash(), SHORT_NODE
     sent = docs.sparkSession.sparkContext.broadcast(heavy)
 
     def run(texts: list) -> list[list]:
         nodes, lists, seen = [], [], set()
-        for text in texts:
-            tokens = shingle_set(text, known)
-            node = _identity(tokens, seed)[0]
-            if len(tokens) and node not in seen:
-                seen.add(node)
-                nodes.append(node)
-                lists.append(selection(tokens, sent.value))
+        whole = shingle_sets(texts, known)
+        while block := list(islice(whole, BLOCK_TEXTS)):
+            fresh = []
+            for node, tokens in zip(_nodes(block, seed), block):
+                if len(tokens) and node not in seen:
+                    seen.add(node)
+                    nodes.append(node & short_node)
+                    fresh.append(tokens)
+            lists += selections(fresh, sent.value)
         if not lists:
             return [[], [], [], []]
         subsets = np.concatenate(lists)
@@ -173,7 +234,7 @@ def _selections(docs: DataFrame, heavy: np.ndarray, buckets: int, seed: int) ->
         bucket = (subsets % np.uint64(buckets)).astype(np.int64)
         # 40 bits within a bucket: a clash only makes one more candidate.
         short = low_bytes(subsets >> np.uint64(24), SHORT)
-        return pack(bucket, owner, np.array(nodes, np.int64), short)
+        return pack(bucket, owner, np.array(nodes, np.int64), short, brief=True)
 
     return map_columns(docs.select("text"), SCHEMA, run, [known])
 
@@ -222,7 +283,7 @@ def parity(tokens: np.ndarray) -> np.ndarray:
     """A bit for each of 4 cells a token or more: whether the cell holds an odd
     number of tokens. Two sets differ in at least as many tokens as bits."""
     bits = max(256, 1 << (4 * len(tokens) - 1).bit_length())
-    cells = (mix(tokens + np.uint64(99)) % np.uint64(bits)).astype(np.int64)
+    cells = (mix(tokens + np.uint64(99)) & np.uint64(bits - 1)).astype(np.int64)
     odd = np.bincount(cells, minlength=bits).astype(np.uint8) & 1
     return np.packbits(odd).view(np.uint64)
 
@@ -235,9 +296,23 @@ def folded(bits: np.ndarray, width: int) -> np.ndarray:
     return bits
 
 
+def _signatures(profiles: DataFrame, met: DataFrame) -> DataFrame:
+    """(short, node, doc_id, n, bits, brief) of every set that has met another or shares
+    its short with another: a row for each node, so a short may have several."""
+    named = profiles.where("n > 0").withColumn("short", F.expr(f"node & {SHORT_NODE}L"))
+    several = named.groupBy("short").agg(
+        F.min("node").alias("low"), F.max("node").alias("high")
+    ).where("low <> high").select("short")
+    ends = met.select(F.explode(F.array("a", "b")).alias("short")).distinct()
+    return (
+        named.join(ends.unionByName(several), "short", "left_semi")
+        .groupBy("short", "node")
+        .agg(*[F.min(c).alias(c) for c in ("doc_id", "n", "bits", "brief")])
+    )
+
+
 def _sets_of(docs: DataFrame, wanted: DataFrame, seed: int) -> DataFrame:
-    """(node, n, bits, tokens) of at least the nodes that the documents in `wanted`
-    (id) have.
+    """(node, tokens) of at least the nodes that the documents in `wanted` (id) have.
 
     A filter of fixed size goes to the scan, so texts are not shuffled.
     """
@@ -245,23 +320,16 @@ def _sets_of(docs: DataFrame, wanted: DataFrame, seed: int) -> DataFrame:
     sent = docs.sparkSession.sparkContext.broadcast(id_filter(wanted))
 
     def run(places: list, texts: list) -> list[list]:
-        out: list[list] = [[], [], [], []]
+        out: list[list] = [[], []]
         maybe = passes(sent.value, np.array(places, np.int64))
-        for text, chosen in zip(texts, maybe.tolist()):
-            if chosen:
-                tokens = shingle_set(text, known)
-                for column, value in zip(out, (
-                    _identity(tokens, seed)[0], len(tokens), parity(tokens).tobytes(),
-                    low_bytes(tokens, TOKEN_BYTES).tobytes(),
-                )):
-                    column.append(value)
+        whole = shingle_sets((t for t, m in zip(texts, maybe.tolist()) if m), known)
+        while block := list(islice(whole, BLOCK_TEXTS)):
+            out[0] += _nodes(block, seed)
+            out[1] += [low_bytes(tokens, TOKEN_BYTES).tobytes() for tokens in block]
         return out
 
     place = F.pmod(F.xxhash64("doc_id"), F.lit(FILTER_BITS))
-    return map_columns(
-        docs.select(place, "text"), "node long, n int, bits binary, tokens binary", run,
-        [known],
-    )
+    return map_columns(docs.select(place, "text"), "node long, tokens binary", run, [known])
 
 
 def _both(pairs: DataFrame, sets: DataFrame, *columns: str) -> DataFrame:
@@ -269,12 +337,16 @@ def _both(pairs: DataFrame, sets: DataFrame, *columns: str) -> DataFrame:
     own = pairs.columns
     for end in ("a", "b"):
         names = [end, *(f"{end}_{c}" for c in columns)]
-        pairs = pairs.join(sets.select("node", *columns).toDF(*names), end)
+        pairs = pairs.join(sets.select(sets.columns[0], *columns).toDF(*names), end)
     return pairs.select(*own, *[f"{e}_{c}" for c in columns for e in ("a", "b")])
 
 
-def _possible(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (a, b, star) that their parities do not rule out."""
+def _possible(pairs: DataFrame, signatures: DataFrame) -> DataFrame:
+    """The pairs of nodes (a < b, star) among the pairs of shorts (a, b, star), and
+    among the nodes of one short, that their parities do not rule out.
+
+    There may be very many pairs, so they are joined with the fewer parities.
+    """
 
     def run(a: list, b: list, star: list, m: list, n: list, x: list, y: list) -> list[list]:
         out: list[list] = [[], [], []]
@@ -283,11 +355,21 @@ def _possible(pairs: DataFrame, sets: DataFrame) -> DataFrame:
             width = min(len(bits), len(other))
             differ = np.bitwise_count(folded(bits, width) ^ folded(other, width))
             if int(differ.sum(dtype=np.int64)) <= size // 7:
-                for column, value in zip(out, (i, j, s)):
+                for column, value in zip(out, (min(i, j), max(i, j), s)):
                     column.append(value)
         return out
 
-    return map_columns(_both(pairs, sets, "n", "bits"), "a long, b long, star long", run)
+    several = signatures.groupBy("short").agg(F.count("*").alias("sets")).where("sets > 1")
+    alike = several.select(
+        F.col("short").alias("a"), F.col("short").alias("b"), F.lit(0).cast("long").alias("star")
+    )
+    named = _both(pairs.unionByName(alike), signatures, "node", "n", "brief")
+    return map_columns(
+        named.where("a <> b OR a_node < b_node").drop("a", "b").select(
+            "a_node", "b_node", "star", "a_n", "b_n", "a_brief", "b_brief"
+        ),
+        "a long, b long, star long", run,
+    )
 
 
 def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -345,17 +427,18 @@ def _between(left: list[tuple], right: list[tuple] | None) -> np.ndarray:
     return np.unique(np.sort(np.concatenate(found), axis=1), axis=0)
 
 
-def _later_pairs(members: DataFrame, labels: DataFrame, sets: DataFrame) -> DataFrame:
-    """Possible pairs between members of a subset that are still in different
-    components.
+def _later_pairs(members: DataFrame, labels: DataFrame, signatures: DataFrame) -> DataFrame:
+    """Possible pairs between members (subset, short) of a subset that are still in
+    different components.
 
     Subsets are dealt in lots: a member travels once a lot with its parities and
     the subsets it has there, and a pair that shares several of them comes out
     once. Where a subset is large, members are dealt in parts, part against part.
     """
-    labelled = members.join(labels, members["a"] == labels["node"], "left").select(
-        "subset", "a", F.coalesce("component", "a").alias("component")
-    )
+    known = signatures.select("short", F.col("node").alias("a")).join(
+        labels, F.col("a") == F.col("node"), "left"
+    ).select("short", "a", F.coalesce("component", "a").alias("component"))
+    labelled = members.join(known, "short").select("subset", "a", "component")
     open_subsets = labelled.groupBy("subset").agg(
         F.min("component").alias("low"), F.max("component").alias("high"),
         F.count("*").alias("size"),
@@ -367,7 +450,7 @@ def _later_pairs(members: DataFrame, labels: DataFrame, sets: DataFrame) -> Data
         labelled.join(open_subsets.select("subset"), "subset")
         .groupBy(F.pmod(F.xxhash64("subset"), F.lit(lots)).alias("lot"), "a", "component")
         .agg(F.collect_list("subset").alias("subsets"))
-        .join(sets.select(F.col("node").alias("a"), "n", "bits"), "a")
+        .join(signatures.select(F.col("node").alias("a"), "n", "bits"), "a")
         .withColumn("part", F.pmod(F.xxhash64("a"), F.lit(parts)))
         .withColumn("other", F.explode(F.expr(f"sequence(0L, {parts - 1}L)")))
         .selectExpr(
@@ -421,7 +504,6 @@ def _grouped(docs: DataFrame) -> DataFrame:
         profiles = scratch.write(set_profiles(docs, seed), "profiles")
         sets = profiles.where("n > 0")
         nodes = sets.groupBy("node").agg(
-            F.min("doc_id").alias("doc_id"),
             F.min("check").alias("low"), F.max("check").alias("high"),
         )
         if nodes.where("low <> high").isEmpty():
@@ -437,31 +519,41 @@ def _grouped(docs: DataFrame) -> DataFrame:
     buckets = max(16, int(0.7 * total) // BUCKET_SUBSETS)
 
     packed = _selections(docs, heavy, buckets, seed)
-    met = scratch.write(
-        each_bucket(packed, buckets, SHORT, _meetings, "a long, b long, subset long"), "met"
-    )
-    pairs = met.where("b IS NOT NULL").groupBy("a", "b").agg(F.max("subset").alias("star"))
-    ends = met.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    wanted = nodes.join(ends, "node", "left_semi").select(F.col("doc_id").alias("id"))
-    tokens = scratch.write(_sets_of(docs, wanted, seed), "sets")
+    met = scratch.write(each_bucket(
+        packed, buckets, SHORT, _meetings, "a long, b long, subset long", brief=True
+    ), "met")
+    signatures = scratch.write(_signatures(profiles, met), "signatures")
+
+    def tokens_of(pairs: DataFrame, part: str) -> DataFrame:
+        """Written sets of the nodes in pairs (a, b)."""
+        ends = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+        wanted = signatures.join(ends, "node", "left_semi").select(F.col("doc_id").alias("id"))
+        return scratch.write(_sets_of(docs, wanted, seed), part)
+
     # First the stars, and every set against the smallest of its other candidates,
     # which unites most groups; then all pairs that this has left apart.
-    pairs = scratch.write(_possible(pairs, tokens), "possible")
+    pairs = met.where("b IS NOT NULL").groupBy("a", "b").agg(F.max("subset").alias("star"))
+    pairs = scratch.write(_possible(pairs, signatures), "possible")
     first = scratch.write(pairs.where("star = 1").select("a", "b").unionByName(
         pairs.where("star = 0").groupBy("b").agg(F.min("a").alias("a"))
     ).distinct(), "first-pairs")
+    tokens = tokens_of(first, "sets")
     found = scratch.write(_verified(first, tokens), "first-links")
+    scratch.drop(tokens)
     labels = connected_components(found)
-    members = met.where("b IS NULL").select("subset", "a")
+    members = met.where("b IS NULL").select("subset", F.col("a").alias("short"))
     later = scratch.write(
-        _apart(pairs.select("a", "b"), labels).unionByName(_later_pairs(members, labels, tokens)).distinct()
+        _apart(pairs.select("a", "b"), labels)
+        .unionByName(_later_pairs(members, labels, signatures)).distinct()
         .join(first, ["a", "b"], "left_anti"),
         "later",
     )
     if not later.isEmpty():
+        tokens = tokens_of(later, "later-sets")
         more = scratch.write(_verified(later, tokens), "second")
         labels = connected_components(found.union(more))
-    scratch.drop(tokens)
+        scratch.drop(tokens)
+    scratch.drop(signatures)
     return profiles.where("n IS NOT NULL").join(
         labels.withColumnRenamed("node", "label_node"),
         (F.col("node") == F.col("label_node")) & (F.col("n") > 0), "left",

@@ -7,7 +7,7 @@ import pytest
 from cellframe.llm import ngram_join, rlz
 from cellframe.llm.components import Forest, connected_components
 from cellframe.llm.ego_join import near_duplicates
-from cellframe.llm.shingles import shingle_set
+from cellframe.llm.shingles import shingle_set, shingle_sets
 from cellframe.llm.features import WordHash
 
 
@@ -88,6 +88,53 @@ def test_selections_of_similar_sets_meet():
                     ).size
 
 
+@pytest.mark.parametrize("bits", [32, 3])
+def test_sets_that_meet_under_one_short(spark, monkeypatch, bits):
+    """Sets that share a short number are told apart before they are compared."""
+    monkeypatch.setattr(ngram_join, "SHORT_NODE", (1 << bits) - 1)
+    docs = corpus(8, 150)
+    docs |= {1000: "p1 p2 p3 p4 p5 p6", 1001: "p1 p2 p3 p4 p5 p6 p7"}
+    got = ngram_join.jaccard_components(frame(spark, docs)).collect()
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got} == (
+        plain.jaccard_components(docs)
+    )
+
+
+def test_selections_cost_the_same_in_more_buckets(spark):
+    """What is sent for an entry stays small where few of a set's entries share a bucket,
+    and sets wait without their tokens."""
+    pick = random.Random(9)
+    docs = frame(spark, {
+        i: " ".join(f"v{pick.randrange(10**6)}" for _ in range(300)) for i in range(100)
+    }).coalesce(1)
+    none = np.zeros(0, np.uint64)
+    size = {}
+    for buckets in (16, 4000):
+        rows = ngram_join._selections(docs, none, buckets, 0).collect()
+        sent = sum(len(r["entries"]) for r in rows) // ngram_join.SHORT
+        numbers = sum(len(r["owners"]) for r in rows)
+        size[buckets] = (sent, ngram_join.SHORT + numbers / sent)
+    assert size[16][0] == size[4000][0] > 10_000
+    assert size[4000][1] <= 10
+    profiles = ngram_join.set_profiles(docs, 0).where("n > 0").collect()
+    assert max(len(r["bits"]) + len(r["brief"]) for r in profiles) < 2 * 300
+
+
+def test_blocks_of_texts_are_hashed_as_single_ones():
+    known = WordHash()
+    texts = [
+        None, "", " \n", "a", "A b\tc\vd\fe\rF", "x" * 64, "X" * 65, "x" * 65 + " y", "É", "é",
+        "a b c d e f a b c d e", "\x1c a  b \x85c", "  lead and trail  ", "one\x00two three",
+    ] * 11
+    for text, found in zip(texts, shingle_sets(texts, known), strict=True):
+        words = (text or "").encode().lower().split()
+        assert len(found) == len({tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))}
+                                 if words else ())
+        assert np.array_equal(found, shingle_set(text, known))
+    single, longer = (next(shingle_sets([t], known)) for t in ("x" * 65, "X" * 65))
+    assert np.array_equal(single, longer)
+
+
 def test_shingles_fold_only_ascii():
     known = WordHash()
     same = shingle_set("A b C d E f", known), shingle_set("a B c D e F", known)
