@@ -3,9 +3,13 @@
 Every task first replaces the links it reads by a spanning forest of them. Then
 large and small star steps alternate until nothing moves: each node hands its
 neighbours the smallest node it knows, so the links of a component shrink to a
-star around its smallest node. A step is an aggregation with map-side combine
-and an equi-join, which AQE splits where a node has very many links; links and
-labels never leave the executors. Each round is written to the shared folder.
+star around its smallest node. The large step is an aggregation with map-side
+combine and an equi-join; unless the smallest neighbours are few enough to be sent
+round, the links of one node meet in one task there. The small step is one
+aggregation: a node has few distinct smaller neighbours, at first one for each
+task, as the forests are stars around their smallest nodes. A link that it makes
+several times is one again in the next round's. Links and labels never leave the
+executors. Each round is written to the shared folder.
 """
 
 from __future__ import annotations
@@ -83,11 +87,11 @@ def connected_components(links: DataFrame) -> DataFrame:
         )
         large = both.where("v > u").join(least, F.col("u") == F.col("n")).select(
             F.col("v").alias("u"), F.col("m").alias("v")
-        ).distinct()
-        small_least = large.groupBy("u").agg(F.min("v").alias("m")).withColumnRenamed("u", "n")
-        small = large.join(small_least, F.col("u") == F.col("n")).selectExpr(
-            "inline(array(struct(v AS u, m AS v), struct(u AS u, m AS v)))"
-        ).where("u <> v").distinct()
+        )
+        # The node itself goes to its smallest neighbour, and so do the others of them.
+        small = large.groupBy("u").agg(F.collect_set("v").alias("all")).selectExpr(
+            "u", "all", "array_min(all) AS m"
+        ).selectExpr("inline(transform(all, x -> struct(if(x = m, u, x) AS u, m AS v)))")
         after = scratch.write(small, "round")
         scratch.drop(edges)
         state = after.agg(

@@ -22,6 +22,8 @@ sets with a common subset that are not connected yet. So groups of near
 copies never become all pairs, and no link between components is lost. Parities of
 token counts in hashed cells bound the difference of two sets from below: what
 they do not rule out is verified on the whole sets, which only then are made.
+Both sides of the joins grow with the input, so they are merged; a side that turns
+out small after its shuffle would take one more stage to be sent round.
 
 Equal sets are one node from the start (two 64-bit sums; a clash of the first
 is detected by the second and the run repeated with another seed).
@@ -37,6 +39,7 @@ from bisect import bisect_right
 from collections.abc import Callable, Iterator
 from functools import lru_cache
 from itertools import islice
+from math import ceil
 
 import numpy as np
 import pyarrow as pa
@@ -64,8 +67,8 @@ SHORT_NODE = 0xFFFFFFFF
 # Sets that may share a subset before it is paired in two rounds.
 STAR = 16
 # Members of a subset that are compared with each other at once; members of all
-# subsets of a lot.
-PART, LOT = 2048, 150_000
+# subsets of a lot; comparisons of one task.
+PART, LOT, LOT_PAIRS = 2048, 150_000, 4_000_000
 # A token in this many documents of a batch counts as heavy; so many are kept.
 # Heavy tokens steer the order only: results do not depend on them.
 HEAVY_IN_BATCH = 8
@@ -305,7 +308,7 @@ def _signatures(profiles: DataFrame, met: DataFrame) -> DataFrame:
     ).where("low <> high").select("short")
     ends = met.select(F.explode(F.array("a", "b")).alias("short")).distinct()
     return (
-        named.join(ends.unionByName(several), "short", "left_semi")
+        named.join(ends.unionByName(several).hint("merge"), "short", "left_semi")
         .groupBy("short", "node")
         .agg(*[F.min(c).alias(c) for c in ("doc_id", "n", "bits", "brief")])
     )
@@ -337,7 +340,7 @@ def _both(pairs: DataFrame, sets: DataFrame, *columns: str) -> DataFrame:
     own = pairs.columns
     for end in ("a", "b"):
         names = [end, *(f"{end}_{c}" for c in columns)]
-        pairs = pairs.join(sets.select(sets.columns[0], *columns).toDF(*names), end)
+        pairs = pairs.join(sets.select(sets.columns[0], *columns).toDF(*names).hint("merge"), end)
     return pairs.select(*own, *[f"{e}_{c}" for c in columns for e in ("a", "b")])
 
 
@@ -397,7 +400,7 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 def _apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
     """The pairs whose ends are in different components."""
     def label(end: str) -> DataFrame:
-        return labels.toDF(f"{end}_node", f"{end}_of")
+        return labels.toDF(f"{end}_node", f"{end}_of").hint("merge")
 
     return (
         pairs.join(label("a"), F.col("a") == F.col("a_node"), "left")
@@ -409,48 +412,67 @@ def _apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def _between(left: list[tuple], right: list[tuple] | None) -> np.ndarray:
     """Possible pairs between members (node, component, n, bits) of two parts of a
-    subset, or within one part, that are in different components."""
+    subset, or within one part, that are in different components.
+
+    The members of the largest component are not compared with each other.
+    """
     members = left + (right or [])
     width = min(len(m[3]) for m in members)
     bits = np.array([folded(m[3], width) for m in members])
     nodes, of, sizes = (np.array([m[i] for m in members]) for i in range(3))
-    first = np.arange(len(left) if right is not None else 0, len(members))
-    step = max(1, (1 << 22) // (len(first) * width))
-    found = []
-    for at in range(0, len(left), step):
-        rows = np.arange(at, min(at + step, len(left)))
-        differ = np.bitwise_count(bits[rows, None] ^ bits[None, first]).sum(2, dtype=np.int64)
-        good = differ <= (sizes[rows, None] + sizes[None, first]) // 7
-        good &= of[rows, None] != of[None, first]
-        i, j = np.nonzero(good)
-        found.append(np.stack([nodes[rows[i]], nodes[first[j]]], axis=1))
+    names, times = np.unique(of, return_counts=True)
+    others = of != names[times.argmax()]
+    every, first = np.arange(len(members)), len(left) if right is not None else 0
+    rounds = [(every[others], every)]
+    if right is not None:
+        rounds = [
+            (every[:first][others[:first]], every[first:]),
+            (every[:first][~others[:first]], every[first:][others[first:]]),
+        ]
+    found = [np.zeros((0, 2), np.int64)]
+    for rows, against in rounds:
+        step = max(1, (1 << 22) // (max(1, len(against)) * width))
+        for at in range(0, len(rows), step):
+            some = rows[at : at + step]
+            differ = np.bitwise_count(bits[some, None] ^ bits[None, against])
+            good = differ.sum(2, dtype=np.int64) <= (sizes[some, None] + sizes[None, against]) // 7
+            good &= of[some, None] != of[None, against]
+            i, j = np.nonzero(good)
+            found.append(np.stack([nodes[some[i]], nodes[against[j]]], axis=1))
     return np.unique(np.sort(np.concatenate(found), axis=1), axis=0)
 
 
-def _later_pairs(members: DataFrame, labels: DataFrame, signatures: DataFrame) -> DataFrame:
+def _later_pairs(
+    members: DataFrame, labels: DataFrame, signatures: DataFrame, scratch: Scratch
+) -> DataFrame:
     """Possible pairs between members (subset, short) of a subset that are still in
-    different components.
+    different components; a pair may come several times.
 
     Subsets are dealt in lots: a member travels once a lot with its parities and
     the subsets it has there, and a pair that shares several of them comes out
-    once. Where a subset is large, members are dealt in parts, part against part.
+    once a lot. There are as many lots as bound a task's comparisons. Where a subset is large, members are dealt in parts, part against part.
     """
     known = signatures.select("short", F.col("node").alias("a")).join(
-        labels, F.col("a") == F.col("node"), "left"
+        labels.hint("merge"), F.col("a") == F.col("node"), "left"
     ).select("short", "a", F.coalesce("component", "a").alias("component"))
-    labelled = members.join(known, "short").select("subset", "a", "component")
+    labelled = scratch.write(
+        members.join(known.hint("merge"), "short").select("subset", "a", "component"), "members"
+    )
     open_subsets = labelled.groupBy("subset").agg(
         F.min("component").alias("low"), F.max("component").alias("high"),
         F.count("*").alias("size"),
     ).where("low <> high")
-    total, largest = open_subsets.agg(F.sum("size"), F.max("size")).first()
-    lots = -(-(total or 0) // LOT) or 1
+    total, largest, squares = open_subsets.agg(
+        F.sum("size"), F.max("size"), F.sum(F.col("size").cast("double") * F.col("size"))
+    ).first()
     parts = -(-(largest or 0) // PART) or 1
+    lots = max(-(-(total or 0) // LOT), ceil((squares or 0) / (LOT_PAIRS * parts**2)), 1)
     dealt = (
-        labelled.join(open_subsets.select("subset"), "subset")
+        labelled.join(open_subsets.select("subset").hint("merge"), "subset")
+        .repartition("a")  # once, for the groups and the join with their parities
         .groupBy(F.pmod(F.xxhash64("subset"), F.lit(lots)).alias("lot"), "a", "component")
         .agg(F.collect_list("subset").alias("subsets"))
-        .join(signatures.select(F.col("node").alias("a"), "n", "bits"), "a")
+        .join(signatures.select(F.col("node").alias("a"), "n", "bits").hint("merge"), "a")
         .withColumn("part", F.pmod(F.xxhash64("a"), F.lit(parts)))
         .withColumn("other", F.explode(F.expr(f"sequence(0L, {parts - 1}L)")))
         .selectExpr(
@@ -491,7 +513,7 @@ def _later_pairs(members: DataFrame, labels: DataFrame, signatures: DataFrame) -
         if at is not None:
             yield pairs()
 
-    return map_arrow(dealt, run, "a long, b long").distinct()
+    return map_arrow(dealt, run, "a long, b long")
 
 
 def _grouped(docs: DataFrame) -> DataFrame:
@@ -527,7 +549,9 @@ def _grouped(docs: DataFrame) -> DataFrame:
     def tokens_of(pairs: DataFrame, part: str) -> DataFrame:
         """Written sets of the nodes in pairs (a, b)."""
         ends = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-        wanted = signatures.join(ends, "node", "left_semi").select(F.col("doc_id").alias("id"))
+        wanted = signatures.join(ends.hint("merge"), "node", "left_semi").select(
+            F.col("doc_id").alias("id")
+        )
         return scratch.write(_sets_of(docs, wanted, seed), part)
 
     # First the stars, and every set against the smallest of its other candidates,
@@ -535,8 +559,8 @@ def _grouped(docs: DataFrame) -> DataFrame:
     pairs = met.where("b IS NOT NULL").groupBy("a", "b").agg(F.max("subset").alias("star"))
     pairs = scratch.write(_possible(pairs, signatures), "possible")
     first = scratch.write(pairs.where("star = 1").select("a", "b").unionByName(
-        pairs.where("star = 0").groupBy("b").agg(F.min("a").alias("a"))
-    ).distinct(), "first-pairs")
+        pairs.where("star = 0").groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
+    ), "first-pairs")
     tokens = tokens_of(first, "sets")
     found = scratch.write(_verified(first, tokens), "first-links")
     scratch.drop(tokens)
@@ -544,14 +568,15 @@ def _grouped(docs: DataFrame) -> DataFrame:
     members = met.where("b IS NULL").select("subset", F.col("a").alias("short"))
     later = scratch.write(
         _apart(pairs.select("a", "b"), labels)
-        .unionByName(_later_pairs(members, labels, signatures)).distinct()
-        .join(first, ["a", "b"], "left_anti"),
+        .unionByName(_later_pairs(members, labels, signatures, scratch)).distinct()
+        .join(first.hint("merge"), ["a", "b"], "left_anti"),
         "later",
     )
     if not later.isEmpty():
         tokens = tokens_of(later, "later-sets")
         more = scratch.write(_verified(later, tokens), "second")
-        labels = connected_components(found.union(more))
+        if not more.isEmpty():
+            labels = connected_components(labels.union(more))
         scratch.drop(tokens)
     scratch.drop(signatures)
     return profiles.where("n IS NOT NULL").join(

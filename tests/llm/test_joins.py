@@ -3,8 +3,10 @@ import random
 import numpy as np
 import plain
 import pytest
+from pyspark.sql import functions as F
 
 from cellframe.llm import ngram_join, rlz
+from cellframe.llm.common import Scratch
 from cellframe.llm.components import Forest, connected_components
 from cellframe.llm.ego_join import near_duplicates
 from cellframe.llm.shingles import shingle_set, shingle_sets
@@ -318,3 +320,87 @@ def test_a_large_group_of_near_copies(spark):
     assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got} == (
         plain.jaccard_components(docs)
     )
+
+
+@pytest.fixture
+def even_tasks(spark):
+    """Every shuffle has 20 tasks."""
+    wanted = {
+        "spark.sql.shuffle.partitions": "20",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+    }
+    before = {key: spark.conf.get(key) for key in wanted}
+    for key, value in wanted.items():
+        spark.conf.set(key, value)
+    yield
+    for key, value in before.items():
+        spark.conf.set(key, value)
+
+
+def test_a_round_of_components_has_few_tasks(spark, even_tasks):
+    """Many small tasks cost more than the links: two shuffles to a round, not five."""
+    context, group = spark.sparkContext, "few-tasks"
+    links = spark.createDataFrame(
+        [(i, i + 1) for i in range(60)], "a long, b long"
+    ).repartition(6)
+    context.setJobGroup(group, "components")
+    try:
+        got = connected_components(links).collect()
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+    assert {tuple(r) for r in got} == {(i, 0) for i in range(1, 61)}
+    tracker = context.statusTracker()
+    jobs = [tracker.getJobInfo(j) for j in tracker.getJobIdsForGroup(group)]
+    stages = [tracker.getStageInfo(s) for s in {s for j in jobs for s in j.stageIds}]
+    sizes = [s.numCompletedTasks for s in stages if s and s.numCompletedTasks]
+    rounds = sizes.count(1)  # each ends with the sum of its links
+    assert rounds > 1 and sizes.count(20) <= 1 + 2 * rounds
+
+
+def test_comparisons_of_many_shared_subsets_are_dealt(spark, monkeypatch, even_tasks):
+    """Lots follow the comparisons, not only the number of members; a pair in one
+    component is none."""
+    monkeypatch.setattr(ngram_join, "LOT_PAIRS", 8_000)
+    members = spark.createDataFrame(
+        [(subset, node) for subset in range(40) for node in range(1, 41)],
+        "subset long, short long",
+    )
+    labels = spark.createDataFrame([(i, 1) for i in range(2, 31)], "node long, component long")
+    bits = np.zeros(4, np.uint64).tobytes()
+    signatures = spark.createDataFrame(
+        [(i, i, i, 9, bits, bits) for i in range(1, 41)],
+        "short long, node long, doc_id long, n long, bits binary, brief binary",
+    )
+    found = ngram_join._later_pairs(members, labels, signatures, Scratch(spark, "lots"))
+    rows = found.withColumn("task", F.spark_partition_id()).collect()
+    assert {(r["a"], r["b"]) for r in rows} == {
+        (a, b) for a in range(1, 41) for b in range(max(a + 1, 31), 41)
+    }
+    assert len({r["task"] for r in rows}) > 2
+
+
+@pytest.mark.parametrize("components", [1, 2, 40])
+def test_members_of_parts_in_different_components(components):
+    """Against every pair, within one part and between two."""
+    pick = np.random.default_rng(components)
+    base = pick.integers(0, 2**63, 8).astype(np.uint64)
+    members = []
+    for node in range(60):
+        flips = np.uint64(1) << pick.integers(0, 63, 8).astype(np.uint64)
+        keep = pick.random(8) < 0.5
+        members.append((
+            node, int(pick.integers(0, components)), int(pick.integers(20, 50)),
+            base ^ np.where(keep, flips, np.uint64(0)),
+        ))
+
+    def possible(x, y):
+        return x[1] != y[1] and np.bitwise_count(x[3] ^ y[3]).sum() <= (x[2] + y[2]) // 7
+
+    left, right = members[:25], members[25:]
+    for some, other, pairs in (
+        (members, None, [(x, y) for x in members for y in members if x[0] < y[0]]),
+        (left, right, [(x, y) for x in left for y in right]),
+    ):
+        got = [tuple(p) for p in ngram_join._between(some, other).tolist()]
+        assert got == sorted((x[0], y[0]) for x, y in pairs if possible(x, y))
